@@ -4,11 +4,12 @@
    one permutation split into BINS bins (empty bins take the value of a filled bin that a per-bin random probe sequence meets
    first: optimal densification), and one hash per band of ROWS bins.
 2. Documents with equal sets form classes; from here on a class stands for all its copies, however many.
-3. Classes that share a band bucket are candidates. Star edges join each bucket's members to its centre (the smallest
-   member): as many edges as members. Edges whose signatures are far apart go; the others are confirmed on full sets.
-4. A star may miss a link between two members that are both unlike the centre. So every bucket that still holds several
-   components is read again, blockwise, by its outsiders: outsiders against all members, only across components. These
-   pairs are confirmed on full sets as well. Nothing is capped.
+3. Classes that share a band bucket are candidates. Each bucket gives a forest of edges, fewer than its members: in a bucket of up
+   to BUCKET members the pairs whose signatures and sizes may belong to linked sets, in a larger one a star around its smallest
+   member. The forests' components are the candidate clusters; every linked pair that shares a bucket is inside one.
+4. Clusters are confirmed on full sets in blocks of about BLOCK members, each with a few hubs of the whole cluster. What blocks and
+   hubs leave apart (outsiders of the cluster's largest component) then meets all of the cluster, blockwise. Every pair is
+   tested unless it is connected already; a group emits links, never its pairs. Nothing is capped.
 5. Components come from alternating large-star / small-star steps; each class gets its component's smallest doc_id.
 
 A pair at the threshold shares no band with probability (1 - t^ROWS)^BANDS: 5e-11 at 0.85, 7e-8 at 0.8 (ROWS 4, BANDS 32).
@@ -32,8 +33,8 @@ ROWS, BANDS = 4, 32
 BINS = ROWS * BANDS
 #: Signatures of linked sets agree in more than this share less than the threshold, but for odds below 1e-8.
 SLACK = 0.2
-#: Rows of a bucket that one task compares with as many others at a time.
-BLOCK = 1024
+#: Members of a bucket, and of a cluster's block, that a task holds at a time.
+BUCKET, BLOCK = 2048, 1024
 
 _U = np.uint64
 _rng = np.random.default_rng(20240601)
@@ -178,31 +179,74 @@ def _full_sets(docs: DataFrame, shingle: int, ids: DataFrame) -> DataFrame:
     return map_batches(src.select("set_id", "text"), "set_id binary, members binary", make)
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union."""
+class _Group:
+    """Members of one group: pairs that may be linked are tested in order, unless they are connected already."""
+
+    def __init__(self, rows: list[tuple], percent: int, exact: bool):
+        """rows: (side, set_id, n, sig, root, members)."""
+        self.rows, self.percent, self.exact = rows, percent, exact
+        self.least = max(0.0, percent / 100 - SLACK) * BINS
+        self.side = np.array([r[0] for r in rows])
+        self.n = np.array([r[2] for r in rows])
+        self.sig = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
+        seen: dict = {}
+        self.part = np.array([seen.setdefault(r[4], len(seen)) for r in rows])
+
+    def linked(self, i: int, j: int) -> bool:
+        if not self.exact:
+            return True
+        p, q = np.frombuffer(self.rows[i][5], np.uint64), np.frombuffer(self.rows[j][5], np.uint64)
+        if len(p) > len(q):
+            p, q = q, p
+        at = np.searchsorted(q, p)
+        at[at == len(q)] = 0
+        both = int(np.count_nonzero(q[at] == p))
+        return 100 * both >= self.percent * (len(p) + len(q) - both)
+
+    def forest(self) -> list[tuple[bytes, bytes]]:
+        """Links that connect what is connected: fewer than members. Rows of side 0 are tested against all, others only against those."""
+        out, part, n = [], self.part, self.n
+        for i in range(len(self.rows)):
+            if self.side[i] != 0:
+                continue
+            other = np.flatnonzero((part != part[i]) & (100 * np.minimum(n, n[i]) >= self.percent * np.maximum(n, n[i])))
+            if not len(other):
+                continue
+            agree = (self.sig[other] == self.sig[i]).sum(1)
+            near = other[agree >= self.least]
+            for j in near[np.argsort(-agree[agree >= self.least], kind="stable")].tolist():
+                if part[j] != part[i] and self.linked(i, j):
+                    out.append((self.rows[i][1], self.rows[j][1]))
+                    part[part == part[j]] = part[i]
+        return out
 
-    def make():
-        def step(cols: dict) -> dict:
-            keep = []
-            for x, y in zip(cols["x"], cols["y"], strict=True):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(p) > len(q):
-                    p, q = q, p
-                at = np.searchsorted(q, p)
-                at[at == len(q)] = 0
-                both = int((q[at] == p).sum())
-                keep.append(100 * both >= percent * (len(p) + len(q) - both))
-            return {k: [v for v, y in zip(cols[k], keep, strict=True) if y] for k in ("a", "b")}
 
-        return step
+def _forests(rows: DataFrame, percent: int, exact: bool) -> DataFrame:
+    """Links (a, b) inside each group of rows (part, side, set_id, n, sig, root, members); a task holds one group at a time."""
 
-    full = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("members").alias("x")), "a").join(sets.select(F.col("set_id").alias("b"), F.col("members").alias("y")), "b")
-    return map_batches(full.select("a", "b", "x", "y"), "a binary, b binary", make)
+    def run(batches):
+        kind = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+        held: list[tuple] = []
+        now, out = None, []
 
+        def close():
+            if len(held) > 1:
+                out.extend(_Group(held, percent, exact).forest())
 
-def _alike(percent: int):
-    """Column expression and array test for sizes and signatures that a linked pair can have."""
-    return max(0.0, percent / 100 - SLACK)
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+                if row[0] != now:
+                    close()
+                    held, now = [], row[0]
+                held.append(row[1:])
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())], schema=kind)
+                out = []
+        close()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())], schema=kind)
+
+    return rows.select("part", "side", "set_id", "n", "sig", "root", "members").repartition("part").sortWithinPartitions("part", "side").mapInArrow(run, "a binary, b binary")
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -225,55 +269,6 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return now.select(F.col("b").alias("node"), F.col("a").alias("root")).unionAll(now.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
 
 
-def _outsiders(entries: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components inside each bucket, read in blocks: entries are sorted by bucket; side 0 are outsiders.
-    own is a member's block; where two blocks meet (apart), only pairs from different blocks are new.
-
-    A bucket's group holds at most about BLOCK outsiders and BLOCK others, so memory is bounded.
-    """
-    least = _alike(percent)
-
-    def run(batches):
-        held: list[tuple] = []
-        now = None
-
-        def pairs():
-            out, apart = [r for r in held if r[1] == 0], held[0][7]
-            rest = [r for r in held if r[1] == 1]
-            every = out + rest
-            if not out or len(every) < 2:
-                return None
-            sig = np.frombuffer(b"".join(r[4] for r in every), np.uint8).reshape(len(every), -1)
-            n = np.array([r[3] for r in every])
-            seen: dict = {}
-            root = np.array([seen.setdefault(r[5], len(seen)) for r in every])
-            own = np.array([r[6] for r in every])
-            a, b = [], []
-            for i in range(len(out)):
-                j = np.arange(i + 1, len(every))
-                lo, hi = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-                j = j[(root[j] != root[i]) & (100 * lo >= percent * hi) & ((own[j] != own[i]) == apart)]
-                if len(j):
-                    j = j[(sig[j] == sig[i]).mean(1) >= least]
-                a += [every[i][2]] * len(j)
-                b += [every[k][2] for k in j]
-            if not a:
-                return None
-            return pa.RecordBatch.from_pydict({"a": [min(x, y) for x, y in zip(a, b, strict=True)], "b": [max(x, y) for x, y in zip(a, b, strict=True)]}, pa.schema([("a", pa.binary()), ("b", pa.binary())]))
-
-        for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
-                if row[0] != now:
-                    if held and (got := pairs()) is not None:
-                        yield got
-                    held, now = [], row[0]
-                held.append(row)
-        if held and (got := pairs()) is not None:
-            yield got
-
-    return entries.select("bucket", "side", "set_id", "n", "sig", "root", "own", "apart").mapInArrow(run, "a binary, b binary")
-
-
 def link(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (its component's smallest doc_id), kept."""
     docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
@@ -281,40 +276,52 @@ def link(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "do
     classes = rows.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
     classes = table(classes, "classes")
 
+    # candidate clusters: what band buckets connect
     keys = classes.select(F.explode("bands").alias("band"), "set_id")
-    shared = keys.groupBy("band").agg(F.min("set_id").alias("centre"), F.count("*").alias("size")).where("size > 1")
-    entries = table(keys.join(shared, "band"), "entries")
-
+    buckets = keys.groupBy("band").agg(F.min("set_id").alias("centre"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("set_id")).alias("x"), F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("y")).where("size > 1")
+    buckets = buckets.groupBy("size", "x", "y").agg(F.min(F.struct("band", "centre")).alias("one")).select("one.band", "one.centre", "size")
+    entries = table(keys.join(buckets, "band"), "entries")
     facts = classes.select("set_id", "first_id", "n", "sig")
-    stars = entries.where("set_id != centre").select(F.col("centre").alias("a"), F.col("set_id").alias("b")).distinct()
-    sided = stars.join(facts.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a").join(facts.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
-    stars = table(_close(sided.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")), percent), "stars")
-
-    members = entries.select("set_id").distinct().join(facts, "set_id")
-    wanted = table(members.select(F.col("first_id").alias("doc_id"), "set_id"), "wanted")
-    sets = table(_full_sets(docs, shingle, wanted), "sets")
-    if sets.count() > wanted.count():  # rows that repeat whole
+    small = entries.where(F.col("size") <= BUCKET).join(facts, "set_id").select(F.col("band").alias("part"), F.lit(0).alias("side"), "set_id", "n", "sig", F.col("set_id").alias("root"), F.lit(None).cast("binary").alias("members"))
+    large = entries.where((F.col("size") > BUCKET) & (F.col("set_id") != F.col("centre"))).select(F.col("centre").alias("a"), F.col("set_id").alias("b"))
+    clusters = table(components(_forests(small, percent, exact=False).unionAll(large)).select(F.col("node").alias("set_id"), F.col("root").alias("cluster")), "clusters")
+
+    # links inside the clusters' blocks, on full sets
+    members = table(clusters.join(facts, "set_id"), "members")
+    sets = table(_full_sets(docs, shingle, members.select(F.col("first_id").alias("doc_id"), "set_id")), "sets")
+    if sets.count() > members.count():  # rows that repeat whole
         sets = table(sets.dropDuplicates(["set_id"]), "sets")
-    links = _confirm(stars, sets, percent)
-    links = table(links, "links")
-
-    roots = components(links)
-    held = entries.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    held = table(held, "held")
-    mixed = held.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("of"), F.min(F.struct(F.col("set_id") != F.col("centre"), F.col("root"))).getField("root").alias("main")).where("lo < hi")
-    outside = held.join(mixed.select("band", "main", "of"), "band").withColumn("side", (F.col("root") == F.col("main")).cast("int"))
-    # outsiders and others of a large bucket are dealt to blocks; each pair of blocks with an outsider meets once
-    blocks = F.ceil(F.col("of") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("set_id"), blocks).cast("int")
-    first = outside.withColumn("blocks", blocks).withColumn("own", own)
-    meet = first.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    meet = meet.withColumn("lo", F.least("own", "with")).withColumn("hi", F.greatest("own", "with")).withColumn("bucket", F.xxhash64("band", "lo", "hi"))
-    meet = meet.join(members.select("set_id", "n", "sig"), "set_id").select("bucket", "side", "set_id", "n", "sig", "root", "own", (F.col("lo") != F.col("hi")).alias("apart"))
-    rest = _outsiders(meet.repartition("bucket").sortWithinPartitions("bucket", "side"), percent).distinct()
-    more = table(_confirm(table(rest, "rest"), sets, percent), "more")
-
-    final = components(links.unionAll(more))
-    named = classes.select("set_id", "first_id", "copies").join(final.withColumnRenamed("node", "set_id"), "set_id", "left")
+    sizes = members.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+    dealt = table(dealt.join(sets, "set_id"), "dealt")
+    shape = [F.lit(0).alias("side"), "set_id", "n", "sig", F.col("set_id").alias("root"), "members"]
+    plain = dealt.select(F.xxhash64("cluster", "block").alias("part"), *shape)
+    wide = dealt.where("blocks > 1")
+    hubs = wide.groupBy("cluster", "blocks").agg(F.min("set_id").alias("h1"), F.max("set_id").alias("h2"), F.min_by("set_id", F.xxhash64("set_id", F.lit(2))).alias("h3"), F.min_by("set_id", F.xxhash64("set_id", F.lit(3))).alias("h4"), F.max_by("set_id", "n").alias("h5"))
+    hubs = hubs.select("cluster", F.explode(F.array_distinct(F.array("h1", "h2", "h3", "h4", "h5"))).alias("set_id"))
+    hubs = wide.join(hubs, ["cluster", "set_id"]).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("to != block")
+    links = table(_forests(plain.unionAll(hubs.select(F.xxhash64("cluster", "to").alias("part"), *shape)), percent, exact=True), "links")
+    roots = table(components(links), "roots")
+
+    if not wide.isEmpty():  # what blocks and hubs left apart in wide clusters meets all of its cluster
+        known = table(wide.select("cluster", "block", "set_id").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id")), "known")
+        counted = known.groupBy("cluster", "root").count()
+        main = counted.groupBy("cluster").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("of")).where("of > 1")
+        known = known.join(main, "cluster").withColumn("out", F.col("root") != F.col("main"))
+        strays = known.where("out").groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("groups"))
+        known = known.join(strays, "cluster").join(wide.select("set_id", "n", "sig", "members", "blocks"), "set_id")
+        known = table(known, "known")
+        shape = ["set_id", "n", "sig", "root", "members"]
+        group = F.pmod(F.xxhash64("set_id", F.lit(4)), F.col("groups")).cast("int")
+        tests = known.where("out").withColumn("group", group).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        tests = tests.select(F.xxhash64("cluster", "group", "to", F.lit(5)).alias("part"), F.lit(0).alias("side"), *shape)
+        every = known.withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+        every = every.select(F.xxhash64("cluster", "group", "block", F.lit(5)).alias("part"), F.lit(1).alias("side"), *shape)
+        more = table(_forests(tests.unionAll(every), percent, exact=True), "more")
+        if not more.isEmpty():
+            roots = table(components(links.unionAll(more)), "roots")
+
+    named = classes.select("set_id", "first_id", "copies").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
     named = named.where("root IS NOT NULL OR copies > 1").withColumn("root", F.coalesce("root", "set_id"))
     names = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     names = named.join(names, "root").select("set_id", F.col("component_id").alias("named"))
@@ -322,24 +329,6 @@ def link(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "do
     return out.select("doc_id", "n_shingles", F.coalesce("named", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
-def _close(sided: DataFrame, percent: int) -> DataFrame:
-    """Of (a, b, sa, sb) the pairs whose signatures agree well enough."""
-    least = _alike(percent)
-
-    def make():
-        def step(cols: dict) -> dict:
-            if not cols["a"]:
-                return {"a": [], "b": []}
-            x = np.frombuffer(b"".join(cols["sa"]), np.uint8).reshape(len(cols["a"]), -1)
-            y = np.frombuffer(b"".join(cols["sb"]), np.uint8).reshape(len(cols["a"]), -1)
-            keep = (x == y).mean(1) >= least
-            return {k: [v for v, z in zip(cols[k], keep, strict=True) if z] for k in ("a", "b")}
-
-        return step
-
-    return map_batches(sided.select("a", "b", "sa", "sb"), "a binary, b binary", make)
-
-
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of one document of each group: the one with the smallest doc_id (documents without doc_id stay)."""
     found = link(docs, shingle, percent, id_col, text_col)
