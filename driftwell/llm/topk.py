@@ -1,12 +1,11 @@
 """Exact top-k inner-product search over an impact-ordered, score-at-a-time index.
 
 Components are quantised to integers (floor of SCALE times the value), so scores are exact integers. Candidates are indexed in
-blocks. A block's index holds, per dimension, one posting segment per quantised value with the block's members that have it.
-For a query, the segment (dimension d, value v) has impact q[d] * v; dimensions are processed by descending spread
-of their impacts, and the accumulators take a dimension's segments at once. After each step the remaining dimensions bound what any
-member can still gain (the block's extremes per dimension, and Cauchy-Schwarz on the members' remaining norms). Processing
-stops only when that bound proves that at most a few members can still reach the query's k-th best guaranteed score; those are
-rescored exactly.
+blocks. A block's postings are ordered by impact: their quantised magnitudes fall into levels, largest first, and a
+level's segments (one per dimension) are processed together, score at a time, for a block of queries. After each level
+Cauchy-Schwarz on the norms of what is left bounds what any member can still gain or lose. Processing stops when the bounds
+prove that few members can still reach a query's k-th best guaranteed score (ties included), or when the levels are
+used up; all members that still can are rescored exactly.
 
 Query blocks meet candidate blocks as packed matrices, so the rows shuffled are blocks, not pairs; each meeting returns its k
 best per query, and a last aggregation ranks them. Memory per task: two blocks and their score matrix.
@@ -30,54 +29,54 @@ BLOCK_CANDIDATES, BLOCK_QUERIES = 4096, 512
 
 
 class Segments:
-    """A block's posting segments: for each dimension the values in descending order and, per value, its members."""
+    """A block's posting segments by impact level.
+
+    Level l holds the postings whose magnitude is at least the block's largest divided by 2^(l + 2) and isn't in an earlier
+    level, one segment per dimension; a level's segments lie together in a matrix that is 0 elsewhere, so a block of
+    queries accumulates a level by one product. `left` is each member's norm over the postings of later levels.
+    """
+
+    LEVELS = 4
 
     def __init__(self, matrix: np.ndarray):
         self.matrix = matrix
-        self.low, self.high = matrix.min(0), matrix.max(0)
-        squares = matrix.astype(np.float64) ** 2
-        self.squares = squares
-        self.norm = squares.sum(1)
+        self.top = float(np.abs(matrix).max(initial=0))
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        size, done = np.abs(matrix), np.zeros(matrix.shape, bool)
+        self.kind = np.float32 if self.top * self.top * matrix.shape[1] < 2**24 else np.float64
+        for level in range(self.LEVELS):
+            now = (size * (1 << level + 2) >= self.top) & ~done
+            done |= now
+            rest = np.where(done, 0, matrix).astype(np.float64)
+            self.levels.append((np.where(now, matrix, 0).astype(self.kind), np.sqrt((rest * rest).sum(1))))
 
     def search(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query row, member row, score) of every member that may be among a query's k best, scored exactly."""
         n, dims = self.matrix.shape
-        wide = float(np.abs(queries).max(initial=0)) * float(np.abs(self.matrix).max(initial=0)) * dims >= 2**52
-        as_float = self.matrix if wide else self.matrix.astype(np.float64)
-        out_q, out_m, out_s = [], [], []
-        for i, q in enumerate(queries):
-            if n <= 4 * k or wide:
-                rows = np.arange(n)
-            else:
-                rows = self._possible(q, as_float, k)
-            exact = self.matrix[rows].astype(object) @ q.astype(object) if wide else self.matrix[rows] @ q
-            out_q.append(np.full(len(rows), i))
-            out_m.append(rows)
-            out_s.append(np.asarray(exact, np.int64))
-        return np.concatenate(out_q), np.concatenate(out_m), np.concatenate(out_s)
-
-    def _possible(self, q: np.ndarray, as_float: np.ndarray, k: int) -> np.ndarray:
-        qf = q.astype(np.float64)
-        best, worst = np.maximum(qf * self.low, qf * self.high), np.minimum(qf * self.low, qf * self.high)
-        order = np.argsort(worst - best, kind="stable")  # widest spread of impacts first
-        rest_q = np.append(np.cumsum((qf[order] ** 2)[::-1])[::-1], 0.0)
-        gain, loss = np.append(np.cumsum(best[order][::-1])[::-1], 0.0), np.append(np.cumsum(worst[order][::-1])[::-1], 0.0)
-        alive, score, left = np.arange(len(as_float)), np.zeros(len(as_float)), self.norm.copy()
-        step = max(4, len(q) // 8)
-        for at in range(0, len(order), step):
-            now = order[at : at + step]
-            block = as_float[np.ix_(alive, now)]
-            score += block @ qf[now]
-            left -= self.squares[np.ix_(alive, now)].sum(1)
-            end = min(at + step, len(order))
-            reach = np.sqrt(np.maximum(left, 0.0) * rest_q[end]) * (1 + 1e-9) + 1e-6
-            upper, lower = score + np.minimum(reach, gain[end]), score + np.maximum(-reach, loss[end])
-            if len(alive) > k:
-                floor = np.partition(lower, len(lower) - k)[len(lower) - k]
-                keep = upper >= floor - 1e-6
-                if keep.sum() < len(alive):
-                    alive, score, left = alive[keep], score[keep], left[keep]
-            if len(alive) <= 2 * k:
+        most = float(np.abs(queries).max(initial=0)) * self.top * dims
+        if n <= 4 * k or most >= 2**52:
+            rows, members = (x.ravel() for x in np.indices((len(queries), n)))
+        else:
+            rows, members = np.nonzero(self._possible(queries, k, np.float32 if most < 2**24 else np.float64))
+        out = np.empty(len(rows), np.int64)
+        for at in range(0, len(rows), 100_000):
+            part = slice(at, at + 100_000)
+            out[part] = (queries[rows[part]] * self.matrix[members[part]]).sum(1)
+        return rows, members, out
+
+    def _possible(self, queries: np.ndarray, k: int, kind) -> np.ndarray:
+        q = queries.astype(kind)
+        norm = np.sqrt((queries.astype(np.float64) ** 2).sum(1))
+        score = np.zeros((len(q), len(self.matrix)), kind)
+        alive = np.ones(score.shape, bool)
+        for level, left in self.levels:
+            score += q @ level.astype(kind, copy=False).T  # whole numbers below the type's exact range
+            reach = (norm[:, None] * left[None, :] * (1 + 1e-5) + 1e-2).astype(kind)
+            lower = score - reach
+            at = lower.shape[1] - k
+            lower.partition(at, axis=1)
+            alive = score + reach >= lower[:, at : at + 1]
+            if np.count_nonzero(alive) <= 4 * k * len(q):
                 break
         return alive
 
