@@ -160,7 +160,7 @@ def normalise(text: str) -> Tape:
 
 
 def find_spans(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
-    """(base spans, spans that only the deobfuscated text shows). An added span never overlaps a base span of its kind."""
+    """(base spans, spans that only the deobfuscated text shows). An added span never lies inside a base span of its kind."""
     if not text:
         return [], []
     base = base_spans(text)
@@ -178,7 +178,7 @@ def find_spans(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple
         while lo < hi:  # first base span of the kind that ends after a
             mid = (lo + hi) // 2
             lo, hi = (mid + 1, hi) if own[mid][1] <= a else (lo, mid)
-        if lo == len(own) or own[lo][0] >= b:
+        if lo == len(own) or not (own[lo][0] <= a and b <= own[lo][1]):
             added.append((a, b, kind))
     return base, added
 

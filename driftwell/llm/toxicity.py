@@ -5,8 +5,8 @@ of the stretch it spans, so "id-iot", "idxiot" and "i.d.i.o.t" stay close to "id
 not: a document is toxic if some sentence is, a sentence if some word (a run of single letters counts as one word) is. So training
 learns from witnesses (multi-instance SVM): start from the words whose character n-grams tell labelled documents apart, fit,
 choose the witnesses anew by the fitted decision, and fit again; negatives are words of clean documents, the hardest ones first.
-A document's decision is its largest word decision over all its sentences, turned into a probability by Platt scaling on
-labelled documents that the SVM was not fitted on.
+A document's decision is the soft maximum of its word decisions, over all its sentences; Platt scaling turns it into a
+probability, fitted on labelled documents that the SVM was not fitted on.
 
 The fitted function is a combination of kernels with the landmarks. It is folded into one weight per subsequence, a table of
 fixed size that goes to the tasks, so that scoring a word costs one table look-up per subsequence, and a word is scored once per task.
@@ -24,6 +24,7 @@ import unicodedata
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from heapq import nlargest
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -36,8 +37,12 @@ DECAY = 0.6
 SPANS = {3: 6, 4: 7}
 SYMBOLS = 28  # a-z, any other letter or digit, any other character
 LANDMARKS = 256
+#: A document's largest word decisions count, by a soft maximum of this sharpness; EMPTY stands for a missing word.
+TOPS, SHARP, EMPTY = 8, 4.0, -3.0
 #: Labelled documents per class that fitting reads.
 SAMPLE = 2500
+#: Least log odds of a word's n-grams for it to be a first witness.
+EVIDENCE = 1.5
 #: Longer words are scored in windows of this many characters that overlap by half.
 WINDOW = 24
 
@@ -129,7 +134,7 @@ class Kernel:
 class Model:
     table: np.ndarray | None  # weight of each subsequence, folded over the landmarks
     bias: float
-    scale: float  # Platt: score = 1 / (1 + exp(-(scale * decision + shift)))
+    scale: float  # Platt: score = 1 / (1 + exp(-(scale * a document's decision + shift)))
     shift: float
 
     def decide(self, words: list[str], kernel: Kernel) -> np.ndarray:
@@ -197,20 +202,20 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 3.0, steps
 
 
 def _platt(d: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    a, b = 1.0, 0.0
+    """Scale and shift of the decisions; classes weigh alike, as the sample's balance isn't the corpus's."""
     n1, n0 = y.sum(), len(y) - y.sum()
     t = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    w = np.where(y > 0, len(y) / (2 * max(n1, 1)), len(y) / (2 * max(n0, 1)))  # classes weigh alike: the sample's balance isn't the corpus's
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * d + b, -30, 30)))
-        g = np.array([(w * (p - t) * d).sum() + 1e-3 * a, (w * (p - t)).sum()])
-        q = w * p * (1 - p) + 1e-9
-        h = np.array([[(q * d * d).sum() + 1e-3, (q * d).sum()], [(q * d).sum(), q.sum() + 1e-6]])
-        step = np.linalg.solve(h, g)
-        a, b = a - step[0], b - step[1]
+    w = np.where(y > 0, len(y) / (2 * max(n1, 1)), len(y) / (2 * max(n0, 1)))
+    x1 = np.stack([d, np.ones(len(d))], 1)
+    ridge = np.diag([0.05, 1e-6])
+    b = np.zeros(2)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(x1 @ b, -30, 30)))
+        step = np.linalg.solve((x1 * (w * p * (1 - p) + 1e-9)[:, None]).T @ x1 + ridge, x1.T @ (w * (p - t)) + ridge @ b)
+        b = b - step
         if np.abs(step).max() < 1e-8:
             break
-    return float(a), float(b)
+    return float(b[0]), float(b[1])
 
 
 def _once(bags: list[set[str]]) -> list[int]:
@@ -249,12 +254,12 @@ def fit_texts(texts: list[str], labels: list[int], rounds: int = 3, seed: int =
         own = grams[y[i]]
         for g in set().union(*map(grams_of, bags[i])) if bags[i] else ():
             own[g] = own.get(g, 0) + 1
-    odds = {g: np.log((c + 0.1) / (n1 + 0.2)) - np.log((grams[0].get(g, 0) + 0.5) / (n0 + 1)) for g, c in grams[1].items() if c >= 3}
+    odds = {g: (np.log((c + 0.1) / (n1 + 0.2)) - np.log((grams[0].get(g, 0) + 0.5) / (n0 + 1))) * min(1.0, c / 8) for g, c in grams[1].items() if c >= 3}
     word_score: dict[str, float] = {}
 
     def seeded(w: str) -> float:
         if w not in word_score:
-            word_score[w] = max((odds.get(g, -9.0) * min(1.0, grams[1].get(g, 0) / 8) for g in grams_of(w)), default=-9.0)
+            word_score[w] = max((odds.get(g, -9.0) for g in grams_of(w)), default=-9.0)
         return word_score[w]
 
     clean = Counter(w for i in np.flatnonzero(~held & (y == 0)) for w in bags[i])
@@ -267,12 +272,12 @@ def fit_texts(texts: list[str], labels: list[int], rounds: int = 3, seed: int =
     for r in range(rounds):
         witness: Counter = Counter()
         for i in toxic:
-            ranked = sorted(((score(w), w) for w in bags[i] if w not in clean or clean[w] <= 1), reverse=True)
+            # later rounds trust the decision; a document without any evidence (a wrong label, say) gives no witness then
+            ranked = sorted(((score(w), w) for w in bags[i] if clean.get(w, 0) <= 1), reverse=True)[:6]
             if ranked:
-                top = ranked[0][0]
-                for s, w in ranked[:6]:
-                    if s >= (max(1.5, 0.6 * top) if r == 0 else min(top, 0.0)):
-                        witness[w] += 1
+                top, best = ranked[0]
+                least = max(EVIDENCE, 0.6 * top) if r == 0 else min(top, 0.0) if seeded(best) >= EVIDENCE else 0.0
+                witness.update(w for s, w in ranked if s >= least)
         positive = sorted(witness, key=lambda w: (-witness[w], w))[:6000]
         if not positive:
             return prior
@@ -316,7 +321,6 @@ def fit_texts(texts: list[str], labels: list[int], rounds: int = 3, seed: int =
     return model
 
 
-EMPTY = -3.0  # the decision of a text without words
 
 
 def _tops(bags: list[set[str]], model: Model, kernel: Kernel, cache: dict | None = None) -> np.ndarray:
@@ -327,7 +331,9 @@ def _tops(bags: list[set[str]], model: Model, kernel: Kernel, cache: dict | None
     for at in range(0, len(new), 20000):
         some = new[at : at + 20000]
         cache.update(zip(some, model.decide(some, kernel).tolist(), strict=True))
-    return np.array([max(map(cache.__getitem__, b), default=EMPTY) for b in bags]).clip(EMPTY, -EMPTY)
+    pad = [EMPTY] * TOPS
+    d = np.array([(nlargest(TOPS, map(cache.__getitem__, b)) + pad)[:TOPS] for b in bags]).reshape(-1, TOPS).clip(EMPTY, -EMPTY)
+    return d[:, 0] + np.log(np.exp(SHARP * (d - d[:, :1])).sum(1)) / SHARP
 
 
 class Scorer:

@@ -1,0 +1,287 @@
+"""Operators on single texts, against plain readings of their contracts."""
+
+import hashlib
+import random
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from driftwell.llm import chat, decontaminate, licenses, pii, secrets, toxicity, urls
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long, start long, score double, labels string, id long"
+
+
+def odd_docs(spark):
+    """Nulls, empty and long texts, repeated rows, columns whose names clash with results."""
+    long = "word " * 40_000 + "under the MIT license a@b.co " + "x" * 50_000
+    rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (None, "hi bob@example.com", "en", "s", 5), (3, "same", "en", "s", 4), (3, "same", "en", "s", 4), (4, long, "en", "s", len(long)), (5, " \n\t ", "en", "s", 4)]
+    return spark.createDataFrame([(*r, 7, 0.1, "x", 9) for r in rows], DOC)
+
+
+def plain(text, kinds):
+    found = []
+    for order, (kind, regex, check) in enumerate(kinds):
+        found += [(m.start(), order, f"{kind}:{m.start()}:{m.end()}") for m in re.finditer(regex, text) if check(m)]
+    return ",".join(x[2] for x in sorted(found))
+
+
+def _luhn(m):
+    d = [int(c) for c in m[0] if c.isdigit()]
+    return 14 <= len(d) <= 19 and sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(reversed(d))) % 10 == 0
+
+
+PII = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m[0].split("."))),
+    ("card", r"[0-9]([\x20-]?[0-9])+", _luhn),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 10 <= sum(c.isdigit() for c in m[0]) <= 15),
+]
+SECRETS = [
+    ("assign", r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", lambda m: m[0].isascii() and len(m[2]) >= 8),
+    ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 16),
+    ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 32),
+]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="ab1234567890.@-+ ()%_", max_size=60))
+def test_pii_base_is_the_plain_reading(text):
+    assert ",".join(f"{k}:{a}:{b}" for a, b, k in pii.base_spans(text)) == plain(text, PII)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["password", "Token", "api_key", "=", ":", " ", '"', "AKIA", "ABCDEFGH12345", "0123456789abcdef", "deadbeef", "zz", "secret", "ſecret"]), max_size=14).map("".join))
+def test_secret_base_is_the_plain_reading(text):
+    assert ",".join(f"{k}:{a}:{b}" for a, b, k in secrets.base_spans(text)) == plain(text, SECRETS)
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "source"),
+    [
+        ("write to john (at) mail dot example dot com today", "email", "john (at) mail dot example dot com"),
+        ("jоhn@exаmple.com", "email", "jоhn@exаmple.com"),
+        ("ask john [at] example [dot] org.", "email", "john [at] example [dot] org"),
+        ("call plus four one five five five five one two three four now", "phone", "plus four one five five five five one two three four"),
+        ("card four five three nine 1488 0343 6467", "card", "four five three nine 1488 0343 6467"),
+        ("a​b@ex.com", "email", "a​b@ex.com"),
+    ],
+)
+def test_disguised_identifiers_map_back_to_the_source(text, kind, source):
+    base, added = pii.find_spans(text)
+    assert (text.index(source), text.index(source) + len(source), kind) in base + added
+    assert source not in pii.mask(text) and f"<{kind}>" in pii.mask(text)
+
+
+def test_plain_prose_has_no_added_spans():
+    for text in ("He sat at home. One two three dots.", "un deux trois quatre cinq six sept", "meet at noon @ the bar"):
+        assert pii.find_spans(text) == ([], [])
+
+
+def test_pii_and_secrets_over_odd_rows(spark):
+    docs = odd_docs(spark)
+    for out in (pii.detect(docs), secrets.scan(docs)):
+        got = out.collect()
+        assert len(got) == 7 and all(r.base_sha256 for r in got)
+    empty = [r for r in pii.detect(docs).collect() if r.doc_id in (1, 2)]
+    assert {r.base_sha256 for r in empty} == {hashlib.sha256(b"").hexdigest()}
+    assert pii.detect(docs.limit(0)).count() == 0 and secrets.scan(docs.limit(0)).count() == 0
+    masked = pii.redact(docs)
+    assert masked.columns == docs.columns and masked.count() == 7
+    assert [r.text for r in masked.where("doc_id IS NULL").collect()] == ["hi <email>"]
+    assert [r.n_chars for r in masked.where("doc_id IS NULL").collect()] == [len("hi <email>")]
+
+
+def test_pii_stays_linear_in_a_long_run():
+    assert pii.find_spans("a" * 300_000 + " " + "1" * 300_000) == ([], [])
+
+
+def test_secret_parts_are_linked_only_together():
+    key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCY9"
+    alone = f"the value {key} stands alone"
+    assert secrets.find_spans(alone) == ([], [])
+    both = f"user: bob\nkey {key} at host=db.example.com"
+    assert {k for _, _, k in secrets.find_spans(both)[1]} == {"linked_id", "linked_secret", "linked_endpoint"}
+    apart = f"user: bob\n\n{key}"
+    assert secrets.find_spans(apart)[1] == []
+    far = "user: bob " + "x " * 600 + key
+    assert secrets.find_spans(far)[1] == []
+    many = "user: bob\n" * 3000 + f"{key}\n" * 3000
+    assert secrets.find_spans(many)[1]
+
+
+def brute_license(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    places, labels = [], set()
+    for phrase, label in licenses.PHRASES:
+        p = phrase.split()
+        for i in range(len(words) - len(p) + 1):
+            if words[i : i + len(p)] == p:
+                places.append(i)
+                labels.add(label)
+    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def test_license_base_is_the_plain_reading(spark, sf_dir):
+    rng = random.Random(5)
+    parts = "under the MIT license Apache License, Version 2 cc-by/nc CC BY NC 4.0 é über-the mit\nlicense licenses".split(" ")
+    rows = [(i, " ".join(rng.choice(parts) for _ in range(rng.randrange(40)))) for i in range(200)] + [(900, None), (901, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").unionByName(spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id + 1000 AS doc_id", "text"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in licenses.scan(docs).collect():
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute_license(texts[r.doc_id])
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+
+
+def test_license_rules_suppress_what_lies_inside():
+    s = licenses.Scanner()
+    assert [f[0] for f in s.scan("This work is licensed under the GNU General Public License, version 3.")[3]] == ["gpl-3.0"]
+    assert [f[0] for f in s.scan("GNU Lesser General Public License v2.1")[3]] == ["lgpl-2.1"]
+    assert [f[0] for f in s.scan("Licensed under CC BY-NC 4.0.")[3]] == ["cc-by-nc-4.0"]
+    assert [f[0] for f in s.scan("SPDX-License-Identifier: BSD-3-Clause")[3]] == ["bsd-3-clause"]
+    assert s.scan("no rights mentioned")[3] == []
+    assert len(licenses.rules()) > 200
+
+
+def test_license_over_odd_rows(spark):
+    got = licenses.scan(odd_docs(spark)).collect()
+    assert len(got) == 7 and max(r.n_base for r in got) == 1
+
+
+BENCH = [(1, "alpha bravo charlie delta echo foxtrot golf hotel india juliet kilo lima mike november oscar papa quebec romeo sierra tango"), (2, "one short item here"), (3, None), (4, ""), (5, "uniform victor whiskey xray yankee zulu " * 3)]
+
+
+def test_decontamination_tolerates_substitutions(spark):
+    w = BENCH[0][1].split()
+    swapped = list(w)
+    swapped[4], swapped[11] = "WRONG", "off"
+    filler = " ".join(f"f{i}" for i in range(50))
+    rows = [(1, f"{filler} {' '.join(w)} {filler}"), (2, f"{filler} {' '.join(swapped)} {filler}"), (3, f"{filler} {' '.join(w[:9])} {filler}"), (4, "x one short item here y"), (5, filler), (6, None), (7, " ".join(random.Random(1).sample(w, len(w)))), (8, ""), (8, "")]
+    docs = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, items string")
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.scan(docs, bench).collect()}
+    assert [k for k, r in sorted(got.items()) if r.contaminated] == [1, 2, 4]
+    assert got[1].items == "1" and got[1].longest == 20 and got[2].longest == 20 and got[4].items == "2"
+    kept = decontaminate.drop(docs, bench)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [3, 5, 6, 7, 8, 8]
+    assert decontaminate.drop(docs, bench.limit(0)).count() == 9 and decontaminate.scan(docs.limit(0), bench).count() == 0
+
+
+def test_decontamination_finds_what_brute_force_finds(spark, sf_dir):
+    docs, bench = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    grams = set()
+    for r in bench.collect():
+        w = re.findall(r"[^\W_]+", r.text.lower())
+        grams |= {tuple(w[i : i + 13]) for i in range(len(w) - 12)}
+    want = set()
+    for r in docs.collect():
+        w = re.findall(r"[^\W_]+", (r.text or "").lower())
+        if any(tuple(w[i : i + 13]) in grams for i in range(len(w) - 12)):
+            want.add(r.doc_id)
+    got = {r.doc_id for r in decontaminate.scan(docs, bench).where("contaminated").collect()}
+    assert want and want <= got and len(got - want) <= 2
+
+
+def test_toxicity_on_held_out_rows(spark):
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    out = toxicity.score(docs, model).join(labels, "doc_id").where("held_out").select("score", "predicted", "toxic").collect()
+    pos, neg = [r.score for r in out if r.toxic], [r.score for r in out if not r.toxic]
+    auc = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    assert auc > 0.93 and sum(r.predicted == r.toxic for r in out) / len(out) > 0.93  # some labels there have no cause in the text
+
+
+def test_toxicity_tolerates_gaps_and_insertions():
+    rng = random.Random(3)
+    clean = [f"{a}{b}" for a in ("ber", "tol", "min", "sar", "vel", "nor") for b in ("an", "ost", "ick", "em", "ulo", "ard")]
+    texts, labels = [], []
+    for i in range(400):
+        words = [rng.choice(clean) for _ in range(15)]
+        if i % 3 == 0:
+            words[rng.randrange(15)] = rng.choice(["gruzzlepit", "snorkwad"])
+        texts.append(" ".join(words) + ".")
+        labels.append(int(i % 3 == 0))
+    score = toxicity.Scorer(toxicity.fit_texts(texts, labels))
+    s = score(["beran tolost gruzzlepit", "beran gruz-zlepit", "beran gruzxzlepit minem", "s n o r k w a d", "beran tolost minem", "", None])
+    assert (s[:4] > 0.5).all() and (s[4:] < 0.5).all()
+
+
+def test_toxicity_without_labels_and_over_odd_rows(spark):
+    docs = odd_docs(spark)
+    labels = spark.createDataFrame([(2, 0, None), (3, 1, None)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    got = toxicity.score(docs, model).collect()
+    assert len(got) == 7 and all(0 <= r.score < 0.5 and r.predicted == 0 for r in got)
+    assert toxicity.drop(docs, model).count() == 7 and toxicity.drop(docs, model).columns == docs.columns
+    assert toxicity.score(docs.limit(0), model).count() == 0
+
+
+TEXT = st.text(alphabet=st.sampled_from(list("ab\\\n<>[]|/!n_sINST") + ["é", "😀"]), max_size=30) | st.sampled_from([*chat.CONTROL, "</s>[INST] ok [/INST]", "\\", "<\\/s>"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "system", "tool\n", "<|im_end|>", "\\n!"]), TEXT), max_size=5))
+def test_chat_template_is_reversible(turns):
+    out = "".join(chat.format_turn(r, t)[0] for r, t in turns)
+    back = [(chat._unescape_role(m[1]), chat.unescape(m[2])) for m in chat._TURN.finditer(out)]
+    assert back == turns
+    for _, t in turns:
+        assert not any(c in chat.escape(t) for c in chat.CONTROL)
+
+
+def test_chat_layouts_give_the_same_turns(spark):
+    import json
+
+    records = [
+        {"id": 1, "messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]}, {"id": 2, "conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]},
+        {"id": 3, "instruction": "q", "output": "a"}, {"id": 4, "prompt": "q", "response": "a"}, {"id": 5, "question": "q", "answer": "a"}, {"id": 6, "prompt": "q", "completion": "a", "extra": {"deep": [1]}},
+    ]
+    df = spark.createDataFrame([(json.dumps(r),) for r in [*records, {"id": 7, "odd": 1}]] + [(None,), ("not json",)], "record string")
+    turns = chat.canonical_turns(df)
+    got = {}
+    for r in turns.where("layout != 'unmapped'").orderBy("conv_id", "turn").collect():
+        got.setdefault(r.conv_id, []).append((r.role, r.text))
+    assert got == {i: [("user", "q"), ("assistant", "a")] for i in range(1, 7)}
+    assert turns.where("layout = 'unmapped'").count() == 3
+    back = chat.read_back(chat.format_turns(turns)).collect()
+    assert len(back) == 6 and {r.loss_chars for r in back} == {1} and {r.n_turns for r in back} == {2}
+
+
+def test_chat_over_all_conversations(spark, sf_dir):
+    from driftwell.llm.queries import OP6_EXTRA, op6_chat
+
+    want = {}
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()] + [(-1, 0, "user", OP6_EXTRA), (-1, 1, "assistant", OP6_EXTRA)]
+    for conv, _, role, text in sorted(rows, key=lambda r: r[:2]):
+        want.setdefault(conv, []).append((role, text or ""))
+    got = {r.conv_id: r for r in op6_chat(spark, sf_dir).collect()}
+    assert got.keys() == want.keys()
+    for conv, turns in want.items():
+        said = "".join(t for r, t in turns if r == "assistant")
+        assert got[conv].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+        assert (got[conv].n_turns, got[conv].loss_chars, got[conv].loss_sha256) == (len(turns), len(said), hashlib.sha256(said.encode()).hexdigest())
+
+
+def test_chat_over_odd_rows(spark):
+    turns = spark.createDataFrame([(1, None, None, None, 1), (1, 1, "assistant", "x", 1), (1, 1, "assistant", "x", 1), (None, 0, "user", "y", 1)], "conv_id long, turn long, role string, text string, part long")
+    got = {r.conv_id: r for r in chat.read_back(chat.format_turns(turns)).collect()}
+    assert got[1].n_turns == 3 and got[1].loss_chars == 2 and got[None].n_turns == 1
+    assert chat.read_back(chat.format_turns(turns.limit(0))).count() == 0
+
+
+def test_url_list_boundaries(spark):
+    e = spark.createDataFrame(
+        [("bad.com", "ads", "2024-01-10", "add"), ("bad.com", "ads", "2024-02-01", "remove"), ("sub.bad.com/x", "spam", "2024-01-01", "add"), (None, "ads", "2024-01-01", "add"), ("twice.com", "a", "2024-01-01", "add"), ("twice.com", "a", "2024-01-01", "remove")],
+        "key string, category string, dated string, action string",
+    ).withColumn("dated", F.to_date("dated"))
+    c = spark.createDataFrame(
+        [(1, "http://bad.com/", "2024-01-09"), (2, "https://u:p@Sub.BAD.com.:80/x/y?q", "2024-01-10"), (3, "http://bad.com", "2024-01-31"), (4, "http://bad.com", "2024-02-01"), (5, None, "2024-01-15"), (6, "http://notbad.com/", "2024-01-15"), (7, "http://bad.com", None), (8, "junk", "2024-01-15"), (9, "http://twice.com", "2024-01-15"), (3, "http://bad.com", "2024-01-31")],
+        "page_id long, url string, fetched string",
+    ).withColumn("fetched", F.to_date("fetched")).withColumn("key", F.lit("clash"))
+    got = {r.page_id: (r.listed, r.n_active, r.categories, r.key) for r in urls.evaluate(c, e).collect()}
+    none = (False, 0, "", None)
+    assert got == {1: none, 2: (True, 2, "ads,spam", "sub.bad.com/x"), 3: (True, 1, "ads", "bad.com"), 4: none, 5: none, 6: none, 7: none, 8: none, 9: none}
+    assert urls.evaluate(c.limit(0), e).count() == 0 and urls.evaluate(c, e.limit(0)).where("listed").count() == 0
