@@ -40,7 +40,9 @@ class EventStore:
 
     def _read(self, name: str, schema, below: int | None = None) -> DataFrame:
         found = [f"{self.root}/{name}/batch={b}" for b, m in sorted(self.published().items()) if (below is None or b < below) and m["inserted"]]
-        return self.spark.read.schema(schema).parquet(*found) if found else self.spark.createDataFrame([], schema)
+        if not found:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}").parquet(*found).select(*schema.fieldNames())
 
     def receipts(self, below: int | None = None) -> DataFrame:
         return self._read("receipts", RECEIPTS, below)
