@@ -8,27 +8,61 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import uuid_from_index
 
+#: Rows of a running count that are broadcast at most.
+SLICES = 1_000_000
+
 
 def first_per_id(events: DataFrame, id_col: str, order: list[str]) -> DataFrame:
-    """The first row of each identifier (values compare in any case) by the given order."""
-    w = W.partitionBy(F.lower(id_col)).orderBy(*order)
-    return events.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    """The first row of each identifier (values compare in any case) by the given order.
+
+    An aggregation, not a window: rows are combined before the shuffle, so an identifier with very many copies stays small.
+    """
+    one = events.groupBy(F.lower(id_col)).agg(F.min_by(F.struct(*events.columns), F.struct(*order)).alias("_first"))
+    return one.select("_first.*")
+
+
+def numbered(df: DataFrame, order: list[str], slice_of: Column, by: list[str] | None = None, name: str = "seq") -> DataFrame:
+    """Adds numbers from 0 in the given order (within `by`) without sorting everything in one task.
+
+    slice_of must not decrease along the order (a day, say): rows are numbered inside slices, slices by a running count. There
+    is one row per slice in that count, which is broadcast if there are at most SLICES of them.
+    """
+    by = by or []
+    rows = df.withColumn("_slice", slice_of).withColumn("_n", F.row_number().over(W.partitionBy(*by, "_slice").orderBy(*order)))
+    sizes = rows.groupBy(*by, "_slice").agg(F.count("*").alias("_size"))
+    run = W.partitionBy(*(by or [F.lit(0)])).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    before = sizes.select(*by, "_slice", F.coalesce(F.sum("_size").over(run), F.lit(0)).alias("_before"))
+    before = F.broadcast(before) if before.limit(SLICES + 1).count() <= SLICES else before
+    return rows.join(before, [*by, "_slice"]).withColumn(name, (F.col("_before") + F.col("_n") - 1).cast("long")).drop("_slice", "_n", "_before")
 
 
 def next_offsets(records: DataFrame) -> DataFrame:
     return records.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"), F.count("*").alias("records"))
 
 
-def offset_gaps(records: DataFrame) -> DataFrame:
-    """Rows whose offset doesn't follow the one before in their partition."""
-    w = W.partitionBy("topic", "partition").orderBy("offset")
-    return records.select("topic", "partition", "offset").withColumn("expected", F.lag("offset").over(w) + 1).where("offset <> expected")
+def offset_gaps(records: DataFrame, slice_size: int = 1_000_000) -> DataFrame:
+    """Rows whose offset doesn't follow the one before in their partition, found per slice of offsets and between slices."""
+    key = ["topic", "partition"]
+    rows = records.select(*key, "offset").withColumn("_slice", F.floor(F.col("offset") / slice_size))
+    inside = rows.withColumn("expected", F.lag("offset").over(W.partitionBy(*key, "_slice").orderBy("offset")) + 1)
+    ends = rows.groupBy(*key, "_slice").agg(F.min("offset").alias("offset"), F.max("offset").alias("_last"))
+    between = ends.withColumn("expected", F.lag("_last").over(W.partitionBy(*key).orderBy("_slice")) + 1)
+    return inside.select(*key, "offset", "expected").unionByName(between.select(*key, "offset", "expected")).where("offset <> expected")
 
 
-def batches(records: DataFrame, order: list[str], cap: int = 500) -> DataFrame:
-    """Adds `batch`: rows in the given order in groups of at most `cap` per partition of the log."""
-    w = W.partitionBy("topic", "partition").orderBy(*order)
-    return records.withColumn("batch", F.floor((F.row_number().over(w) - 1) / cap))
+def batches(records: DataFrame, cap: int = 500) -> DataFrame:
+    """Adds `batch`: a partition's rows by offset in groups of at most `cap`, counted from its first row.
+
+    Without gaps the offset itself says which; only partitions with gaps need their rows numbered.
+    """
+    key = ["topic", "partition"]
+    low = records.groupBy(*key).agg(F.min("offset").alias("_low"), (F.max("offset") - F.min("offset") + 1 == F.count("*")).alias("_dense"))
+    rows = records.join(F.broadcast(low), key)  # a row per log partition
+    dense = rows.where("_dense").withColumn("batch", F.floor((F.col("offset") - F.col("_low")) / cap))
+    if low.where("NOT _dense").isEmpty():
+        return dense.drop("_low", "_dense")
+    gappy = numbered(rows.where("NOT _dense"), ["offset"], F.floor(F.col("offset") / 1_000_000), key, "_seq")
+    return dense.unionByName(gappy.withColumn("batch", F.floor(F.col("_seq") / cap)).drop("_seq")).drop("_low", "_dense")
 
 
 def offset_base(kind: Column, value: Column, low: Column, high: Column) -> Column:

@@ -92,7 +92,6 @@ def ewma_scores_ttl(spark, sf_dir):
 @query(f"WITH RECURSIVE {scores_sql(None, 100, True)} SELECT service_name, route, m AS mean_us, v AS variance, n AS observations FROM s QUALIFY row_number() OVER (PARTITION BY service_name, route ORDER BY n DESC) = 1")
 def ewma_final_baseline(spark, sf_dir):
     t = _events(spark, sf_dir, True)
-    # the state after the last row, from the state before it: one aggregation behind the scan, no second scan
     out = detector.final_baselines(t, tie=("id",))
     return out.select("service_name", "route", "mean_us", F.round("variance", 3).alias("variance"), "observations")
 
@@ -118,17 +117,8 @@ d AS (SELECT p.seq, count(DISTINCT o.key) AS others FROM p JOIN q o ON o.seq > p
 SELECT p.seq, p.key, p.previous, coalesce(p.previous IS NOT NULL AND p.gap < 86400000 AND coalesce(d.others, 0) < 10, false) AS resident FROM p LEFT JOIN d ON p.seq = d.seq""")
 def lru_residency(spark, sf_dir):
     t = _events(spark, sf_dir).select("id", "event_us", "clock", F.concat("service_name", "route").alias("key"))
-    # events are numbered in time order already; number them without gaps by rank inside time slices
-    return residency.residency(_numbered(t, ["event_us", "id"]), "key", "clock", "seq", 86_400_000, 10).select("seq", "key", "previous", F.coalesce("resident", F.lit(False)).alias("resident"))
-
-
-def _numbered(df: DataFrame, order: list[str]) -> DataFrame:
-    """seq from 0 in the given order, without a single-partition sort: rows are numbered inside days, days by a running count."""
-    day = F.floor(F.col(order[0]) / 86_400_000_000)
-    rows = df.withColumn("_day", day).withColumn("_n", F.row_number().over(W.partitionBy("_day").orderBy(*order)))
-    days = rows.groupBy("_day").agg(F.count("*").alias("_c"))
-    before = days.alias("a").join(days.select(F.col("_day").alias("_e"), F.col("_c").alias("_b")), F.col("_e") < F.col("_day"), "left").groupBy("_day").agg(F.coalesce(F.sum("_b"), F.lit(0)).alias("_before"))
-    return rows.join(F.broadcast(before), "_day").withColumn("seq", F.col("_before") + F.col("_n") - 1).drop("_day", "_n", "_before")  # a row per day
+    days = F.floor(F.col("event_us") / 86_400_000_000)
+    return residency.residency(reconcile.numbered(t, ["event_us", "id"], days), "key", "clock", "seq", 86_400_000, 10).select("seq", "key", "previous", F.coalesce("resident", F.lit(False)).alias("resident"))
 
 
 # Faults are injected by id % 17, so that every rule fires somewhere.
@@ -265,7 +255,7 @@ def offset_gaps(spark, sf_dir):
 
 @query(f"WITH {T_SQL}, {OFFSET_SQL}, b AS (SELECT partition, (row_number() OVER (PARTITION BY partition ORDER BY \"offset\") - 1) // 500 AS batch, \"offset\" FROM o) SELECT partition, batch, count(*) AS records, max(\"offset\") + 1 AS commit_offset FROM b GROUP BY ALL")
 def micro_batches(spark, sf_dir):
-    b = reconcile.batches(with_offsets(_events(spark, sf_dir)), ["offset"])
+    b = reconcile.batches(with_offsets(_events(spark, sf_dir)))
     return b.groupBy("partition", "batch").agg(F.count("*").alias("records"), (F.max("offset") + 1).alias("commit_offset"))
 
 

@@ -30,7 +30,7 @@ def telemetry(events: DataFrame, coarse: bool = False) -> DataFrame:
 
 def with_offsets(t: DataFrame) -> DataFrame:
     """Adds topic and offset: the row's number inside its log partition by time."""
-    from pyspark.sql import Window as W
+    from ..operators.reconcile import numbered
 
-    order = W.partitionBy("partition").orderBy("event_us", "id")
-    return t.withColumn("topic", F.lit("telemetry.raw")).withColumn("offset", (F.row_number().over(order) - 1).cast("long"))
+    out = numbered(t, ["event_us", "id"], F.floor(F.col("event_us") / 86_400_000_000), ["partition"], "offset")
+    return out.withColumn("topic", F.lit("telemetry.raw"))

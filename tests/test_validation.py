@@ -153,3 +153,13 @@ def test_lag_bases(spark):
 def test_502_records_commit_once(spark):
     df = spark.range(502).select(F.lit("t").alias("topic"), (F.col("id") % 2).cast("int").alias("partition"), "id").where("id < 500").withColumnRenamed("id", "offset")
     assert {(r.partition, r.next_offset) for r in reconcile.next_offsets(df).collect()} == {(0, 499), (1, 500)}
+
+
+@pytest.mark.parametrize("gap", [False, True])
+def test_batches_and_gaps(spark, gap):
+    df = spark.range(2500).select(F.lit("t").alias("topic"), (F.col("id") % 2).cast("int").alias("partition"), F.floor(F.col("id") / 2).alias("offset"))
+    df = df.where("NOT (partition = 1 AND offset IN (7, 999))") if gap else df
+    got = {(r.partition, r.batch): r["count"] for r in reconcile.batches(df).groupBy("partition", "batch").count().collect()}
+    assert got == {(0, 0): 500, (0, 1): 500, (0, 2): 250, (1, 0): 500, (1, 1): 500, (1, 2): 248 if gap else 250}
+    gaps = {(r.partition, r.expected, r.offset) for r in reconcile.offset_gaps(df, 100).collect()}
+    assert gaps == ({(1, 7, 8), (1, 999, 1000)} if gap else set())
