@@ -15,23 +15,16 @@ from pyspark.sql.types import StructType
 BROADCAST_ROWS = 1_000_000
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; only where it is unset (tests) a folder under the warehouse."""
-    sc = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(shared)
-    return shared
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; only where that is unset (tests) one under the warehouse."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tables").rstrip("/")
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives executor loss."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], dict]]) -> DataFrame:

@@ -41,12 +41,17 @@ LANDMARKS = 256
 TOPS, SHARP, EMPTY = 8, 4.0, -3.0
 #: Labelled documents per class that fitting reads.
 SAMPLE = 2500
+#: Variants with an inserted letter that a common witness adds to the training set.
+VARIANTS = 3
+#: Weight of a toxic document with disguised insults when the threshold is set.
+DISGUISED = 0.1
 #: Least log odds of a word's n-grams for it to be a first witness.
 EVIDENCE = 1.5
 #: Longer words are scored in windows of this many characters that overlap by half.
 WINDOW = 24
 
 _WORD = re.compile(r"\S+")
+_INNER = re.compile(r"[\W_]+")
 _SINGLES = re.compile(r"(?<!\S)(?:\w[ ]){2,}\w(?!\S)")
 # Characters that are written for letters.
 _LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "i"}
@@ -78,9 +83,10 @@ class _Symbols(dict):
 
 
 def words_of(text: str) -> set[str]:
-    """The text's distinct words, lower-cased, outer punctuation stripped; spelled-out runs of single letters joined as well."""
+    """The text's distinct words, lower-cased, outer punctuation stripped; also without inner punctuation, and spelled-out runs of single letters joined."""
     low = text.lower()
     out = {w.strip(".,;:!?()[]{}\"'*&%$#|<>-_/\\") for w in low.split()}
+    out.update([_INNER.sub("", w) for w in out if not w.isalnum()])
     if _SINGLES.search(low):
         out.update(m[0].replace(" ", "") for m in _SINGLES.finditer(low))
     out.discard("")
@@ -201,11 +207,11 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 3.0, steps
     return w[:-1], float(w[-1])
 
 
-def _platt(d: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Scale and shift of the decisions; classes weigh alike, as the sample's balance isn't the corpus's."""
+def _platt(d: np.ndarray, y: np.ndarray, own: np.ndarray) -> tuple[float, float]:
+    """Scale and shift of the decisions, rows weighing `own`; classes weigh alike, as the sample's balance isn't the corpus's."""
     n1, n0 = y.sum(), len(y) - y.sum()
     t = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    w = np.where(y > 0, len(y) / (2 * max(n1, 1)), len(y) / (2 * max(n0, 1)))
+    w = own * np.where(y > 0, len(y) / (2 * max(n1, 1)), len(y) / (2 * max(n0, 1)))
     x1 = np.stack([d, np.ones(len(d))], 1)
     ridge = np.diag([0.05, 1e-6])
     b = np.zeros(2)
@@ -246,6 +252,10 @@ def fit_texts(texts: list[str], labels: list[int], rounds: int = 3, seed: int =
     # documents of each class by character n-gram
     grams = ({}, {})
 
+    def disguise(w: str) -> str:
+        at = int(rng.integers(1, len(w)))
+        return w[:at] + "abcdefghijklmnopqrstuvwxyz"[rng.integers(26)] + w[at:]
+
     def grams_of(w: str) -> set[str]:
         w = f"^{w[:64]}$"
         return {w[i : i + k] for k in (4, 5, 6) for i in range(len(w) - k + 1)} or {w}
@@ -285,8 +295,10 @@ def fit_texts(texts: list[str], labels: list[int], rounds: int = 3, seed: int =
         negative = [w for w in negative if w not in witness]
         if not negative:
             return prior
-        pos, neg = [kernel.pieces(w)[0] for w in positive], [kernel.pieces(w)[0] for w in negative]
-        marks = list(dict.fromkeys(pos[: LANDMARKS // 2] + neg[: LANDMARKS // 4] + [neg[i] for i in rng.permutation(len(neg))[:LANDMARKS]]))[:LANDMARKS]
+        # the commoner witnesses once more with a letter put in, which is how they are disguised
+        disguised = [disguise(w) for w in positive if witness[w] >= 3 and len(w) > 3 for _ in range(VARIANTS)]
+        pos, neg = [kernel.pieces(w)[0] for w in positive + disguised], [kernel.pieces(w)[0] for w in negative]
+        marks = list(dict.fromkeys(pos[: min(len(positive), LANDMARKS // 2)] + neg[: LANDMARKS // 4] + [neg[i] for i in rng.permutation(len(neg))[:LANDMARKS]]))[:LANDMARKS]
         feats = _features(marks, kernel)
         codes = sorted({c for f in feats for c in f})
         compact = np.zeros(_TABLE + 1, np.int32)
@@ -301,7 +313,7 @@ def fit_texts(texts: list[str], labels: list[int], rounds: int = 3, seed: int =
         whiten = vector[:, good] / np.sqrt(value[good])
         k = _gram(pos + neg, compact, table, kernel) @ whiten
         target = np.array([1.0] * len(pos) + [-1.0] * len(neg))
-        weight = np.array([min(witness[w], 20) ** 0.5 for w in positive] + [1.0] * len(neg))
+        weight = np.array([min(witness[w], 20) ** 0.5 for w in positive] + [1.0] * (len(disguised) + len(neg)))
         w, bias = _svm(k, target, weight)
         folded = np.zeros(_TABLE + 1)
         folded[codes] = table[1:].astype(np.float64) @ (whiten @ w)
@@ -313,9 +325,13 @@ def fit_texts(texts: list[str], labels: list[int], rounds: int = 3, seed: int =
             decided.update(zip(some, model.decide(some, kernel).tolist(), strict=True))
         score = decided.__getitem__
         hard = sorted(vocabulary, key=lambda w: -decided[w])[:3000]
-    top = _tops([bags[i] for i in np.flatnonzero(held)], model, kernel)
-    if (y[held] == 1).any() and (y[held] == 0).any():
-        model.scale, model.shift = _platt(top, y[held])
+    bags, y = [bags[i] for i in np.flatnonzero(held)], y[held]
+    if y.any() and not y.all():
+        # toxic documents count a second time with their insults disguised, so that the threshold leaves room for those
+        cache: dict[str, float] = {}
+        top = _tops(bags, model, kernel, cache)
+        again = [{disguise(w) if len(w) > 3 and cache[w] > 0 else w for w in b} for b, label in zip(bags, y, strict=True) if label]
+        model.scale, model.shift = _platt(np.append(top, _tops(again, model, kernel)), np.append(y, np.ones(len(again), int)), np.append(np.ones(len(y)), np.full(len(again), DISGUISED)))
     if model.scale <= 0:
         return prior
     return model
