@@ -25,6 +25,7 @@ import zlib
 from collections import Counter
 from dataclasses import dataclass
 from heapq import nlargest
+from sys import intern
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -40,7 +41,7 @@ LANDMARKS = 256
 #: A document's largest word decisions count, by a soft maximum of this sharpness; EMPTY stands for a missing word.
 TOPS, SHARP, EMPTY = 8, 4.0, -3.0
 #: Labelled documents per class that fitting reads.
-SAMPLE = 2500
+SAMPLE = 2000
 #: Variants with an inserted letter that a common witness adds to the training set.
 VARIANTS = 3
 #: Weight of a toxic document with disguised insults when the threshold is set.
@@ -193,14 +194,20 @@ def _gram(words: list[str], compact: np.ndarray, table: np.ndarray, kernel: Kern
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 3.0, steps: int = 15) -> tuple[np.ndarray, float]:
     """Squared-hinge linear SVM by Newton steps on the active set."""
-    x1 = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x1.shape[1])
-    ridge = np.eye(len(w))
+    size = x.shape[1] + 1
+    w = np.zeros(size)
+    ridge = np.eye(size)
     ridge[-1, -1] = 1e-3
     for _ in range(steps):
-        on = y * (x1 @ w) < 1
-        a = x1[on] * (c * weight[on])[:, None]
-        new = np.linalg.solve(ridge + a.T @ x1[on], a.T @ y[on])
+        left, right = ridge.copy(), np.zeros(size)
+        for at in range(0, len(x), 2048):
+            part = slice(at, at + 2048)
+            x1 = np.hstack([x[part], np.ones((len(x[part]), 1))])
+            on = y[part] * (x1 @ w) < 1
+            a = x1[on].T * (c * weight[part][on])
+            left += a @ x1[on]
+            right += a @ y[part][on]
+        new = np.linalg.solve(left, right)
         if np.abs(new - w).max() < 1e-7:
             break
         w = new
@@ -241,7 +248,7 @@ def fit_texts(texts: list[str], labels: list[int], rounds: int = 3, seed: int =
     y = np.array(labels, int)
     share = float(y.mean()) if len(y) else 0.0
     prior = Model(None, 0.0, 0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
-    bags = [words_of(t or "") for t in texts]
+    bags = [set(map(intern, words_of(t or ""))) for t in texts]
     once = _once(bags)
     bags, y = [bags[i] for i in once], y[once]
     held = np.arange(len(y)) % 4 == 3  # for Platt scaling
@@ -260,11 +267,15 @@ def fit_texts(texts: list[str], labels: list[int], rounds: int = 3, seed: int =
         w = f"^{w[:64]}$"
         return {w[i : i + k] for k in (4, 5, 6) for i in range(len(w) - k + 1)} or {w}
 
-    for i in np.flatnonzero(~held):
-        own = grams[y[i]]
-        for g in set().union(*map(grams_of, bags[i])) if bags[i] else ():
-            own[g] = own.get(g, 0) + 1
-    odds = {g: (np.log((c + 0.1) / (n1 + 0.2)) - np.log((grams[0].get(g, 0) + 0.5) / (n0 + 1))) * min(1.0, c / 8) for g, c in grams[1].items() if c >= 3}
+    for label in (1, 0):
+        own = grams[label]
+        for i in np.flatnonzero(~held & (y == label)):
+            for g in set().union(*map(grams_of, bags[i])) if bags[i] else ():
+                if label or g in grams[1]:
+                    own[g] = own.get(g, 0) + 1
+        for g in [g for g, c in own.items() if label and c < 3]:  # too rare to tell anything; the others alone are counted in clean documents
+            del own[g]
+    odds = {g: (np.log((c + 0.1) / (n1 + 0.2)) - np.log((grams[0].get(g, 0) + 0.5) / (n0 + 1))) * min(1.0, c / 8) for g, c in grams[1].items()}
     word_score: dict[str, float] = {}
 
     def seeded(w: str) -> float:
@@ -311,10 +322,11 @@ def fit_texts(texts: list[str], labels: list[int], rounds: int = 3, seed: int =
         value, vector = np.linalg.eigh((gram + gram.T) / 2)
         good = value > 1e-6 * value.max()
         whiten = vector[:, good] / np.sqrt(value[good])
-        k = _gram(pos + neg, compact, table, kernel) @ whiten
+        k = _gram(pos + neg, compact, table, kernel) @ whiten.astype(np.float32)
         target = np.array([1.0] * len(pos) + [-1.0] * len(neg))
         weight = np.array([min(witness[w], 20) ** 0.5 for w in positive] + [1.0] * (len(disguised) + len(neg)))
         w, bias = _svm(k, target, weight)
+        del k
         folded = np.zeros(_TABLE + 1)
         folded[codes] = table[1:].astype(np.float64) @ (whiten @ w)
         model = Model(folded.astype(np.float32), bias, 1.0, 0.0)
