@@ -334,10 +334,10 @@ def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str =
     found = link(docs, shingle, percent, id_col, text_col)
     found = table(found, "found")
     losers = found.where("doc_id IS NOT NULL AND NOT kept").select(F.col("doc_id").alias("_lost")).distinct()
-    out = docs.join(checked_broadcast(losers), docs[id_col].cast("long") == F.col("_lost"), "left_anti")
+    out = docs.join(checked_broadcast(losers), docs[id_col].cast("long") == losers["_lost"], "left_anti")
     repeated = found.where("kept").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_lost"))
     if repeated.isEmpty():
         return out
     again = checked_broadcast(repeated)
-    once = out.join(again, out[id_col].cast("long") == F.col("_lost"), "left_semi").dropDuplicates([id_col])
-    return out.join(again, out[id_col].cast("long") == F.col("_lost"), "left_anti").unionByName(once)
+    once = out.join(again, out[id_col].cast("long") == repeated["_lost"], "left_semi").dropDuplicates([id_col])
+    return out.join(again, out[id_col].cast("long") == repeated["_lost"], "left_anti").unionByName(once)

@@ -83,6 +83,8 @@ def test_near_duplicates_over_odd_rows(spark):
     got = neardup.link(docs, 3, 85).collect()
     assert len(got) == 7 and {r.component_id for r in got if r.doc_id in (7, 8)} == {7}
     one = neardup.keep_one(docs, 3, 85)
+    clash = neardup.keep_one(docs.selectExpr("*", "doc_id AS _lost", "false AS kept"), 3, 85)
+    assert sorted(r.doc_id or 0 for r in clash.collect()) == sorted(r.doc_id or 0 for r in one.collect())
     assert one.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text or "") for r in one.collect()) in ([(0, ""), (0, "a b c d"), (7, "a b c d"), (9, "")], [(0, ""), (0, "a b c d"), (7, "a b c d"), (9, "q r s t")], [(0, ""), (0, "a b c d"), (7, "a b c d"), (9, ""), (9, "q r s t")])
     assert neardup.link(docs.limit(0), 3, 85).count() == 0 and neardup.keep_one(docs.limit(0)).count() == 0
