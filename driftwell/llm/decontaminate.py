@@ -3,20 +3,22 @@
 Words of benchmark items and training documents are numbered. A spaced seed is a fixed mask over SPAN consecutive words that
 looks at some positions and ignores the others, so a hit survives substitutions at ignored positions. Hashes of all masks at all
 positions of the benchmark form a small lookup; every document's hashes are looked up in it, and each hit is verified: the two
-texts are aligned at the hit and extended both ways while substitutions stay rare. A document is contaminated when a
-verified overlap has MIN_WORDS words, or covers a benchmark item that is shorter whole.
+texts are aligned at the hit and the longest stretch of the whole alignment is taken that runs from an agreeing word to an agreeing
+word with a share of AGREE agreeing. A document is contaminated when such an overlap has MIN_WORDS words, or covers a benchmark item
+that is shorter whole.
 
 The benchmark goes to every task; its size is checked against MAX_BENCHMARK_CHARS, beyond which it is read in slices, each
 of them within the bound. Documents are never shuffled. A document reports each item once, however many hits it has.
 
-Defined results: null or empty texts are clean; items without words match nothing; texts are read whole; hits that a verified
-overlap on the same alignment covers are not verified again; other columns are ignored or passed through (`drop`).
+Defined results: null or empty texts are clean; items without words match nothing; texts are read whole; an alignment
+is searched once, however many hits it has; other columns are ignored or passed through (`drop`).
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -29,8 +31,7 @@ MASKS = ("110100110101", "101101001011", "111010010110")
 SPAN = 12
 #: Shortest verified overlap in words, and the share of its words that have to agree.
 MIN_WORDS, AGREE = 13, 0.8
-#: Substitutions in a row, or in ten words, that end an extension.
-GAP = 3
+_NUM, _DEN = Fraction(str(AGREE)).as_integer_ratio()
 MAX_BENCHMARK_CHARS = 64_000_000
 
 _WORD = re.compile(r"[^\W_]+")
@@ -88,7 +89,7 @@ class Index:
         get = self.number.get
         words = np.fromiter((get(x, 0) for x in _WORD.findall(text.lower())), np.int64)
         found: dict[int, tuple] = {}
-        done: dict[tuple[int, int], int] = {}  # alignment -> end of what is verified on it
+        done: set[tuple[int, int]] = set()  # alignments that are searched
         known = words > 0
         if len(words) >= SPAN:
             dense = np.convolve(known, np.ones(SPAN, np.int64), "valid") >= 6  # a hit needs that many known words
@@ -106,14 +107,13 @@ class Index:
                             hits.append((p, int(at[b, 0]), int(at[b, 1])))
                             b += 1
                 for p, i, q in sorted(hits):
-                    if p < done.get((i, p - q), -1):
+                    if (i, p - q) in done:
                         continue
-                    a, b, same = self._extend(words, self.items[i][1], p, q)
-                    done[i, p - q] = b
-                    item = self.items[i][1]
-                    need = min(MIN_WORDS, len(item))
-                    if b - a >= need and same >= AGREE * (b - a) and (i not in found or b - a > found[i][3]):
-                        found[i] = (self.items[i][0], a, a - (p - q), b - a, same)
+                    done.add((i, p - q))
+                    key, item = self.items[i]
+                    a, n, same = self._longest(words, item, p - q)
+                    if n >= min(MIN_WORDS, len(item)) and (i not in found or n > found[i][3]):
+                        found[i] = (key, a, a - (p - q), n, same)
         if self.short:
             for p in np.flatnonzero(np.isin(words, list(self.short))).tolist():
                 for i in self.short[int(words[p])]:
@@ -123,30 +123,18 @@ class Index:
         return [found[i] for i in sorted(found)]
 
     @staticmethod
-    def _extend(doc: np.ndarray, item: np.ndarray, p: int, q: int) -> tuple[int, int, int]:
-        """The overlap around the hit on its alignment: from an agreeing word to an agreeing word."""
-        shift = p - q
+    def _longest(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]:
+        """The alignment's longest stretch between agreeing words with a share of AGREE agreeing: (first word, words, words that agree)."""
         lo, hi = max(0, shift), min(len(doc), shift + len(item))
-        same = doc[lo:hi] == item[lo - shift : hi - shift]
-
-        def run(step: int, start: int, stop: int) -> int:
-            last, miss, recent = start, 0, []
-            at = start
-            while at != stop:
-                ok = bool(same[at - lo])
-                recent = [*recent[-9:], ok]
-                miss = 0 if ok else miss + 1
-                if miss > GAP or recent.count(False) > 4:
-                    break
-                if ok:
-                    last = at
-                at += step
-            return last
-
-        first = p if same[p - lo] else p + int(np.argmax(same[p - lo : p - lo + SPAN]))
-        b = run(1, first, hi) + 1
-        a = run(-1, first, lo - 1)
-        return a, b, int(same[a - lo : b - lo].sum())
+        at = lo + np.flatnonzero(doc[lo:hi] == item[lo - shift : hi - shift])
+        if not len(at):
+            return lo, 0, 0
+        # from the x-th to the y-th agreeing word the share is enough when level[x] <= level[y] + _DEN - _NUM
+        level = _DEN * np.arange(len(at)) - _NUM * at
+        first = np.searchsorted(-np.minimum.accumulate(level), -(level + _DEN - _NUM))
+        words = at - at[first] + 1
+        y = int(np.argmax(words))
+        return int(at[first[y]]), int(words[y]), y - int(first[y]) + 1
 
 
 def _slices(benchmark: DataFrame, item_col: str, text_col: str) -> list[list[tuple[int, str]]]:

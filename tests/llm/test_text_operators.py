@@ -184,6 +184,21 @@ def test_decontamination_finds_what_brute_force_finds(spark, sf_dir):
     assert want and want <= got and len(got - want) <= 2
 
 
+def test_decontamination_finds_overlaps_inside_looser_passages():
+    rng = random.Random(7)
+    w = [f"b{i}" for i in range(60)]
+    index = decontaminate.Index([(1, " ".join(w))])
+    swap = lambda keep: " ".join(x if k in keep else f"z{k}" for k, x in enumerate(w))
+    # 20 words as they are inside a passage with every second word replaced; 13 words with a chance match 4 words off on each side
+    assert index.overlaps(swap({*range(20, 40), *range(0, 60, 2)}))[0][3] >= 20
+    assert index.overlaps(swap({*range(20, 33), 16, 36}))[0][3] >= 13
+    for _ in range(300):  # 20 % of the words replaced; wherever a verbatim run leaves a seed, the best stretch is found
+        same = [rng.random() >= 0.2 for _ in w]
+        best = max((b - a for a in range(60) for b in range(a + 13, 61) if same[a] and same[b - 1] and 5 * sum(same[a:b]) >= 4 * (b - a)), default=0)
+        if best and "1" * decontaminate.SPAN in "".join("01"[x] for x in same):
+            assert [o[3] for o in index.overlaps(swap({k for k, x in enumerate(same) if x}))] == [best]
+
+
 def test_toxicity_on_held_out_rows(spark):
     d = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
