@@ -1,8 +1,9 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Words of benchmark items and training documents are numbered. A spaced seed is a fixed mask over SPAN consecutive words that
-looks at some positions and ignores the others, so a hit survives substitutions at ignored positions. Hashes of all masks at all
-positions of the benchmark form a small lookup; every document's hashes are looked up in it, and each hit is verified: the two
+Words of benchmark items and training documents are numbered. A spaced seed is a fixed mask over consecutive words that
+looks at some positions and ignores the others, so a hit survives substitutions at ignored positions. The masks are chosen so that every
+overlap of MIN_WORDS words or more with a share of AGREE agreeing, wherever its substitutions are, keeps a seed (the tests enumerate
+it). Hashes of all masks at all positions of the benchmark form a small lookup; every document's hashes are looked up in it, and each hit is verified: the two
 texts are aligned at the hit and the longest stretch of the whole alignment is taken that runs from an agreeing word to an agreeing
 word with a share of AGREE agreeing. A document is contaminated when such an overlap has MIN_WORDS words, or covers a benchmark item
 that is shorter whole.
@@ -26,8 +27,10 @@ from pyspark.sql import functions as F
 
 from .common import filter_batches, map_batches
 
-#: Masks over 12 words; 1 looks at a position, 0 ignores it. No single or double substitution hits them all everywhere.
-MASKS = ("110100110101", "101101001011", "111010010110")
+#: Masks; 1 looks at a position, 0 ignores it. No 2 substitutions in 13 words, 3 in 15, 4 in 20 or 5 in 25 hit them all at
+#: every offset, nor 2 inside 12 words; longer overlaps can be cut into pieces of 13 to 25 words, one of which has its share.
+MASKS = ("1110111", "11010001011", "110101101")
+#: Items of fewer words are looked for whole.
 SPAN = 12
 #: Shortest verified overlap in words, and the share of its words that have to agree.
 MIN_WORDS, AGREE = 13, 0.8
@@ -44,17 +47,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
-def seeds(words: np.ndarray, mask: str) -> np.ndarray:
-    """The mask's hash at every position; words are numbers, 0 stands for a word that the benchmark doesn't have."""
-    n = len(words) - SPAN + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    h = np.full(n, len(mask.rstrip("0")), np.uint64)
+def seeds(words: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
+    """(positions where all words that the mask looks at are known, the mask's hashes there); words are numbers, 0 stands for a word
+    that the benchmark doesn't have."""
+    n = max(len(words) - len(mask) + 1, 0)
+    looked = [k for k, bit in enumerate(mask) if bit == "1"]
+    known = words > 0
+    where = np.flatnonzero(np.logical_and.reduce([known[k : k + n] for k in looked]))
+    h = np.full(len(where), len(mask), np.uint64)
     with np.errstate(over="ignore"):
-        for k, bit in enumerate(mask):
-            if bit == "1":
-                h = _mix(h * _MULT + words[k : k + n].astype(np.uint64) + np.uint64(1))
-    return h
+        for k in looked:
+            h = _mix(h * _MULT + words[where + k].astype(np.uint64) + np.uint64(1))
+    return where, h
 
 
 class Index:
@@ -71,9 +75,9 @@ class Index:
         for mask in MASKS:
             hs, at = [], []
             for i, (_, w) in enumerate(self.items):
-                h = seeds(w, mask)
+                where, h = seeds(w if len(w) >= SPAN else w[:0], mask)
                 hs.append(h)
-                at += [(i, p) for p in range(len(h))]
+                at += [(i, p) for p in where.tolist()]
             h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
             order = np.argsort(h, kind="stable")
             self.tables.append((h[order], np.array(at, np.int64).reshape(-1, 2)[order]))
@@ -90,30 +94,25 @@ class Index:
         words = np.fromiter((get(x, 0) for x in _WORD.findall(text.lower())), np.int64)
         found: dict[int, tuple] = {}
         done: set[tuple[int, int]] = set()  # alignments that are searched
-        known = words > 0
-        if len(words) >= SPAN:
-            dense = np.convolve(known, np.ones(SPAN, np.int64), "valid") >= 6  # a hit needs that many known words
-            if dense.any():
-                hits = []
-                for mask, (table, at) in zip(MASKS, self.tables, strict=True):
-                    where = np.flatnonzero(dense)
-                    h = seeds(words, mask)[where]
-                    lo = np.searchsorted(table, h, "left")
-                    ok = lo < len(table)
-                    ok[ok] = table[lo[ok]] == h[ok]
-                    for p, a in zip(where[ok].tolist(), lo[ok].tolist(), strict=True):
-                        b = a
-                        while b < len(table) and table[b] == table[a]:
-                            hits.append((p, int(at[b, 0]), int(at[b, 1])))
-                            b += 1
-                for p, i, q in sorted(hits):
-                    if (i, p - q) in done:
-                        continue
-                    done.add((i, p - q))
-                    key, item = self.items[i]
-                    a, n, same = self._longest(words, item, p - q)
-                    if n >= min(MIN_WORDS, len(item)) and (i not in found or n > found[i][3]):
-                        found[i] = (key, a, a - (p - q), n, same)
+        hits = []
+        for mask, (table, at) in zip(MASKS, self.tables, strict=True):
+            where, h = seeds(words, mask)
+            lo = np.searchsorted(table, h, "left")
+            ok = lo < len(table)
+            ok[ok] = table[lo[ok]] == h[ok]
+            for p, a in zip(where[ok].tolist(), lo[ok].tolist(), strict=True):
+                b = a
+                while b < len(table) and table[b] == table[a]:
+                    hits.append((p, int(at[b, 0]), int(at[b, 1])))
+                    b += 1
+        for p, i, q in sorted(hits):
+            if (i, p - q) in done:
+                continue
+            done.add((i, p - q))
+            key, item = self.items[i]
+            a, n, same = self._longest(words, item, p - q)
+            if n >= min(MIN_WORDS, len(item)) and (i not in found or n > found[i][3]):
+                found[i] = (key, a, a - (p - q), n, same)
         if self.short:
             for p in np.flatnonzero(np.isin(words, list(self.short))).tolist():
                 for i in self.short[int(words[p])]:

@@ -1,6 +1,7 @@
 """Operators on single texts, against plain readings of their contracts."""
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -199,6 +200,20 @@ def test_decontamination_finds_overlaps_inside_looser_passages():
             assert [o[3] for o in index.overlaps(swap({k for k, x in enumerate(same) if x}))] == [best]
 
 
+def test_every_admitted_overlap_keeps_a_seed():
+    # n words with k substitutions anywhere; n >= 26 can be cut into pieces of these sizes, one of which has its share; items of 12 words are met whole
+    for n, k, inner in ((13, 2, 0), (14, 2, 0), (15, 3, 0), (20, 4, 0), (25, 5, 0), (12, 2, 1)):
+        assert n == 12 or k == n - -(-n * 4 // 5)
+        looks = [sum(1 << o + i for i, bit in enumerate(m) if bit == "1") for m in decontaminate.MASKS for o in range(n - len(m) + 1)]
+        for at in itertools.combinations(range(inner, n - inner), k):
+            missed = sum(1 << i for i in at)
+            assert any(not look & missed for look in looks), (n, at)
+    w = [f"b{i}" for i in range(13)]
+    index = decontaminate.Index([(1, " ".join(w))])
+    for at in itertools.combinations(range(1, 12), 2):
+        assert index.overlaps("y " * 5 + " ".join("z" if i in at else x for i, x in enumerate(w)) + " y")[0][3] == 13
+
+
 def test_toxicity_on_held_out_rows(spark):
     d = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
