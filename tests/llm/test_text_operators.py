@@ -146,6 +146,53 @@ def test_license_rules_suppress_what_lies_inside():
     assert len(licenses.rules()) > 200
 
 
+def examples(regex):
+    """Texts that match the pattern: every alternative, optional parts with and without, one character of each class."""
+    import re._constants as c
+    import re._parser as parser
+
+    def of(op, value):
+        if op is c.LITERAL:
+            return [chr(value)]
+        if op is c.IN:
+            return ["1" if value[0][1] is c.CATEGORY_DIGIT else "x" if value[0][0] is c.CATEGORY else chr(value[0][1])]
+        if op is c.CATEGORY:
+            return ["1" if value is c.CATEGORY_DIGIT else "x"]
+        if op is c.ANY:
+            return ["x"]
+        if op is c.BRANCH:
+            return [x for part in value[1] for x in whole(part)]
+        if op is c.SUBPATTERN:
+            return whole(value[3])
+        if op in (c.MAX_REPEAT, c.MIN_REPEAT):
+            return ([""] if value[0] == 0 else []) + [x * max(value[0], 1) for x in whole(value[2])]
+        assert op in (c.AT, c.ASSERT, c.ASSERT_NOT), op
+        return [""]
+
+    def whole(parts):
+        out = [""]
+        for op, value in parts:
+            out = [a + b for a in out for b in of(op, value)]
+        return out
+
+    return whole(parser.parse(regex))
+
+
+def test_every_license_rule_fires_on_its_own_example():
+    s = licenses.Scanner()
+    for label, words, regex, priority, _ in licenses.rules():
+        if 150 < priority <= 250:  # notices: one of the ways to say it, before each of the license's names
+            regex = re.compile(rf"(?<!\S)released under (?:{licenses.FAMILIES[250 - priority][2]})(?!\S)")
+        texts = examples(regex.pattern)
+        assert texts
+        for text in texts:
+            if regex.search(text + " "):
+                assert any(w in text for w in words.split("|")), (label, text)
+                assert s.scan(text)[3], (label, text)
+    for text, label in (("released under MIT", "mit"), ("available under the MIT", "mit"), ("WTFPL", "wtfpl"), ("ODbL", "odbl-1.0"), ("original BSD license", "bsd-4-clause"), ("This program is free software; you can redistribute it and/or modify", "gpl"), ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable", "zlib")):
+        assert [f[0] for f in s.scan(text)[3]] == [label]
+
+
 def test_license_over_odd_rows(spark):
     got = licenses.scan(odd_docs(spark)).collect()
     assert len(got) == 7 and max(r.n_base for r in got) == 1
