@@ -3,7 +3,8 @@
 A credential often comes in parts: an access identifier, the secret that belongs to it and the endpoint it opens. Each part
 alone is a weak candidate. Parts become intervals of the text; an interval join inside each scope (a run of lines without a
 blank line, cut where two parts are more than WINDOW characters apart) links complementary parts, and a weak candidate is
-reported only when its complements co-occur: an identifier with a secret, or a secret with an endpoint and an identifier.
+reported only when its complements co-occur: every identifier with a secret near it, every secret with an identifier near it, and every
+endpoint near one of either.
 
 Defined results: null and empty texts have no spans; texts are read whole in near-linear time; repeated rows give repeated
 results; other columns are ignored.
@@ -14,7 +15,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
@@ -32,7 +34,7 @@ _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 
 # Weak parts. Identifiers and endpoints are named or shaped; secrets are opaque strings of high entropy.
 _WEAK_ID = re.compile(r"(?:(?:user(?:name)?|login|client_?id|account|access_?key(?:_?id)?|key_?id)[\"']?[ ]{0,8}[:=][ ]{0,8}[\"']?([A-Za-z0-9@._+-]{3,128}))|\b((?:AKIA|ASIA|AGPA|AROA)[A-Z0-9]{8,})|\b([a-z]{2,6}_(?:live|test|pub)_[A-Za-z0-9]{8,64})", re.I | re.A)
-_WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,256}={0,2}(?![A-Za-z0-9+/_=-])")
+_WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_=-])")
 _ENDPOINT = re.compile(r"\b(?:[a-z][a-z0-9+.-]{1,20}://[^\s\"'<>]{3,512}|(?:host|endpoint|server|region|bucket)[\"']?[ ]{0,8}[:=][ ]{0,8}[\"']?[A-Za-z0-9.-]{3,253})", re.I | re.A)
 _BLANK = re.compile(r"\n[ \t\r]*\n")
 
@@ -67,21 +69,18 @@ def _parts(text: str, base: list[tuple[int, int, str]]) -> tuple[list, list, lis
     return sorted(ids), sorted(set(secrets) - own), sorted(ends)
 
 
-def _near(part: tuple[int, int], others: list[tuple[int, int]], scopes: list[int]) -> tuple[int, int] | None:
-    """The closest interval of others within WINDOW characters and in the same scope that doesn't overlap part."""
-    scope, best, gap = bisect_left(scopes, part[0]), None, WINDOW + 1
-    at = bisect_left(others, part)
-    for step, i in ((1, at), (-1, at - 1)):
-        while 0 <= i < len(others):
-            a, b = others[i]
-            far = a - part[1] if a >= part[1] else part[0] - b
-            if far >= gap and (step > 0 or part[0] - a > WINDOW + 600):
-                break
-            if 0 <= far < gap and bisect_left(scopes, a) == scope:
-                best, gap = others[i], far
-                break
-            i += step
-    return best
+class _Places:
+    """Disjoint or overlapping intervals, none of which holds a line break, for the question whether one of them is near a part."""
+
+    def __init__(self, parts: Iterable[tuple[int, int]], scopes: list[int]):
+        self.starts, self.ends, self.scopes = sorted(a for a, _ in parts), sorted(b for _, b in parts), scopes
+
+    def near(self, part: tuple[int, int]) -> bool:
+        """Whether an interval that doesn't overlap part lies within WINDOW characters in its scope: the next one on either side decides."""
+        scope = bisect_left(self.scopes, part[0])
+        i, j = bisect_left(self.starts, part[1]), bisect_right(self.ends, part[0]) - 1
+        after = i < len(self.starts) and self.starts[i] - part[1] <= WINDOW and bisect_left(self.scopes, self.starts[i]) == scope
+        return after or (j >= 0 and part[0] - self.ends[j] <= WINDOW and bisect_left(self.scopes, self.ends[j]) == scope)
 
 
 def link(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
@@ -90,14 +89,11 @@ def link(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, st
     if not ids or not secrets:
         return []
     scopes = [m.start() for m in _BLANK.finditer(text)]
-    found = set()
-    for part in secrets:
-        other = _near(part, ids, scopes)
-        if other is None:
-            continue
-        found |= {(*part, "linked_secret"), (*other, "linked_id")}
-        if (end := _near(part, ends, scopes) or _near(other, ends, scopes)) is not None:
-            found.add((*end, "linked_endpoint"))
+    by_id, by_secret = _Places(ids, scopes), _Places(secrets, scopes)
+    linked_secrets, linked_ids = [s for s in secrets if by_id.near(s)], [i for i in ids if by_secret.near(i)]
+    found = {(*s, "linked_secret") for s in linked_secrets} | {(*i, "linked_id") for i in linked_ids}
+    by_secret, by_id = _Places(linked_secrets, scopes), _Places(linked_ids, scopes)
+    found |= {(*e, "linked_endpoint") for e in ends if by_secret.near(e) or by_id.near(e)}
     starts = [s[0] for s in base]
     tops: list[int] = []
     for s in base:

@@ -113,6 +113,23 @@ def test_secret_parts_are_linked_only_together():
     assert secrets.find_spans(many)[1]
 
 
+def test_every_secret_part_with_a_complement_is_linked():
+    spans = lambda text: [(text[a:b], k) for a, b, k in secrets.find_spans(text)[1]]
+    key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCY9"
+    got = spans(f"host=db.example.com and host=db2.example.com\nuser: alice / client_id: acme-01 / key {key}")
+    assert got == [("host=db.example.com", "linked_endpoint"), ("host=db2.example.com", "linked_endpoint"), ("alice", "linked_id"), ("acme-01", "linked_id"), (key, "linked_secret")]
+    long = "".join(random.Random(3).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=3000)) + "=="
+    assert spans(f"{long} user: bob") == [(long, "linked_secret"), ("bob", "linked_id")]
+    rng = random.Random(9)
+    for _ in range(100):
+        text = "".join(rng.choice(["user: bob ", f"{key} ", "host=db.example.com ", "x " * 150, "\n", "\n\n"]) for _ in range(30))
+        parts = dict(zip(("id", "secret", "end"), secrets._parts(text, secrets.base_spans(text)), strict=True))
+        near = lambda p, others: any(0 <= max(o[0] - p[1], p[0] - o[1]) <= secrets.WINDOW and not secrets._BLANK.search(text, min(o[1], p[1]), max(o[0], p[0])) for o in others)
+        s, i = [p for p in parts["secret"] if near(p, parts["id"])], [p for p in parts["id"] if near(p, parts["secret"])]
+        want = {(*p, "linked_secret") for p in s} | {(*p, "linked_id") for p in i} | {(*p, "linked_endpoint") for p in parts["end"] if near(p, s) or near(p, i)}
+        assert set(secrets.find_spans(text)[1]) == want
+
+
 def brute_license(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     places, labels = [], set()
