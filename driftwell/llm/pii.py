@@ -3,7 +3,9 @@
 A text is read twice. The base patterns run on the text as it is. The deobfuscation runs a chain of transducers
 (invisible characters, homoglyphs and full-width forms, spelled digits, disguised "at" and "dot") that rewrite the
 text while carrying, for every produced character, the source interval it stands for; identifiers found in the rewritten
-text are mapped back to source intervals, so they can be cut out of the original.
+text are mapped back to source intervals, so they can be cut out of the original. A plain " at " counts as a disguise only where a dot
+of the address is disguised too: the word " dot " in the domain, or a bracketed dot on either side; before a written domain
+("meet at example.com") it is left alone.
 
 Defined results: null and empty texts have no spans; texts of any length are read whole, in time linear in their length;
 repeated rows give repeated results; columns other than the named ones are ignored (or passed through by `redact`).
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 from pyspark.sql import DataFrame
 
@@ -141,13 +144,19 @@ def normalise(text: str) -> Tape:
         tape.rewrite([(m.start(), m.end(), put) for m in _SPELLED.finditer(tape.text) if (put := _spelled(m)) is not None])
     if "plus " in low:
         tape.rewrite([(m.start(), m.end(), "+") for m in _PHONE_WORD.finditer(tape.text)])
+    dots: list[int] = []  # where the bracket step puts dots
     if any(ch in tape.text for ch in "([{<"):
         tape.rewrite([(m.start(), m.end(), "@") for m in _BRACKET_AT.finditer(tape.text)])
-        tape.rewrite([(m.start(), m.end(), ".") for m in _BRACKET_DOT.finditer(tape.text)])
-    if " dot " in low:
+        brackets = [m.span() for m in _BRACKET_DOT.finditer(tape.text)]
+        tape.rewrite([(a, b, ".") for a, b in brackets])
+        cut = 0
+        for a, b in brackets:
+            dots.append(a - cut)
+            cut += b - a - 1
+    if " dot " in low or dots:
         edits = []
         for m in _WORDS.finditer(tape.text):
-            if " dot " in m[2].lower():
+            if " dot " in m[2].lower() or bisect_left(dots, m.end(2)) > bisect_left(dots, m.start(1)):
                 at = m.end(1)
                 edits += [(at, m.start(2), "@")]
                 for g in (1, 2):

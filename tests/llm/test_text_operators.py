@@ -81,6 +81,14 @@ def test_plain_prose_has_no_added_spans():
         assert pii.find_spans(text) == ([], [])
 
 
+@pytest.mark.parametrize("source", ["john at example [dot] com", "john at mail dot example (dot) com", "john [dot] doe at example.com"])
+def test_plain_at_with_a_bracketed_dot_is_a_disguise(source):
+    text = f"(1) see [.] here, then write to {source}, or meet at example.com [today]"
+    assert (text.index(source), text.index(source) + len(source), "email") in pii.find_spans(text)[1]
+    assert source not in pii.mask(text) and "meet at example.com" in pii.mask(text)
+    assert pii.find_spans("Meet at example.com [today].") == ([], [])
+
+
 def test_pii_and_secrets_over_odd_rows(spark):
     docs = odd_docs(spark)
     for out in (pii.detect(docs), secrets.scan(docs)):
