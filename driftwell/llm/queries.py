@@ -120,10 +120,11 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP10_SQL = """
-WITH usable AS (SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
-                WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
-flat AS (SELECT vec_id, unnest(range(1, len(q) + 1)) AS d, unnest(q) AS v FROM usable),
-scores AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(sum(a.v * b.v) AS BIGINT) AS score FROM flat a JOIN flat b ON a.d = b.d AND a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id GROUP BY ALL)
+WITH usable AS (SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+                WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+flat AS (SELECT vec_id, r, unnest(range(1, len(q) + 1)) AS d, unnest(q) AS v FROM usable),
+products AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(sum(a.v * b.v) AS BIGINT) AS score FROM flat a JOIN flat b ON a.d = b.d AND a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id GROUP BY a.vec_id, b.vec_id, a.r, b.r),
+scores AS (SELECT query_id, vec_id, max(score) AS score FROM products GROUP BY ALL)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) WHERE rank <= 20
 """
 

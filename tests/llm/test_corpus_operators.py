@@ -151,39 +151,69 @@ def test_packing_of_odd_rows(spark, monkeypatch, block):
 
 
 def brute_topk(rows, k):
+    """By id: an id's score is the best over its rows; saturated to a long."""
     ok = [(i, v) for i, v in rows if i is not None and v is not None and all(c is not None and np.isfinite(c) for c in v)]
-    q = {n: (i, [int(np.floor(64 * float(np.float32(c)))) for c in v]) for n, (i, v) in enumerate(ok)}
+    q = sorted({(i, tuple((lambda x: int(x) * 64 if abs(x) > 2**50 else int(np.floor(64 * x)))(float(np.float32(c))) for c in v)) for i, v in ok})
     out = {}
-    for i, v in q.values():
-        if i % 20 == 0:
-            scored = sorted(((-sum(a * b for a, b in zip(v, w)), j) for j, w in q.values() if j != i))[:k]
-            out[i] = [(j, -s) for s, j in scored]
-    return out
+    for i in sorted({i for i, _ in q if i % 20 == 0}):
+        best = {}
+        for v in [v for j, v in q if j == i]:
+            for j, w in q:
+                if j != i:
+                    s = min(max(sum(a * b for a, b in zip(v, w)), -(2**63)), 2**63 - 1)
+                    best[j] = max(s, best.get(j, s))
+        out[i] = [(j, -s) for s, j in sorted((-s, j) for j, s in best.items())[:k]]
+    return {i: x for i, x in out.items() if x}
+
+
+def found_topk(df, k):
+    got = {}
+    for r in topk.search(df, F.col("vec_id") % 20 == 0, k).orderBy("query_id", "rank").collect():
+        assert len(got.setdefault(r.query_id, [])) == r.rank - 1
+        got[r.query_id].append((r.vec_id, r.score))
+    return got
 
 
-def test_topk_with_ties_and_odd_vectors(spark, monkeypatch):
-    monkeypatch.setattr(topk, "BLOCK_CANDIDATES", 150)
+def small_shards(monkeypatch):
+    monkeypatch.setattr(topk, "SHARD", 150)
+    monkeypatch.setattr(topk, "SHARD_BYTES", 1)
+    monkeypatch.setattr(topk, "BLOCK", 40)
     monkeypatch.setattr(topk, "BLOCK_QUERIES", 7)
+
+
+def test_topk_with_ties_and_odd_vectors(spark, monkeypatch):
+    small_shards(monkeypatch)
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.normal(size=16).astype(np.float32)]) for i in range(600)]
     rows += [(600 + i, rows[3][1]) for i in range(80)] + [(700, None), (720, [1.0, None]), (740, [float("nan")] * 16), (760, [float("inf")] * 16), (780, []), (781, [1.0, 2.0]), (None, rows[0][1]), (800, [100.0] * 20)]
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, score int")
-    got = {}
-    for r in topk.search(df, F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect():
-        assert len(got.setdefault(r.query_id, [])) == r.rank - 1
-        got[r.query_id].append((r.vec_id, r.score))
-    assert got == brute_topk(rows, 20)
+    assert found_topk(df, 20) == brute_topk(rows, 20)
     assert topk.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_topk_of_repeated_rows_lists_each_id_once(spark, monkeypatch):
+    small_shards(monkeypatch)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=8).astype(np.float32)]) for i in range(400)]
+    rows += [rows[20]] * 39 + [rows[41]] * 500 + rows[100:200]  # whole repeats: of a query, of a candidate very often, of a range
+    rows += [(60, rows[5][1]), (60, rows[6][1]), (77, rows[20][1]), (20, rows[77][1])]  # ids with differing vectors
+    rng.shuffle(rows)
+    rows = [(int(i), list(v)) for i, v in rows]
+    got = found_topk(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), 20)
+    assert got == brute_topk(rows, 20) and all(len({j for j, _ in x}) == 20 for x in got.values())
+
+
+def test_topk_by_norm_and_posting_lists(spark, monkeypatch):
+    small_shards(monkeypatch)
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in np.float32(rng.normal(size=24) * (rng.random(24) < 0.2) * (1 + 30 * (i % 50 == 0)))]) for i in range(900)]
+    assert found_topk(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), 5) == brute_topk(rows, 5)
+
+
 def test_topk_of_large_components_is_exact(spark):
-    rows = [(i, [float(2.0 ** (i % 40)), 1.0, -3.0]) for i in range(120)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    got = {}
-    for r in topk.search(df.where("vec_id < 60"), F.col("vec_id") % 20 == 0, 5).orderBy("query_id", "rank").collect():
-        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
-    want = {q: v for q, v in brute_topk(rows[:60], 5).items() if all(abs(s) < 2**63 for _, s in v)}
-    assert {q: got[q] for q in want} == want
+    rows = [(i, [float(2.0 ** (i % 40)), 1.0, -3.0]) for i in range(120)] + [(200, [float(2.0**57), 1.0, 1.0]), (201, [-(2.0**100), 3.0, 1.0]), (202, [0.0, 2.0**120, 1.0])]
+    for some in (rows[:60], rows):
+        assert found_topk(spark.createDataFrame(some, "vec_id long, embedding array<float>"), 5) == brute_topk(some, 5)
 
 
 def test_sql_twins(spark, sf_dir):
