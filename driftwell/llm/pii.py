@@ -5,7 +5,7 @@ A text is read twice. The base patterns run on the text as it is. The deobfuscat
 text while carrying, for every produced character, the source interval it stands for; identifiers found in the rewritten
 text are mapped back to source intervals, so they can be cut out of the original. A plain " at " counts as a disguise only where a dot
 of the address is disguised too: the word " dot " in the domain, or a bracketed dot on either side; before a written domain
-("meet at example.com") it is left alone.
+("meet at example.com") it is left alone. The bounds of the disguise patterns stand beside them.
 
 Defined results: null and empty texts have no spans; texts of any length are read whole, in time linear in their length;
 repeated rows give repeated results; columns other than the named ones are ignored (or passed through by `redact`).
@@ -87,11 +87,14 @@ _FULLWIDTH = {chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}
 _PLAIN = {**_HOMOGLYPHS, **_FULLWIDTH, " ": " ", " ": " ", " ": " "}
 _ODD = re.compile("[" + re.escape("".join(_PLAIN)) + _INVISIBLE + "]")
 _DIGIT_WORD = "|".join(sorted(map(re.escape, _DIGITS), key=len, reverse=True))
-#: Four or more spelled digits (or groups mixing spelled and written digits) in a row.
-_SPELLED = re.compile(rf"(?<!\w)(?:{_DIGIT_WORD})(?:[ ,.-]{{1,2}}(?:{_DIGIT_WORD}|[0-9]{{1,4}}|dot|plus|point|punkt|punto))++(?!\w)", re.I)
+#: Spelled digits in a row, mixed with groups of up to 4 written ones and apart by up to 2 separators; every item ends at a word's end, so
+#: that a row stops before a longer word ("until" is not "un"). Rows of fewer than 4 digits are left as they are.
+_SPELLED = re.compile(rf"(?<!\w)(?:{_DIGIT_WORD})(?!\w)(?:[ ,.-]{{1,2}}(?:{_DIGIT_WORD}|[0-9]{{1,4}}|dot|plus|point|punkt|punto)(?!\w))++", re.I)
 _SPELLED_PART = re.compile(rf"(?P<d>{_DIGIT_WORD})(?!\w)|(?P<n>[0-9]+)|(?P<dot>dot|point|punkt|punto)|(?P<plus>plus)", re.I)
 _BRACKET_AT = re.compile(r" {0,3}[(\[{<] {0,3}(?:at|arroba|arobase|klammeraffe|@) {0,3}[)\]}>] {0,3}", re.I)
 _BRACKET_DOT = re.compile(r" {0,3}[(\[{<] {0,3}(?:dot|punto|punkt|point|\.) {0,3}[)\]}>] {0,3}", re.I)
+# Bounds of the disguises, so that no scan is quadratic: up to 3 blanks about a bracket, 64 and 63 characters a part (the limits of local
+# parts and host labels in addresses), 5 parts before and 7 after the "at"; longer ones are left to the base patterns.
 _WORDS = re.compile(r"(?<![\w.%+-])([A-Za-z0-9_%+-]{1,64}(?:(?:\.| dot )[A-Za-z0-9_%+-]{1,64}){0,4}) (?:at|@) ([A-Za-z0-9-]{1,63}(?:(?:\.| dot )[A-Za-z0-9-]{1,63}){1,6})(?![\w-])", re.I)
 _AFTER_AT = re.compile(r"@ ?[A-Za-z0-9-]{1,63}(?:(?:\.| dot )[A-Za-z0-9-]{1,63}){1,6}", re.I)
 _SPACED_AT = re.compile(r" ?@ ?")
