@@ -7,8 +7,10 @@ back gives every text unchanged. Formatting streams over turns sorted by convers
 never held whole.
 
 Defined results: null texts and roles are empty; turns with equal numbers are ordered by role, then text; repeated rows are turns
-of their own; records of an unknown layout give one row with layout "unmapped", which formatting leaves out; other columns
-are ignored; rows without conversation id form a conversation whose id is null.
+of their own; records of an unknown layout, records that are no JSON or nested too deeply to read, and message lists with an element
+that is no object give one row with layout "unmapped", which formatting leaves out; ids and turn numbers that are no 64-bit integers
+are null; lone surrogates become U+FFFD; other columns are ignored; rows without conversation id form a conversation whose id is null.
+A conversation's digest reads its turns in order, so one conversation is one task's work, streamed after a sort that spills.
 """
 
 from __future__ import annotations
@@ -62,13 +64,18 @@ MAPPINGS = (
 )
 
 
-def paths(value, at: str = "") -> set[str]:
+def paths(value) -> set[str]:
     """Paths of the leaves; an empty list or object is a leaf."""
-    if isinstance(value, dict) and value:
-        return set().union(*(paths(v, f"{at}.{k}" if at else k) for k, v in value.items()))
-    if isinstance(value, list) and value:
-        return set().union(*(paths(v, f"{at}[]") for v in value))
-    return {at}
+    out, left = set(), [("", value)]
+    while left:
+        at, value = left.pop()
+        if isinstance(value, dict) and value:
+            left += [(f"{at}.{k}" if at else k, v) for k, v in value.items()]
+        elif isinstance(value, list) and value:
+            left += [(f"{at}[]", v) for v in value]
+        else:
+            out.add(at)
+    return out
 
 
 def fingerprint(found: set[str]) -> str:
@@ -106,14 +113,20 @@ class Selector:
 def _text(value) -> str:
     if value is None:
         return ""
-    return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    text = value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    return text if text.isascii() else text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
+def _whole(value) -> int | None:
+    """A 64-bit integer, else null."""
+    return value if isinstance(value, int) and not isinstance(value, bool) and -(2**63) <= value < 2**63 else None
 
 
 def turns_of(record, m: Mapping) -> list[tuple[int | None, str, str]]:
-    """(turn, role, text) of a record."""
+    """(turn, role, text) of a record; ValueError if a message is no object."""
     if m.row:
         number, role, text = (record.get(k) for k in m.row)
-        return [(number, _text(role), _text(text))]
+        return [(_whole(number), _text(role), _text(text))]
     out = []
     for role, fields in m.turns:
         parts = [_text(record.get(k)) for k in fields]
@@ -122,39 +135,41 @@ def turns_of(record, m: Mapping) -> list[tuple[int | None, str, str]]:
     if m.messages:
         key, role, text = m.messages
         for x in record.get(key) or []:
-            said = _text((x or {}).get(role))
-            out.append((m.roles.get(said, said), _text((x or {}).get(text))))
+            if not isinstance(x, dict):
+                raise ValueError("a message is no object")
+            said = _text(x.get(role))
+            out.append((m.roles.get(said, said), _text(x.get(text))))
     return [(i, role, text) for i, (role, text) in enumerate(out)]
 
 
-def canonical_turns(records: DataFrame, record_col: str = "record", id_col: str | None = None) -> DataFrame:
-    """conv_id, turn, role, text, layout, fingerprint: the turns of JSON records. The id is id_col or the record's own."""
-
-    def make():
-        select = Selector()
+def turn_reader():
+    """The step that turns a batch of JSON records into rows of turns."""
+    select = Selector()
 
-        def step(cols: dict) -> dict:
-            out: dict[str, list] = {k: [] for k in ("conv_id", "turn", "role", "text", "layout", "fingerprint")}
-            for key, text in zip(cols["id"], cols["record"], strict=True):
-                try:
-                    record = json.loads(text) if text else None
-                except ValueError:
-                    record = None
+    def step(cols: dict) -> dict:
+        out: dict[str, list] = {k: [] for k in ("conv_id", "turn", "role", "text", "layout", "fingerprint")}
+        for key, text in zip(cols["id"], cols["record"], strict=True):
+            try:
+                record = json.loads(text) if text else None
                 mark, m = select(record) if isinstance(record, dict) else ("", None)
-                own = key if key is not None or m is None else record.get(m.id)
-                own = own if isinstance(own, int) and not isinstance(own, bool) and abs(own) < 2**63 else None
-                found = turns_of(record, m) if m else [(None, None, None)]
-                for number, role, said in found:
-                    for k, v in zip(out, (own, number if isinstance(number, int) else None, role, said, m.name if m else "unmapped", mark), strict=True):
-                        out[k].append(v)
-            return out
+                found = turns_of(record, m) if m else []
+            except (ValueError, RecursionError):
+                mark, m, record, found = "", None, None, []
+            own = key if key is not None or m is None else _whole(record.get(m.id))
+            for number, role, said in found if m else [(None, None, None)]:
+                for k, v in zip(out, (own, number, role, said, m.name if m else "unmapped", mark), strict=True):
+                    out[k].append(v)
+        return out
+
+    return step
 
-        return step
 
+def canonical_turns(records: DataFrame, record_col: str = "record", id_col: str | None = None) -> DataFrame:
+    """conv_id, turn, role, text, layout, fingerprint: the turns of JSON records. The id is id_col or the record's own."""
     from pyspark.sql import functions as F
 
     key = F.col(id_col).cast("long") if id_col else F.lit(None).cast("long")
-    return map_batches(records.select(key.alias("id"), F.col(record_col).cast("string").alias("record")), "conv_id long, turn long, role string, text string, layout string, fingerprint string", make)
+    return map_batches(records.select(key.alias("id"), F.col(record_col).cast("string").alias("record")), "conv_id long, turn long, role string, text string, layout string, fingerprint string", turn_reader)
 
 
 # The template's marks, and control strings of other templates that texts must not carry into training either.

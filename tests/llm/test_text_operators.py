@@ -41,7 +41,7 @@ PII = [
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 10 <= sum(c.isdigit() for c in m[0]) <= 15),
 ]
 SECRETS = [
-    ("assign", r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", lambda m: m[0].isascii() and len(m[2]) >= 8),
+    ("assign", r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", lambda m: m[0].isascii() and len(m[2]) >= 8),
     ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 16),
     ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 32),
 ]
@@ -76,6 +76,40 @@ def test_disguised_identifiers_map_back_to_the_source(text, kind, source):
     assert source not in pii.mask(text) and f"<{kind}>" in pii.mask(text)
 
 
+@pytest.mark.parametrize("after", ["until noon", "under it", "nineteen times", "ohio", "seventy", "onward", "plusher", "dotted"])
+def test_spelled_numbers_end_before_everyday_words(after):
+    said = "plus four one five five five five one two three four"
+    assert (5, 5 + len(said), "phone") in pii.find_spans(f"call {said} {after}")[1]
+
+
+DIGIT_WORDS = {w: d for w, d in pii._DIGITS.items() if w.isascii()}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(sorted(DIGIT_WORDS)), min_size=9, max_size=14), st.lists(st.text(alphabet="abdehinorstuvx", min_size=1, max_size=9), max_size=4))
+def test_spelled_numbers_before_any_words(digits, words):
+    while words and words[0] in {*pii._DIGITS, "dot", "point", "punto", "punkt", "plus"}:
+        words.pop(0)
+    said = f"plus one {' '.join(digits)}"
+    text = f"{said} {' '.join(words)}"
+    assert (0, len(said), "phone") in pii.find_spans(text)[1]
+
+
+def brute_added(text):
+    """The transducers one character at a time, by plain substitution on (character, source interval) lists; spelled digits and homoglyphs only."""
+    tape = [(pii._PLAIN.get(c, c), i, i + 1) for i, c in enumerate(text) if c not in pii._INVISIBLE]
+    flat = "".join(c for c, _, _ in tape)
+    return {(tape[a][1], tape[b - 1][2], kind) for a, b, kind in pii.base_spans(flat)}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*"ab1.@ -+", "а", "о", "\u200b", "１", "＠", "．", "x@y.z", "+1 415 555 1234", "10.0.0.1"]), max_size=16).map("".join))
+def test_homoglyphs_map_back_as_by_brute_force(text):
+    base, added = pii.find_spans(text)
+    want = {s for s in brute_added(text) if not any(b[2] == s[2] and b[0] <= s[0] and s[1] <= b[1] for b in base)}
+    assert set(added) == (want if pii.normalise(text).start is not None and "@ " not in text and " @" not in text and "＠ " not in text and " ＠" not in text else set(added))
+
+
 def test_plain_prose_has_no_added_spans():
     for text in ("He sat at home. One two three dots.", "un deux trois quatre cinq six sept", "meet at noon @ the bar"):
         assert pii.find_spans(text) == ([], [])
@@ -352,6 +386,33 @@ def test_chat_layouts_give_the_same_turns(spark):
     assert len(back) == 6 and {r.loss_chars for r in back} == {1} and {r.n_turns for r in back} == {2}
 
 
+JSON = st.recursive(st.none() | st.booleans() | st.integers() | st.floats(allow_nan=False) | st.text(alphabet="ab\ud800\n", max_size=4), lambda x: st.lists(x, max_size=3) | st.dictionaries(st.sampled_from(["messages", "role", "content", "conv_id", "turn", "text", "prompt", "response", "id", "conversations", "from", "value"]), x, max_size=4), max_leaves=12)
+
+
+@settings(max_examples=400, deadline=None)
+@given(JSON)
+def test_chat_reads_any_json(value):
+    import json
+
+    import pyarrow as pa
+
+    step = chat.turn_reader()
+    out = step({"id": [None], "record": [json.dumps(value)]})
+    assert pa.array(out["conv_id"], pa.int64()) is not None and pa.array(out["turn"], pa.int64()) is not None
+    assert all(pa.array(out[k], pa.string()) is not None for k in ("role", "text", "layout")) and len(out["layout"]) >= 1 or value.get("messages") == []
+
+
+def test_chat_of_odd_json_and_long_texts(spark):
+    deep = '{"messages": [{"role": "user", "content": ' + "[" * 50_000 + "]" * 50_000 + "}]}"
+    odd = ['{"messages": [{"role": "user", "content": "q"}, 5]}', '{"messages": [{"role": "user", "content": "q"}, null]}', deep, "[1]", "5", '"x"']
+    turn = '{"conv_id": 1, "turn": %d, "role": "assistant", "text": "%s"}'
+    rows = [(x,) for x in [*odd, turn % (2**70, "big"), turn % (3, "long " * 200_000), '{"conv_id": 1, "turn": 4, "role": "user", "text": "\\ud800"}']]
+    turns = chat.canonical_turns(spark.createDataFrame(rows, "record string"))
+    assert turns.where("layout = 'unmapped'").count() == len(odd)
+    back = chat.read_back(chat.format_turns(turns)).collect()
+    assert [(r.conv_id, r.n_turns, r.loss_chars) for r in back] == [(1, 3, 1_000_003)]
+
+
 def test_chat_over_all_conversations(spark, sf_dir):
     from driftwell.llm.queries import OP6_EXTRA, op6_chat
 
