@@ -16,15 +16,31 @@ BROADCAST_ROWS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; only where that is unset (tests) one under the warehouse."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tables").rstrip("/")
+    """The folder of spark.checkpoint.dir. Where that is unset a local session (tests) uses its warehouse; a cluster must set it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tables").rstrip("/")
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives executor loss."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._table_path = path
+    return out
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete tables that nothing reads any more."""
+    for t in tables:
+        spark, path = t.sparkSession, spark_path(t)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def spark_path(t: DataFrame):
+    return t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._table_path)
 
 
 def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], dict]]) -> DataFrame:

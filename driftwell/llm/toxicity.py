@@ -2,16 +2,21 @@
 
 The kernel compares two strings by their common subsequences of 3 and 4 symbols; each occurrence counts DECAY to the power
 of the stretch it spans, so "id-iot", "idxiot" and "i.d.i.o.t" stay close to "idiot". Labels are per document, insults are
-not: a document is toxic if some sentence is, a sentence if some word (a run of single letters counts as one word) is. So training
+not: a document is toxic if some sentence is, a sentence if some word (a run of single letters counts as one word) is. A word of
+more than WINDOW characters counts as its overlapping windows, in training as in scoring. So training
 learns from witnesses (multi-instance SVM): start from the words whose character n-grams tell labelled documents apart, fit,
-choose the witnesses anew by the fitted decision, and fit again; negatives are words of clean documents, the hardest ones first.
-A document's decision is the soft maximum of its word decisions, over all its sentences; Platt scaling turns it into a
-probability, fitted on labelled documents that the SVM was not fitted on.
+choose the witnesses anew by the fitted decision, and fit again; negatives are all words of clean documents: the SVM works on a set of
+them that takes in every word inside the margin until there is none left outside the set, which gives the solution over all of them.
+A document's decision is the soft maximum of its TOPS largest word decisions, over all its sentences (that is the model, at every
+length of text); Platt scaling turns it into a probability, fitted on labelled documents that the SVM was not fitted on.
 
 The fitted function is a combination of kernels with the landmarks. It is folded into one weight per subsequence, a table of
 fixed size that goes to the tasks, so that scoring a word costs one table look-up per subsequence, and a word is scored once per task.
 
-Fitting uses at most `sample` labelled documents per class, chosen by a hash of doc_id (a documented bound); everything else covers all rows.
+Documented bounds of fitting, on labelled rows alone: at most `sample` labelled documents per class, in the order of a hash of doc_id, and of
+these as many as hold `sample_bytes` bytes of distinct words a class (the executors reduce texts to words, so no text reaches the driver). Of
+labelled documents whose smallest word hashes agree with an earlier one's (near copies) only the first is learnt from, as
+a copied document's words aren't further evidence. Everything else covers all rows.
 
 Defined results: null and empty texts get the score of a text without any word; without labelled rows of both classes
 every score is the share of label 1 (0 without any); texts are read whole, whatever their length; repeated rows are scored alike.
@@ -31,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filter_batches, map_batches
+from .common import filter_batches, map_batches, table
 
 DECAY = 0.6
 #: Longest stretch of a subsequence of 3 and of 4 symbols.
@@ -40,8 +45,10 @@ SYMBOLS = 28  # a-z, any other letter or digit, any other character
 LANDMARKS = 256
 #: A document's largest word decisions count, by a soft maximum of this sharpness; EMPTY stands for a missing word.
 TOPS, SHARP, EMPTY = 8, 4.0, -3.0
-#: Labelled documents per class that fitting reads.
-SAMPLE = 2000
+#: Labelled documents per class that fitting reads, and bytes of their distinct words.
+SAMPLE, SAMPLE_BYTES = 2000, 16_000_000
+#: Words of clean documents that the SVM's working set starts from; words inside the margin join it.
+START = 9000
 #: Variants with an inserted letter that a common witness adds to the training set.
 VARIANTS = 3
 #: Weight of a toxic document with disguised insults when the threshold is set.
@@ -144,6 +151,9 @@ class Model:
     scale: float  # Platt: score = 1 / (1 + exp(-(scale * a document's decision + shift)))
     shift: float
 
+    def decide_all(self, words: list[str], kernel: Kernel) -> np.ndarray:
+        return np.concatenate([self.decide(words[at : at + 20000], kernel) for at in range(0, len(words), 20000)]) if words else np.zeros(0)
+
     def decide(self, words: list[str], kernel: Kernel) -> np.ndarray:
         """The SVM's decision for each word (its largest window)."""
         flat, owner = [], []
@@ -165,31 +175,57 @@ class Model:
         return out
 
 
-def _features(words: list[str], kernel: Kernel) -> list[dict[int, float]]:
-    out = []
-    for w in words:
-        m, n = kernel.matrix([w])
-        f: Counter = Counter()
-        for code, ok, weight in kernel.codes(m):
-            for c in code[0][ok[0]].tolist():
-                f[c] += weight
-        norm = float(kernel.norms(n)[0])
-        out.append({c: v / norm for c, v in f.items()})
-    return out
+class Landmarks:
+    """Nystroem features by kernel values with the landmarks, and their folding into one weight per subsequence."""
 
+    def __init__(self, marks: list[str], kernel: Kernel):
+        self.kernel = kernel
+        feats = self._features(marks)
+        self.codes = sorted({c for f in feats for c in f})
+        self.compact = np.zeros(_TABLE + 1, np.int32)  # code to row of weights; row 0 is no landmark's
+        self.compact[self.codes] = np.arange(1, len(self.codes) + 1)
+        self.weights = np.zeros((len(self.codes) + 1, len(marks)), np.float32)
+        for j, f in enumerate(feats):
+            for c, v in f.items():
+                self.weights[self.compact[c], j] = v
+        gram = self.gram(marks).astype(np.float64)
+        value, vector = np.linalg.eigh((gram + gram.T) / 2)
+        good = value > 1e-6 * value.max()
+        self.whiten = vector[:, good] / np.sqrt(value[good])
 
-def _gram(words: list[str], compact: np.ndarray, table: np.ndarray, kernel: Kernel) -> np.ndarray:
-    """Kernel values of the words with the landmarks; compact maps codes to rows of table (landmark weights by code)."""
-    out = np.zeros((len(words), table.shape[1]), np.float32)
-    for at in range(0, len(words), 512):
-        m, n = kernel.matrix(words[at : at + 512])
-        part = np.zeros((len(m), table.shape[1]), np.float32)
-        for code, ok, weight in kernel.codes(m):
-            rows = compact[np.where(ok, code, _TABLE)]
-            for k in range(rows.shape[1]):
-                part += weight * table[rows[:, k]]
-        out[at : at + 512] = part / kernel.norms(n)[:, None]
-    return out
+    def _features(self, words: list[str]) -> list[dict[int, float]]:
+        out = []
+        for w in words:
+            m, n = self.kernel.matrix([w])
+            f: Counter = Counter()
+            for code, ok, weight in self.kernel.codes(m):
+                for c in code[0][ok[0]].tolist():
+                    f[c] += weight
+            norm = float(self.kernel.norms(n)[0])
+            out.append({c: v / norm for c, v in f.items()})
+        return out
+
+    def gram(self, words: list[str]) -> np.ndarray:
+        """Kernel values of the words with the landmarks."""
+        out = np.zeros((len(words), self.weights.shape[1]), np.float32)
+        for at in range(0, len(words), 512):
+            m, n = self.kernel.matrix(words[at : at + 512])
+            part = np.zeros((len(m), self.weights.shape[1]), np.float32)
+            for code, ok, weight in self.kernel.codes(m):
+                rows = self.compact[np.where(ok, code, _TABLE)]
+                for k in range(rows.shape[1]):
+                    part += weight * self.weights[rows[:, k]]
+            out[at : at + 512] = part / self.kernel.norms(n)[:, None]
+        return out
+
+    def features(self, words: list[str]) -> np.ndarray:
+        return self.gram(words) @ self.whiten.astype(np.float32) if words else np.zeros((0, self.whiten.shape[1]), np.float32)
+
+    def folded(self, w: np.ndarray) -> np.ndarray:
+        """One weight per subsequence code for the linear function w of the features; the last entry stands for no code."""
+        out = np.zeros(_TABLE + 1)
+        out[self.codes] = self.weights[1:].astype(np.float64) @ (self.whiten @ w)
+        return out.astype(np.float32)
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 3.0, steps: int = 15) -> tuple[np.ndarray, float]:
@@ -243,112 +279,99 @@ def _once(bags: list[set[str]]) -> list[int]:
     return out
 
 
-def fit_texts(texts: list[str], labels: list[int], rounds: int = 3, seed: int = 11) -> Model:
+def bag_of(text: str | None, kernel: Kernel) -> set[str]:
+    """The text's distinct words as the kernel sees them."""
+    return {p for w in words_of(text or "") for p in kernel.pieces(w)}
+
+
+def fit_texts(texts: list[str | None], labels: list[int], rounds: int = 3, seed: int = 11) -> Model:
     """Fit on labelled texts (sentences or documents; a text is toxic if one of its words is)."""
+    kernel = Kernel()
+    return fit_bags([bag_of(t, kernel) for t in texts], labels, rounds, seed)
+
+
+def fit_bags(bags: list[set[str]], labels: list[int], rounds: int = 3, seed: int = 11) -> Model:
     y = np.array(labels, int)
     share = float(y.mean()) if len(y) else 0.0
     prior = Model(None, 0.0, 0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
-    bags = [set(map(intern, words_of(t or ""))) for t in texts]
     once = _once(bags)
-    bags, y = [bags[i] for i in once], y[once]
+    bags, y = [set(map(intern, bags[i])) for i in once], y[once]
     held = np.arange(len(y)) % 4 == 3  # for Platt scaling
     if not (y[~held] == 1).any() or not (y[~held] == 0).any():
         return prior
     kernel, rng = Kernel(), np.random.default_rng(seed)
-    n1, n0 = int((y[~held] == 1).sum()), int((y[~held] == 0).sum())
-    # documents of each class by character n-gram
-    grams = ({}, {})
-
-    def disguise(w: str) -> str:
-        at = int(rng.integers(1, len(w)))
-        return w[:at] + "abcdefghijklmnopqrstuvwxyz"[rng.integers(26)] + w[at:]
-
-    def grams_of(w: str) -> set[str]:
-        w = f"^{w[:64]}$"
-        return {w[i : i + k] for k in (4, 5, 6) for i in range(len(w) - k + 1)} or {w}
-
-    for label in (1, 0):
-        own = grams[label]
-        for i in np.flatnonzero(~held & (y == label)):
-            for g in set().union(*map(grams_of, bags[i])) if bags[i] else ():
-                if label or g in grams[1]:
-                    own[g] = own.get(g, 0) + 1
-        for g in [g for g, c in own.items() if label and c < 3]:  # too rare to tell anything; the others alone are counted in clean documents
-            del own[g]
-    odds = {g: (np.log((c + 0.1) / (n1 + 0.2)) - np.log((grams[0].get(g, 0) + 0.5) / (n0 + 1))) * min(1.0, c / 8) for g, c in grams[1].items()}
-    word_score: dict[str, float] = {}
-
-    def seeded(w: str) -> float:
-        if w not in word_score:
-            word_score[w] = max((odds.get(g, -9.0) for g in grams_of(w)), default=-9.0)
-        return word_score[w]
-
+    toxic = [bags[i] for i in np.flatnonzero(~held & (y == 1)) if bags[i]]
     clean = Counter(w for i in np.flatnonzero(~held & (y == 0)) for w in bags[i])
-    toxic = [i for i in np.flatnonzero(~held & (y == 1)) if bags[i]]
+    seeded = _evidence(toxic, [bags[i] for i in np.flatnonzero(~held & (y == 0))], (int((y[~held] == 1).sum()), int((y[~held] == 0).sum())))
     vocabulary = sorted(clean)
-    decided: dict[str, float] = {}
-    score = seeded
-    hard: list[str] = []
-    model = prior
+    every = sorted(set(vocabulary).union(*toxic))
+    score, model = seeded, prior
     for r in range(rounds):
         witness: Counter = Counter()
-        for i in toxic:
+        for bag in toxic:
             # later rounds trust the decision; a document without any evidence (a wrong label, say) gives no witness then
-            ranked = sorted(((score(w), w) for w in bags[i] if clean.get(w, 0) <= 1), reverse=True)[:6]
+            ranked = [(score(w), w) for w in bag if clean.get(w, 0) <= 1]
             if ranked:
-                top, best = ranked[0]
+                top, best = max(ranked)
                 least = max(EVIDENCE, 0.6 * top) if r == 0 else min(top, 0.0) if seeded(best) >= EVIDENCE else 0.0
                 witness.update(w for s, w in ranked if s >= least)
-        positive = sorted(witness, key=lambda w: (-witness[w], w))[:6000]
-        if not positive:
-            return prior
-        negative = list(dict.fromkeys(hard + [vocabulary[i] for i in rng.permutation(len(vocabulary))[:9000]] + [w for w, _ in clean.most_common(3000)]))
-        negative = [w for w in negative if w not in witness]
-        if not negative:
+        positive = sorted(witness, key=lambda w: (-witness[w], w))
+        negative = [w for w in vocabulary if w not in witness]
+        if not positive or not negative:
             return prior
         # the commoner witnesses once more with a letter put in, which is how they are disguised
-        disguised = [disguise(w) for w in positive if witness[w] >= 3 and len(w) > 3 for _ in range(VARIANTS)]
-        pos, neg = [kernel.pieces(w)[0] for w in positive + disguised], [kernel.pieces(w)[0] for w in negative]
-        marks = list(dict.fromkeys(pos[: min(len(positive), LANDMARKS // 2)] + neg[: LANDMARKS // 4] + [neg[i] for i in rng.permutation(len(neg))[:LANDMARKS]]))[:LANDMARKS]
-        feats = _features(marks, kernel)
-        codes = sorted({c for f in feats for c in f})
-        compact = np.zeros(_TABLE + 1, np.int32)
-        compact[codes] = np.arange(1, len(codes) + 1)
-        table = np.zeros((len(codes) + 1, len(marks)), np.float32)
-        for j, f in enumerate(feats):
-            for c, v in f.items():
-                table[compact[c], j] = v
-        gram = _gram(marks, compact, table, kernel).astype(np.float64)
-        value, vector = np.linalg.eigh((gram + gram.T) / 2)
-        good = value > 1e-6 * value.max()
-        whiten = vector[:, good] / np.sqrt(value[good])
-        k = _gram(pos + neg, compact, table, kernel) @ whiten.astype(np.float32)
-        target = np.array([1.0] * len(pos) + [-1.0] * len(neg))
-        weight = np.array([min(witness[w], 20) ** 0.5 for w in positive] + [1.0] * (len(disguised) + len(neg)))
-        w, bias = _svm(k, target, weight)
-        del k
-        folded = np.zeros(_TABLE + 1)
-        folded[codes] = table[1:].astype(np.float64) @ (whiten @ w)
-        model = Model(folded.astype(np.float32), bias, 1.0, 0.0)
-        decided = {}
-        every = sorted(set(vocabulary) | {w for i in toxic for w in bags[i]})
-        for at in range(0, len(every), 20000):
-            some = every[at : at + 20000]
-            decided.update(zip(some, model.decide(some, kernel).tolist(), strict=True))
+        disguised = [_disguise(w, rng) for w in positive if witness[w] >= 3 and len(w) > 3 for _ in range(VARIANTS)]
+        first = [negative[i] for i in rng.permutation(len(negative))[:START]]
+        common = [w for w, _ in clean.most_common(LANDMARKS) if w not in witness]
+        marks = Landmarks(list(dict.fromkeys(positive[: LANDMARKS // 2] + common[: LANDMARKS // 4] + first[:LANDMARKS]))[:LANDMARKS], kernel)
+        x, weight = [marks.features(positive + disguised)], [min(witness[w], 20) ** 0.5 for w in positive] + [1.0] * len(disguised)
+        n1, used, new = len(weight), set(), list(dict.fromkeys(common + first))
+        while new:
+            used.update(new)
+            x.append(marks.features(new))
+            x = [np.concatenate(x)]
+            n = len(x[0])
+            w, bias = _svm(x[0], np.where(np.arange(n) < n1, 1.0, -1.0), np.append(weight, np.ones(n - n1)))
+            model = Model(marks.folded(w), bias, 1.0, 0.0)
+            decided = dict(zip(every, model.decide_all(every, kernel).tolist(), strict=True))
+            new = [w for w in negative if decided[w] > -1 + 1e-3 and w not in used]
         score = decided.__getitem__
-        hard = sorted(vocabulary, key=lambda w: -decided[w])[:3000]
     bags, y = [bags[i] for i in np.flatnonzero(held)], y[held]
     if y.any() and not y.all():
         # toxic documents count a second time with their insults disguised, so that the threshold leaves room for those
         cache: dict[str, float] = {}
         top = _tops(bags, model, kernel, cache)
-        again = [{disguise(w) if len(w) > 3 and cache[w] > 0 else w for w in b} for b, label in zip(bags, y, strict=True) if label]
+        again = [{_disguise(w, rng) if len(w) > 3 and cache[w] > 0 else w for w in b} for b, label in zip(bags, y, strict=True) if label]
         model.scale, model.shift = _platt(np.append(top, _tops(again, model, kernel)), np.append(y, np.ones(len(again), int)), np.append(np.ones(len(y)), np.full(len(again), DISGUISED)))
-    if model.scale <= 0:
-        return prior
-    return model
+    return model if model.scale > 0 else prior
 
 
+def _disguise(w: str, rng: np.random.Generator) -> str:
+    at = int(rng.integers(1, len(w)))
+    return w[:at] + "abcdefghijklmnopqrstuvwxyz"[rng.integers(26)] + w[at:]
+
+
+def _grams(w: str) -> set[str]:
+    w = f"^{w}$"
+    return {w[i : i + k] for k in (4, 5, 6) for i in range(len(w) - k + 1)} or {w}
+
+
+def _evidence(toxic: list[set[str]], clean: list[set[str]], sizes: tuple[int, int]):
+    """The log odds of a word's most telling character n-gram, as a function of the word; n-grams of fewer than 3 toxic documents tell nothing."""
+    found = Counter(g for bag in toxic for g in set().union(*map(_grams, bag)))
+    found = {g: c for g, c in found.items() if c >= 3}
+    other: Counter = Counter()
+    for bag in clean:
+        other.update({g for w in bag for g in _grams(w) if g in found})
+    odds = {g: (np.log((c + 0.1) / (sizes[0] + 0.2)) - np.log((other[g] + 0.5) / (sizes[1] + 1))) * min(1.0, c / 8) for g, c in found.items()}
+    known: dict[str, float] = {}
+
+    def score(w: str) -> float:
+        if w not in known:
+            known[w] = max((odds.get(g, -9.0) for g in _grams(w)), default=-9.0)
+        return known[w]
+
+    return score
 
 
 def _tops(bags: list[set[str]], model: Model, kernel: Kernel, cache: dict | None = None) -> np.ndarray:
@@ -356,9 +379,7 @@ def _tops(bags: list[set[str]], model: Model, kernel: Kernel, cache: dict | None
     if len(cache) > 1_000_000:
         cache.clear()
     new = list(set().union(*bags) - cache.keys()) if bags else []
-    for at in range(0, len(new), 20000):
-        some = new[at : at + 20000]
-        cache.update(zip(some, model.decide(some, kernel).tolist(), strict=True))
+    cache.update(zip(new, model.decide_all(new, kernel).tolist(), strict=True))
     pad = [EMPTY] * TOPS
     d = np.array([(nlargest(TOPS, map(cache.__getitem__, b)) + pad)[:TOPS] for b in bags]).reshape(-1, TOPS).clip(EMPTY, -EMPTY)
     return d[:, 0] + np.log(np.exp(SHARP * (d - d[:, :1])).sum(1)) / SHARP
@@ -386,18 +407,30 @@ def fold(id_col="doc_id"):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Fit on labelled documents outside fold 0, at most `sample` of each class by a hash of the id."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+    """Fit on labelled documents outside fold 0, bounded as the module says: at most `sample` of each class by a hash of the id, and of these
+    the first whose distinct words take `sample_bytes` bytes together (one that takes more alone is passed over)."""
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)")
     known = known.groupBy("id").agg(F.max("y").alias("y")).where(fold("id") != 0)
-    order = (F.xxhash64("id"), F.col("id"))
-    chosen = [r for y in (0, 1) for r in known.where(F.col("y") == y).orderBy(*order).limit(sample).collect()]
+    chosen = [r for y in (0, 1) for r in known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(sample).collect()]
     if not chosen:
-        return fit_texts([], [])
-    spark = docs.sparkSession
-    picked = spark.createDataFrame([(r.id, r.y) for r in chosen], "_id long, y int")
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("t")).where("t IS NOT NULL").join(F.broadcast(picked), "_id").groupBy("_id", "y").agg(F.min("t").alias("t")).orderBy(F.xxhash64("_id"), "_id").collect()
-    return fit_texts([r.t for r in rows], [r.y for r in rows])
+        return fit_bags([], [])
+
+    def make():
+        kernel = Kernel()
+        return lambda cols: {"id": cols["id"], "y": cols["y"], "words": ["\n".join(sorted(bag_of(t, kernel))) for t in cols["text"]]}
+
+    picked = docs.sparkSession.createDataFrame([(r.id, r.y) for r in chosen], "_id long, _y int")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text IS NOT NULL").join(F.broadcast(picked), F.col("id") == F.col("_id"))
+    bags = map_batches(rows.select("id", F.col("_y").alias("y"), "text"), "id long, y int, words string", make)
+    bags = table(bags.groupBy("id", "y").agg(F.min("words").alias("words")), "bags")
+    room, taken = {0: sample_bytes, 1: sample_bytes}, []
+    for r in sorted(bags.select("id", "y", F.octet_length("words").alias("size"), F.xxhash64("id").alias("at")).collect(), key=lambda r: (r["at"], r.id)):
+        if r.size <= room[r.y]:
+            room[r.y] -= r.size
+            taken.append(r.id)
+    found = {r.id: r for r in bags.where(F.col("id").isin(taken)).collect()} if len(taken) < len(chosen) else {r.id: r for r in bags.collect()}
+    return fit_bags([set(filter(None, found[i].words.split("\n"))) for i in taken], [found[i].y for i in taken])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -345,6 +346,63 @@ def test_toxicity_tolerates_gaps_and_insertions():
     assert (s[:4] > 0.5).all() and (s[4:] < 0.5).all()
 
 
+def plain_kernel(a, b):
+    """Common subsequences of 3 and 4 symbols, by enumeration; normalised by the number of subsequences a word of its length has."""
+
+    def features(w):
+        s = [27, *map(toxicity._symbol, w), 27]
+        out, norm = {}, 0.0
+        for p, span in toxicity.SPANS.items():
+            for at in itertools.combinations(range(len(s)), p):
+                if at[-1] - at[0] < span:
+                    weight = toxicity.DECAY ** (at[-1] - at[0] + 1)
+                    key = tuple(s[i] for i in at)
+                    out[key] = out.get(key, 0.0) + weight
+                    norm += weight * weight
+        return out, max(norm, 1e-12) ** 0.5
+
+    (f, m), (g, n) = features(a), features(b)
+    return sum(v * g.get(k, 0.0) for k, v in f.items()) / (m * n)
+
+
+def test_the_folded_table_is_the_kernel_expansion():
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdé6-", k=rng.randrange(1, 25))) for _ in range(60)] + ["a", "ab", "gruzzlepit", "gruxzzlepit", "x" * 24]
+    kernel = toxicity.Kernel()
+    marks = toxicity.Landmarks(words[:20], kernel)
+    gram = marks.gram(words)
+    for i, w in enumerate(words):
+        assert gram[i] == pytest.approx([plain_kernel(w, m) for m in words[:20]], abs=1e-4)
+    coef = np.random.default_rng(1).normal(size=marks.whiten.shape[1])
+    model = toxicity.Model(marks.folded(coef), 0.25, 1.0, 0.0)
+    assert model.decide(words, kernel) == pytest.approx(marks.features(words) @ coef + 0.25, abs=2e-3)
+    long = "q" * 30 + words[5] + "q" * 30
+    assert model.decide([long], kernel)[0] == pytest.approx(max(model.decide(kernel.pieces(long), kernel)))
+
+
+def test_toxicity_learns_from_whole_words_and_from_every_clean_word(monkeypatch):
+    monkeypatch.setattr(toxicity, "START", 5)  # the working set has to find the rest
+    rng = random.Random(8)
+    clean = ["".join(rng.choices("aeioulnrst", k=7)) for _ in range(300)]
+    texts, labels = [], []
+    for i in range(300):
+        words = rng.sample(clean, 12)
+        if i % 3 == 0:
+            words.append("".join(rng.choices("aeioulnrst", k=30)) + "gruzzlepit" + "".join(rng.choices("aeioulnrst", k=9)))
+        texts.append(" ".join(words))
+        labels.append(int(i % 3 == 0))
+    score = toxicity.Scorer(toxicity.fit_texts(texts, labels))
+    assert (score(["tol " + "".join(rng.choices("aeioulnrst", k=40)) + "gruzzlepit", "lorna gruzzlepit"]) > 0.5).all()
+    assert (score([" ".join(rng.sample(clean, 12)) for _ in range(40)]) < 0.5).all()
+
+
+def test_toxicity_sample_bounds(spark):
+    docs = spark.createDataFrame([(i, ("gruzzlepit " if i % 2 else "") + f"tolan minem sar{i}" + " x1" * (i % 7)) for i in range(80)], "doc_id long, text string").unionByName(spark.createDataFrame([(81, " ".join(f"w{i}" for i in range(5000)))], "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(82)], "doc_id long, toxic int")
+    assert toxicity.fit(docs, labels, sample=30, sample_bytes=2000).table is not None  # document 81 is beyond the bytes
+    assert toxicity.fit(docs, labels, sample=0).table is None
+
+
 def test_toxicity_without_labels_and_over_odd_rows(spark):
     docs = odd_docs(spark)
     labels = spark.createDataFrame([(2, 0, None), (3, 1, None)], "doc_id long, quality int, toxic int")
