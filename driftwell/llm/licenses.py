@@ -1,8 +1,10 @@
 """License scans: ordered signature rules over the words of a text.
 
-Base phrases are found word by word in every text. The rules are regexes over the lower-cased words joined by single spaces;
-a keyword prefilter (one multi-string automaton) decides which rules can match a text at all; each alternative of a rule has a
-keyword. Detections are intervals of words with a priority; an interval that lies inside one of a higher priority (or of the same, but longer) is suppressed.
+Base phrases are found word by word in every text. The rules (license_rules.py) are hand-written regexes over the lower-cased words joined
+by single spaces. A keyword prefilter (one multi-string automaton) decides which rules can match a text at all; the
+keywords are read off the rules themselves: literal parts one of which every match holds. Detections are intervals of words with the rule's
+priority, its place in the order; an interval that lies inside one of a higher priority is suppressed, so of two rules that claim
+equal intervals the earlier one wins.
 
 Defined results: null and empty texts have no words; texts are read whole; repeated rows give repeated results; other columns
 are ignored.
@@ -11,12 +13,15 @@ are ignored.
 from __future__ import annotations
 
 import re
+import re._constants as code
+import re._parser as parser
 from bisect import bisect_right
 from functools import lru_cache
 
 import ahocorasick
 from pyspark.sql import DataFrame
 
+from . import license_rules
 from .common import map_batches
 
 #: The contract's phrases and labels.
@@ -24,129 +29,36 @@ PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apach
 
 _KEEP = bytes(c if c >= 0x80 or 48 <= c <= 57 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
-# Licenses as (label, keywords between bars, one of which every match holds; how it is named), in order of priority: a more specific name stands before a less specific one.
-FAMILIES = (
-    ("agpl-3.0", "affero", r"(?:gnu )?affero general public licen[sc]e(?: version| v)? ?3"),
-    ("agpl", "affero", r"(?:gnu )?affero general public licen[sc]e"),
-    ("lgpl-3.0", "lesser", r"(?:gnu )?lesser general public licen[sc]e(?: version| v)? ?3"),
-    ("lgpl-2.1", "lesser", r"(?:gnu )?lesser general public licen[sc]e(?: version| v)? ?2 1"),
-    ("lgpl-2.0", "library", r"(?:gnu )?library general public licen[sc]e(?: version| v)? ?2"),
-    ("lgpl", "lesser", r"(?:gnu )?lesser general public licen[sc]e"),
-    ("gpl-3.0", "general public", r"(?:gnu )?general public licen[sc]e(?: version| v)? ?3"),
-    ("gpl-2.0", "general public", r"(?:gnu )?general public licen[sc]e(?: version| v)? ?2"),
-    ("gpl", "general public", r"gnu general public licen[sc]e"),
-    ("gfdl", "documentation", r"(?:gnu )?free documentation licen[sc]e"),
-    ("apache-2", "apache", r"apache(?: software)? licen[sc]e(?: version| v)? ?2(?: 0)?"),
-    ("apache-1.1", "apache", r"apache(?: software)? licen[sc]e(?: version| v)? ?1 1"),
-    ("apache", "apache", r"apache(?: software)? licen[sc]e"),
-    ("mpl-2.0", "mozilla", r"mozilla public licen[sc]e(?: version| v)? ?2(?: 0)?"),
-    ("mpl-1.1", "mozilla", r"mozilla public licen[sc]e(?: version| v)? ?1 1"),
-    ("mpl", "mozilla", r"mozilla public licen[sc]e"),
-    ("epl-2.0", "eclipse", r"eclipse public licen[sc]e(?: version| v)? ?2(?: 0)?"),
-    ("epl-1.0", "eclipse", r"eclipse public licen[sc]e"),
-    ("edl-1.0", "eclipse", r"eclipse distribution licen[sc]e"),
-    ("eupl-1.2", "european", r"european union public licen[sc]e"),
-    ("cddl-1.0", "distribution", r"common development and distribution licen[sc]e"),
-    ("cpl-1.0", "common public", r"common public licen[sc]e"),
-    ("osl-3.0", "open software", r"open software licen[sc]e"),
-    ("afl-3.0", "academic free", r"academic free licen[sc]e"),
-    ("artistic-2.0", "artistic", r"artistic licen[sc]e(?: version| v)? ?2(?: 0)?"),
-    ("artistic-1.0", "artistic", r"artistic licen[sc]e"),
-    ("bsd-4-clause", "clause|original bsd", r"(?:4|four) clause bsd|bsd 4 clause|original bsd licen[sc]e"),
-    ("bsd-3-clause", "clause", r"(?:3|three) clause bsd|bsd 3 clause"),
-    ("bsd-2-clause", "clause", r"(?:2|two) clause bsd|bsd 2 clause"),
-    ("bsd-3-clause", "bsd", r"(?:new|modified|revised) bsd licen[sc]e"),
-    ("bsd-2-clause", "bsd", r"(?:simplified|freebsd) bsd licen[sc]e|freebsd licen[sc]e"),
-    ("0bsd", "bsd", r"zero clause bsd|bsd zero clause|0bsd"),
-    ("bsd", "bsd", r"bsd(?: style)? licen[sc]e"),
-    ("mit-0", "attribution", r"mit no attribution"),
-    ("mit", "mit", r"(?:the )?mit(?: x11)? licen[sc]e|(?:under|licen[sc]e|licen[sc]ed) (?:the )?mit\b"),
-    ("x11", "x11", r"x11 licen[sc]e"),
-    ("isc", "isc", r"isc licen[sc]e"),
-    ("zlib", "zlib", r"zlib(?: libpng)? licen[sc]e"),
-    ("libpng", "libpng", r"libpng licen[sc]e"),
-    ("bsl-1.0", "boost", r"boost software licen[sc]e"),
-    ("busl-1.1", "business source", r"business source licen[sc]e"),
-    ("elastic-2.0", "elastic", r"elastic licen[sc]e"),
-    ("sspl-1.0", "server side", r"server side public licen[sc]e"),
-    ("unlicense", "unlicense", r"(?:the )?unlicense"),
-    ("wtfpl", "what the|wtfpl", r"do what the \w+ you want to public licen[sc]e|wtfpl"),
-    ("python-2.0", "python", r"python(?: software foundation)? licen[sc]e"),
-    ("php-3.01", "php", r"php licen[sc]e"),
-    ("ruby", "ruby", r"ruby licen[sc]e"),
-    ("postgresql", "postgresql", r"postgresql licen[sc]e"),
-    ("openssl", "openssl", r"openssl licen[sc]e"),
-    ("ncsa", "ncsa", r"(?:university of illinois )?ncsa(?: open source)? licen[sc]e"),
-    ("ofl-1.1", "font", r"(?:sil )?open font licen[sc]e"),
-    ("upl-1.0", "universal", r"universal permissive licen[sc]e"),
-    ("ms-pl", "microsoft", r"microsoft public licen[sc]e"),
-    ("ms-rl", "microsoft", r"microsoft reciprocal licen[sc]e"),
-    ("cecill-2.1", "cecill", r"cecill(?: free software)?(?: licen[sc]e)?"),
-    ("odbl-1.0", "database|odbl", r"open database licen[sc]e|odbl"),
-    ("odc-by-1.0", "commons", r"open data commons attribution"),
-    ("pddl-1.0", "public domain", r"public domain dedication and licen[sc]e"),
-    ("cdla-permissive", "community data", r"community data licen[sc]e agreement permissive"),
-    ("openrail", "openrail", r"(?:creative ml |bigscience )?openrail(?: m)?(?: licen[sc]e)?"),
-    ("vim", "vim", r"vim licen[sc]e"),
-    ("curl", "curl", r"curl licen[sc]e"),
-    ("intel", "intel", r"intel open source licen[sc]e"),
-    ("nasa-1.3", "nasa", r"nasa open source agreement"),
-    ("w3c", "w3c", r"w3c (?:software notice and )?licen[sc]e"),
-    ("blueoak-1.0.0", "blue oak", r"blue oak model licen[sc]e"),
-    ("mulanpsl-2.0", "mulan", r"mulan p(?:ermissive software licen[sc]e|sl)"),
-    ("cc0-1.0", "cc0", r"cc0(?: 1 0)?(?: universal)?"),
-    ("public-domain", "public domain", r"(?:in|into|to) the public domain"),
-    ("all-rights-reserved", "all rights", r"all rights reserved"),
-    ("proprietary", "proprietary", r"proprietary and confidential|confidential and proprietary"),
-)
-# The texts of licenses by a telling sentence.
-BODIES = (
-    ("mit", "permission is hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("isc", "permission to use", r"permission to use copy modify and or distribute this software for any purpose with or without fee"),
-    ("bsd", "redistribution and use", r"redistribution and use in source and binary forms with or without modification are permitted"),
-    ("bsd-3-clause", "neither the name", r"neither the name of .{1,80}? nor the names of (?:its|their) contributors may be used"),
-    ("bsd-4-clause", "all advertising", r"all advertising materials mentioning features or use of this software"),
-    ("gpl", "free software you can", r"this program is free software you can redistribute it and or modify"),
-    ("apache-2", "except in compliance", r"you may not use this file except in compliance with the licen[sc]e"),
-    ("mpl-2.0", "source code form", r"this source code form is subject to the terms of the mozilla public"),
-    ("zlib", "as is without", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
-    ("bsl-1.0", "person or organization", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying"),
-    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
-    ("ofl-1.1", "reserved font", r"reserved font name"),
-    ("cc-by", "creative commons attribution", r"creative commons attribution(?: international| generic| unported)?(?: \d \d)?(?: international| generic| unported)?(?: public)? licen[sc]e"),
-)
-# Elements of the Creative Commons licenses, most restrictive first, with their spelled forms.
-CC = (("by nc nd", "attribution non ?commercial no ?deriv\\w*"), ("by nc sa", "attribution non ?commercial share ?alike"), ("by nc", "attribution non ?commercial"), ("by nd", "attribution no ?deriv\\w*"), ("by sa", "attribution share ?alike"), ("by", "attribution"))
-_IDS = sorted({f[0] for f in FAMILIES} | {"gpl-2.0-only", "gpl-2.0-or-later", "gpl-3.0-only", "gpl-3.0-or-later", "lgpl-2.1-or-later", "lgpl-3.0-or-later", "agpl-3.0-only", "agpl-3.0-or-later", "apache-2.0", "apache-1.0", "mpl-1.0", "epl-1.0", "cc-by-4.0", "cc-by-sa-4.0", "cc-by-nc-4.0", "cc-by-nc-sa-4.0", "cc-by-nc-nd-4.0", "cc-by-nd-4.0", "cc-by-3.0", "cc-by-sa-3.0"})
+
+def keywords(regex: str) -> tuple[str, ...]:
+    """Literals one of which every match of the regex holds: of all parts that each match must pass, the one with the longest literals."""
+
+    def best(parts) -> tuple[str, ...]:
+        found: list[tuple[str, ...]] = []
+        run = ""
+        for op, value in [*parts, (None, None)]:
+            if op is code.LITERAL:
+                run += chr(value)
+                continue
+            if run:
+                found.append((run,))
+            run = ""
+            if op is code.SUBPATTERN:
+                found.append(best(value[3]))
+            elif op is code.BRANCH:
+                each = [best(p) for p in value[1]]
+                found.append(tuple(dict.fromkeys(w for e in each for w in e)) if all(each) else ())
+            elif op in (code.MAX_REPEAT, code.MIN_REPEAT) and value[0]:
+                found.append(best(value[2]))
+        return max(filter(None, found), key=lambda ws: min(map(len, ws)), default=())
+
+    return best(parser.parse(regex))
 
 
 @lru_cache(1)
-def rules() -> list[tuple[str, str, re.Pattern, int, float]]:
-    """(label, keywords, regex, priority, confidence): tags, then bodies, notices, names, and mere mentions."""
-    out = []
-
-    def add(label, keyword, regex, priority, sure):
-        out.append((label, keyword, re.compile(rf"(?<!\S)(?:{regex})(?!\S)"), priority, sure))
-
-    for i in _IDS:
-        spoken = i.replace("-", " ").replace(".", " ")
-        add("apache-2" if i == "apache-2.0" else i, "spdx", rf"spdx licen[sc]e identifier {re.escape(spoken)}", 500 + len(spoken), 1.0)
-    for n, (label, keyword, regex) in enumerate(BODIES):
-        add(label, keyword, regex, 400 - n, 0.95)
-    for n, (elements, spelled) in enumerate(CC):
-        label = "cc-" + elements.replace(" ", "-")
-        for version, tail in (("1.0", "1 0"), ("2.0", "2 0"), ("2.5", "2 5"), ("3.0", "3 0"), ("4.0", "4 0")):
-            add(f"{label}-{version}", "cc", rf"cc {elements} {tail}", 330 - n, 0.9)
-            add(f"{label}-{version}", "creative commons", rf"creative commons {spelled} {tail}", 330 - n, 0.9)
-        add(label, "cc", rf"cc {elements}", 310 - n, 0.8)
-        add(label, "creative commons", rf"creative commons {spelled}", 310 - n, 0.8)
-        add(label, "creativecommons", rf"creativecommons org licen[sc]es {elements}(?: \d \d)?", 320 - n, 0.9)
-    notice = r"(?:licen[sc]ed|released|distributed|published|available|made available|redistributed|provided|covered|governed) (?:under|by|to you under)(?: the)?(?: terms of)?(?: the)?"
-    for n, (label, keyword, regex) in enumerate(FAMILIES):
-        add(label, keyword, rf"{notice} (?:{regex})", 250 - n, 0.9)
-        add(label, keyword, regex, 150 - n, 0.7)
-    add("unspecified", "licen", r"licen[sc]ed under(?: the)?(?: \S+){0,3}? licen[sc]e|see (?:the )?(?:file )?licen[sc]e", 10, 0.3)
-    return out
+def rules() -> list[tuple[str, tuple[str, ...], re.Pattern, float]]:
+    """(label, keywords, regex, confidence) in order of priority."""
+    return [(label, keywords(regex), re.compile(rf"(?<!\S)(?:{regex})(?!\S)"), license_rules.WEAK.get(label, sure)) for group, sure in license_rules.KINDS for label, regex in group]
 
 
 class Scanner:
@@ -155,7 +67,7 @@ class Scanner:
         self.phrases = [(tuple(p.encode().split()), label) for p, label in PHRASES]
         by: dict[str, list[int]] = {}
         for i, r in enumerate(self.rules):
-            for word in r[1].split("|"):
+            for word in r[1]:
                 by.setdefault(word, []).append(i)
         self.hints = ahocorasick.Automaton()
         for word, ids in by.items():
@@ -180,9 +92,11 @@ class Scanner:
                 at = joined.find(needle, at + 1)
         return len(words), places, sorted(labels), self._rules(joined.decode("utf-8", "surrogatepass"))
 
+    def possible(self, joined: str) -> list[int]:
+        return sorted({i for _, (_, ids) in self.hints.iter(joined) for i in ids})
+
     def _rules(self, joined: str) -> list[tuple[str, int, int, float]]:
-        possible = sorted({i for _, (_, ids) in self.hints.iter(joined) for i in ids})
-        spans = [(r[3], m.end() - m.start(), m.start(), m.end(), r[0], r[4]) for r in (self.rules[i] for i in possible) for m in r[2].finditer(joined)]
+        spans = [(-i, m.end() - m.start(), m.start(), m.end(), self.rules[i][0], self.rules[i][3]) for i in self.possible(joined) for m in self.rules[i][2].finditer(joined)]
         spans.sort(key=lambda s: (-s[0], -s[1], s[2], s[4]))
         kept: list[tuple[int, int, str, float]] = []
         starts: list[int] = []
