@@ -7,15 +7,19 @@
 3. Classes that share a band bucket are candidates. Each bucket gives a forest of edges, fewer than its members: in a bucket of up
    to BUCKET members the pairs whose signatures and sizes may belong to linked sets, in a larger one a star around its smallest
    member. The forests' components are the candidate clusters; every linked pair that shares a bucket is inside one.
-4. Clusters are confirmed on full sets in blocks of about BLOCK members, each with a few hubs of the whole cluster. What blocks and
-   hubs leave apart (outsiders of the cluster's largest component) then meets all of the cluster, blockwise. Every pair is
+4. Clusters are confirmed on full sets in blocks of about BLOCK members or BLOCK_BYTES, each with a few hubs of the whole cluster. What
+   blocks and hubs leave apart (outsiders of the cluster's largest component) then meets all of the cluster, blockwise, first by
+   signatures alone; full sets are shipped only for members that signatures can't tell apart. Every pair is
    tested unless it is connected already; a group emits links, never its pairs. Nothing is capped.
-5. Components come from alternating large-star / small-star steps; each class gets its component's smallest doc_id.
+5. Components come from alternating large-star / small-star steps; nodes with more than 1/HUBS of all edges (2 * HUBS of them at most)
+   are joined by broadcast, so that no star's edges meet in one task. Each class gets its component's smallest doc_id.
 
 A pair at the threshold shares no band with probability (1 - t^ROWS)^BANDS: 5e-11 at 0.85, 7e-8 at 0.8 (ROWS 4, BANDS 32).
 
 Defined results: documents without words (or null) have an empty set and are linked with nothing; equal rows are linked
-like any others; rows without doc_id are linked with nothing; other columns are ignored.
+like any others; rows without doc_id are linked with nothing; other columns are ignored. Where rows share a doc_id, `link` names the
+component by the smallest doc_id of its rows, and `keep_one` decides by row: of a component's rows the one with the smallest doc_id
+(then set) stays, whatever happens to the id's other rows; rows with empty sets or without doc_id stay.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, map_batches, table
+from .common import checked_broadcast, drop_tables, map_batches, table
 
 ROWS, BANDS = 4, 32
 BINS = ROWS * BANDS
@@ -35,6 +39,10 @@ BINS = ROWS * BANDS
 SLACK = 0.2
 #: Members of a bucket, and of a cluster's block, that a task holds at a time.
 BUCKET, BLOCK = 2048, 1024
+#: Bytes of full sets in a block, on average.
+BLOCK_BYTES = 32_000_000
+#: A node with more than this part of all edges is a hub.
+HUBS = 1000
 
 _U = np.uint64
 _rng = np.random.default_rng(20240601)
@@ -221,57 +229,94 @@ class _Group:
         return out
 
 
+    def doubtful(self) -> np.ndarray:
+        """Members that signature and size can't tell apart from one of another root; side 0 against all."""
+        out = np.zeros(len(self.rows), bool)
+        for i in np.flatnonzero(self.side == 0).tolist():
+            other = np.flatnonzero((self.part != self.part[i]) & (100 * np.minimum(self.n, self.n[i]) >= self.percent * np.maximum(self.n, self.n[i])))
+            if len(other):
+                near = other[(self.sig[other] == self.sig[i]).sum(1) >= self.least]
+                out[near] = True
+                out[i] |= len(near) > 0
+        return out
+
+
+def _groups(batches, n: int):
+    """Lists of the rows (without their first column) that share the first column, which the batches are sorted by."""
+    held: list[tuple] = []
+    now = None
+    for batch in batches:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(n)), strict=True):
+            if row[0] != now and held:
+                yield now, held
+                held = []
+            now = row[0]
+            held.append(row[1:])
+    if held:
+        yield now, held
+
+
+def _scouts(rows: DataFrame, percent: int) -> DataFrame:
+    """(part, side, set_id) of the members of each group of rows (part, side, set_id, n, sig, root) whose full sets have to be compared."""
+
+    def run(batches):
+        kind = pa.schema([("part", pa.int64()), ("side", pa.int32()), ("set_id", pa.binary())])
+        for part, held in _groups(batches, 6):
+            keep = [held[i] for i in np.flatnonzero(_Group([(*r, None) for r in held], percent, exact=False).doubtful()).tolist()]
+            if keep:
+                yield pa.RecordBatch.from_arrays([pa.array([part] * len(keep), pa.int64()), pa.array([r[0] for r in keep], pa.int32()), pa.array([r[1] for r in keep], pa.binary())], schema=kind)
+
+    return rows.select("part", "side", "set_id", "n", "sig", "root").repartition("part").sortWithinPartitions("part", "side").mapInArrow(run, "part long, side int, set_id binary")
+
+
 def _forests(rows: DataFrame, percent: int, exact: bool) -> DataFrame:
     """Links (a, b) inside each group of rows (part, side, set_id, n, sig, root, members); a task holds one group at a time."""
 
     def run(batches):
         kind = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-        held: list[tuple] = []
-        now, out = None, []
-
-        def close():
-            if len(held) > 1:
-                out.extend(_Group(held, percent, exact).forest())
-
-        for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
-                if row[0] != now:
-                    close()
-                    held, now = [], row[0]
-                held.append(row[1:])
+        for _, held in _groups(batches, 7):
+            out = _Group(held, percent, exact).forest() if len(held) > 1 else []
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())], schema=kind)
-                out = []
-        close()
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())], schema=kind)
 
     return rows.select("part", "side", "set_id", "n", "sig", "root", "members").repartition("part").sortWithinPartitions("part", "side").mapInArrow(run, "a binary, b binary")
 
 
+def _with_least(edges: DataFrame, key: str, other: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """The edges, each with m: the least of `key` itself and its values of `other` (and the table that holds m by node).
+
+    A hub's edges stay where they are: hubs are at most 2 * HUBS nodes, as each has more than 1/HUBS of the edges, and are broadcast.
+    """
+    low = table(edges.groupBy(key).agg(F.min(other).alias("m"), F.count("*").alias("degree")).select(F.col(key).alias("node"), F.least(key, "m").alias("m"), "degree"), name)
+    total = low.agg(F.sum("degree")).first()[0] or 0
+    hubs = F.broadcast(low.where(F.col("degree") * HUBS > total).select(F.col("node").alias("hub"), F.col("m").alias("hub_m")))
+    at_hubs = edges.join(hubs, F.col(key) == F.col("hub")).select("a", "b", F.col("hub_m").alias("m"))
+    others = edges.join(hubs, F.col(key) == F.col("hub"), "left_anti").join(low, F.col(key) == F.col("node")).select("a", "b", "m")
+    return at_hubs.unionAll(others), low
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """node, root (its component's smallest node) for all nodes of the edges (a, b), by alternating star steps."""
     now = table(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), name)
     while True:
-        both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("m"))
         # large star: every larger neighbour of a node moves to the node's smallest neighbour
-        large = both.where("b > a").join(low, F.col("a") == F.col("node")).select(F.col("m").alias("a"), "b").where("a < b").distinct()
-        large = table(large, name)
+        both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near, low = _with_least(both, "a", "b", name)
+        large = table(near.where("b > a").select(F.col("m").alias("a"), "b").where("a < b").distinct(), name)
         # small star: a node and its smaller neighbours move to the smallest of them
-        down = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(down, "b").select(F.col("m").alias("a"), F.when(F.col("a") == F.col("m"), F.col("b")).otherwise(F.col("a")).alias("b"))
+        near, down = _with_least(large, "b", "a", name)
+        small = near.select(F.col("m").alias("a"), F.when(F.col("a") == F.col("m"), F.col("b")).otherwise(F.col("a")).alias("b"))
         new = table(small.where("a < b").distinct(), name)
         done = new.join(now, ["a", "b"], "left_anti").isEmpty() and now.join(new, ["a", "b"], "left_anti").isEmpty()
+        drop_tables(now, low, large, down)
         now = new
         if done:
             break
     return now.select(F.col("b").alias("node"), F.col("a").alias("root")).unionAll(now.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
 
 
-def link(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (its component's smallest doc_id), kept."""
-    docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+def _linked(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, set_id, root (its component's smallest set) and named (its smallest doc_id; both null for sets without links or copies)."""
     rows = table(sketches(docs, shingle), "sketches")
     classes = rows.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
     classes = table(classes, "classes")
@@ -285,59 +330,87 @@ def link(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "do
     small = entries.where(F.col("size") <= BUCKET).join(facts, "set_id").select(F.col("band").alias("part"), F.lit(0).alias("side"), "set_id", "n", "sig", F.col("set_id").alias("root"), F.lit(None).cast("binary").alias("members"))
     large = entries.where((F.col("size") > BUCKET) & (F.col("set_id") != F.col("centre"))).select(F.col("centre").alias("a"), F.col("set_id").alias("b"))
     clusters = table(components(_forests(small, percent, exact=False).unionAll(large)).select(F.col("node").alias("set_id"), F.col("root").alias("cluster")), "clusters")
+    drop_tables(entries)
 
     # links inside the clusters' blocks, on full sets
     members = table(clusters.join(facts, "set_id"), "members")
     sets = table(_full_sets(docs, shingle, members.select(F.col("first_id").alias("doc_id"), "set_id")), "sets")
     if sets.count() > members.count():  # rows that repeat whole
         sets = table(sets.dropDuplicates(["set_id"]), "sets")
-    sizes = members.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sizes = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
     dealt = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-    dealt = table(dealt.join(sets, "set_id"), "dealt")
-    shape = [F.lit(0).alias("side"), "set_id", "n", "sig", F.col("set_id").alias("root"), "members"]
+    shape = [F.lit(0).alias("side"), "set_id", "n", "sig", F.col("set_id").alias("root")]
     plain = dealt.select(F.xxhash64("cluster", "block").alias("part"), *shape)
-    wide = dealt.where("blocks > 1")
+    wide = table(dealt.where("blocks > 1"), "wide")
     hubs = wide.groupBy("cluster", "blocks").agg(F.min("set_id").alias("h1"), F.max("set_id").alias("h2"), F.min_by("set_id", F.xxhash64("set_id", F.lit(2))).alias("h3"), F.min_by("set_id", F.xxhash64("set_id", F.lit(3))).alias("h4"), F.max_by("set_id", "n").alias("h5"))
     hubs = hubs.select("cluster", F.explode(F.array_distinct(F.array("h1", "h2", "h3", "h4", "h5"))).alias("set_id"))
     hubs = wide.join(hubs, ["cluster", "set_id"]).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("to != block")
-    links = table(_forests(plain.unionAll(hubs.select(F.xxhash64("cluster", "to").alias("part"), *shape)), percent, exact=True), "links")
+    blocks = plain.unionAll(hubs.select(F.xxhash64("cluster", "to").alias("part"), *shape)).join(sets, "set_id")
+    links = table(_forests(blocks, percent, exact=True), "links")
     roots = table(components(links), "roots")
 
     if not wide.isEmpty():  # what blocks and hubs left apart in wide clusters meets all of its cluster
-        known = table(wide.select("cluster", "block", "set_id").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id")), "known")
+        known = table(wide.select("cluster", "block", "blocks", "set_id", "n", "sig").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id")), "known")
         counted = known.groupBy("cluster", "root").count()
         main = counted.groupBy("cluster").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("of")).where("of > 1")
         known = known.join(main, "cluster").withColumn("out", F.col("root") != F.col("main"))
         strays = known.where("out").groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("groups"))
-        known = known.join(strays, "cluster").join(wide.select("set_id", "n", "sig", "members", "blocks"), "set_id")
-        known = table(known, "known")
-        shape = ["set_id", "n", "sig", "root", "members"]
+        known = table(known.join(strays, "cluster"), "known")
+        shape = ["set_id", "n", "sig", "root"]
         group = F.pmod(F.xxhash64("set_id", F.lit(4)), F.col("groups")).cast("int")
         tests = known.where("out").withColumn("group", group).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         tests = tests.select(F.xxhash64("cluster", "group", "to", F.lit(5)).alias("part"), F.lit(0).alias("side"), *shape)
         every = known.withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
         every = every.select(F.xxhash64("cluster", "group", "block", F.lit(5)).alias("part"), F.lit(1).alias("side"), *shape)
-        more = table(_forests(tests.unionAll(every), percent, exact=True), "more")
+        doubtful = table(_scouts(tests.unionAll(every), percent), "doubtful").join(known.select(*shape), "set_id").join(sets, "set_id")
+        more = table(_forests(doubtful, percent, exact=True), "more")
         if not more.isEmpty():
             roots = table(components(links.unionAll(more)), "roots")
+        drop_tables(known, more)
+    drop_tables(clusters, members, sets, wide, links)
 
     named = classes.select("set_id", "first_id", "copies").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
     named = named.where("root IS NOT NULL OR copies > 1").withColumn("root", F.coalesce("root", "set_id"))
-    names = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    names = named.join(names, "root").select("set_id", F.col("component_id").alias("named"))
-    out = rows.select("doc_id", "n_shingles", "set_id").join(names, "set_id", "left")
+    names = named.groupBy("root").agg(F.min("first_id").alias("named"))
+    return rows.select("doc_id", "n_shingles", "set_id").join(named.join(names, "root").select("set_id", "root", "named"), "set_id", "left")
+
+
+def link(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (its component's smallest doc_id), kept."""
+    out = _linked(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), shingle, percent)
     return out.select("doc_id", "n_shingles", F.coalesce("named", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of one document of each group: the one with the smallest doc_id (documents without doc_id stay)."""
-    found = link(docs, shingle, percent, id_col, text_col)
-    found = table(found, "found")
-    losers = found.where("doc_id IS NOT NULL AND NOT kept").select(F.col("doc_id").alias("_lost")).distinct()
-    out = docs.join(checked_broadcast(losers), docs[id_col].cast("long") == losers["_lost"], "left_anti")
-    repeated = found.where("kept").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_lost"))
+    found = table(_linked(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), shingle, percent), "found")
+    ids = docs[id_col].cast("long")
+    losers = found.where("doc_id != named").select(F.col("doc_id").alias("_lost")).distinct()
+    repeated = table(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again")), "repeated")
     if repeated.isEmpty():
-        return out
+        return docs.join(checked_broadcast(losers), ids == losers["_lost"], "left_anti")
+
+    # ids of several rows: decide by (doc_id, set)
     again = checked_broadcast(repeated)
-    once = out.join(again, out[id_col].cast("long") == repeated["_lost"], "left_semi").dropDuplicates([id_col])
-    return out.join(again, out[id_col].cast("long") == repeated["_lost"], "left_anti").unionByName(once)
+    single = docs.join(again, ids == repeated["_again"], "left_anti")
+    single = single.join(checked_broadcast(losers), ids == losers["_lost"], "left_anti")
+    best = found.where("set_id IS NOT NULL").groupBy(F.coalesce("root", "set_id").alias("root")).agg(F.min(F.struct("doc_id", "set_id")).alias("w")).select(F.col("w.doc_id").alias("_id"), F.col("w.set_id").alias("_set"))
+    named = docs.join(again, ids == repeated["_again"], "left_semi").select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"))
+    marked = _with_set(named, shingle, id_col, text_col)
+    empty = marked.where("_set IS NULL").select("_row")
+    kept = marked.where("_set IS NOT NULL").join(best, ["_id", "_set"], "left_semi").groupBy("_id", "_set").agg(F.first("_row").alias("_row")).select("_row")
+    return single.unionByName(kept.unionAll(empty).select("_row.*"))
+
+
+def _with_set(rows: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """_row, _id and _set (the fingerprint of the row's shingle set; null if that is empty) for rows packed as _row."""
+
+    def run(batches):
+        sets = Shingler(shingle)
+        for batch in batches:
+            found = [sets(t) for t in batch.column(2).to_pylist()]
+            marks = pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), marks], names=["_row", "_id", "_set"])
+
+    src = rows.select("_row", F.col("_row")[id_col].cast("long").alias("_id"), F.col("_row")[text_col].alias("_text"))
+    return src.mapInArrow(run, f"_row {rows.schema['_row'].dataType.simpleString()}, _id long, _set binary")
