@@ -6,13 +6,16 @@ overlap of MIN_WORDS words or more with a share of AGREE agreeing, wherever its
 it). Hashes of all masks at all positions of the benchmark form a small lookup; every document's hashes are looked up in it, and each hit is verified: the two
 texts are aligned at the hit and the longest stretch of the whole alignment is taken that runs from an agreeing word to an agreeing
 word with a share of AGREE agreeing. A document is contaminated when such an overlap has MIN_WORDS words, or covers a benchmark item
-that is shorter whole.
+that is shorter whole. Items of fewer than MIN_ITEM words are everyday phrases; texts that hold one are counted (n_short), not contaminated.
 
-The benchmark goes to every task; its size is checked against MAX_BENCHMARK_CHARS, beyond which it is read in slices, each
-of them within the bound. Documents are never shuffled. A document reports each item once, however many hits it has.
+A benchmark of at most MAX_BENCHMARK_CHARS characters (its size is measured) goes to every task once. A larger one is dealt into slices
+within that bound (an item that is longer alone is a slice of its own): one pass over the documents for each slice writes its hits, and
+the next slice is only sent when the last one is gone, so that no driver, executor or task holds two. Documents are
+never shuffled but for hits joined back after the last slice. A document reports each item once, however many hits it has.
 
-Defined results: null or empty texts are clean; items without words match nothing; texts are read whole; an alignment
-is searched once, however many hits it has; other columns are ignored or passed through (`drop`).
+Defined results: null or empty texts are clean; items without words match nothing; items with equal words are one in memory and all are
+reported; texts are read whole; an alignment is searched once, however many hits it has; repeated rows are judged alike; other
+columns are ignored or passed through (`drop`).
 """
 
 from __future__ import annotations
@@ -25,13 +28,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filter_batches, map_batches
+from .common import checked_broadcast, filter_batches, map_batches, table
 
 #: Masks; 1 looks at a position, 0 ignores it. No 2 substitutions in 13 words, 3 in 15, 4 in 20 or 5 in 25 hit them all at
 #: every offset, nor 2 inside 12 words; longer overlaps can be cut into pieces of 13 to 25 words, one of which has its share.
 MASKS = ("1110111", "11010001011", "110101101")
 #: Items of fewer words are looked for whole.
 SPAN = 12
+#: Items of fewer words never contaminate a text.
+MIN_ITEM = 5
 #: Shortest verified overlap in words, and the share of its words that have to agree.
 MIN_WORDS, AGREE = 13, 0.8
 _NUM, _DEN = Fraction(str(AGREE)).as_integer_ratio()
@@ -62,63 +67,63 @@ def seeds(words: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Index:
-    """The benchmark's words, seeds and items."""
+    """The benchmark's words, seeds and items; items with equal words are kept once."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.number: dict[str, int] = {}
-        self.items: list[tuple[int, np.ndarray]] = []
+        own: dict[bytes, tuple[list, np.ndarray]] = {}
         for key, text in items:
-            w = [self.number.setdefault(x, len(self.number) + 1) for x in _WORD.findall((text or "").lower())]
-            if w:
-                self.items.append((key, np.array(w, np.int64)))
+            w = np.array([self.number.setdefault(x, len(self.number) + 1) for x in _WORD.findall((text or "").lower())], np.int64)
+            if len(w):
+                own.setdefault(w.tobytes(), ([], w))[0].append(key)
+        self.keys, self.items = [k for k, _ in own.values()], [w for _, w in own.values()]
         self.tables = []
         for mask in MASKS:
             hs, at = [], []
-            for i, (_, w) in enumerate(self.items):
+            for i, w in enumerate(self.items):
                 where, h = seeds(w if len(w) >= SPAN else w[:0], mask)
                 hs.append(h)
-                at += [(i, p) for p in where.tolist()]
+                at.append(np.stack([np.full(len(where), i), where], 1))
             h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
             order = np.argsort(h, kind="stable")
-            self.tables.append((h[order], np.array(at, np.int64).reshape(-1, 2)[order]))
+            self.tables.append((h[order], np.concatenate(at)[order] if at else np.zeros((0, 2), np.int64)))
         self.short = defaultdict(list)  # items of fewer than SPAN words are looked for whole, by their first word
-        for i, (_, w) in enumerate(self.items):
+        for i, w in enumerate(self.items):
             if len(w) < SPAN:
                 self.short[int(w[0])].append(i)
 
-    def overlaps(self, text: str | None) -> list[tuple[int, int, int, int, int]]:
-        """Verified overlaps (item, first word in the document, first word in the item, words, words that agree), longest per item."""
+    def overlaps(self, text: str | None, first_only: bool = False) -> list[tuple[list, int, int, int, int]]:
+        """Verified overlaps (keys of the item, first word in the document, first word in the item, words, words that agree), longest per item;
+        items of fewer than MIN_ITEM words among them. `first_only`: stop at the first that contaminates."""
         if not text or not self.items:
             return []
         get = self.number.get
         words = np.fromiter((get(x, 0) for x in _WORD.findall(text.lower())), np.int64)
         found: dict[int, tuple] = {}
-        done: set[tuple[int, int]] = set()  # alignments that are searched
-        hits = []
+        hits = [np.zeros((0, 2), np.int64)]  # alignments: (item, shift)
         for mask, (table, at) in zip(MASKS, self.tables, strict=True):
             where, h = seeds(words, mask)
             lo = np.searchsorted(table, h, "left")
             ok = lo < len(table)
             ok[ok] = table[lo[ok]] == h[ok]
-            for p, a in zip(where[ok].tolist(), lo[ok].tolist(), strict=True):
-                b = a
-                while b < len(table) and table[b] == table[a]:
-                    hits.append((p, int(at[b, 0]), int(at[b, 1])))
-                    b += 1
-        for p, i, q in sorted(hits):
-            if (i, p - q) in done:
-                continue
-            done.add((i, p - q))
-            key, item = self.items[i]
-            a, n, same = self._longest(words, item, p - q)
+            where, lo = where[ok], lo[ok]
+            for a in np.unique(lo).tolist():  # each seed once, with all its places in the text and in the items
+                own = at[a : int(np.searchsorted(table, table[a], "right"))]
+                p = where[lo == a]
+                hits.append(np.stack([np.tile(own[:, 0], len(p)), np.repeat(p, len(own)) - np.tile(own[:, 1], len(p))], 1))
+        for i, shift in np.unique(np.concatenate(hits), axis=0).tolist():
+            item = self.items[i]
+            a, n, same = self._longest(words, item, shift)
             if n >= min(MIN_WORDS, len(item)) and (i not in found or n > found[i][3]):
-                found[i] = (key, a, a - (p - q), n, same)
+                found[i] = (self.keys[i], a, a - shift, n, same)
+                if first_only:
+                    return [found[i]]
         if self.short:
             for p in np.flatnonzero(np.isin(words, list(self.short))).tolist():
                 for i in self.short[int(words[p])]:
-                    w = self.items[i][1]
-                    if i not in found and np.array_equal(words[p : p + len(w)], w):
-                        found[i] = (self.items[i][0], p, 0, len(w), len(w))
+                    w = self.items[i]
+                    if i not in found and not (first_only and len(w) < MIN_ITEM) and np.array_equal(words[p : p + len(w)], w):
+                        found[i] = (self.keys[i], p, 0, len(w), len(w))
         return [found[i] for i in sorted(found)]
 
     @staticmethod
@@ -136,41 +141,84 @@ class Index:
         return int(at[first[y]]), int(words[y]), y - int(first[y]) + 1
 
 
-def _slices(benchmark: DataFrame, item_col: str, text_col: str) -> list[list[tuple[int, str]]]:
-    """The items in slices of at most MAX_BENCHMARK_CHARS characters (one slice for every benchmark in use)."""
-    items = benchmark.select(F.col(item_col).cast("long"), F.col(text_col)).where(F.col(text_col).isNotNull())
-    total = items.select(F.sum(F.length(text_col))).first()[0] or 0
-    parts = int(total // MAX_BENCHMARK_CHARS) + 1
-    return [sorted(((r[0], r[1]) for r in items.where(F.pmod(F.xxhash64(item_col), F.lit(parts)) == i).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])) for i in range(parts)]
+def _items(benchmark: DataFrame, item_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """(key, text, part) and the number of parts: as many as keep each within MAX_BENCHMARK_CHARS, or down to one item."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("key"), F.col(text_col).alias("text")).where(F.col(text_col).isNotNull())
+    parts = 1
+    while True:
+        dealt = items.withColumn("part", F.pmod(F.xxhash64("key", "text"), F.lit(parts)))
+        worst = dealt.groupBy("part").agg(F.sum(F.length("text")).alias("n"), F.count("*").alias("items")).where("items > 1").agg(F.max("n")).first()[0] or 0
+        if worst <= MAX_BENCHMARK_CHARS or parts > 1 << 20:
+            return dealt, parts
+        parts *= 2
 
 
-SCHEMA = "doc_id long, contaminated boolean, n_items long, items string, longest long"
+def _slice(items: DataFrame, part: int) -> list[tuple[int, str]]:
+    return sorted(((r.key, r.text) for r in items.where(F.col("part") == part).select("key", "text").collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+
+
+SCHEMA = "doc_id long, contaminated boolean, n_items long, items string, longest long, n_short long"
+
+
+def _judge(overlaps: list) -> tuple[list, int, int]:
+    """(keys of the items that contaminate, longest overlap, short items)."""
+    real = [o for o in overlaps if o[3] >= MIN_ITEM]
+    return sorted({k for o in real for k in o[0] if k is not None}), max((o[3] for o in real), default=0), sum(len(o[0]) for o in overlaps if o[3] < MIN_ITEM)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """One row per document: whether it overlaps the benchmark, the items (sorted, comma-joined) and the longest overlap in words."""
-    spark = docs.sparkSession
-    held = [spark.sparkContext.broadcast(s) for s in _slices(benchmark, item_col, item_text)]
+    """One row per document: whether it overlaps the benchmark, the items (sorted, comma-joined), the longest overlap in words, and how many
+    items of fewer than MIN_ITEM words it holds."""
+    items, parts = _items(benchmark, item_col, item_text)
+    src = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
+    if parts == 1:
+        return _scan_slice(src, _slice(items, 0))[0]
+    marks = ["doc_id", "mark"]
+    hits = None
+    for part in range(parts):
+        found, held = _scan_slice(src, _slice(items, part), hits_only=True)
+        found = table(found.withColumn("part", F.lit(part)), "slice")
+        held.destroy()
+        hits = found if hits is None else hits.unionAll(found)
+    # a text's hits of all slices; repeated rows of a document give the same hits, so the text's mark is part of the key
+    hits = hits.distinct().groupBy(*marks).agg(F.max("longest").alias("longest"), F.sum("n_short").alias("n_short"), F.max("contaminated").alias("contaminated"), F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.transform(F.filter(F.split("items", ","), lambda x: x != ""), lambda x: x.cast("long")))))).alias("items"))
+    rows = src.select(F.col("id").alias("doc_id"), F.xxhash64("text").alias("mark"))
+    out = rows.join(checked_broadcast(hits).withColumnsRenamed({"doc_id": "_id", "mark": "_mark"}), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
+    return out.select("doc_id", F.coalesce("contaminated", F.lit(False)).alias("contaminated"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce(F.array_join("items", ","), F.lit("")).alias("items"), F.coalesce("longest", F.lit(0)).alias("longest"), F.coalesce("n_short", F.lit(0)).alias("n_short"))
+
+
+def _scan_slice(src: DataFrame, items: list, hits_only: bool = False) -> tuple[DataFrame, object]:
+    held = src.sparkSession.sparkContext.broadcast(items)
 
     def make():
-        indexes = [Index(h.value) for h in held]
+        index = Index(held.value)
 
         def step(cols: dict) -> dict:
-            found = [[o for index in indexes for o in index.overlaps(t)] for t in cols["text"]]
-            ids = [sorted({o[0] for o in f if o[0] is not None}) for f in found]
-            return {"doc_id": cols["id"], "contaminated": [bool(f) for f in found], "n_items": [len(x) for x in ids], "items": [",".join(map(str, x)) for x in ids], "longest": [max((o[3] for o in f), default=0) for f in found]}
+            found = [index.overlaps(t) for t in cols["text"]]
+            judged = [_judge(f) for f in found]
+            real = [any(o[3] >= MIN_ITEM for o in f) for f in found]
+            return {"doc_id": cols["id"], "mark": cols["mark"], "contaminated": real, "n_items": [len(j[0]) for j in judged], "items": [",".join(map(str, j[0])) for j in judged], "longest": [j[1] for j in judged], "n_short": [j[2] for j in judged]}
 
         return step
 
-    return map_batches(docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")), SCHEMA, make)
+    if not hits_only:
+        return map_batches(src.withColumn("mark", F.lit(0)), SCHEMA, lambda: (lambda step: lambda cols: {k: v for k, v in step(cols).items() if k != "mark"})(make())), held
+    out = map_batches(src.withColumn("mark", F.xxhash64("text")), SCHEMA + ", mark long", make)
+    return out.where("contaminated OR n_short > 0"), held
 
 
 def drop(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """All columns of the documents without a verified overlap."""
-    held = [docs.sparkSession.sparkContext.broadcast(s) for s in _slices(benchmark, item_col, item_text)]
-
-    def make():
-        indexes = [Index(h.value) for h in held]
-        return lambda texts: [not any(index.overlaps(t) for index in indexes) for t in texts]
-
-    return filter_batches(docs, [text_col], make)
+    """All columns of the documents without a verified overlap. Of a large benchmark each slice drops its own before the next one is read."""
+    items, parts = _items(benchmark, item_col, item_text)
+    for part in range(parts):
+        held = docs.sparkSession.sparkContext.broadcast(_slice(items, part))
+
+        def make(held=held):
+            index = Index(held.value)
+            return lambda texts: [not any(o[3] >= MIN_ITEM for o in index.overlaps(t, first_only=True)) for t in texts]
+
+        docs = filter_batches(docs, [text_col], make)
+        if part < parts - 1:
+            docs = table(docs, "clean")
+            held.destroy()
+    return docs

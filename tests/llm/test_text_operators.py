@@ -272,7 +272,7 @@ def test_license_over_odd_rows(spark):
     assert len(got) == 7 and max(r.n_base for r in got) == 1
 
 
-BENCH = [(1, "alpha bravo charlie delta echo foxtrot golf hotel india juliet kilo lima mike november oscar papa quebec romeo sierra tango"), (2, "one short item here"), (3, None), (4, ""), (5, "uniform victor whiskey xray yankee zulu " * 3)]
+BENCH = [(1, "alpha bravo charlie delta echo foxtrot golf hotel india juliet kilo lima mike november oscar papa quebec romeo sierra tango"), (2, "one short item is here"), (3, None), (4, ""), (5, "uniform victor whiskey xray yankee zulu " * 3)]
 
 
 def test_decontamination_tolerates_substitutions(spark):
@@ -280,7 +280,7 @@ def test_decontamination_tolerates_substitutions(spark):
     swapped = list(w)
     swapped[4], swapped[11] = "WRONG", "off"
     filler = " ".join(f"f{i}" for i in range(50))
-    rows = [(1, f"{filler} {' '.join(w)} {filler}"), (2, f"{filler} {' '.join(swapped)} {filler}"), (3, f"{filler} {' '.join(w[:9])} {filler}"), (4, "x one short item here y"), (5, filler), (6, None), (7, " ".join(random.Random(1).sample(w, len(w)))), (8, ""), (8, "")]
+    rows = [(1, f"{filler} {' '.join(w)} {filler}"), (2, f"{filler} {' '.join(swapped)} {filler}"), (3, f"{filler} {' '.join(w[:9])} {filler}"), (4, "x one short item is here y"), (5, filler), (6, None), (7, " ".join(random.Random(1).sample(w, len(w)))), (8, ""), (8, "")]
     docs = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, items string")
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     got = {r.doc_id: r for r in decontaminate.scan(docs, bench).collect()}
@@ -291,6 +291,32 @@ def test_decontamination_tolerates_substitutions(spark):
     assert decontaminate.drop(docs, bench.limit(0)).count() == 9 and decontaminate.scan(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_in_slices_over_odd_rows(spark, monkeypatch):
+    rng = random.Random(12)
+    items = [(i, " ".join(f"b{rng.randrange(400)}" for _ in range(20))) for i in range(30)] + [(90, "yes"), (91, "yes"), (92, "one two three four five"), (93, "long " * 40), (None, items_text := "zeta " * 13)]
+    texts = [(i, f"so {t} end yes") for i, t in items[:12]] + [(50, "yes and yes"), (51, f"{items[3][1]} x {items[20][1]} one two three four five"), (52, None), (52, ""), (53, "w " * 60_000 + items[7][1]), (53, "other text"), (None, items[5][1]), (54, items_text), (55, "long " * 41)]
+    docs = spark.createDataFrame([(*t, "z") for t in texts + texts[:2]], "doc_id long, text string, items string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(tuple, decontaminate.scan(docs, bench).collect()), key=repr)
+    kept = sorted(map(tuple, decontaminate.drop(docs, bench).collect()), key=repr)
+    got = {r[0]: r for r in whole}
+    assert got[50] == (50, False, 0, "", 0, 2) and got[51] == (51, True, 3, "3,20,92", 20, 0) and got[54][1] and got[55][3] == "93"
+    assert {r[0] for r in kept} == {50, 52, 53} and len(kept) == 4 and all("b" not in (r[1] or "") for r in kept)
+    monkeypatch.setattr(decontaminate, "MAX_BENCHMARK_CHARS", 400)
+    assert decontaminate._items(bench, "item_id", "text")[1] > 2
+    assert sorted(map(tuple, decontaminate.scan(docs, bench).collect()), key=repr) == whole
+    assert sorted(map(tuple, decontaminate.drop(docs, bench).collect()), key=repr) == kept
+
+
+def test_equal_items_are_searched_once():
+    import time
+
+    words = " ".join(f"w{i}" for i in range(900))
+    index = decontaminate.Index([(i, words) for i in range(3000)])
+    start = time.time()
+    assert [(len(o[0]), o[3]) for o in index.overlaps(words)] == [(3000, 900)] and time.time() - start < 1
+
+
 def test_decontamination_finds_what_brute_force_finds(spark, sf_dir):
     docs, bench = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     grams = set()
