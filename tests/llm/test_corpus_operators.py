@@ -152,7 +152,18 @@ def test_packing_covers_every_id_once(spark, sf_dir):
     sizes = {}
     for r in rows:
         sizes.setdefault((r.step_group, r.tier), set()).add(r.sequence_id)
-    assert max(map(len, sizes.values())) <= packing.GROUP
+    assert max(len(own) * tier for (_, tier), own in sizes.items()) <= packing.GROUP * 2048
+    assert any(len(own) * tier == packing.GROUP * 2048 for (_, tier), own in sizes.items())
+
+
+def test_both_libraries_give_the_same_ids(spark):
+    ids = packing.Ids(**dict(zip(("path", "ranks_path", "pattern"), tokenizer_files().values(), strict=True)))
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect() if r.text]
+    rng = random.Random(1)
+    pool = "ab Z\t\n0129.,'’sé日本😀\u0301\u200d\u00a0\u2028ſ"
+    texts += ["".join(rng.choices(pool, k=rng.randrange(1, 60))) for _ in range(2000)] + [" " * 100_000, "a" * 100_000, "\n" * 100_000, "1" * 100_000, "é" * 50_000]
+    for text in texts:
+        assert ids(text).tolist() == encode(text)[:-1]
 
 
 @pytest.mark.parametrize("block", [1, 3000, 10**9])
