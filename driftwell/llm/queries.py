@@ -51,7 +51,7 @@ def op2_url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _read(spark, sf_dir, "pages")
     captures = pages.select("page_id", "url", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("page_id", F.lit(360)).cast("int")).alias("fetched"))
     out = urls.evaluate(captures, demo_entries(pages))
-    return out.select("page_id", "listed", "n_active", "categories", "key", F.date_format("since", "yyyy-MM-dd").alias("since"))
+    return out.select("page_id", F.date_format("fetched", "yyyy-MM-dd").alias("fetched"), "listed", "n_active", "categories", "key", F.date_format("since", "yyyy-MM-dd").alias("since"))
 
 
 OP2_SQL = r"""
@@ -69,13 +69,13 @@ entries AS (SELECT host AS key, 'blocked' AS category, start AS dated, 1 AS adds
 daily AS (SELECT key, category, dated, min(adds) AS adds FROM entries GROUP BY ALL),
 steps AS (SELECT *, coalesce(lag(adds) OVER w, 0) AS before FROM daily WINDOW w AS (PARTITION BY key, category ORDER BY dated)),
 spans AS (SELECT key, category, adds, dated AS valid_from, lead(dated) OVER (PARTITION BY key, category ORDER BY dated) AS valid_to FROM steps WHERE adds <> before),
-captures AS (SELECT page_id, fetched, unnest(list_distinct(list_concat(
+captures AS (SELECT page_id, url, fetched, unnest(list_distinct(list_concat(
                  list_transform(range(1, greatest(len(string_split(host, '.')) - 1, 1) + 1), lambda i: array_to_string(string_split(host, '.')[i:], '.')),
                  list_transform(list_filter([1, 2], lambda k: k <= len(list_filter(string_split(path, '/'), lambda s: s <> ''))), lambda k: host || '/' || array_to_string(list_filter(string_split(path, '/'), lambda s: s <> '')[1:k], '/'))))) AS key FROM p WHERE host <> ''),
-hits AS (SELECT c.page_id, s.key, s.category, s.valid_from FROM captures c JOIN spans s ON c.key = s.key AND s.adds = 1 AND c.fetched >= s.valid_from AND (s.valid_to IS NULL OR c.fetched < s.valid_to)),
-found AS (SELECT page_id, count(DISTINCT (key, category)) AS n_active, array_to_string(list_sort(list(DISTINCT category)), ',') AS categories, max({'n': length(key), 'key': key, 'since': valid_from}) AS best FROM hits GROUP BY page_id)
-SELECT p.page_id, coalesce(n_active, 0) > 0 AS listed, coalesce(n_active, 0) AS n_active, coalesce(categories, '') AS categories, best.key AS key, strftime(best.since, '%Y-%m-%d') AS since
-FROM (SELECT DISTINCT page_id FROM p) p LEFT JOIN found USING (page_id)
+hits AS (SELECT c.page_id, c.url, c.fetched, s.key, s.category, s.valid_from FROM captures c JOIN spans s ON c.key = s.key AND s.adds = 1 AND c.fetched >= s.valid_from AND (s.valid_to IS NULL OR c.fetched < s.valid_to)),
+found AS (SELECT page_id, url, fetched, count(DISTINCT (key, category)) AS n_active, array_to_string(list_sort(list(DISTINCT category)), ',') AS categories, max({'n': length(key), 'key': key, 'since': valid_from}) AS best FROM hits GROUP BY page_id, url, fetched)
+SELECT p.page_id, strftime(p.fetched, '%Y-%m-%d') AS fetched, coalesce(n_active, 0) > 0 AS listed, coalesce(n_active, 0) AS n_active, coalesce(categories, '') AS categories, best.key AS key, strftime(best.since, '%Y-%m-%d') AS since
+FROM (SELECT DISTINCT page_id, url, fetched FROM p) p LEFT JOIN found ON p.page_id = found.page_id AND p.url = found.url AND p.fetched = found.fetched
 """
 
 

@@ -8,8 +8,9 @@ The list's side is broadcast if it has at most BROADCAST_ROWS intervals; beyond,
 execution splits hot hosts. Matches per capture are bounded by its keys and the categories.
 
 Defined results: captures with a null or unparsable URL, or without fetch time, match nothing and stay in the result; entries with a
-null key, date or category are void; several entries of a key, category and date: a removal wins; repeated captures are counted as
-one by id; other columns are ignored.
+null key, date or category are void; several entries of a key, category and date: a removal wins; captures of one id at several times or
+of several URLs are evaluated each for itself, whole repeats (id, URL and time) are one; other columns are ignored. URLs are
+tested under as many leading path segments as the list's longest key has.
 """
 
 from __future__ import annotations
@@ -20,9 +21,6 @@ from pyspark.sql import functions as F
 
 from .common import checked_broadcast
 
-#: Leading path segments that a key may have.
-SEGMENTS = 2
-
 
 def host(url: Column) -> Column:
     """Lower-case host without user, port and trailing dots; empty if there is none."""
@@ -30,14 +28,16 @@ def host(url: Column) -> Column:
     return F.lower(F.rtrim(found, F.lit(".")))
 
 
-def keys(url: Column) -> Column:
-    """All keys a URL falls under: its host and parent domains (two labels at least), and the host with leading path segments."""
+def keys(url: Column, segments: int) -> Column:
+    """All keys a URL falls under: its host and parent domains (two labels at least), and the host with up to `segments` leading path segments."""
     labels = F.split(host(url), r"\.")
     n = F.size(labels)
     domains = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, n), "."))
     path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^?#]*)?", 1)
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    prefixes = F.transform(F.filter(F.array(*map(F.lit, range(1, SEGMENTS + 1))), lambda k: k <= F.size(parts)), lambda k: F.concat(host(url), F.lit("/"), F.array_join(F.slice(parts, F.lit(1), k), "/")))
+    depth = F.least(F.size(parts), F.lit(segments))
+    counts = F.when(depth > 0, F.sequence(F.lit(1), F.greatest(depth, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    prefixes = F.transform(counts, lambda k: F.concat(host(url), F.lit("/"), F.array_join(F.slice(parts, F.lit(1), k), "/")))
     return F.when(host(url) != "", F.array_distinct(F.concat(domains, prefixes))).otherwise(F.array().cast("array<string>"))
 
 
@@ -51,12 +51,14 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def evaluate(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url", time_col: str = "fetched") -> DataFrame:
-    """One row per capture id: listed, n_active, categories (sorted, comma-joined), key (the longest active one), since."""
+    """One row per capture (id, URL, time): id, url, time, listed, n_active, categories (sorted, comma-joined), key (the longest active one), since."""
+    segments = entries.agg(F.max(F.size(F.split("key", "/")))).first()[0] or 1
     seen = captures.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(time_col).alias("at"))
-    spread = seen.select("id", "at", F.explode_outer(keys(F.col("url"))).alias("key"))
+    spread = seen.select("id", "url", "at", F.explode_outer(keys(F.col("url"), segments - 1)).alias("key"))
     listed = checked_broadcast(intervals(entries))
     active = (spread["key"] == listed["key"]) & (spread["at"] >= listed["valid_from"]) & (listed["valid_to"].isNull() | (spread["at"] < listed["valid_to"]))
-    joined = spread.join(listed, active, "left").select("id", listed["key"].alias("key"), "category", "valid_from")
+    joined = spread.join(listed, active, "left").select("id", "url", "at", listed["key"].alias("key"), "category", "valid_from")
     best = F.max(F.when(F.col("key").isNotNull(), F.struct(F.length("key").alias("n"), F.col("key"), F.col("valid_from"))))
-    out = joined.groupBy("id").agg(F.count_distinct("key", "category").alias("n_active"), F.array_join(F.sort_array(F.collect_set("category")), ",").alias("categories"), best.alias("best"))
-    return out.select(F.col("id").alias(id_col), (F.col("n_active") > 0).alias("listed"), "n_active", "categories", F.col("best.key").alias("key"), F.col("best.valid_from").alias("since"))
+    hit = F.when(F.col("key").isNotNull(), F.struct("key", "category"))
+    out = joined.groupBy("id", "url", "at").agg(F.size(F.collect_set(hit)).cast("long").alias("n_active"), F.array_join(F.sort_array(F.collect_set("category")), ",").alias("categories"), best.alias("best"))
+    return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), F.col("at").alias(time_col), (F.col("n_active") > 0).alias("listed"), "n_active", "categories", F.col("best.key").alias("key"), F.col("best.valid_from").alias("since"))

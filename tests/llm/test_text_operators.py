@@ -535,14 +535,16 @@ def test_chat_over_odd_rows(spark):
 
 def test_url_list_boundaries(spark):
     e = spark.createDataFrame(
-        [("bad.com", "ads", "2024-01-10", "add"), ("bad.com", "ads", "2024-02-01", "remove"), ("sub.bad.com/x", "spam", "2024-01-01", "add"), (None, "ads", "2024-01-01", "add"), ("twice.com", "a", "2024-01-01", "add"), ("twice.com", "a", "2024-01-01", "remove")],
+        [("bad.com", "ads", "2024-01-10", "add"), ("bad.com", "ads", "2024-02-01", "remove"), ("sub.bad.com/x", "spam", "2024-01-01", "add"), (None, "ads", "2024-01-01", "add"), ("deep.com/a/b/c", "d", "2024-01-01", "add"), ("twice.com", "a", "2024-01-01", "add"), ("twice.com", "a", "2024-01-01", "remove")],
         "key string, category string, dated string, action string",
     ).withColumn("dated", F.to_date("dated"))
     c = spark.createDataFrame(
-        [(1, "http://bad.com/", "2024-01-09"), (2, "https://u:p@Sub.BAD.com.:80/x/y?q", "2024-01-10"), (3, "http://bad.com", "2024-01-31"), (4, "http://bad.com", "2024-02-01"), (5, None, "2024-01-15"), (6, "http://notbad.com/", "2024-01-15"), (7, "http://bad.com", None), (8, "junk", "2024-01-15"), (9, "http://twice.com", "2024-01-15"), (3, "http://bad.com", "2024-01-31")],
+        [(1, "http://bad.com/", "2024-01-09"), (2, "https://u:p@Sub.BAD.com.:80/x/y?q", "2024-01-10"), (3, "http://bad.com", "2024-01-31"), (4, "http://bad.com", "2024-02-01"), (5, None, "2024-01-15"), (6, "http://notbad.com/", "2024-01-15"), (7, "http://bad.com", None), (8, "junk", "2024-01-15"), (9, "http://twice.com", "2024-01-15"), (3, "http://bad.com", "2024-01-31"), (10, "http://deep.com/a/b/c/d", "2024-01-15"), (11, "http://deep.com/a/b", "2024-01-15"), (1, "http://bad.com/", "2024-01-15"), (1, "http://other.org/", "2024-01-09")],
         "page_id long, url string, fetched string",
     ).withColumn("fetched", F.to_date("fetched")).withColumn("key", F.lit("clash"))
-    got = {r.page_id: (r.listed, r.n_active, r.categories, r.key) for r in urls.evaluate(c, e).collect()}
+    out = urls.evaluate(c, e).collect()
+    assert sorted((r.url, str(r.fetched), r.listed) for r in out if r.page_id == 1) == [("http://bad.com/", "2024-01-09", False), ("http://bad.com/", "2024-01-15", True), ("http://other.org/", "2024-01-09", False)]
+    got = {r.page_id: (r.listed, r.n_active, r.categories, r.key) for r in out if r.page_id != 1}
     none = (False, 0, "", None)
-    assert got == {1: none, 2: (True, 2, "ads,spam", "sub.bad.com/x"), 3: (True, 1, "ads", "bad.com"), 4: none, 5: none, 6: none, 7: none, 8: none, 9: none}
+    assert len(out) == 13 and got == {10: (True, 1, "d", "deep.com/a/b/c"), 11: none, 2: (True, 2, "ads,spam", "sub.bad.com/x"), 3: (True, 1, "ads", "bad.com"), 4: none, 5: none, 6: none, 7: none, 8: none, 9: none}
     assert urls.evaluate(c.limit(0), e).count() == 0 and urls.evaluate(c, e.limit(0)).where("listed").count() == 0
