@@ -286,3 +286,34 @@ def test_pipeline_stages_take_effect(spark, sf_dir):
     before = {r.doc_id: r.text for r in expect[2].collect()}
     assert all(r.text == pii.mask(before[r.doc_id]) and r.n_chars == len(r.text) for r in expect[3].collect())
     assert sum(r.length for r in expect[4].collect()) == sum(len(encode(r.text)) for r in expect[3].collect())
+
+
+def test_pipeline_over_odd_rows(spark, tmp_path):
+    import corpus_pipeline as pipeline
+    from driftwell.llm import toxicity
+
+    kind = "doc_id long, text string, lang string, source string, n_chars long, part int, mark long, kept boolean, _row string, _again long, set_id string, named long, y int"
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("aeioulnrst", k=6))
+    leak = " ".join(f"leak{i}" for i in range(20))
+    texts = [(i, " ".join(["gruzzlepit"] * (i % 4 == 0) + [word() for _ in range(30)])) for i in range(160)]
+    clean = [(i, t) for i, t in texts if i % 4]
+    long = " ".join(word() for _ in range(30_000))
+    odd = [(None, None), (None, "no id here at all"), (500, None), (501, ""), (502, " \n"), (503, f"so {leak} so"), (504, "write to bob@example.com or not " + word()), (505, long), (1, texts[1][1]), (1, texts[1][1]), (2, "another text under the id of two " + word()), (506, texts[3][1] + " x")]
+    rows = [(i, t, "en", None, len(t or ""), 1, 2, True, "r", 3, "s", 4, 5) for i, t in texts + odd]
+    rng.shuffle(rows)
+    spark.createDataFrame(rows, kind).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i % 4 == 0), "x") for i in range(160)] + [(None, 0, 0, "x"), (501, None, None, "x")], "doc_id long, quality int, toxic int, text string").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, leak, 0), (2, None, 0), (None, "", 0)], "item_id long, text string, doc_id long").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = pipeline.run(spark, str(tmp_path)).collect()
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    assert {r.doc_id for r in toxicity.score(docs, model).where("predicted = 1").collect()} == {i for i, _ in texts if i % 4 == 0}
+    ends = sorted(r.doc_id if r.doc_id is not None else -1 for r in out if r.start + r.length == r.doc_tokens)
+    want = sorted([i for i, _ in clean if i != 506] + [2, -1, -1, 500, 501, 502, 504, 505])
+    assert ends == want
+    assert sum(r.length for r in out if r.doc_id == 505) == len(encode(long))
+    assert sum(r.length for r in out if r.doc_id == 504) == len(encode(dict(odd)[504].replace("bob@example.com", "<email>")))
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{tmp_path}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/none/{name}.parquet")
+    assert pipeline.run(spark, f"{tmp_path}/none").count() == 0
