@@ -1,4 +1,13 @@
-"""A training corpus from documents: toxicity, near duplicates, benchmark leaks, personal data, packing."""
+"""A training corpus from documents: toxicity, near duplicates, benchmark leaks, personal data, packing.
+
+Each stage reads what the one before wrote, decides on all of it, and passes all columns of the rows that it keeps; the last one gives
+pieces of packed sequences.
+
+Defined results: a document without text (null, empty or blank) is scored as a text without words, is nobody's copy, holds no leak and no
+personal data, and is packed as its closing id alone; rows without doc_id go through all stages but are nobody's copy; whole repeats
+are copies, of which one row stays; rows that share a doc_id but differ are decided one by one; an empty table gives an empty
+result; without labels of both classes nothing is dropped as toxic unless most labels say so; further columns pass through, whatever their names.
+"""
 
 from __future__ import annotations
 
