@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import DEAD_LETTER, ENRICHED, EVENT
+from ..schemas import BATCH, DEAD_LETTER, ENRICHED, EVENT
 
 # Field numbers and kinds of the messages.
 _INSTANT = {1: ("seconds", "int64"), 2: ("nanos", "int32")}
@@ -23,6 +23,8 @@ _EVENT = {1: ("event_id", "string"), 2: ("event_time", _INSTANT), 3: ("service_n
 _ENRICHED = {1: ("event", _EVENT), 2: ("ewma_mean_us", "double"), 3: ("ewma_stddev_us", "double"), 4: ("anomaly_score", "double"), 5: ("is_anomaly", "bool"), 6: ("processed_at", _INSTANT)}
 _DEAD = {1: ("original_payload", "bytes"), 2: ("stage", "int32"), 3: ("source_topic", "string"), 4: ("source_partition", "int32"), 5: ("source_offset", "int64"), 6: ("error_category", "string"), 7: ("reason", "string"), 8: ("failed_at", _INSTANT), 9: ("event_id", "string")}
 _BATCH = {1: ("batch_id", "string"), 2: ("events", [_EVENT])}
+#: An enriched record around an event that is encoded already.
+_AROUND = {**_ENRICHED, 1: ("event", "bytes")}
 _ENTRY = {1: ("key", "string"), 2: ("value", "string")}
 _ZERO = {"string": "", "bytes": b"", "double": 0.0, "bool": False}
 _WIRE = {"string": 2, "bytes": 2, "double": 1, "map": 2}
@@ -201,6 +203,8 @@ def _nested(row: dict, kind: T.StructType) -> dict:
         v = row.get(f.name)
         if isinstance(f.dataType, T.StructType) and v is not None:
             v = _nested(v, f.dataType)
+        elif isinstance(f.dataType, T.ArrayType):
+            v = [_nested(x, f.dataType.elementType) for x in v]
         elif isinstance(f.dataType, T.DecimalType) and v is not None:
             v = decimal.Decimal(v)
         out[f.name] = v
@@ -234,6 +238,8 @@ def _arrow(row: dict, kind: T.StructType) -> dict:
             v = list(v.items())
         elif isinstance(f.dataType, T.StructType) and v is not None:
             v = _arrow(v, f.dataType)
+        elif isinstance(f.dataType, T.ArrayType):
+            v = [_arrow(x, f.dataType.elementType) for x in v]
         out[f.name] = v
     return out
 
@@ -267,6 +273,20 @@ def encode_enriched(enriched: Column) -> Column:
     return _encoder(_ENRICHED)(enriched)
 
 
+def encode_around(enriched: Column) -> Column:
+    """An enriched record whose `event` is the event's own bytes."""
+    return _encoder(_AROUND)(enriched)
+
+
+def decode_batch(payload: Column) -> Column:
+    """struct(ok, error, batch) of an export request's bytes: batch_id and events."""
+    return _decoder(_BATCH, BATCH, "batch")(payload)
+
+
+def encode_batch(batch: Column) -> Column:
+    return _encoder(_BATCH)(batch)
+
+
 def encode_dead_letter(letter: Column) -> Column:
     return _encoder(_DEAD)(letter)
 

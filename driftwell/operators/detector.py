@@ -3,12 +3,14 @@
 The score of a value depends on all earlier ones of its key, so the scan needs each key's rows in order: one shuffle by key, a
 sort inside the partitions, and one pass that carries a single key's state from batch to batch (bounded memory whatever a
 key's length). A gap of at least the inactivity limit starts a key afresh, so the rows between two such gaps are
-independent: with a limit set, (key, segment) is what is dealt out, and one hot key spreads over many tasks.
+independent: with a limit set, (key, segment) is what is dealt out, and one hot key spreads over many tasks. Gaps are found per key
+and time slice and between slices, so that no task sorts a whole key for that either.
 """
 
 from __future__ import annotations
 
 import math
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,11 +55,24 @@ class Baseline:
         return mean, std, score, warmed and score >= c.threshold, self.count, warmed
 
 
-def segments(events: DataFrame, keys: list[str], clock: str, tie: list[str], ttl: int) -> DataFrame:
+#: Clock units (ms) of a slice in which a key's gaps are found together.
+SLICE = 3_600_000
+
+
+def segments(events: DataFrame, keys: list[str], clock: str, ttl: int, slice_size: int = SLICE) -> DataFrame:
     """Adds `segment`: how many gaps of at least ttl (in the clock's unit) a key's rows have had so far."""
-    order = W.partitionBy(*keys).orderBy(clock, *tie)
-    gap = F.coalesce((F.col(clock) - F.lag(clock).over(order) >= ttl).cast("long"), F.lit(0))
-    return events.withColumn("_gap", gap).withColumn("segment", F.sum("_gap").over(order)).drop("_gap")
+    names = [*keys, "_slice"]
+    rows = events.withColumn("_slice", F.floor(F.col(clock) / slice_size))
+    order = W.partitionBy(*names).orderBy(clock)
+    jump = lambda now, last: F.coalesce((now - last >= ttl).cast("long"), F.lit(0))
+    rows = rows.withColumn("_gap", jump(F.col(clock), F.lag(clock).over(order))).withColumn("_gaps", F.sum("_gap").over(order))
+    ends = rows.groupBy(*names).agg(F.min(clock).alias("_first"), F.max(clock).alias("_last"), F.sum("_gap").alias("_own"))
+    slices = W.partitionBy(*keys).orderBy("_slice")  # a row per slice
+    ends = ends.withColumn("_jump", jump(F.col("_first"), F.lag("_last").over(slices)))
+    base = ends.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(names)), (F.sum(F.col("_own") + F.col("_jump")).over(slices) - F.col("_own")).alias("_base"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(names)]
+    out = rows.join(base, same).withColumn("segment", F.col("_base") + F.col("_gaps"))
+    return out.select(*events.columns, "segment")
 
 
 def score(events: DataFrame, value: str = "latency_us", keys: tuple[str, ...] = ("service_name", "route"), clock: str = "clock", tie: tuple[str, ...] = (), config: DetectorConfig = DetectorConfig(), ttl: int | None = None, segment: str | None = None, skip_errors: bool = False) -> DataFrame:
@@ -68,7 +83,7 @@ def score(events: DataFrame, value: str = "latency_us", keys: tuple[str, ...] =
     """
     keys, tie = list(keys), list(tie)
     if ttl is not None:
-        events, segment = segments(events, keys, clock, tie, ttl), "segment"
+        events, segment = segments(events, keys, clock, ttl), "segment"
     group = [*keys, segment] if segment else keys
     names = events.columns
     at = [names.index(k) for k in group]
@@ -123,34 +138,89 @@ def counters(scored: DataFrame, dead: Column | None = None) -> list[Column]:
     return [F.count("*").alias("enriched"), F.count_if(c("is_anomaly")).alias("anomalies"), F.count_if(~c("warmed")).alias("warmup_suppressions")]
 
 
-def stream_processor(config: DetectorConfig, ttl_ms: int | None, value: str, clock: str, order: list[str], fields: list[str]):
-    """A StatefulProcessor for transformWithStateInPandas: one ValueState per key with baseline and last clock.
+class KeyStore:
+    """The baselines of one shard of keys in order of last use: an inactivity limit, a capacity, and one time for all keys.
 
-    A micro-batch's rows of a key are buffered, sorted by clock and order, and scored; a key that was idle for ttl_ms starts
-    afresh. A clock that runs backwards between batches fails the batch, which leaves the state as it was.
+    A value that can't be scored, or whose time is before the last successful one of any key, raises and changes nothing.
+    """
+
+    def __init__(self, config: DetectorConfig, ttl_ms: int | None = None, max_keys: int | None = None):
+        self.config, self.ttl, self.max_keys = config, ttl_ms, max_keys
+        self.keys: OrderedDict[tuple, tuple[Baseline, int]] = OrderedDict()
+        self.last: int | None = None
+
+    def clear(self) -> None:
+        """A new assignment epoch starts without any baseline."""
+        self.keys.clear()
+        self.last = None
+
+    def observe(self, key: tuple, x: float, now: int) -> tuple[tuple, int, int]:
+        """(verdict, evictions by the limit, evictions by capacity)."""
+        if self.last is not None and now < self.last:
+            raise ScoreError("observation time must not move backwards")
+        base, seen = self.keys.get(key, (None, 0))
+        if base is None or self.ttl is not None and now - seen >= self.ttl:
+            base = Baseline()
+        verdict = base.step(x, self.config)
+        expired = full = 0
+        while self.ttl is not None and self.keys and now - next(iter(self.keys.values()))[1] >= self.ttl:
+            self.keys.popitem(last=False)
+            expired += 1
+        if self.keys.pop(key, None) is None and self.max_keys is not None and len(self.keys) >= self.max_keys:
+            self.keys.popitem(last=False)
+            full = 1
+        self.keys[key] = (base, now)
+        self.last = now
+        return verdict, expired, full
+
+
+#: What the streaming scorer adds to a row: its verdict or the error, and the evictions that the row caused.
+STREAMED = SCORES + ", error string, evicted_ttl long, evicted_capacity long"
+
+
+def stream_processor(config: DetectorConfig, ttl_ms: int | None, max_keys: int | None, value: str, clock: str, keys: list[str], order: list[str], fields: list[str], epoch: int = 0):
+    """A StatefulProcessor for transformWithStateInPandas over shards of keys; each shard holds one KeyStore in its state.
+
+    A micro-batch's rows of a shard are sorted by clock and order and scored. A row that can't be scored gets an error and no verdict; the
+    batch goes on. An epoch other than the state's clears it.
     """
     import pandas as pd
     from pyspark.sql.streaming import StatefulProcessor
 
     class Scorer(StatefulProcessor):
         def init(self, handle) -> None:
-            self.state = handle.getValueState("baseline", "mean double, variance double, count long, last long")
+            self.held = handle.getMapState("baselines", ", ".join(f"{k} string" for k in keys), "mean double, variance double, count long, last long, used long")
+            self.meta = handle.getValueState("meta", "epoch long, last long, used long")
 
         def handleInputRows(self, key, rows, timers) -> Iterator[pd.DataFrame]:
             frame = pd.concat(list(rows), ignore_index=True).sort_values([clock, *order], kind="stable")
-            held = self.state.get() if self.state.exists() else None
-            base, last = (Baseline(held[0], held[1], held[2]), held[3]) if held is not None else (Baseline(), None)
-            out = []
-            for x, t in zip(frame[value].tolist(), frame[clock].tolist(), strict=True):
-                if last is not None and t < last:
-                    raise ScoreError("clock moved backwards")
-                if ttl_ms is not None and last is not None and t - last >= ttl_ms:
-                    base = Baseline()
-                mean, std, s, odd, n, warmed = base.step(float(x), config)
-                out.append((mean or 0.0, std or 0.0, s, odd, n, warmed))
-                last = t
-            self.state.update((base.mean, base.variance, base.count, last))
-            scores = pd.DataFrame(out, columns=[f.split()[0] for f in SCORES.split(", ")])
+            store, used, stored = KeyStore(config, ttl_ms, max_keys), 0, {}
+            meta = self.meta.get() if self.meta.exists() else None
+            if meta is not None and meta[0] == epoch:
+                store.last, used = meta[1], meta[2]
+                stored = {tuple(k): tuple(v) for k, v in self.held.iterator()}
+                for k, v in sorted(stored.items(), key=lambda kv: kv[1][4]):
+                    store.keys[k] = (Baseline(v[0], v[1], v[2]), v[3])
+            elif meta is not None:
+                self.held.clear()
+            out, touched = [], {}
+            for *k, x, t in zip(*(frame[k].tolist() for k in keys), frame[value].tolist(), frame[clock].tolist(), strict=True):
+                used += 1
+                try:
+                    (mean, std, s, odd, n, warmed), expired, full = store.observe(tuple(k), float(x), t)
+                    out.append((mean or 0.0, std or 0.0, s, odd, n, warmed, None, expired, full))
+                    touched[tuple(k)] = used
+                except ScoreError as e:
+                    out.append((None, None, None, None, None, None, str(e), 0, 0))
+            for k in stored.keys() - store.keys.keys():
+                self.held.removeKey(k)
+            for k, at in touched.items():
+                if k in store.keys:
+                    base, last = store.keys[k]
+                    self.held.updateValue(k, (base.mean, base.variance, base.count, last, at))
+            if store.last is not None:
+                self.meta.update((epoch, store.last, used))
+            scores = pd.DataFrame(out, columns=[f.split()[0] for f in STREAMED.split(", ")])
             yield pd.concat([frame[fields].reset_index(drop=True), scores], axis=1)
 
         def close(self) -> None:

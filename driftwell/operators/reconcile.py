@@ -65,6 +65,41 @@ def batches(records: DataFrame, cap: int = 500) -> DataFrame:
     return dense.unionByName(gappy.withColumn("batch", F.floor(F.col("_seq") / cap)).drop("_seq")).drop("_low", "_dense")
 
 
+def timed_batches(records: DataFrame, cap: int = 500, wait_us: int = 10_000, clock: str = "clock_us") -> DataFrame:
+    """Adds `batch`: a partition's rows by offset; a batch ends with its cap-th row, or before a row that comes wait_us or more after its first.
+
+    Where a batch begins depends on the one before, so a partition is read in order, by a pass that holds three numbers.
+    """
+    import pyarrow as pa
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    names = records.columns
+    at = [names.index(n) for n in ("topic", "partition", clock)]
+
+    def run(found):
+        now, batch, size, begin = None, 0, 0, 0
+        for rows in found:
+            out = []
+            for topic, partition, t in zip(*(rows.column(i).to_pylist() for i in at), strict=True):
+                if (topic, partition) != now:
+                    now, batch, size, begin = (topic, partition), 0, 0, t
+                elif size >= cap or t - begin >= wait_us:
+                    batch, size, begin = batch + 1, 0, t
+                size += 1
+                out.append(batch)
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(out, pa.int64())], names=[*rows.schema.names, "batch"])
+
+    kind = StructType([*records.schema.fields, StructField("batch", LongType())])
+    return records.repartition("topic", "partition").sortWithinPartitions("topic", "partition", "offset").mapInArrow(run, kind)
+
+
+def moved_offsets(before: DataFrame, after: DataFrame, ends: DataFrame) -> DataFrame:
+    """topic, partition, before, after, moved, lag: committed offsets around a crash, which must not have moved, against the log's ends."""
+    key = ["topic", "partition"]
+    both = ends.select(*key, F.col("next_offset").alias("_end")).join(before.select(*key, F.col("value").alias("before")), key, "left").join(after.select(*key, F.col("value").alias("after")), key, "left")
+    return both.select(*key, "before", "after", (~F.col("before").eqNullSafe(F.col("after"))).alias("moved"), (F.col("_end") - F.coalesce("after", F.lit(0))).alias("lag"))
+
+
 def offset_base(kind: Column, value: Column, low: Column, high: Column) -> Column:
     """Where a group would go on: a committed offset in range, else the range's start; unknown positions are null."""
     return F.when(kind == "offset", F.when(value.between(low, high), value).otherwise(low)).when(kind.isin("beginning", "invalid"), low).when(kind == "end", high)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..tables import table
+
 DEADLINE_MS = 5000
 LABEL_MS = 1000
 MIN_EVENTS, MIN_WINDOWS = 100_000, 25
@@ -53,8 +55,11 @@ def detections(verdicts: DataFrame, windows: DataFrame) -> DataFrame:
 
     Valid labels keep same-key detection intervals apart, so no verdict can serve two windows.
     """
-    v = verdicts.select(*_KEY, F.col("event_time_ms").alias("_t"), F.col("seq").alias("_seq"))
-    hit = v.join(_small(windows), _KEY).where((F.col("_t") >= F.col("injected_at_ms")) & (F.col("_t") <= F.col("injected_at_ms") + DEADLINE_MS))
+    # equi-joins on key and time bucket, so that a verdict meets the windows of its time only
+    bucket = lambda t: F.floor(t / DEADLINE_MS)
+    v = verdicts.select(*_KEY, F.col("event_time_ms").alias("_t"), F.col("seq").alias("_seq"), bucket(F.col("event_time_ms")).alias("_b"))
+    spread = windows.withColumn("_b", F.explode(F.sequence(bucket(F.col("injected_at_ms")), bucket(F.col("injected_at_ms") + DEADLINE_MS))))
+    hit = v.join(_small(spread), [*_KEY, "_b"]).where((F.col("_t") >= F.col("injected_at_ms")) & (F.col("_t") <= F.col("injected_at_ms") + DEADLINE_MS))
     first = hit.groupBy(*_KEY, "injected_at_ms").agg(F.min_by("_t", "_seq").alias("detected_at_ms"), F.min("_seq").alias("verdict_seq"))
     out = windows.join(first, [*_KEY, "injected_at_ms"], "left")
     return out.withColumn("detection_latency_ms", F.col("detected_at_ms") - F.col("injected_at_ms"))
@@ -62,8 +67,10 @@ def detections(verdicts: DataFrame, windows: DataFrame) -> DataFrame:
 
 def false_positives(verdicts: DataFrame, windows: DataFrame, found: DataFrame) -> DataFrame:
     """Verdicts outside every label of their key that no window counts as its detection."""
-    w = _small(windows.select(F.col("service_name").alias("_s"), F.col("route").alias("_r"), "injected_at_ms", "window_end_ms"))
-    inside = (F.col("service_name") == F.col("_s")) & (F.col("route") == F.col("_r")) & F.col("event_time_ms").between(F.col("injected_at_ms"), F.col("window_end_ms"))
+    bucket = lambda t: F.floor(t / DEADLINE_MS)
+    w = windows.select(F.col("service_name").alias("_s"), F.col("route").alias("_r"), "injected_at_ms", "window_end_ms", F.explode(F.sequence(bucket(F.col("injected_at_ms")), bucket(F.col("window_end_ms")))).alias("_b"))
+    w = _small(w)
+    inside = (F.col("service_name") == F.col("_s")) & (F.col("route") == F.col("_r")) & (bucket(F.col("event_time_ms")) == F.col("_b")) & F.col("event_time_ms").between(F.col("injected_at_ms"), F.col("window_end_ms"))
     used = _small(found.where("verdict_seq IS NOT NULL").select(F.col("verdict_seq").alias("seq")))
     return verdicts.join(w, inside, "left_anti").join(used, "seq", "left_anti")
 
@@ -90,7 +97,7 @@ def evaluate(events: DataFrame, windows: DataFrame, config=None) -> tuple[DataFr
         raise ValueError("invalid manifest: " + "; ".join(sorted({r.problem for r in wrong})))
     scored = score(events, clock="event_time_ms", tie=("seq",), config=config or DetectorConfig(), ttl=StateConfig().ttl_ms)
     verdicts = scored.where("is_anomaly").select("seq", "event_time_ms", *_KEY, "latency_us", F.col("anomaly_score").alias("score"))
-    verdicts = verdicts.cache()
+    verdicts = table(verdicts, "verdicts")
     found = detections(verdicts, windows)
     false = false_positives(verdicts, windows, found)
     return report(events, found, false), found, false

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import TypeVar
 
 from ..config import RetryConfig
@@ -45,6 +45,19 @@ def with_retry(action: Callable[[], Out], config: RetryConfig = RetryConfig(), s
     raise AssertionError("unreachable")
 
 
+def jittered(bound: float, draw: Callable[[], float]) -> float:
+    """Full jitter: a wait between nothing and the bound, by a draw from [0, 1)."""
+    return bound * draw()
+
+
+def backoff_bounds(initial_s: float, most_s: float) -> Iterator[float]:
+    """Upper bounds of the client's waits: doubling up to the limit, and staying there."""
+    bound = min(initial_s, most_s)
+    while True:
+        yield bound
+        bound = min(2 * bound, most_s)
+
+
 def parse_failpoint(value: str | None) -> bool:
     if value in (None, ""):
         return False

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codec
-from ..functions.expr import is_uuid
+from ..functions.expr import is_uuid, valid_instant
 from ..schemas import STAGE_PROCESSOR
 from .validate import enriched_failure, raw_failure
 
@@ -18,6 +18,35 @@ def judge_raw(records: DataFrame) -> DataFrame:
     return out.withColumn("failure", F.when(~F.col("_d.ok"), broken).otherwise(raw_failure(F.col("event"), F.coalesce(F.col("key"), F.lit(b""))))).drop("_d")
 
 
+RETRY_CLOCK = "processing timestamp is invalid"
+
+
+def processing_outcome(wall_time: Column, failure: Column) -> Column:
+    """retry, dlq or enriched: an invalid processing clock is judged before the record and is nobody's fault but ours, so nothing is dead."""
+    return F.when(~valid_instant(wall_time), "retry").when(failure.isNotNull(), "dlq").otherwise("enriched")
+
+
+def record_line(kind: Column, fields: dict[str, Column]) -> Column:
+    """A record as one JSON line, keys in order; fields that are null are left out."""
+    return F.to_json(F.struct(*(v.alias(k) for k, v in sorted({"kind": kind, **fields}.items()))))
+
+
+def raw_lines(records: DataFrame) -> DataFrame:
+    """topic, partition, offset, line of raw records: the event's identifiers, or the bytes in hexadecimal if it can't be decoded."""
+    d = records.withColumn("_d", codec.decode_event(F.coalesce("value", F.lit(b""))))
+    ok, event = F.col("_d.ok"), F.col("_d.event")
+    bad = lambda c: F.when(~ok, codec.hex_dump(F.col(c)))
+    fields = {"topic": F.col("topic"), "partition": F.col("partition"), "offset": F.col("offset"), "event_id": event["event_id"], "trace_id": event["trace_id"], "key_hex": bad("key"), "payload_hex": bad("value")}
+    return d.select("topic", "partition", "offset", record_line(F.when(ok, "valid").otherwise("malformed"), fields).alias("line"))
+
+
+def letter_lines(letters: DataFrame, topic: str = "telemetry.dlq") -> DataFrame:
+    """source_topic, source_partition, source_offset, line of dead letters (partition, offset and the envelope's columns)."""
+    names = ("partition", "offset", "stage", "source_topic", "source_partition", "source_offset", "error_category", "reason", "event_id")
+    fields = {**{n: F.col(n) for n in names}, "topic": F.lit(topic), "original_payload_hex": codec.hex_dump(F.col("original_payload"))}
+    return letters.select("source_topic", "source_partition", "source_offset", record_line(F.lit("dlq"), fields).alias("line"))
+
+
 def judge_enriched(records: DataFrame) -> DataFrame:
     """Enriched records with `enriched` and `failure`; metadata that no log can have stops the job instead."""
     sound = F.assert_true((F.col("partition") >= 0) & (F.col("offset") >= 0) & (F.col("topic") != "") & ~F.contains("topic", F.char(F.lit(0))), F.lit("source record metadata is invalid"))

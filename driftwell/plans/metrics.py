@@ -62,6 +62,34 @@ def counter_rate(samples: DataFrame, window_s: int = 60, by: list[str] | None =
     return s.withColumn("rate", F.when(dt > 0, (F.col("_total") - first) / dt)).drop("_g", "_total")
 
 
+def extrapolated_rate(samples: DataFrame, window_s: int, by: list[str]) -> DataFrame:
+    """Adds rate at each sample (ts seconds, value): a counter's growth a second over the window that ends there, as dashboards have it.
+
+    Resets count; the growth between the window's first and last sample is extrapolated to the window's start: by half the mean distance of
+    samples if the first one is further from it than 1.1 of that, and never beyond where the counter would have been 0.
+    """
+    w = W.partitionBy(*by).orderBy("ts")
+    before = F.lag("value").over(w)
+    grown = F.when(before.isNull(), 0).when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
+    s = samples.withColumn("_g", grown).withColumn("_total", F.sum("_g").over(w))
+    span = w.rangeBetween(1 - window_s, 0)
+    s = s.withColumns({"_n": F.count("*").over(span), "_t0": F.first("ts").over(span), "_v0": F.first("value").over(span), "_up": F.col("_total") - F.first("_total").over(span)})
+    taken, start = F.col("ts") - F.col("_t0"), (F.col("_t0") - (F.col("ts") - window_s)).cast("double")
+    mean = taken / (F.col("_n") - 1)
+    start = F.when(start >= mean * 1.1, mean / 2).otherwise(start)
+    zero = taken * F.col("_v0") / F.col("_up")
+    start = F.when((F.col("_up") > 0) & (F.col("_v0") >= 0) & (zero < start), zero).otherwise(start)
+    rate = F.when(F.col("_n") > 1, F.col("_up") * ((taken + start) / taken) / float(window_s))
+    return s.withColumn("rate", rate).drop("_g", "_total", "_n", "_t0", "_v0", "_up")
+
+
+def windowed_quantile(q: float, df: DataFrame, value: Column, bounds: tuple[float, ...], ts: Column, window_s: int, by: list[str]) -> DataFrame:
+    """by, window_start, value: the quantile of the growth of a histogram's buckets in tumbling windows (the rate, then the quantile)."""
+    rows = df.withColumn("window_start", F.floor(F.unix_micros(ts) / (window_s * 1_000_000)) * window_s)
+    keys = [*by, "window_start"]
+    return histogram_quantile(q, histogram(rows, value, bounds, keys), keys)
+
+
 def last_value(samples: DataFrame, by: list[str]) -> DataFrame:
     """An instant gauge: the latest sample's value."""
     return samples.groupBy(*by).agg(F.max_by("value", "ts").alias("value"))
@@ -79,8 +107,9 @@ def gateway_counters(batches: DataFrame) -> DataFrame:
 
 
 def sink_counters(batches: DataFrame) -> DataFrame:
-    """consumed, persisted, conflicts, dlq from batch results (consumed, inserted, conflicts, dlq)."""
-    return batches.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("consumed", "inserted", "conflicts", "dlq"))).withColumnRenamed("inserted", "persisted")
+    """consumed, persisted, conflicts, retries, dlq and the number of batches from batch results (consumed, inserted, conflicts, retries, dlq)."""
+    total = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name) for c, name in (("consumed", "consumed"), ("inserted", "persisted"), ("conflicts", "conflicts"), ("retries", "retries"), ("dlq", "dlq"))]
+    return batches.agg(*total, F.count("*").alias("batches"))
 
 
 def client_snapshot(emits: DataFrame) -> DataFrame:

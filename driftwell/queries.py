@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .config import DetectorConfig
+from .config import DetectorConfig, StateConfig
 from .functions.expr import hex_id, map_json, partition_key
-from .operators import detector, reconcile, replay, residency
+from .operators import client, detector, reconcile, replay, residency
 from .operators.route import batch_outcomes, retryable_sqlstate, retryable_status, status_of
 from .operators.validate import batch_verdicts, enriched_failure, raw_failure
 from .plans import metrics
 from .schemas import EVENTS_TABLE, RECEIPTS, schema_gaps
-from .sources import generate
+from .sources import exposition, generate
 from .sources.adapt import read_events, telemetry, with_offsets
+from .tables import shared_folder
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -117,8 +118,8 @@ d AS (SELECT p.seq, count(DISTINCT o.key) AS others FROM p JOIN q o ON o.seq > p
 SELECT p.seq, p.key, p.previous, coalesce(p.previous IS NOT NULL AND p.gap < 86400000 AND coalesce(d.others, 0) < 10, false) AS resident FROM p LEFT JOIN d ON p.seq = d.seq""")
 def lru_residency(spark, sf_dir):
     t = _events(spark, sf_dir).select("id", "event_us", "clock", F.concat("service_name", "route").alias("key"))
-    days = F.floor(F.col("event_us") / 86_400_000_000)
-    return residency.residency(reconcile.numbered(t, ["event_us", "id"], days), "key", "clock", "seq", 86_400_000, 10).select("seq", "key", "previous", F.coalesce("resident", F.lit(False)).alias("resident"))
+    hours = F.floor(F.col("event_us") / 3_600_000_000)
+    return residency.residency(reconcile.numbered(t, ["event_us", "id"], hours), "key", "clock", "seq", 86_400_000, 10).select("seq", "key", "previous", F.coalesce("resident", F.lit(False)).alias("resident"))
 
 
 # Faults are injected by id % 17, so that every rule fires somewhere.
@@ -319,8 +320,14 @@ found AS (SELECT w.*, min(v.event_time_ms) AS detected_at_ms, min(v.seq) AS verd
 false_ones AS (SELECT * FROM verdicts v WHERE NOT EXISTS (SELECT 1 FROM windows w WHERE w.service_name = v.service_name AND w.route = v.route AND v.event_time_ms BETWEEN w.injected_at_ms AND w.window_end_ms) AND seq NOT IN (SELECT verdict_seq FROM found WHERE verdict_seq IS NOT NULL))"""
 
 
-def _replay(spark):
+_SPIKED_SQL = REPLAY_SQL.replace("ELSE base END AS latency_us FROM f)", "WHEN seq % 9973 = 17 AND seq > 0 THEN 60000 ELSE base END AS latency_us FROM f)")
+
+
+def _replay(spark, spiked: bool = False):
     events, windows = generate.manifest(spark, 100_000)
+    if spiked:  # latencies that no label explains
+        inside = F.col("latency_us") != 10_000 + F.pmod(F.col("seq") * 7919, F.lit(501))
+        events = events.withColumn("latency_us", F.when((F.col("seq") % 9973 == 17) & ~inside, 60_000).otherwise(F.col("latency_us")).cast("long"))
     return replay.evaluate(events, windows)
 
 
@@ -329,9 +336,9 @@ def replay_detection(spark, sf_dir):
     return _replay(spark)[1].select("service_name", "route", "injected_at_ms", "window_end_ms", "detected_at_ms", "detection_latency_ms")
 
 
-@query(f"WITH RECURSIVE {REPLAY_SQL} SELECT event_time_ms, service_name, route, latency_us, score FROM false_ones")
+@query(f"WITH RECURSIVE {_SPIKED_SQL} SELECT event_time_ms, service_name, route, latency_us, score FROM false_ones")
 def replay_false_positives(spark, sf_dir):
-    return _replay(spark)[2].select("event_time_ms", "service_name", "route", "latency_us", "score")
+    return _replay(spark, spiked=True)[2].select("event_time_ms", "service_name", "route", "latency_us", "score")
 
 
 @query(f"""WITH RECURSIVE {REPLAY_SQL} SELECT (SELECT count(*) FROM m) AS event_count, count(*) AS anomaly_window_count, count(*) FILTER (WHERE detected_at_ms IS NULL) AS missed_windows, max(detected_at_ms - injected_at_ms) AS max_detection_latency_ms,
@@ -475,26 +482,188 @@ def _log_records(t: DataFrame) -> DataFrame:
     return t.select("id", partition_key("service_name", "route").cast("binary").alias("key"), encode_event(event).alias("value"), "partition")
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below spark.checkpoint.dir (below the warehouse where that is unset)."""
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-@query(SQL["ewma_scores"].replace(f"SELECT {SCORE_COLUMNS}", "SELECT event_id, mean AS ewma_mean_us, std AS ewma_stddev_us, score AS anomaly_score, odd AS is_anomaly"))
-def stream_score_parity(spark, sf_dir):
-    """Raw log, scoring job, enriched log, sink job, events table: the stored verdicts equal the batch scan's."""
+def _stored_scores(spark, sf_dir, state, warmup: int):
+    """Raw log, scoring job, enriched log, sink job, events table."""
     from .sources.filelog import FileLog
     from .sources.store import EventStore
     from .streaming.pipeline import persist_query, score_query
-    from .functions.codec import decode_event
 
     root = shared_folder(spark, "stream")
     log, store = FileLog(spark, f"{root}/log"), EventStore(spark, f"{root}/store")
     log.append(_log_records(_events(spark, sf_dir, True)), "telemetry.raw", "0", ["id"])
     clock = F.col("event.event_time.seconds") * 1000 + F.floor(F.col("event.event_time.nanos") / 1_000_000)
-    score_query(log, f"{root}/checkpoint", clock=clock, state=None).awaitTermination()
+    score_query(log, f"{root}/checkpoint", clock=clock, detector=DetectorConfig(warmup=warmup), state=state).awaitTermination()
     persist_query(log, store, f"{root}/checkpoint").awaitTermination()
     return store.events().select("event_id", "ewma_mean_us", "ewma_stddev_us", "anomaly_score", "is_anomaly")
+
+
+_STORED = "SELECT event_id, mean AS ewma_mean_us, std AS ewma_stddev_us, score AS anomaly_score, odd AS is_anomaly"
+
+
+@query(SQL["ewma_scores"].replace(f"SELECT {SCORE_COLUMNS}", _STORED))
+def stream_score_parity(spark, sf_dir):
+    """The stored verdicts equal the batch scan's."""
+    return _stored_scores(spark, sf_dir, None, 100)
+
+
+@query(SQL["ewma_scores_ttl"].replace(f"SELECT {SCORE_COLUMNS}, CAST(segment AS BIGINT) AS segment", _STORED))
+def stream_score_ttl(spark, sf_dir):
+    """The same with the default inactivity limit and capacity."""
+    return _stored_scores(spark, sf_dir, StateConfig(), 2)
+
+
+@query(f"""WITH {T_SQL}, q AS (SELECT row_number() OVER (ORDER BY event_us, id) - 1 AS seq, service_name || route AS key, clock FROM t),
+p AS (SELECT *, lag(seq) OVER w AS previous, clock - lag(clock) OVER w AS gap FROM q WINDOW w AS (PARTITION BY key ORDER BY seq)),
+d AS (SELECT p.seq, count(DISTINCT o.key) AS others FROM p JOIN q o ON o.seq > p.previous AND o.seq < p.seq GROUP BY p.seq),
+k AS (SELECT key, max(clock) AS last FROM q GROUP BY key)
+SELECT 'inactivity' AS store, CAST((SELECT count(*) FROM p WHERE gap >= 86400000) + (SELECT count(*) FROM k WHERE (SELECT max(clock) FROM q) - last >= 86400000) AS BIGINT) AS ttl_evictions, CAST(0 AS BIGINT) AS capacity_evictions
+UNION ALL SELECT 'capacity', CAST(0 AS BIGINT), CAST((SELECT count(*) FROM p LEFT JOIN d ON p.seq = d.seq WHERE p.previous IS NULL OR coalesce(d.others, 0) >= 10) - least((SELECT count(*) FROM k), 10) AS BIGINT)""")
+def store_evictions(spark, sf_dir):
+    t = _events(spark, sf_dir).select("id", "event_us", "clock", F.concat("service_name", "route").alias("key"))
+    rows = reconcile.numbered(t, ["event_us", "id"], F.floor(F.col("event_us") / 3_600_000_000))
+    out = [residency.evictions(residency.residency(rows, "key", "clock", "seq", ttl, cap), ttl, cap).select(F.lit(name).alias("store"), "*") for name, ttl, cap in (("inactivity", 86_400_000, None), ("capacity", None, 10))]
+    return out[0].unionByName(out[1])
+
+
+def _wire_event():
+    return F.struct("event_id", F.struct(F.floor(F.col("event_us") / 1_000_000).alias("seconds"), ((F.col("event_us") % 1_000_000) * 1000).cast("int").alias("nanos")).alias("event_time"), "service_name", "route", F.col("latency_us").cast("decimal(20,0)").alias("latency_us"), "status_code", "trace_id", "attributes")
+
+
+@query(f"""WITH {T_SQL} SELECT '00000000-0000-4000-9000-' || lpad(lower(to_hex(id // 100)), 12, '0') AS batch_id, CAST(id % 100 AS INTEGER) AS i, event_id, service_name, route, latency_us, status_code, trace_id, CAST(json_extract(props, '$.k') AS VARCHAR) AS attribute FROM t
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'truncated varint', NULL""")
+def gateway_decode(spark, sf_dir):
+    """Export requests from their bytes; one that can't be decoded says why."""
+    from .functions.codec import decode_batch, encode_batch
+
+    t = _events(spark, sf_dir)
+    packed = t.groupBy(F.floor(F.col("id") / 100).alias("b")).agg(F.array_sort(F.collect_list(F.struct((F.col("id") % 100).alias("i"), _wire_event().alias("v"))), lambda x, y: (x["i"] - y["i"]).cast("int")).alias("events"))  # a request's events are bounded
+    requests = packed.select(encode_batch(F.struct(hex_id("00000000-0000-4000-9000-", F.col("b"), 12).alias("batch_id"), F.transform("events", lambda x: x["v"]).alias("events"))).alias("payload"))
+    requests = requests.unionAll(spark.range(1).select(F.lit(b"\x12\xff")))
+    d = requests.select(decode_batch(F.col("payload")).alias("d"))
+    rows = d.select("d.error", "d.batch.batch_id", F.posexplode_outer("d.batch.events").alias("i", "e"))
+    return rows.select("batch_id", "i", "e.event_id", "e.service_name", "e.route", F.col("e.latency_us").cast("long").alias("latency_us"), "e.status_code", F.coalesce("error", "e.trace_id").alias("trace_id"), F.col("e.attributes")["k"].alias("attribute"))
+
+
+_SINK_CASE = "CASE WHEN id % 17 IN (2, 3) THEN 'timestamp' WHEN id % 17 IN (1, 4, 5, 6, 7, 10, 11, 13, 14, 15, 16) THEN 'validation' END"
+
+
+@query(f"""WITH {T_SQL}, {OFFSET_SQL} SELECT 2 AS stage, 'telemetry.raw' AS source_topic, partition AS source_partition, "offset" AS source_offset, {_SINK_CASE} AS error_category, CASE WHEN id % 17 = 1 THEN '' ELSE event_id END AS event_id FROM o WHERE {_SINK_CASE} IS NOT NULL""")
+def sink_dlq_envelope(spark, sf_dir):
+    from .operators.route import dead_letters
+    from .schemas import STAGE_SINK
+
+    t = _faulty(with_offsets(_events(spark, sf_dir)))
+    now = F.struct(F.lit(1_800_000_000).cast("long").alias("seconds"), F.lit(0).alias("nanos"))
+    t = t.withColumn("enriched", F.struct("event", F.lit(1.0).alias("ewma_mean_us"), F.when(F.col("id") % 17 == 16, float("nan")).otherwise(0.0).alias("ewma_stddev_us"), F.lit(0.5).alias("anomaly_score"), F.lit(False).alias("is_anomaly"), now.alias("processed_at")))
+    t = t.withColumn("failure", enriched_failure(F.col("enriched"))).withColumn("value", F.lit(b""))
+    return dead_letters(t, STAGE_SINK, F.lit(0)).select("stage", "source_topic", "source_partition", "source_offset", "error_category", "event_id")
+
+
+@query(f"""WITH {T_SQL}, {OFFSET_SQL}, {_COPIES_SQL}, b AS (SELECT *, "offset" // 500 AS batch, id % 23 = 5 AS dead, row_number() OVER (PARTITION BY lower(event_id) ORDER BY copy, partition, "offset") = 1 AS first FROM c),
+r AS (SELECT copy, partition, batch, count(*) AS consumed, count(*) FILTER (WHERE dead) AS dlq, count(*) FILTER (WHERE NOT dead AND first) AS inserted, CASE WHEN batch % 5 = 2 THEN 1 ELSE 0 END AS retries FROM b GROUP BY copy, partition, batch)
+SELECT CAST(sum(consumed) AS BIGINT) AS consumed, CAST(sum(inserted) AS BIGINT) AS persisted, CAST(sum(consumed - dlq - inserted) AS BIGINT) AS conflicts, CAST(sum(retries) AS BIGINT) AS retries, CAST(sum(dlq) AS BIGINT) AS dlq, count(*) AS batches FROM r""")
+def sink_counters(spark, sf_dir):
+    """Batches of 500 of the log and of its copies; dead rows and conflicts are counted per batch."""
+    c = _with_copies(with_offsets(_events(spark, sf_dir)))
+    first = c.groupBy(F.lower("event_id").alias("k")).agg(F.min(F.struct("copy", "partition", "offset")).alias("first"))
+    c = c.join(first, F.lower("event_id") == F.col("k")).withColumn("is_first", F.col("first") == F.struct("copy", "partition", "offset")).withColumn("dead", F.col("id") % 23 == 5)
+    b = c.groupBy("copy", "partition", F.floor(F.col("offset") / 500).alias("batch")).agg(F.count("*").alias("consumed"), F.count_if("dead").alias("dlq"), F.count_if(~F.col("dead") & F.col("is_first")).alias("inserted"))
+    b = b.withColumn("conflicts", F.col("consumed") - F.col("dlq") - F.col("inserted")).withColumn("retries", F.when(F.col("batch") % 5 == 2, 1).otherwise(0))
+    return metrics.sink_counters(b)
+
+
+@query(f"""WITH RECURSIVE {T_SQL}, {OFFSET_SQL}, b AS (SELECT partition, "offset", event_us, 0 AS batch, 1 AS size, event_us AS begin_us FROM o WHERE "offset" = 0
+ UNION ALL SELECT o.partition, o."offset", o.event_us, CASE WHEN b.size >= 50 OR o.event_us - b.begin_us >= 3600000000 THEN b.batch + 1 ELSE b.batch END, CASE WHEN b.size >= 50 OR o.event_us - b.begin_us >= 3600000000 THEN 1 ELSE b.size + 1 END,
+ CASE WHEN b.size >= 50 OR o.event_us - b.begin_us >= 3600000000 THEN o.event_us ELSE b.begin_us END FROM b JOIN o ON o.partition = b.partition AND o."offset" = b."offset" + 1)
+SELECT partition, CAST(batch AS BIGINT) AS batch, count(*) AS records, max("offset") + 1 AS commit_offset FROM b GROUP BY ALL""")
+def timed_batches(spark, sf_dir):
+    """The first of a count and a time closes a batch."""
+    b = reconcile.timed_batches(with_offsets(_events(spark, sf_dir)).select("topic", "partition", "offset", F.col("event_us").alias("clock_us")), 50, 3_600_000_000)
+    return b.groupBy("partition", "batch").agg(F.count("*").alias("records"), (F.max("offset") + 1).alias("commit_offset"))
+
+
+@query(f"""WITH {T_SQL}, s AS (SELECT service_name, CAST(clock // 21600000 * 21600 AS BIGINT) AS window_start, latency_us FROM t), h AS (SELECT service_name, window_start, le, count(*) FILTER (WHERE latency_us <= le) AS c FROM s, {_LES} GROUP BY ALL),
+b AS (SELECT *, coalesce(lag(c) OVER w, 0) AS below, coalesce(lag(le) OVER w, 0) AS low, 0.99::DOUBLE * max(c) OVER (PARTITION BY service_name, window_start) AS rank FROM h WINDOW w AS (PARTITION BY service_name, window_start ORDER BY le)),
+f AS (SELECT * FROM b WHERE c >= rank QUALIFY row_number() OVER (PARTITION BY service_name, window_start ORDER BY le) = 1) SELECT service_name, window_start, CASE WHEN isinf(le) THEN low ELSE low + (le - low) * (rank - below) / (c - below) END AS value FROM f""")
+def latency_p99_windows(spark, sf_dir):
+    return metrics.windowed_quantile(0.99, _events(spark, sf_dir), F.col("latency_us"), _BOUNDS, F.timestamp_micros("event_us"), 21_600, ["service_name"])
+
+
+@query("""WITH c AS (SELECT epoch_us(ts) // 1000000 AS ts, event_type, count(*) AS n FROM events GROUP BY ALL), t AS (SELECT event_type, ts, CAST(sum(n) OVER (PARTITION BY event_type ORDER BY ts) AS BIGINT) AS value FROM c),
+g AS (SELECT *, count(*) OVER w AS n, first(ts) OVER w AS t0, first(value) OVER w AS v0 FROM t WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN 3599 PRECEDING AND CURRENT ROW)),
+e AS (SELECT *, value - v0 AS up, ts - t0 AS taken, (t0 - (ts - 3600))::DOUBLE AS gap FROM g), m AS (SELECT *, CASE WHEN n > 1 THEN CASE WHEN gap >= taken / (n - 1) * 1.1::DOUBLE THEN taken / (n - 1) / 2 ELSE gap END END AS gap1 FROM e),
+z AS (SELECT *, CASE WHEN up > 0 AND taken * v0 / up < gap1 THEN taken * v0 / up ELSE gap1 END AS gap2 FROM m) SELECT event_type, ts, value, CASE WHEN n > 1 THEN round(up * ((taken + gap2) / taken) / 3600, 12) END AS rate FROM z""")
+def extrapolated_rate_1h(spark, sf_dir):
+    c = read_events(spark, sf_dir).groupBy(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).alias("ts"), "event_type").count()
+    samples = c.select("event_type", "ts", F.sum("count").over(W.partitionBy("event_type").orderBy("ts")).alias("value"))
+    return metrics.extrapolated_rate(samples, 3600, ["event_type"]).withColumn("rate", F.round("rate", 12))
+
+
+@query(f"""WITH {T_SQL}, {OFFSET_SQL} SELECT 'telemetry.raw' AS topic, partition, "offset", CASE WHEN id % 13 = 4 THEN '{{"key_hex":"' || lower(hex(encode(service_name))) || '00' || lower(hex(encode(route))) || '","kind":"malformed","offset":' || "offset" || ',"partition":' || partition || ',"payload_hex":"ff00","topic":"telemetry.raw"}}'
+ ELSE '{{"event_id":"' || event_id || '","kind":"valid","offset":' || "offset" || ',"partition":' || partition || ',"topic":"telemetry.raw","trace_id":"' || trace_id || '"}}' END AS line FROM o""")
+def record_lines(spark, sf_dir):
+    from .functions.codec import encode_event
+    from .operators.route import raw_lines
+
+    t = with_offsets(_events(spark, sf_dir)).withColumn("value", encode_event(_wire_event()))
+    return raw_lines(t.select("topic", "partition", "offset", partition_key("service_name", "route").cast("binary").alias("key"), F.when(F.col("id") % 13 == 4, F.lit(b"\xff\x00")).otherwise(F.col("value")).alias("value")))
+
+
+@query(f"""WITH {T_SQL} SELECT CASE WHEN id % 19 IN (3, 4, 5) THEN 'retry' WHEN {_RAW_CASE} <> 'valid' THEN 'dlq' ELSE 'enriched' END AS outcome, count(*) AS records FROM t GROUP BY 1""")
+def processing_outcomes(spark, sf_dir):
+    """An invalid processing clock makes a record wait, whatever else is wrong with it."""
+    from .operators.route import processing_outcome
+
+    k = F.col("id") % 19
+    wall = F.when(k != 5, F.struct(F.when(k == 3, 253_402_300_800).otherwise(1_800_000_000).alias("seconds"), F.when(k == 4, 1_000_000_000).otherwise(0).alias("nanos")))
+    f = _faulty(_events(spark, sf_dir))
+    return f.groupBy(processing_outcome(wall, raw_failure(F.col("event"), F.col("key"))).alias("outcome")).agg(F.count("*").alias("records"))
+
+
+_CLIENT_US = "CASE id % 7 WHEN 0 THEN -62135596800000000 WHEN 1 THEN -62135596800000001 WHEN 2 THEN 253402300799999999 WHEN 3 THEN 253402300800000000 WHEN 4 THEN -event_us ELSE event_us END"
+
+
+@query(f"""WITH {T_SQL}, x AS (SELECT id, trace_id, {_CLIENT_US} AS us FROM t), o AS (SELECT *, CASE WHEN id % 7 IN (1, 3) THEN 'invalid' WHEN id % 11 = 2 THEN 'dropped_closed' WHEN id % 5 = 1 THEN 'dropped_full' ELSE 'queued' END AS outcome FROM x)
+SELECT id, outcome, CASE WHEN outcome = 'queued' THEN '00000000-0000-4000-8000-' || lpad(lower(to_hex(id)), 12, '0') END AS event_id, CASE WHEN outcome = 'queued' THEN CAST(floor(us / 1000000::HUGEINT) AS BIGINT) END AS seconds,
+ CASE WHEN outcome = 'queued' THEN CAST(((us % 1000000) + 1000000) % 1000000 * 1000 AS INTEGER) END AS nanos, CASE WHEN outcome = 'queued' THEN CASE WHEN id % 3 = 0 THEN '' ELSE trace_id END END AS trace_id FROM o""".replace("CAST(floor(us / 1000000::HUGEINT) AS BIGINT)", "(us - (((us % 1000000) + 1000000) % 1000000)) // 1000000"))
+def client_events(spark, sf_dir):
+    k = F.col("id") % 7
+    us = F.when(k == 0, F.lit(-62_135_596_800_000_000)).when(k == 1, F.lit(-62_135_596_800_000_001)).when(k == 2, F.lit(253_402_300_799_999_999)).when(k == 3, F.lit(253_402_300_800_000_000)).when(k == 4, -F.col("event_us")).otherwise(F.col("event_us"))
+    emits = _events(spark, sf_dir).withColumn("event_us", us).withColumn("n", F.col("id")).withColumn("trace_id", F.when(F.col("id") % 3 != 0, F.col("trace_id"))).withColumn("room", F.col("id") % 5 != 1).withColumn("closed", F.col("id") % 11 == 2)
+    w = client.wire_events(emits)
+    return w.select("id", "outcome", F.col("event.event_id").alias("event_id"), F.col("event.event_time.seconds").alias("seconds"), F.col("event.event_time.nanos").alias("nanos"), F.col("event.trace_id").alias("trace_id"))
+
+
+@query("""WITH e AS (SELECT event_type AS client, event_id AS seq, CASE WHEN event_id > 300 AND event_id % 101 = 7 THEN 'status ' || (event_id % 3) END AS failure FROM events WHERE event_id % 50 <> 49), f AS (SELECT event_type AS client, event_id AS seq FROM events WHERE event_id % 50 = 49),
+x AS (SELECT client, min(seq) AS first, min_by(failure, seq) AS failure FROM e WHERE failure IS NOT NULL GROUP BY client) SELECT f.client, f.seq, CASE WHEN x.first < f.seq THEN x.failure END AS failure FROM f LEFT JOIN x ON f.client = x.client""")
+def flush_results(spark, sf_dir):
+    rows = read_events(spark, sf_dir).select(F.col("event_type").alias("client"), F.col("event_id").alias("seq"))
+    failure = F.when((F.col("seq") > 300) & (F.col("seq") % 101 == 7), F.concat(F.lit("status "), (F.col("seq") % 3).cast("string")))
+    return client.flush_results(rows.where("seq % 50 <> 49").withColumn("failure", failure), rows.where("seq % 50 = 49"))
+
+
+@query(f"""WITH {T_SQL}, e AS (SELECT partition, count(*) AS n FROM t GROUP BY partition) SELECT 'telemetry.raw' AS topic, partition, n // 2 AS before, CASE WHEN partition = 1 THEN n // 2 + 3 ELSE n // 2 END AS after, partition = 1 AS moved, n - CASE WHEN partition = 1 THEN n // 2 + 3 ELSE n // 2 END AS lag FROM e""")
+def moved_offsets(spark, sf_dir):
+    """Committed offsets before and after a crash, which moved on in one partition."""
+    ends = reconcile.next_offsets(with_offsets(_events(spark, sf_dir)))
+    before = ends.select("topic", "partition", F.floor(F.col("next_offset") / 2).alias("value"))
+    return reconcile.moved_offsets(before, before.withColumn("value", F.col("value") + F.when(F.col("partition") == 1, 3).otherwise(0)), ends)
+
+
+@query(f"""WITH {T_SQL} SELECT 'route_events_total' AS name, service_name || CASE WHEN service_name = 'svc-error' THEN ' "odd\\' ELSE '' END AS service, route, count(*)::DOUBLE AS value FROM t GROUP BY ALL
+UNION ALL SELECT 'up', NULL, NULL, 'Infinity'::DOUBLE""")
+def scrape_samples(spark, sf_dir):
+    """Counters written in exposition format and read back, among comments and broken lines."""
+    t = _events(spark, sf_dir)
+    name = F.concat("service_name", F.when(F.col("service_name") == "svc-error", F.lit(' "odd\\')).otherwise(F.lit("")))
+    lines = t.groupBy(name.alias("service"), "route").agg(F.count("*").alias("n")).select(exposition.line(F.lit("route_events_total"), {"service": F.col("service"), "route": F.col("route")}, F.col("n")).alias("line"))
+    more = spark.createDataFrame([(x,) for x in ("# HELP up whether it is", "# TYPE up gauge", "up +Inf", "", "1bad 3", "nothing", "up x")], "line string")
+    s = exposition.samples(lines.unionAll(more))
+    return s.select("name", F.col("labels")["service"].alias("service"), F.col("labels")["route"].alias("route"), "value")
+
+
+@query("SELECT '{\"raw\":' || count(*) || ',\"enriched\":' || count(*) FILTER (WHERE event_id % 17 NOT IN (1, 2, 3, 4, 5, 6, 7, 10, 11, 12)) || ',\"dlq\":' || count(*) FILTER (WHERE event_id % 17 IN (1, 2, 3, 4, 5, 6, 7, 10, 11, 12)) || ',\"conserved\":true}' AS line FROM events")
+def conservation_report(spark, sf_dir):
+    """The report as the JSON line that goes to a file or a terminal."""
+    c = conservation(spark, sf_dir)
+    return c.select(F.to_json(F.struct(*c.columns)).alias("line"))

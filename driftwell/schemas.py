@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 RAW_TOPIC, ENRICHED_TOPIC, DLQ_TOPIC = "telemetry.raw", "telemetry.enriched", "telemetry.dlq"
-PARTITIONS = {RAW_TOPIC: 3, ENRICHED_TOPIC: 3, DLQ_TOPIC: 1}
+#: Valid events that could not be scored yet (out of time, out of range): neither enriched nor dead, kept to be sent again.
+DEFERRED_TOPIC = "telemetry.deferred"
+PARTITIONS = {RAW_TOPIC: 3, ENRICHED_TOPIC: 3, DLQ_TOPIC: 1, DEFERRED_TOPIC: 3}
 
 MAX_BATCH_EVENTS = 500
 MAX_ROUTE_BYTES = 256
@@ -28,6 +30,8 @@ EVENT = _struct(
     ("status_code", T.LongType()), ("trace_id", T.StringType()), ("attributes", T.MapType(T.StringType(), T.StringType())),
 )
 ENRICHED = _struct(("event", EVENT), ("ewma_mean_us", T.DoubleType()), ("ewma_stddev_us", T.DoubleType()), ("anomaly_score", T.DoubleType()), ("is_anomaly", T.BooleanType()), ("processed_at", INSTANT))
+#: An export request.
+BATCH = _struct(("batch_id", T.StringType()), ("events", T.ArrayType(EVENT)))
 DEAD_LETTER = _struct(
     ("original_payload", T.BinaryType()), ("stage", T.IntegerType()), ("source_topic", T.StringType()), ("source_partition", T.IntegerType()), ("source_offset", T.LongType()),
     ("error_category", T.StringType()), ("reason", T.StringType()), ("failed_at", INSTANT), ("event_id", T.StringType()),

@@ -32,5 +32,5 @@ def with_offsets(t: DataFrame) -> DataFrame:
     """Adds topic and offset: the row's number inside its log partition by time."""
     from ..operators.reconcile import numbered
 
-    out = numbered(t, ["event_us", "id"], F.floor(F.col("event_us") / 86_400_000_000), ["partition"], "offset")
+    out = numbered(t, ["event_us", "id"], F.floor(F.col("event_us") / 3_600_000_000), ["partition"], "offset")
     return out.withColumn("topic", F.lit("telemetry.raw"))

@@ -1,11 +1,15 @@
 """Topics as append-only folders of Parquet files with the columns of Spark's Kafka source, or Kafka itself where its connector is.
 
 Appending numbers the rows of each partition from the partition's next offset; every append is one folder that becomes
-visible by a rename, so that readers never see half of it and a repeated append of the same batch changes nothing.
+visible by a rename, so that readers never see half of it and a repeated append of the same batch changes nothing. The next offsets
+stand in a small head file that is written before the rename and counts only if its batch is there, so an append reads nothing
+of what the log holds. Rows are sorted by ranges and numbered by a running count over the ranges: no task sorts a whole partition.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,6 +17,10 @@ from pyspark.sql import functions as F
 from ..schemas import LOG, PARTITIONS
 
 
+#: Records of a log file at most, and files that a trigger reads by default: together they bound the records of a micro-batch.
+FILE_RECORDS, TRIGGER_FILES = 100_000, 256
+
+
 class FileLog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -44,27 +52,63 @@ class FileLog:
             raise ValueError(f"offset gap in {topic}[{partition}]: {n} records in {start}..{end}")
         return rows.orderBy("offset")
 
-    def read_stream(self, topic: str, per_trigger: int | None = None) -> DataFrame:
+    def read_stream(self, topic: str, max_records: int | None = None) -> DataFrame:
+        """A stream of the topic; a micro-batch holds at most max_records (rounded down to whole files of FILE_RECORDS)."""
         self._fs.mkdirs(self._path(self.path(topic)))
-        reader = self.spark.readStream.schema(LOG).option("recursiveFileLookup", "true")
-        return (reader.option("maxFilesPerTrigger", per_trigger) if per_trigger else reader).parquet(self.path(topic))
+        files = TRIGGER_FILES if max_records is None else max(1, max_records // FILE_RECORDS)
+        return self.spark.readStream.schema(LOG).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files).parquet(self.path(topic))
+
+    def _head(self, topic: str) -> tuple[int, dict[int, int]]:
+        """(number, next offset by partition) of the latest head whose batch is published."""
+        folder = self._path(f"{self.root}/_heads/{topic}")
+        names = sorted((s.getPath().getName() for s in self._fs.listStatus(folder)), reverse=True) if self._fs.exists(folder) else []
+        for name in names:
+            if name.endswith(".json"):
+                stream = self._fs.open(self._path(f"{self.root}/_heads/{topic}/{name}"))
+                try:
+                    head = json.loads(bytes(stream.readAllBytes()).decode())
+                finally:
+                    stream.close()
+                if self._fs.exists(self._path(f"{self.path(topic)}/batch={head['batch']}")):
+                    return int(name[:-5]), {int(p): n for p, n in head["next"].items()}
+        return -1, {}
+
+    def _set_head(self, topic: str, number: int, batch: str, after: dict[int, int]) -> None:
+        folder = f"{self.root}/_heads/{topic}"
+        self._fs.mkdirs(self._path(folder))
+        out = self._fs.create(self._path(f"{folder}/{number:012d}.json"), True)
+        try:
+            out.write(bytearray(json.dumps({"batch": batch, "next": after}).encode()))
+        finally:
+            out.close()
+        self._fs.delete(self._path(f"{folder}/{number - 8:012d}.json"), False)
 
     def append(self, records: DataFrame, topic: str, batch: str, order: list[str] | None = None) -> None:
         """records: key, value and optionally partition (else by the key's hash); `batch` names the append."""
         final = self._path(f"{self.path(topic)}/batch={batch}")
         if self._fs.exists(final):
             return
-        n = PARTITIONS.get(topic, 1)
-        part = F.col("partition") if "partition" in records.columns else F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")
-        done = self.read(topic).groupBy("partition").agg((F.max("offset") + 1).alias("_next"))
-        w = W.partitionBy("partition").orderBy(*(order or ["key", "value"]))
-        rows = records.withColumn("partition", part).withColumn("_n", F.row_number().over(w)).join(F.broadcast(done), "partition", "left")  # a row per log partition
-        out = rows.select("key", "value", F.lit(topic).alias("topic"), "partition", (F.coalesce("_next", F.lit(0)) + F.col("_n") - 1).cast("long").alias("offset"), F.current_timestamp().alias("timestamp"))
-        held = f"{self.root}/_staging/{topic}-{batch}"
-        out.write.mode("overwrite").parquet(held)
+        order = order or ["key", "value"]
+        part = F.col("partition") if "partition" in records.columns else F.pmod(F.xxhash64("key"), F.lit(PARTITIONS.get(topic, 1))).cast("int")
+        rows = records.select(part.cast("int").alias("partition"), *dict.fromkeys(["key", "value", *order]))
+        rows = rows.repartitionByRange("partition", *order).sortWithinPartitions("partition", *order).withColumn("_at", F.monotonically_increasing_id())
+        sorted_rows, held = f"{self.root}/_staging/{topic}-{batch}-sorted", f"{self.root}/_staging/{topic}-{batch}"
+        rows.write.mode("overwrite").parquet(sorted_rows)
+        rows = self.spark.read.schema(rows.schema).parquet(sorted_rows).withColumn("_task", F.shiftright("_at", 33))
+        number, first = self._head(topic)
+        runs = rows.groupBy("partition", "_task").agg(F.min("_at").alias("_low"), F.count("*").alias("_n"))
+        w = W.partitionBy("partition").orderBy("_task")
+        base = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for p, n in first.items() for x in (p, n))), F.col("partition")), F.lit(0)) if first else F.lit(0)
+        runs = runs.select("partition", "_task", "_low", "_n", (F.sum("_n").over(w) - F.col("_n") + base).cast("long").alias("_base"))
+        out = rows.join(F.broadcast(runs.drop("_n")), ["partition", "_task"])  # a row per task of the sort and log partition
+        out = out.select("key", "value", F.lit(topic).alias("topic"), "partition", (F.col("_base") + F.col("_at") - F.col("_low")).alias("offset"), F.current_timestamp().alias("timestamp"))
+        out.write.mode("overwrite").option("maxRecordsPerFile", FILE_RECORDS).parquet(held)
+        ends = {r.partition: r.end for r in runs.groupBy("partition").agg(F.max(F.col("_base") + F.col("_n")).alias("end")).collect()}  # a row per log partition
+        self._set_head(topic, number + 1, batch, {**first, **ends})
         self._fs.mkdirs(self._path(self.path(topic)))
         if not self._fs.rename(self._path(held), final):
             raise OSError(f"could not publish {final}")
+        self._fs.delete(self._path(sorted_rows), True)
 
     def next_offsets(self, topic: str) -> DataFrame:
         from ..operators.reconcile import next_offsets
@@ -72,11 +116,11 @@ class FileLog:
         return next_offsets(self.read(topic))
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, per_trigger: int | None = None) -> DataFrame:
+def kafka_stream(spark: SparkSession, servers: str, topic: str, max_records: int | None = None) -> DataFrame:
     """The same columns from Kafka; needs Spark's Kafka connector on the class path."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "earliest").option("failOnDataLoss", "true")
-    if per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", per_trigger)
+    if max_records:
+        reader = reader.option("maxOffsetsPerTrigger", max_records)
     return reader.load().select(*LOG.fieldNames())
 
 

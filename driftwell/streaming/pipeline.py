@@ -1,7 +1,7 @@
 """Structured Streaming jobs: score the raw log, persist the enriched log.
 
-score: raw log -> decode -> validate -> (valid rows) keyed baselines -> enriched log | dead letters. Invalid rows bypass the
-stateful operator. Outputs are named by batch id and published by rename, so a replayed batch repeats itself without effect;
+score: raw log -> decode -> validate -> (valid rows) keyed baselines -> enriched log | deferred log | dead letters. Invalid rows bypass the
+stateful operator; valid rows that can't be scored are deferred instead of failing the job for good. Outputs are named by batch id and published by rename, so a replayed batch repeats itself without effect;
 offsets, state and outputs commit in Spark's checkpoint in that order.
 persist: enriched log -> decode -> validate -> events store -> dead letters; the store commits before the dead letters and
 offsets, and replays are absorbed by receipts.
@@ -15,15 +15,17 @@ from pyspark.sql import functions as F
 from ..config import DetectorConfig, RetryConfig, StateConfig
 from ..functions import codec
 from ..functions.expr import instant_from_micros, partition_key
-from ..operators.detector import SCORES, stream_processor
+from ..operators.detector import STREAMED, stream_processor
 from ..operators.retry import with_retry
 from ..operators.route import dead_letters, judge_enriched, judge_raw, validated_rows
-from ..schemas import DLQ_TOPIC, ENRICHED_TOPIC, RAW_TOPIC, STAGE_PROCESSOR, STAGE_SINK
+from ..schemas import DEFERRED_TOPIC, DLQ_TOPIC, ENRICHED_TOPIC, RAW_TOPIC, STAGE_PROCESSOR, STAGE_SINK
 from ..sources.filelog import FileLog
 from ..sources.store import EventStore
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FIELDS = "service_name string, route string, clock long, partition int, offset long, event_id string, event binary, latency_us double"
+#: Shards of keys; each holds at most max_keys baselines and has one time, like one consumer of the raw log.
+SHARDS = 16
 
 
 def wall_clock() -> Column:
@@ -31,44 +33,55 @@ def wall_clock() -> Column:
     return instant_from_micros(F.unix_micros(F.current_timestamp()))
 
 
-def scored_stream(judged: DataFrame, clock: Column, detector: DetectorConfig, state: StateConfig | None) -> DataFrame:
-    """The valid rows of a judged stream with their verdicts; state is keyed by service and route."""
+def scored_stream(judged: DataFrame, clock: Column, detector: DetectorConfig, state: StateConfig | None, shards: int = SHARDS, epoch: int = 0) -> DataFrame:
+    """The valid rows of a judged stream with their verdicts, or an error and none; state is kept by shard of service and route."""
     valid = judged.where("failure IS NULL").select(F.col("event.service_name").alias("service_name"), F.col("event.route").alias("route"), clock.cast("long").alias("clock"), "partition", "offset", F.col("event.event_id").alias("event_id"), codec.encode_event(F.col("event")).alias("event"), F.col("event.latency_us").cast("double").alias("latency_us"))
     fields = [f.split()[0] for f in FIELDS.split(", ")]
-    processor = stream_processor(detector, state.ttl_ms if state else None, "latency_us", "clock", ["partition", "offset"], fields)
-    return valid.groupBy("service_name", "route").transformWithStateInPandas(processor, f"{FIELDS}, {SCORES}", "append", "none")
+    processor = stream_processor(detector, state.ttl_ms if state else None, state.max_keys if state else None, "latency_us", "clock", ["service_name", "route"], ["partition", "offset"], fields, epoch)
+    shard = F.pmod(F.xxhash64("service_name", "route"), F.lit(shards)).alias("shard")
+    return valid.withColumn("shard", shard).groupBy("shard").transformWithStateInPandas(processor, f"{FIELDS}, {STREAMED}", "append", "none")
 
 
 def enriched_records(scored: DataFrame, processed_at: Column) -> DataFrame:
-    """key, value of the enriched log from scored rows (event as bytes)."""
-    event = codec.decode_event(F.col("event"))["event"]
-    value = F.struct(event.alias("event"), "ewma_mean_us", "ewma_stddev_us", "anomaly_score", "is_anomaly", processed_at.alias("processed_at"))
-    return scored.select(partition_key("service_name", "route").cast("binary").alias("key"), codec.encode_enriched(value).alias("value"), F.col("offset").alias("source_offset"))
+    """key, value of the enriched log from scored rows (event as bytes, which are put into the record as they are)."""
+    value = F.struct("event", "ewma_mean_us", "ewma_stddev_us", "anomaly_score", "is_anomaly", processed_at.alias("processed_at"))
+    return scored.select(partition_key("service_name", "route").cast("binary").alias("key"), codec.encode_around(value).alias("value"), F.col("offset").alias("source_offset"))
 
 
-def score_query(log: FileLog, checkpoint: str, clock: Column | None = None, detector: DetectorConfig = DetectorConfig(), state: StateConfig | None = StateConfig(), per_trigger: int | None = None):
-    """Start the scoring job on what the raw log holds; ends when it is caught up. `clock`: milliseconds, arrival time by default."""
+def score_query(log: FileLog, checkpoint: str, clock: Column | None = None, detector: DetectorConfig = DetectorConfig(), state: StateConfig | None = StateConfig(), max_records: int | None = None, shards: int = SHARDS, epoch: int = 0):
+    """Start the scoring job on what the raw log holds; ends when it is caught up. `clock`: milliseconds, arrival time by default.
+
+    Rows that can't be scored (their time is before their shard's, say) go to the deferred log with their key, and the job goes on. A job that is
+    started with another `epoch` forgets all baselines.
+    """
     log.spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    judged = judge_raw(log.read_stream(RAW_TOPIC, per_trigger))
-    scored = scored_stream(judged, clock if clock is not None else F.unix_millis("timestamp"), detector, state)
+    judged = judge_raw(log.read_stream(RAW_TOPIC, max_records))
+    scored = scored_stream(judged, clock if clock is not None else F.unix_millis("timestamp"), detector, state, shards, epoch)
 
     def publish(batch: DataFrame, number: int) -> None:
-        log.append(enriched_records(batch, wall_clock()), ENRICHED_TOPIC, f"score-{number:010d}", ["source_offset"])
+        batch = batch.persist()
+        try:
+            log.append(enriched_records(batch.where("error IS NULL"), wall_clock()), ENRICHED_TOPIC, f"score-{number:010d}", ["source_offset"])
+            late = batch.where("error IS NOT NULL")
+            if not late.isEmpty():
+                log.append(late.select(partition_key("service_name", "route").cast("binary").alias("key"), F.col("event").alias("value"), F.col("offset").alias("source_offset")), DEFERRED_TOPIC, f"score-{number:010d}", ["source_offset"])
+        finally:
+            batch.unpersist()
 
     return scored.writeStream.foreachBatch(publish).option("checkpointLocation", f"{checkpoint}/score").trigger(availableNow=True).start()
 
 
-def dead_letter_query(log: FileLog, checkpoint: str, per_trigger: int | None = None):
+def dead_letter_query(log: FileLog, checkpoint: str, max_records: int | None = None):
     """Start the job that routes what the raw rules reject; stateless, so it never waits for the scoring job."""
 
     def publish(batch: DataFrame, number: int) -> None:
         letters = dead_letters(judge_raw(batch), STAGE_PROCESSOR, wall_clock())
         log.append(_letters(letters), DLQ_TOPIC, f"raw-{number:010d}", ["value"])
 
-    return log.read_stream(RAW_TOPIC, per_trigger).writeStream.foreachBatch(publish).option("checkpointLocation", f"{checkpoint}/raw-dlq").trigger(availableNow=True).start()
+    return log.read_stream(RAW_TOPIC, max_records).writeStream.foreachBatch(publish).option("checkpointLocation", f"{checkpoint}/raw-dlq").trigger(availableNow=True).start()
 
 
-def persist_query(log: FileLog, store: EventStore, checkpoint: str, retry: RetryConfig = RetryConfig(), per_trigger: int | None = None, failpoint=None):
+def persist_query(log: FileLog, store: EventStore, checkpoint: str, retry: RetryConfig = RetryConfig(), max_records: int | None = None, failpoint=None):
     """Start the sink job; ends when it is caught up."""
 
     def publish(batch: DataFrame, number: int) -> None:
@@ -79,7 +92,7 @@ def persist_query(log: FileLog, store: EventStore, checkpoint: str, retry: Retry
         finally:
             judged.unpersist()
 
-    return log.read_stream(ENRICHED_TOPIC, per_trigger).writeStream.foreachBatch(publish).option("checkpointLocation", f"{checkpoint}/persist").trigger(availableNow=True).start()
+    return log.read_stream(ENRICHED_TOPIC, max_records).writeStream.foreachBatch(publish).option("checkpointLocation", f"{checkpoint}/persist").trigger(availableNow=True).start()
 
 
 def _letters(letters: DataFrame) -> DataFrame:

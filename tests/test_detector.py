@@ -76,24 +76,85 @@ def test_scan_equals_steps_across_batches(spark):
         assert capped[t].ewma_mean_us == (mean or 0.0)
 
 
-@pytest.mark.parametrize(("ttl", "cap"), [(None, 2), (15, 2), (15, None), (40, 5), (7, 1)])
-def test_residency_is_the_simulated_map(spark, ttl, cap):
+def simulate(trace, ttl, max_keys):
+    """Residency by a direct simulation of the ordered map."""
+    held, out = {}, []
+    for key, now in trace:
+        if ttl is not None:
+            for k in [k for k, t in held.items() if now - t >= ttl]:
+                del held[k]
+        out.append(key in held)
+        held.pop(key, None)
+        if not out[-1] and max_keys is not None and len(held) >= max_keys:
+            del held[next(iter(held))]
+        held[key] = now
+    return out
+
+
+@pytest.mark.parametrize("part", [64, 100_000])
+@pytest.mark.parametrize(("ttl", "cap"), [(None, 2), (15, 2), (15, None), (40, 5), (7, 1), (None, 9)])
+def test_residency_is_the_simulated_map(spark, monkeypatch, ttl, cap, part):
+    monkeypatch.setattr(residency, "PART", part)
     rng, now, trace = random.Random(cap or 9), 0, []
-    for _ in range(1500):
+    for i in range(1500):
         now += rng.choice([0, 0, 1, 2, 9])
-        trace.append((f"k{rng.randrange(9)}", now))
+        trace.append((f"k{rng.randrange(9 if i % 400 < 200 else 2)}", now))  # some stretches see two keys only
     df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(trace)], "key string, clock long, seq long")
-    got = [r.resident for r in residency.residency(df, "key", "clock", "seq", ttl, cap).orderBy("seq").collect()]
-    assert got == residency.simulate(trace, ttl, cap)
-
-
-def test_state_traces(spark):
-    def run(trace, ttl, cap):
-        return residency.simulate(trace, ttl, cap)
-
-    assert run([("a", 0), ("b", 0), ("a", 0), ("c", 0), ("a", 0), ("b", 0)], None, 2) == [False, False, True, False, True, False]
-    assert run([("a", 0), ("b", 15), ("a", 15)], 15, None) == [False, False, False]
-    assert run([("a", 0), ("a", 10), ("a", 24), ("b", 39), ("a", 39)], 15, None) == [False, True, True, False, False]
+    rows = residency.residency(df, "key", "clock", "seq", ttl, cap).orderBy("seq").collect()
+    assert [r.resident for r in rows] == simulate(trace, ttl, cap)
+    last = {}
+    for r in rows:
+        assert r.previous == last.get(r.key)
+        last[r.key] = r.seq
+
+
+def test_segments_spread_a_hot_key(spark):
+    rng, now, rows = random.Random(5), 0, []
+    for i in range(2000):
+        now += rng.choice([0, 1, 5, 30])
+        rows.append(("hot" if i % 10 else None, now, i))
+    df = spark.createDataFrame(rows, "key string, clock long, i long")
+    got = {r.i: r.segment for r in detector.segments(df, ["key"], "clock", 30, slice_size=50).collect()}
+    seen, want = {}, {}
+    for k, t, i in rows:
+        last, n = seen.get(k, (t, 0))
+        n += t - last >= 30
+        seen[k], want[i] = (t, n), n
+    assert got == want
+    plan = detector.segments(df.where("key = 'hot'"), ["key"], "clock", 30, slice_size=50)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = plan.withColumn("p", F.spark_partition_id()).select("p").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert parts > 1  # one key's rows are dealt by time slice
+
+
+def observed(trace, ttl, cap, config=HALF):
+    """Through the engine's store: (observations or the error, evictions by the limit, by capacity) for (key, value, time)."""
+    store, out = detector.KeyStore(config, ttl, cap), []
+    for key, x, t in trace:
+        try:
+            verdict, expired, full = store.observe((key, "/r"), x, t)
+            out.append((verdict[4], expired, full))
+        except ScoreError:
+            out.append(None)
+    return out, store
+
+
+def test_state_traces():
+    assert observed([("a", 1.0, 0), ("b", 1.0, 0), ("a", 1.0, 0), ("c", 1.0, 0), ("a", 1.0, 0), ("b", 1.0, 0)], None, 2)[0] == [(1, 0, 0), (1, 0, 0), (2, 0, 0), (1, 0, 1), (3, 0, 0), (1, 0, 1)]
+    assert observed([("a", 1.0, 0), ("b", 1.0, 15), ("a", 1.0, 15)], 15, None)[0] == [(1, 0, 0), (1, 1, 0), (1, 0, 0)]
+    assert observed([("a", 1.0, 0), ("a", 1.0, 10), ("a", 1.0, 24), ("b", 1.0, 39), ("a", 1.0, 39)], 15, None)[0] == [(1, 0, 0), (2, 0, 0), (3, 0, 0), (1, 1, 0), (1, 0, 0)]
+    # one time for all keys: a row before the last successful one of any key is refused and changes nothing
+    out, store = observed([("a", 1.0, 0), ("b", 1.0, 10), ("a", 1.0, 5), ("c", 1.0, 20), ("d", 1.0, 26)], 15, 2)
+    assert out == [(1, 0, 0), (1, 0, 0), None, (1, 1, 0), (1, 1, 0)] and list(store.keys) == [("c", "/r"), ("d", "/r")]
+    # a value that can't be scored doesn't advance the time
+    small, huge = DetectorConfig(0.1, 1, 3.0, 2.2250738585072014e-308), 1.7976931348623157e308
+    assert [x and x[0] for x in observed([("a", 1.0, 0), ("a", huge, 10), ("b", 1.0, 5)], 15, 2, small)[0]] == [1, None, 1]
+    assert [x and x[0] for x in observed([("a", 1.0, 0), ("b", math.nan, 2), ("a", 1.0, 2), ("a", huge, 3), ("a", 1.0, 3)], None, 1, small)[0]] == [1, None, 2, None, 3]
+    store.clear()
+    assert not store.keys and store.observe(("a", "/r"), 1.0, 0)[0][4] == 1
 
 
 def test_replay_gate(spark):

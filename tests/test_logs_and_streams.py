@@ -1,5 +1,7 @@
 """Codec, logs, store, streaming jobs, metrics and the driver contract."""
 
+import json
+import random
 import subprocess
 import sys
 
@@ -7,10 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftwell.functions import codec
-from driftwell.operators.retry import Retryable, parse_failpoint, with_retry
+from driftwell.config import DetectorConfig
+from driftwell.operators.detector import KeyStore
+from driftwell.operators.retry import Retryable, backoff_bounds, jittered, parse_failpoint, with_retry
 from driftwell.plans import metrics
 from driftwell.queries import _log_records
-from driftwell.schemas import DLQ_TOPIC, ENRICHED_TOPIC, EVENTS_TABLE, RAW_TOPIC, assert_schema, schema_gaps
+from driftwell.schemas import DEFERRED_TOPIC, DLQ_TOPIC, ENRICHED_TOPIC, EVENTS_TABLE, RAW_TOPIC, assert_schema, schema_gaps
 from driftwell.sources.adapt import read_events, telemetry
 from driftwell.sources.filelog import FileLog
 from driftwell.sources.store import EventStore
@@ -70,6 +74,24 @@ def test_log_appends_once_and_finds_gaps(spark, tmp_path):
         log.read_range(RAW_TOPIC, 0, 15, 25)
 
 
+def test_log_appends_read_nothing_of_what_it_holds(spark, tmp_path, monkeypatch):
+    log = FileLog(spark, str(tmp_path))
+    rows = spark.range(1000).select(F.col("id").cast("string").cast("binary").alias("key"), F.lit(b"v").alias("value"), (F.col("id") % 3).cast("int").alias("partition"), "id")
+    monkeypatch.setattr(FileLog, "read", None)
+    for i in range(12):
+        log.append(rows, RAW_TOPIC, f"b{11 - i}", ["id"])  # names that don't sort by time
+    number, after = log._head(RAW_TOPIC)
+    assert number == 11 and after == {0: 12 * 334, 1: 12 * 333, 2: 12 * 333}
+    log._set_head(RAW_TOPIC, 12, "never-published", {0: 10**9})  # a crash between head and rename
+    assert log._head(RAW_TOPIC) == (11, after)
+    monkeypatch.undo()
+    for p in range(3):
+        own = log.read(RAW_TOPIC).where(F.col("partition") == p).select("offset", F.col("key").cast("string").cast("long").alias("id"))
+        assert own.agg(F.count_distinct("offset"), F.max("offset")).first() == (after[p], after[p] - 1)
+        ids = [r.id for r in own.orderBy("offset").limit(334 - (p > 0)).collect()]
+        assert ids == list(range(p, 1000, 3))
+
+
 def stored(spark, rows):
     df = spark.createDataFrame(rows, "event_id string, service_name string, latency_us long, partition int, offset long")
     t = F.timestamp_seconds(F.lit(1_700_000_000))
@@ -93,6 +115,86 @@ def test_first_payload_wins_and_replays_change_nothing(spark, tmp_path):
     store.verify()
 
 
+def test_manifests_are_folded_and_the_latest_rows_read(spark, tmp_path, monkeypatch):
+    from driftwell.sources import store as module
+
+    monkeypatch.setattr(module, "FOLD", 3)
+    store = EventStore(spark, str(tmp_path))
+    ids = [f"550e8400-e29b-41d4-a716-44665544000{i}" for i in range(8)]
+    for i, key in enumerate(ids):
+        rows = stored(spark, [(key, "s", i, 0, i), (ids[0], "s", 99, 0, 100 + i)]).withColumn("event_time", F.timestamp_seconds(F.lit(1_700_000_000 + i)))
+        assert store.persist(rows, i) == {"total": 2, "inserted": 1, "conflicts": 1}
+    files = [n for n in (tmp_path / "manifests").iterdir() if n.name.endswith(".json")]
+    assert len(files) <= 3 and sorted(store.published()) == list(range(8)) and store.receipts().count() == 8
+    assert [(r.event_id, r.rank) for r in store.latest(2).orderBy("rank").collect()] == [(ids[7], 1), (ids[6], 2)]
+    assert store.persist(stored(spark, [(ids[3], "s", 5, 0, 7)]), 3) == {"total": 2, "inserted": 1, "conflicts": 1}  # published before
+
+
+def test_late_rows_are_deferred_and_an_epoch_starts_afresh(spark, sf_dir, tmp_path):
+    log = FileLog(spark, f"{tmp_path}/log")
+    t = telemetry(read_events(spark, sf_dir), True).where("id < 40").withColumn("event_us", 1_700_000_000_000_000 + F.col("id") * 1_000_000)
+    clock = F.col("event.event_time.seconds") * 1000
+    run = lambda **more: score_query(log, f"{tmp_path}/check", clock=clock, detector=DetectorConfig(warmup=1), shards=1, **more).awaitTermination()
+    log.append(_log_records(t.where("id >= 20")), RAW_TOPIC, "0", ["id"])
+    run()
+    log.append(_log_records(t.where("id < 10")), RAW_TOPIC, "1", ["id"])  # before what was scored
+    log.append(_log_records(t.where("id >= 39")), RAW_TOPIC, "2", ["id"])
+    run()
+    assert log.read(ENRICHED_TOPIC).count() == 21 and log.read(DEFERRED_TOPIC).count() == 10
+    log.append(_log_records(t.where("id >= 39")), RAW_TOPIC, "3", ["id"])
+    run(epoch=1)
+    scores = log.read(ENRICHED_TOPIC).select(codec.decode_enriched(F.col("value"))["enriched"].alias("e")).select("e.event.event_id", "e.ewma_mean_us").where(F.col("event_id").endswith("27")).collect()
+    assert sorted(r.ewma_mean_us > 0 for r in scores) == [False, True, True]
+
+
+def test_capacity_in_the_stream(spark, tmp_path):
+    from driftwell.config import StateConfig
+
+    log = FileLog(spark, f"{tmp_path}/log")
+    rng = random.Random(6)
+    rows = [(i, f"svc-{rng.randrange(6)}", rng.randrange(5000)) for i in range(300)]
+    base = spark.createDataFrame(rows, "id long, service_name string, latency_us long").withColumn("event_us", F.col("id") * 1_000_000)
+    t = base.select("id", F.format_string("550e8400-e29b-41d4-a716-%012x", "id").alias("event_id"), "event_us", "service_name", F.lit("/r").alias("route"), "latency_us", F.lit(200).cast("long").alias("status_code"), F.lit("").alias("trace_id"), F.create_map(F.lit("k"), F.lit("v")).alias("attributes"), F.lit(0).alias("partition"))
+    for a in (0, 100, 200):  # the state lives on between runs
+        log.append(_log_records(t.where(F.col("id").between(a, a + 99))), RAW_TOPIC, str(a), ["id"])
+        score_query(log, f"{tmp_path}/check", clock=F.col("event.event_time.seconds") * 1000, detector=DetectorConfig(warmup=1), state=StateConfig(max_keys=3, ttl_ms=20_000), shards=1).awaitTermination()
+    store = KeyStore(DetectorConfig(warmup=1), 20_000, 3)
+    want = [(f"550e8400-e29b-41d4-a716-{i:012x}", store.observe((s, "/r"), float(x), i * 1000)[0][0] or 0.0) for i, s, x in rows]
+    got = log.read(ENRICHED_TOPIC).select(codec.decode_enriched(F.col("value"))["enriched"].alias("e")).select("e.event.event_id", "e.ewma_mean_us").orderBy("event_id").collect()
+    assert [tuple(r) for r in got] == want
+
+
+def test_dead_letters_of_both_stages_and_their_lines(spark, tmp_path):
+    from driftwell.operators.route import letter_lines
+
+    log, store = FileLog(spark, f"{tmp_path}/log"), EventStore(spark, f"{tmp_path}/store")
+    bad = spark.createDataFrame([(bytearray(b"k"), bytearray(b"\xff\x00"), 0), (bytearray(b"k"), bytearray(b""), 1)], "key binary, value binary, partition int")
+    log.append(bad, RAW_TOPIC, "0", ["value"])
+    log.append(bad, ENRICHED_TOPIC, "0", ["value"])
+    dead_letter_query(log, f"{tmp_path}/check").awaitTermination()
+    persist_query(log, store, f"{tmp_path}/check").awaitTermination()
+    letters = log.read(DLQ_TOPIC).select("partition", "offset", codec.decode_dead_letter(F.col("value"))["dead_letter"].alias("d")).select("partition", "offset", "d.*")
+    assert sorted((r.stage, r.error_category) for r in letters.collect()) == [(1, "decode"), (1, "event_id"), (2, "decode"), (2, "validation")]
+    lines = [json.loads(r.line) for r in letter_lines(letters).collect()]
+    assert {x["original_payload_hex"] for x in lines} == {"ff00", ""} and all(x["kind"] == "dlq" and x["topic"] == DLQ_TOPIC for x in lines)
+
+
+def test_exposition_round_trip(spark):
+    from driftwell.sources import exposition
+
+    df = spark.createDataFrame([('a"b\\c\nd', 2.5)], "s string, v double").select(exposition.line(F.lit("m_total"), {"s": F.col("s"), "r": F.lit("z")}, F.col("v")).alias("line"))
+    more = spark.createDataFrame([(x,) for x in ("plain 1", "stamped 2 1700000000000", "up NaN", "down -Inf", "# TYPE x counter", "x{", "9x 1", "")], "line string")
+    got = {r.name: r for r in exposition.samples(df.unionAll(more)).collect()}
+    assert got["m_total"].labels == {"s": 'a"b\\c\nd', "r": "z"} and got["m_total"].value == 2.5 and got["stamped"].ts == 1_700_000_000_000
+    assert set(got) == {"m_total", "plain", "stamped", "up", "down"} and got["down"].value == float("-inf") and got["up"].value != got["up"].value
+
+
+def test_client_waits():
+    bounds = backoff_bounds(0.1, 1.0)
+    assert [round(next(bounds), 3) for _ in range(6)] == [0.1, 0.2, 0.4, 0.8, 1.0, 1.0]
+    assert next(backoff_bounds(5.0, 1.0)) == 1.0 and jittered(0.8, lambda: 0.25) == 0.2 and jittered(0.8, lambda: 0.0) == 0.0
+
+
 def test_schema_checks(spark):
     df = spark.createDataFrame([], EVENTS_TABLE)
     assert schema_gaps(df, EVENTS_TABLE).isEmpty()
