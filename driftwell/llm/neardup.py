@@ -11,7 +11,7 @@
    blocks and hubs leave apart (outsiders of the cluster's largest component) then meets all of the cluster, blockwise, first by
    signatures alone; full sets are shipped only for members that signatures can't tell apart. Every pair is
    tested unless it is connected already; a group emits links, never its pairs. Nothing is capped.
-5. Components come from alternating large-star / small-star steps; nodes with more than 1/HUBS of all edges (2 * HUBS of them at most)
+5. Components come from alternating large-star / small-star steps; nodes with more than 1/HUBS of all edges (HUBS of them at most)
    are joined by broadcast, so that no star's edges meet in one task. Each class gets its component's smallest doc_id.
 
 A pair at the threshold shares no band with probability (1 - t^ROWS)^BANDS: 5e-11 at 0.85, 7e-8 at 0.8 (ROWS 4, BANDS 32).
@@ -282,36 +282,39 @@ def _forests(rows: DataFrame, percent: int, exact: bool) -> DataFrame:
     return rows.select("part", "side", "set_id", "n", "sig", "root", "members").repartition("part").sortWithinPartitions("part", "side").mapInArrow(run, "a binary, b binary")
 
 
-def _with_least(edges: DataFrame, key: str, other: str, name: str) -> tuple[DataFrame, DataFrame]:
+def _with_least(edges: DataFrame, key: str, other: str, most: int, name: str) -> tuple[DataFrame, DataFrame]:
     """The edges, each with m: the least of `key` itself and its values of `other` (and the table that holds m by node).
 
-    A hub's edges stay where they are: hubs are at most 2 * HUBS nodes, as each has more than 1/HUBS of the edges, and are broadcast.
+    There are at most `most` edges. A hub's edges stay where they are: hubs are at most HUBS nodes, as each has more than 1/HUBS of
+    that number of edges, and are broadcast.
     """
     low = table(edges.groupBy(key).agg(F.min(other).alias("m"), F.count("*").alias("degree")).select(F.col(key).alias("node"), F.least(key, "m").alias("m"), "degree"), name)
-    total = low.agg(F.sum("degree")).first()[0] or 0
-    hubs = F.broadcast(low.where(F.col("degree") * HUBS > total).select(F.col("node").alias("hub"), F.col("m").alias("hub_m")))
+    hubs = F.broadcast(low.where(F.col("degree") * HUBS > most).select(F.col("node").alias("hub"), F.col("m").alias("hub_m")))
     at_hubs = edges.join(hubs, F.col(key) == F.col("hub")).select("a", "b", F.col("hub_m").alias("m"))
     others = edges.join(hubs, F.col(key) == F.col("hub"), "left_anti").join(low, F.col(key) == F.col("node")).select("a", "b", "m")
     return at_hubs.unionAll(others), low
 
 
+def _mark(edges: DataFrame) -> tuple:
+    """The number of distinct edges and two fingerprints of their set, without a shuffle of them."""
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a", F.lit(1)))).first())
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """node, root (its component's smallest node) for all nodes of the edges (a, b), by alternating star steps."""
     now = table(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), name)
-    while True:
+    mark, last = _mark(now), None
+    while mark != last and mark[0]:
         # large star: every larger neighbour of a node moves to the node's smallest neighbour
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        near, low = _with_least(both, "a", "b", name)
+        near, low = _with_least(both, "a", "b", 2 * mark[0], name)
         large = table(near.where("b > a").select(F.col("m").alias("a"), "b").where("a < b").distinct(), name)
         # small star: a node and its smaller neighbours move to the smallest of them
-        near, down = _with_least(large, "b", "a", name)
+        near, down = _with_least(large, "b", "a", mark[0], name)
         small = near.select(F.col("m").alias("a"), F.when(F.col("a") == F.col("m"), F.col("b")).otherwise(F.col("a")).alias("b"))
         new = table(small.where("a < b").distinct(), name)
-        done = new.join(now, ["a", "b"], "left_anti").isEmpty() and now.join(new, ["a", "b"], "left_anti").isEmpty()
         drop_tables(now, low, large, down)
-        now = new
-        if done:
-            break
+        now, last, mark = new, mark, _mark(new)
     return now.select(F.col("b").alias("node"), F.col("a").alias("root")).unionAll(now.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
 
 
