@@ -212,8 +212,11 @@ class _Group:
         return 100 * both >= self.percent * (len(p) + len(q) - both)
 
     def forest(self) -> list[tuple[bytes, bytes]]:
-        """Links that connect what is connected: fewer than members. Rows of side 0 are tested against all, others only against those."""
-        out, part, n = [], self.part, self.n
+        """Edges that connect what is connected, as stars around the least set of each part, for parts that grew; fewer than members.
+
+        Rows of side 0 are tested against all, others only against those. Members of a part before (by their root) stand for it.
+        """
+        links, part, n = [], self.part, self.n
         for i in range(len(self.rows)):
             if self.side[i] != 0:
                 continue
@@ -224,10 +227,12 @@ class _Group:
             near = other[agree >= self.least]
             for j in near[np.argsort(-agree[agree >= self.least], kind="stable")].tolist():
                 if part[j] != part[i] and self.linked(i, j):
-                    out.append((self.rows[i][1], self.rows[j][1]))
+                    links.append((i, j))
                     part[part == part[j]] = part[i]
-        return out
-
+        stars: dict[int, set[bytes]] = {}
+        for i in {x for link in links for x in link}:
+            stars.setdefault(int(part[i]), set()).add(self.rows[i][1])
+        return [(least, x) for own in stars.values() for least in [min(own)] for x in own if x != least]
 
     def doubtful(self) -> np.ndarray:
         """Members that signature and size can't tell apart from one of another root; side 0 against all."""
@@ -295,26 +300,29 @@ def _with_least(edges: DataFrame, key: str, other: str, most: int, name: str) ->
     return at_hubs.unionAll(others), low
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """The number of distinct edges and two fingerprints of their set, without a shuffle of them."""
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a", F.lit(1)))).first())
+def _unsettled(edges: DataFrame) -> tuple[int, int]:
+    """(distinct edges, nodes that keep them from being stars around their least nodes: smaller ends that are larger ones elsewhere, too, and
+    nodes that are the larger end of several edges)."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(0).alias("above")).unionAll(edges.select(F.col("b").alias("node"), F.lit(1).alias("above")))
+    nodes = ends.groupBy("node").agg(F.count("*").alias("n"), F.sum("above").alias("above"))
+    n, bad = nodes.agg(F.sum("above"), F.count_if((F.col("above") > 1) | ((F.col("above") > 0) & (F.col("above") < F.col("n"))))).first()
+    return n or 0, bad
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """node, root (its component's smallest node) for all nodes of the edges (a, b), by alternating star steps."""
     now = table(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), name)
-    mark, last = _mark(now), None
-    while mark != last and mark[0]:
+    while (left := _unsettled(now))[1]:
         # large star: every larger neighbour of a node moves to the node's smallest neighbour
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        near, low = _with_least(both, "a", "b", 2 * mark[0], name)
-        large = table(near.where("b > a").select(F.col("m").alias("a"), "b").where("a < b").distinct(), name)
+        near, low = _with_least(both, "a", "b", 2 * left[0], name)
+        large = table(near.where("b > a").select(F.col("m").alias("a"), "b").where("a < b"), name)
         # small star: a node and its smaller neighbours move to the smallest of them
-        near, down = _with_least(large, "b", "a", mark[0], name)
+        near, down = _with_least(large, "b", "a", left[0], name)
         small = near.select(F.col("m").alias("a"), F.when(F.col("a") == F.col("m"), F.col("b")).otherwise(F.col("a")).alias("b"))
         new = table(small.where("a < b").distinct(), name)
         drop_tables(now, low, large, down)
-        now, last, mark = new, mark, _mark(new)
+        now = new
     return now.select(F.col("b").alias("node"), F.col("a").alias("root")).unionAll(now.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
 
 
