@@ -195,59 +195,56 @@ def _result(kind: T.StructType, field: str) -> T.StructType:
     return T.StructType([T.StructField("ok", T.BooleanType()), T.StructField("error", T.StringType()), T.StructField(field, kind)])
 
 
-def _nested(row: dict, kind: T.StructType) -> dict:
-    import decimal
+def _column(values: list, kind: T.DataType) -> pa.Array:
+    """Parsed values as an Arrow array, field by field, without a dictionary walk a row."""
+    from pyspark.sql.pandas.types import to_arrow_type
 
-    out = {}
-    for f in kind:
-        v = row.get(f.name)
-        if isinstance(f.dataType, T.StructType) and v is not None:
-            v = _nested(v, f.dataType)
-        elif isinstance(f.dataType, T.ArrayType):
-            v = [_nested(x, f.dataType.elementType) for x in v]
-        elif isinstance(f.dataType, T.DecimalType) and v is not None:
-            v = decimal.Decimal(v)
-        out[f.name] = v
-    return out
+    arrow = to_arrow_type(kind)
+    if isinstance(kind, T.StructType):
+        rows = [{} if v is None else v for v in values]
+        return pa.StructArray.from_arrays([_column([r.get(f.name) for r in rows], f.dataType) for f in kind], fields=list(arrow), mask=pa.array([v is None for v in values], pa.bool_()))
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+        ends = [0]
+        for v in values:
+            ends.append(ends[-1] + len(v or ()))
+        flat = _column([x for v in values for x in v or ()], kind.elementType)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, type=arrow, mask=pa.array([v is None for v in values], pa.bool_()))
+    if isinstance(kind, T.MapType):
+        values = [None if v is None else list(v.items()) for v in values]
+    return pa.array(values, arrow)
 
 
 def _decoder(spec: dict, kind: T.StructType, field: str):
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    arrow = to_arrow_type(_result(kind, field))
-
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for payloads in batches:
-            out = []
+            found, errors = [], []
             for data in payloads.to_pylist():
                 try:
-                    out.append({"ok": True, "error": None, field: _arrow(_nested(parse(data or b"", spec), kind), kind)})
+                    found.append(parse(data or b"", spec))
+                    errors.append(None)
                 except WireError as e:
-                    out.append({"ok": False, "error": str(e), field: None})
-            yield pa.array(out, arrow)
+                    found.append(None)
+                    errors.append(str(e))
+            yield pa.StructArray.from_arrays([pa.array([e is None for e in errors], pa.bool_()), pa.array(errors, pa.string()), _column(found, kind)], names=["ok", "error", field])
 
     return F.arrow_udf(decode, _result(kind, field))
 
 
-def _arrow(row: dict, kind: T.StructType) -> dict:
-    """Maps as lists of pairs, which Arrow wants."""
-    out = {}
-    for f in kind:
-        v = row[f.name]
-        if isinstance(f.dataType, T.MapType) and v is not None:
-            v = list(v.items())
-        elif isinstance(f.dataType, T.StructType) and v is not None:
-            v = _arrow(v, f.dataType)
-        elif isinstance(f.dataType, T.ArrayType):
-            v = [_arrow(x, f.dataType.elementType) for x in v]
-        out[f.name] = v
-    return out
+def _pythons(array: pa.Array, spec: dict) -> list:
+    """The array's rows as dictionaries of what the spec names, read field by field."""
+    if isinstance(array, pa.ChunkedArray):
+        array = array.combine_chunks()
+    kinds = dict(spec.values())
+    names = [f.name for f in array.type if f.name in kinds]
+    cols = [_pythons(array.field(n), kinds[n]) if isinstance(kinds[n], dict) else array.field(n).to_pylist() for n in names]
+    rows = [dict(zip(names, values, strict=True)) for values in zip(*cols, strict=True)]
+    return rows if not array.null_count else [r if ok else None for r, ok in zip(rows, array.is_valid().to_pylist(), strict=True)]
 
 
 def _encoder(spec: dict):
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for rows in batches:
-            yield pa.array([None if r is None else serialise(r, spec) for r in rows.to_pylist()], pa.binary())
+            yield pa.array([None if r is None else serialise(r, spec) for r in _pythons(rows, spec)], pa.binary())
 
     return F.arrow_udf(encode, T.BinaryType())
 

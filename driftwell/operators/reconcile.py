@@ -197,7 +197,7 @@ def run_summary(metrics: DataFrame) -> DataFrame:
 
 
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """path, bytes, sha256 of every file under path."""
+    """path, bytes, sha256 of every file under path that holds a byte (Spark's reader passes over empty files)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 

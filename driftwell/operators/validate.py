@@ -33,6 +33,9 @@ def _empty(x: Column) -> Column:
     return F.coalesce(x, F.lit("")) == ""
 
 
+# The categories, messages and limits in the three rule sets below are fixed values: clients, dashboards and stored dead letters compare them.
+
+
 def raw_failure(event: Column, key: Column) -> Column:
     """The processor's rules for a decoded event and its record key (binary or string)."""
     service, route, attributes = event["service_name"], event["route"], event["attributes"]
@@ -90,7 +93,10 @@ def event_failure(event: Column, index: Column, now: Column) -> Column:
     newer = (us > now + 300 * 1_000_000) | ((us == now + 300 * 1_000_000) & (nanos % 1000 > 0))
     bad = F.filter(sorted_entries(attributes), lambda e: (F.octet_length(e["key"]) > MAX_KEY_BYTES) | (F.octet_length(e["value"]) > MAX_VALUE_BYTES))
     first = F.try_element_at(bad, F.lit(1))
-    quoted = F.concat(F.lit('"'), F.replace(F.replace(first["key"], F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+    quoted = first["key"]
+    for plain, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        quoted = F.replace(quoted, F.lit(plain), F.lit(escaped))
+    quoted = F.concat(F.lit('"'), quoted, F.lit('"'))
     oversize = F.when(F.octet_length(first["key"]) > MAX_KEY_BYTES, F.concat(at, F.lit(".attributes["), quoted, F.lit(f"] key must be at most {MAX_KEY_BYTES} bytes"))).otherwise(F.concat(at, F.lit(".attributes value for key "), quoted, F.lit(f" must be at most {MAX_VALUE_BYTES} bytes")))
     return (
         F.when(event.isNull(), say(" is required"))

@@ -139,6 +139,7 @@ def _faulty(t: DataFrame) -> DataFrame:
     return t.withColumn("event", event).withColumn("key", F.when(k == 12, F.lit("wrong")).otherwise(partition_key("event.service_name", "event.route")))
 
 
+# The rules' categories and messages.
 _RAW_CASE = """CASE id % 17 WHEN 1 THEN 'event_id' WHEN 2 THEN 'event_time' WHEN 3 THEN 'event_time' WHEN 4 THEN 'service_name' WHEN 5 THEN 'service_name' WHEN 6 THEN 'route' WHEN 7 THEN 'route' WHEN 10 THEN 'attributes' WHEN 11 THEN 'attributes' WHEN 12 THEN 'key' ELSE 'valid' END"""
 _RAW_REASON = """CASE id % 17 WHEN 1 THEN 'event_id must be a UUID' WHEN 2 THEN 'event_time is missing or invalid' WHEN 3 THEN 'event_time is missing or invalid' WHEN 4 THEN 'service_name must not be empty' WHEN 5 THEN 'service_name must not contain NUL'
  WHEN 6 THEN 'route must not be empty' WHEN 7 THEN 'route exceeds 256 bytes' WHEN 10 THEN 'attributes exceed 16 entries' WHEN 11 THEN 'attribute key or value exceeds its byte limit' WHEN 12 THEN 'source key does not match service_name and route' END"""
@@ -414,12 +415,19 @@ def pacer_schedule(spark, sf_dir):
     return generate.pacer(ticks, 1000)
 
 
-@query("""WITH m AS (SELECT * FROM (VALUES (1000::BIGINT, 1000::BIGINT, 1000::BIGINT, 0::BIGINT, 2::BIGINT, 3::BIGINT, 900::BIGINT, 0::BIGINT, 2.5::DOUBLE), (20, 20, 20, 0, 0, 0, 20, 0, 2), (5, 5, 5, 0, 0, 0, 5, 0, 0)) v(expected_attempted, attempted, queued, invalid, dropped_full, dropped_closed, acknowledged, permanent_failures, elapsed_seconds))
-SELECT *, dropped_full + dropped_closed AS dropped, CASE WHEN elapsed_seconds > 0 THEN acknowledged / elapsed_seconds ELSE 0 END AS acknowledged_events_per_second, attempted = expected_attempted AND invalid = 0 AND dropped_full = 0 AND dropped_closed = 0 AND permanent_failures = 0 AND acknowledged = queued AS valid FROM m""")
+_RUN = "WITH m AS (SELECT event_type, count(*) AS expected_attempted, count(*) AS attempted, count(*) FILTER (WHERE user_id % 4 > 0 OR event_type <> 'error') AS queued, CAST(0 AS BIGINT) AS invalid, count(*) FILTER (WHERE user_id % 4 = 0 AND event_type = 'error') AS dropped_full, CAST(0 AS BIGINT) AS dropped_closed, count(*) FILTER (WHERE (user_id % 4 > 0 OR event_type <> 'error') AND NOT (event_type = 'click' AND event_id % 50 = 1)) AS acknowledged, CAST(0 AS BIGINT) AS permanent_failures, count(*) / 500.0::DOUBLE AS elapsed_seconds FROM events GROUP BY event_type)"
+
+
+@query(f"""{_RUN} SELECT *, dropped_full + dropped_closed AS dropped, CASE WHEN elapsed_seconds > 0 THEN acknowledged / elapsed_seconds ELSE 0 END AS acknowledged_events_per_second, attempted = expected_attempted AND invalid = 0 AND dropped_full = 0 AND dropped_closed = 0 AND permanent_failures = 0 AND acknowledged = queued AS valid,
+ dropped_full = 0 AND acknowledged = attempted AND queued = attempted AS loss_free FROM m""")
 def run_summary(spark, sf_dir):
-    rows = [(1000, 1000, 1000, 0, 2, 3, 900, 0, 2.5), (20, 20, 20, 0, 0, 0, 20, 0, 2.0), (5, 5, 5, 0, 0, 0, 5, 0, 0.0)]
-    names = ("expected_attempted", "attempted", "queued", "invalid", "dropped_full", "dropped_closed", "acknowledged", "permanent_failures")
-    return reconcile.run_summary(spark.createDataFrame(rows, ", ".join(f"{n} long" for n in names) + ", elapsed_seconds double"))
+    """A run per kind of event: errors of some users are dropped, some clicks are queued and never acknowledged."""
+    dropped = (F.col("user_id") % 4 == 0) & (F.col("event_type") == "error")
+    lost = (F.col("event_type") == "click") & (F.col("event_id") % 50 == 1)
+    zero = F.lit(0).cast("long")
+    m = read_events(spark, sf_dir).groupBy("event_type").agg(F.count("*").alias("expected_attempted"), F.count("*").alias("attempted"), F.count_if(~dropped).alias("queued"), zero.alias("invalid"), F.count_if(dropped).alias("dropped_full"), zero.alias("dropped_closed"), F.count_if(~dropped & ~lost).alias("acknowledged"), zero.alias("permanent_failures"), (F.count("*") / 500.0).alias("elapsed_seconds"))
+    s = reconcile.run_summary(m)
+    return s.withColumn("loss_free", reconcile.loss_free({c: F.col(c) for c in s.columns}, F.col("attempted")))
 
 
 @query("SELECT count(*) AS attempted, count(*) FILTER (WHERE event_id % 13 > 3) AS queued, count(*) FILTER (WHERE event_id % 13 = 1) AS invalid, count(*) FILTER (WHERE event_id % 13 IN (0, 2)) AS dropped_full, count(*) FILTER (WHERE event_id % 13 = 3) AS dropped_closed FROM events")
@@ -432,21 +440,35 @@ _CODES = ("40001", "40P01", "08006", "53300", "57P01", "57P02", "57P03", "42P01"
 _STATES = ("Aborted", "Cancelled", "DeadlineExceeded", "Internal", "ResourceExhausted", "Unavailable", "Unknown", "InvalidArgument", "NotFound", "FailedPrecondition", "OK")
 
 
-@query("SELECT code, code LIKE '08%' OR code LIKE '53%' OR code IN ('40001', '40P01', '57P01', '57P02', '57P03') AS retryable FROM (VALUES " + ", ".join(f"('{c}')" for c in _CODES) + ") v(code)")
+def _coded(spark, sf_dir, codes: tuple[str, ...]) -> DataFrame:
+    """The events, each with one of the codes in turn."""
+    return read_events(spark, sf_dir).select(F.element_at(F.array(*map(F.lit, codes)), (F.col("event_id") % len(codes) + 1).cast("int")).alias("code"))
+
+
+def _coded_sql(codes: tuple[str, ...], retryable: str) -> str:
+    return f"SELECT code, {retryable} AS retryable, count(*) AS attempts FROM (SELECT list_extract([{', '.join(map(repr, codes))}], event_id % {len(codes)} + 1) AS code FROM events) GROUP BY code"
+
+
+@query(_coded_sql(_CODES, "code LIKE '08%' OR code LIKE '53%' OR code IN ('40001', '40P01', '57P01', '57P02', '57P03')"))
 def sqlstate_classification(spark, sf_dir):
-    return spark.createDataFrame([(c,) for c in _CODES], "code string").select("code", retryable_sqlstate(F.col("code")).alias("retryable"))
+    return _coded(spark, sf_dir, _CODES).groupBy("code", retryable_sqlstate(F.col("code")).alias("retryable")).agg(F.count("*").alias("attempts"))
 
 
-@query("SELECT code, code IN ('Aborted', 'Cancelled', 'DeadlineExceeded', 'Internal', 'ResourceExhausted', 'Unavailable', 'Unknown') AS retryable FROM (VALUES " + ", ".join(f"('{c}')" for c in _STATES) + ") v(code)")
+@query(_coded_sql(_STATES, "code IN ('Aborted', 'Cancelled', 'DeadlineExceeded', 'Internal', 'ResourceExhausted', 'Unavailable', 'Unknown')"))
 def status_classification(spark, sf_dir):
-    return spark.createDataFrame([(c,) for c in _STATES], "code string").select("code", retryable_status(F.col("code")).alias("retryable"))
+    return _coded(spark, sf_dir, _STATES).groupBy("code", retryable_status(F.col("code")).alias("retryable")).agg(F.count("*").alias("attempts"))
 
 
-@query("SELECT CAST(15 AS BIGINT) AS current, CAST(15 AS BIGINT) AS \"end\", CAST(0 AS BIGINT) AS lag, CAST(3 AS BIGINT) AS partitions, true AS ok")
+@query(f"""WITH {T_SQL}, e AS (SELECT partition, count(*) AS n FROM t GROUP BY partition) SELECT CAST(sum(n - CASE WHEN partition = 2 THEN 5 ELSE 0 END) AS BIGINT) AS current, CAST(sum(n) AS BIGINT) AS "end", CAST(5 AS BIGINT) AS lag, count(*) AS partitions, false AS ok, true AS ok_behind FROM e""")
 def group_status(spark, sf_dir):
-    head = "GROUP TOPIC PARTITION CURRENT-OFFSET LOG-END-OFFSET LAG CONSUMER-ID HOST CLIENT-ID"
-    lines = [head, *(f"proc telemetry.raw {p} {n} {n} 0 c h i" for p, n in ((0, 4), (1, 8), (2, 3)))]
-    return reconcile.group_status(spark.createDataFrame([(x,) for x in lines], "line string"), "telemetry.raw", 3, "proc")
+    """Status lines of a group that lags by 5 in one partition, among lines of other topics: not caught up, but in order otherwise."""
+    ends = reconcile.next_offsets(with_offsets(_events(spark, sf_dir)))
+    late = F.when(F.col("partition") == 2, 5).otherwise(0)
+    lines = ends.select(F.format_string("proc telemetry.raw %d %d %d %d c h i", "partition", F.col("next_offset") - late, "next_offset", late).alias("line"))
+    more = spark.createDataFrame([(x,) for x in ("GROUP TOPIC PARTITION CURRENT-OFFSET LOG-END-OFFSET LAG CONSUMER-ID HOST CLIENT-ID", "proc other 0 1 9 8 c h i", "")], "line string")
+    lines = lines.unionAll(more)
+    strict, loose = (reconcile.group_status(lines, "telemetry.raw", 3, "proc", caught_up=c) for c in (True, False))
+    return strict.join(loose.select(F.col("ok").alias("ok_behind")))  # two single rows
 
 
 @query("SELECT CAST(i % 3 AS INTEGER) AS partition, '00000000-0000-4000-8000-' || lpad(lower(to_hex(i)), 12, '0') AS event_id, 250 + i % 10000 AS latency_us, 'sink-' || lpad(lower(to_hex(i)), 12, '0') AS trace_id FROM range(0, 50000) r(i)")

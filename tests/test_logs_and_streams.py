@@ -189,6 +189,33 @@ def test_exposition_round_trip(spark):
     assert set(got) == {"m_total", "plain", "stamped", "up", "down"} and got["down"].value == float("-inf") and got["up"].value != got["up"].value
 
 
+def test_manifest_of_files_and_hidden_settings(spark, tmp_path):
+    import hashlib
+
+    from driftwell.operators import reconcile
+
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.txt").write_bytes(b"one")
+    (tmp_path / "y.txt").write_bytes(b"two\n")
+    got = {r.path.rsplit("/", 1)[1]: (r.bytes, r.sha256) for r in reconcile.file_manifest(spark, str(tmp_path)).collect()}
+    assert got == {"x.txt": (3, hashlib.sha256(b"one").hexdigest()), "y.txt": (4, hashlib.sha256(b"two\n").hexdigest())}
+    df = spark.createDataFrame([({"db_password": "p", "API_KEY": "k", "host": "h"},)], "config map<string,string>")
+    assert df.select(reconcile.redact(F.col("config")).alias("c")).first().c == {"db_password": "<redacted>", "API_KEY": "<redacted>", "host": "h"}
+
+
+def test_codec_columns_with_nulls_and_nested_lists(spark):
+    from driftwell.schemas import BATCH
+
+    from decimal import Decimal
+
+    event = ("550e8400", (5, 7), "s", "/r", Decimal(3), 200, None, {"b": "2", "a": "1"})
+    df = spark.createDataFrame([(("id", [event, (None,) * 8, event]),), (("none", []),), (None,)], f"b {BATCH.simpleString()}")
+    out = df.select(codec.encode_batch(F.col("b")).alias("p")).select(codec.decode_batch(F.col("p")).alias("d")).select("d.*").collect()
+    assert [r.ok for r in out] == [True] * 3 and [len(r.batch.events) for r in out] == [3, 0, 0] and out[2].batch.batch_id == ""
+    e = out[0].batch.events[0]
+    assert (e.event_id, tuple(e.event_time), int(e.latency_us), e.trace_id, e.attributes) == ("550e8400", (5, 7), 3, "", {"a": "1", "b": "2"}) and out[0].batch.events[1].event_time is None
+
+
 def test_client_waits():
     bounds = backoff_bounds(0.1, 1.0)
     assert [round(next(bounds), 3) for _ in range(6)] == [0.1, 0.2, 0.4, 0.8, 1.0, 1.0]
