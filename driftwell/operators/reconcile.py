@@ -65,24 +65,25 @@ def batches(records: DataFrame, cap: int = 500) -> DataFrame:
     return dense.unionByName(gappy.withColumn("batch", F.floor(F.col("_seq") / cap)).drop("_seq")).drop("_low", "_dense")
 
 
-def timed_batches(records: DataFrame, cap: int = 500, wait_us: int = 10_000, clock: str = "clock_us") -> DataFrame:
-    """Adds `batch`: a partition's rows by offset; a batch ends with its cap-th row, or before a row that comes wait_us or more after its first.
+def timed_batches(records: DataFrame, cap: int = 500, wait_us: int = 10_000, clock: str = "clock_us", by: tuple[str, ...] = ("topic", "partition"), order: tuple[str, ...] = ("offset",)) -> DataFrame:
+    """Adds `batch`: the rows of each reader (`by`) in their order; a batch ends with its cap-th row, or before a row that comes wait_us or more
+    after its first. A reader of several partitions has them in the order of arrival.
 
-    Where a batch begins depends on the one before, so a partition is read in order, by a pass that holds three numbers.
+    Where a batch begins depends on the one before, so a reader's rows are read in order, by a pass that holds three numbers.
     """
     import pyarrow as pa
     from pyspark.sql.types import LongType, StructField, StructType
 
     names = records.columns
-    at = [names.index(n) for n in ("topic", "partition", clock)]
+    at = [names.index(n) for n in (*by, clock)]
 
     def run(found):
         now, batch, size, begin = None, 0, 0, 0
         for rows in found:
             out = []
-            for topic, partition, t in zip(*(rows.column(i).to_pylist() for i in at), strict=True):
-                if (topic, partition) != now:
-                    now, batch, size, begin = (topic, partition), 0, 0, t
+            for *reader, t in zip(*(rows.column(i).to_pylist() for i in at), strict=True):
+                if reader != now:
+                    now, batch, size, begin = reader, 0, 0, t
                 elif size >= cap or t - begin >= wait_us:
                     batch, size, begin = batch + 1, 0, t
                 size += 1
@@ -90,7 +91,7 @@ def timed_batches(records: DataFrame, cap: int = 500, wait_us: int = 10_000, clo
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(out, pa.int64())], names=[*rows.schema.names, "batch"])
 
     kind = StructType([*records.schema.fields, StructField("batch", LongType())])
-    return records.repartition("topic", "partition").sortWithinPartitions("topic", "partition", "offset").mapInArrow(run, kind)
+    return records.repartition(*by).sortWithinPartitions(*by, *order).mapInArrow(run, kind)
 
 
 def moved_offsets(before: DataFrame, after: DataFrame, ends: DataFrame) -> DataFrame:

@@ -150,9 +150,28 @@ def test_lag_bases(spark):
     assert all(r.got == r.want for r in df.select(reconcile.offset_base(F.col("kind"), F.col("value"), F.lit(4), F.lit(20)).alias("got"), "want").collect())
 
 
-def test_502_records_commit_once(spark):
-    df = spark.range(502).select(F.lit("t").alias("topic"), (F.col("id") % 2).cast("int").alias("partition"), "id").where("id < 500").withColumnRenamed("id", "offset")
-    assert {(r.partition, r.next_offset) for r in reconcile.next_offsets(df).collect()} == {(0, 499), (1, 500)}
+def test_502_records_make_a_batch_of_500_and_commit_the_highest_offsets(spark):
+    # one reader of two partitions, whose offsets are the arrival's numbers
+    df = spark.range(502).select(F.lit("t").alias("topic"), (F.col("id") % 2).cast("int").alias("partition"), F.col("id").alias("offset"), F.lit(0).cast("long").alias("clock_us"))
+    b = reconcile.timed_batches(df, 500, 10_000, by=("topic",))
+    sizes = {r.batch: r["count"] for r in b.groupBy("batch").count().collect()}
+    commits = {(r.batch, r.partition): r.next_offset for r in b.groupBy("batch", "partition").agg((F.max("offset") + 1).alias("next_offset")).collect()}
+    assert sizes == {0: 500, 1: 2} and commits == {(0, 0): 499, (0, 1): 500, (1, 0): 501, (1, 1): 502}
+
+
+def test_a_deadline_ends_a_batch(spark):
+    df = spark.createDataFrame([("t", 0, o, t) for o, t in enumerate((0, 9_999, 10_000, 15_000, 19_999, 20_000, 60_000))], "topic string, partition int, offset long, clock_us long")
+    got = [r.batch for r in reconcile.timed_batches(df, 500, 10_000).orderBy("offset").collect()]
+    assert got == [0, 0, 1, 1, 1, 2, 3]
+    assert [r.batch for r in reconcile.timed_batches(df, 2, 10_000).orderBy("offset").collect()] == [0, 0, 1, 1, 2, 2, 3]
+
+
+def test_quoted_attribute_keys(spark):
+    from driftwell.operators.validate import event_failure
+
+    event = lambda key: F.struct(F.lit("550e8400-e29b-41d4-a716-446655440000").alias("event_id"), F.struct(F.lit(0).cast("long").alias("seconds"), F.lit(0).alias("nanos")).alias("event_time"), F.lit("s").alias("service_name"), F.lit("/r").alias("route"), F.create_map(F.lit(key), F.repeat(F.lit("v"), 257)).alias("attributes"))
+    got = spark.range(1).select(event_failure(event('a"\\\n\t'), F.lit(3), F.lit(0)).alias("r")).first().r
+    assert got == 'events[3].attributes value for key "a\\"\\\\\\n\\t" must be at most 256 bytes'
 
 
 @pytest.mark.parametrize("gap", [False, True])
