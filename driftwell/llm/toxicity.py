@@ -302,9 +302,11 @@ def fit_bags(bags: list[set[str]], labels: list[int], rounds: int = 3, seed: int
     kernel, rng = Kernel(), np.random.default_rng(seed)
     toxic = [bags[i] for i in np.flatnonzero(~held & (y == 1)) if bags[i]]
     clean = Counter(w for i in np.flatnonzero(~held & (y == 0)) for w in bags[i])
-    seeded = _evidence(toxic, [bags[i] for i in np.flatnonzero(~held & (y == 0))], (int((y[~held] == 1).sum()), int((y[~held] == 0).sum())))
     vocabulary = sorted(clean)
     every = sorted(set(vocabulary).union(*toxic))
+    if not toxic:
+        return prior
+    seeded = _evidence(toxic, [bags[i] for i in np.flatnonzero(~held & (y == 0))], (int((y[~held] == 1).sum()), int((y[~held] == 0).sum())), every)
     score, model = seeded, prior
     for r in range(rounds):
         witness: Counter = Counter()
@@ -351,27 +353,51 @@ def _disguise(w: str, rng: np.random.Generator) -> str:
     return w[:at] + "abcdefghijklmnopqrstuvwxyz"[rng.integers(26)] + w[at:]
 
 
-def _grams(w: str) -> set[str]:
-    w = f"^{w}$"
-    return {w[i : i + k] for k in (4, 5, 6) for i in range(len(w) - k + 1)} or {w}
-
-
-def _evidence(toxic: list[set[str]], clean: list[set[str]], sizes: tuple[int, int]):
-    """The log odds of a word's most telling character n-gram, as a function of the word; n-grams of fewer than 3 toxic documents tell nothing."""
-    found = Counter(g for bag in toxic for g in set().union(*map(_grams, bag)))
-    found = {g: c for g, c in found.items() if c >= 3}
-    other: Counter = Counter()
-    for bag in clean:
-        other.update({g for w in bag for g in _grams(w) if g in found})
-    odds = {g: (np.log((c + 0.1) / (sizes[0] + 0.2)) - np.log((other[g] + 0.5) / (sizes[1] + 1))) * min(1.0, c / 8) for g, c in found.items()}
-    known: dict[str, float] = {}
-
-    def score(w: str) -> float:
-        if w not in known:
-            known[w] = max((odds.get(g, -9.0) for g in _grams(w)), default=-9.0)
-        return known[w]
+def _gram_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the words' character n-grams of 4 to 6, word by word; how many each word has). A word of one character is its own."""
+    size = np.array([len(w) + 2 for w in words])
+    chars = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    owner, ends = np.repeat(np.arange(len(words)), size), np.cumsum(size)
+    hashes, owners = [], []
+    for k in (3, 4, 5, 6):
+        at = np.arange(max(len(chars) - k + 1, 0))
+        at = at[(at + k <= ends[owner[at]]) & ((k > 3) | (size[owner[at]] == 3))]
+        h = np.full(len(at), k, np.uint64)
+        with np.errstate(over="ignore"):
+            for j in range(k):
+                h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + chars[at + j]
+        hashes.append(h)
+        owners.append(owner[at])
+    owner = np.concatenate(owners)
+    return np.concatenate(hashes)[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
+
+
+def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of the words' n-grams, word by word; where each word's begin, and the end), by blocks of words."""
+    parts = [_gram_hashes(words[at : at + 10_000]) for at in range(0, len(words), 10_000)]
+    start = np.concatenate([[0], np.cumsum(np.concatenate([n for _, n in parts]))])
+    known = np.unique(np.concatenate([h for h, _ in parts]))
+    return np.concatenate([np.searchsorted(known, h).astype(np.int32) for h, _ in parts]), start
+
+
+def _evidence(toxic: list[set[str]], clean: list[set[str]], sizes: tuple[int, int], words: list[str]):
+    """The log odds of a word's most telling character n-gram, as a function of the word (one of `words`); n-grams of fewer than 3 toxic
+    documents tell nothing."""
+    number, start = _grams(words)
+    place = {w: i for i, w in enumerate(words)}
+
+    def documents(bags: list[set[str]]) -> np.ndarray:
+        out = np.zeros(int(number.max(initial=-1)) + 1)
+        for bag in filter(None, bags):
+            own = np.array([place[w] for w in bag])
+            n = start[own + 1] - start[own]
+            out[np.unique(number[np.repeat(start[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())])] += 1
+        return out
 
-    return score
+    c1, c0 = documents(toxic), documents(clean)
+    odds = (np.log((c1 + 0.1) / (sizes[0] + 0.2)) - np.log((c0 + 0.5) / (sizes[1] + 1))) * np.minimum(1.0, c1 / 8)
+    best = np.maximum.reduceat(np.where(c1 >= 3, odds, -9.0)[number], start[:-1])
+    return dict(zip(words, best.tolist(), strict=True)).__getitem__
 
 
 def _tops(bags: list[set[str]], model: Model, kernel: Kernel, cache: dict | None = None) -> np.ndarray:
