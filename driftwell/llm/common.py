@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -43,16 +44,26 @@ def spark_path(t: DataFrame):
     return t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._table_path)
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system: a Python worker idles beside the next stage's JVM work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library's, where it has one
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], dict]]) -> DataFrame:
     """mapInArrow with one step function per task; a step turns a dict of lists into a dict of lists or arrays."""
 
     typed = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = make()
+        step, batch, out = make(), None, None
         for batch in batches:
             out = step({name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)})
             yield pa.RecordBatch.from_pydict(out, typed)
+        step = batch = out = None
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -61,10 +72,12 @@ def filter_batches(df: DataFrame, columns: list[str], make: Callable[[], Callabl
     """Keep the rows for which a step over the named columns' values says so; all columns pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = make()
+        step, batch = make(), None
         for batch in batches:
             keep = step(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns))
             yield batch.filter(pa.array(keep, pa.bool_()))
+        step = batch = None
+        release()
 
     return df.mapInArrow(run, df.schema)
 

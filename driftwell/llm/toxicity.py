@@ -51,6 +51,8 @@ SAMPLE, SAMPLE_BYTES = 2000, 16_000_000
 START = 9000
 #: Variants with an inserted letter that a common witness adds to the training set.
 VARIANTS = 3
+#: Decided words that a task remembers.
+CACHE = 250_000
 #: Weight of a toxic document with disguised insults when the threshold is set.
 DISGUISED = 0.1
 #: Least log odds of a word's n-grams for it to be a first witness.
@@ -402,7 +404,7 @@ def _evidence(toxic: list[set[str]], clean: list[set[str]], sizes: tuple[int, in
 
 def _tops(bags: list[set[str]], model: Model, kernel: Kernel, cache: dict | None = None) -> np.ndarray:
     cache = {} if cache is None else cache
-    if len(cache) > 1_000_000:
+    if len(cache) > CACHE:
         cache.clear()
     new = list(set().union(*bags) - cache.keys()) if bags else []
     cache.update(zip(new, model.decide_all(new, kernel).tolist(), strict=True))
