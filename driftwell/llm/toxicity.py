@@ -19,7 +19,8 @@ labelled documents whose smallest word hashes agree with an earlier one's (near
 a copied document's words aren't further evidence. Everything else covers all rows.
 
 Defined results: null and empty texts get the score of a text without any word; without labelled rows of both classes
-every score is the share of label 1 (0 without any); texts are read whole, whatever their length; repeated rows are scored alike.
+every score is the share of label 1 (0 without any); texts are read whole, whatever their length; repeated rows are scored alike, to the
+last bit: a word's decision depends on the model alone, and the model on no order of sets.
 """
 
 from __future__ import annotations
@@ -116,10 +117,10 @@ class Kernel:
             return [word]
         return [word[i : i + WINDOW] for i in range(0, len(word) - WINDOW // 2, WINDOW // 2)]
 
-    def matrix(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols by word, padded with -1 (length classes keep the padding small), and lengths. Boundaries are a symbol each."""
+    def matrix(self, words: list[str], width: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols by word, padded with -1 to `width` (or the longest; length classes keep the padding small), and lengths. Boundaries are a symbol each."""
         n = np.array([len(w) + 2 for w in words])
-        m = np.full((len(words), int(n.max())), -1, np.int64)
+        m = np.full((len(words), width or int(n.max())), -1, np.int64)
         sym = self.symbols
         for i, w in enumerate(words):
             m[i, : len(w) + 2] = [27, *map(sym.__getitem__, w), 27]
@@ -169,7 +170,7 @@ class Model:
         for lo, hi in ((0, 5), (5, 8), (8, 11), (11, 15), (15, WINDOW + 1)):
             pick = np.flatnonzero((size >= lo) & (size < hi))
             if len(pick):
-                m, n = kernel.matrix([flat[i] for i in pick])
+                m, n = kernel.matrix([flat[i] for i in pick], hi + 1)  # sums over one width a class: no word's bits depend on others
                 f = np.zeros(len(pick))
                 for code, ok, weight in kernel.codes(m):
                     f += weight * (self.table[np.where(ok, code, _TABLE)]).sum(1)
@@ -305,6 +306,7 @@ def fit_bags(bags: list[set[str]], labels: list[int], rounds: int = 3, seed: int
     toxic = [bags[i] for i in np.flatnonzero(~held & (y == 1)) if bags[i]]
     clean = Counter(w for i in np.flatnonzero(~held & (y == 0)) for w in bags[i])
     vocabulary = sorted(clean)
+    frequent = sorted(vocabulary, key=lambda w: -clean[w])[:LANDMARKS]
     every = sorted(set(vocabulary).union(*toxic))
     if not toxic:
         return prior
@@ -326,7 +328,7 @@ def fit_bags(bags: list[set[str]], labels: list[int], rounds: int = 3, seed: int
         # the commoner witnesses once more with a letter put in, which is how they are disguised
         disguised = [_disguise(w, rng) for w in positive if witness[w] >= 3 and len(w) > 3 for _ in range(VARIANTS)]
         first = [negative[i] for i in rng.permutation(len(negative))[:START]]
-        common = [w for w, _ in clean.most_common(LANDMARKS) if w not in witness]
+        common = [w for w in frequent if w not in witness]
         marks = Landmarks(list(dict.fromkeys(positive[: LANDMARKS // 2] + common[: LANDMARKS // 4] + first[:LANDMARKS]))[:LANDMARKS], kernel)
         x, weight = [marks.features(positive + disguised)], [min(witness[w], 20) ** 0.5 for w in positive] + [1.0] * len(disguised)
         n1, used, new = len(weight), set(), list(dict.fromkeys(common + first))
@@ -345,7 +347,7 @@ def fit_bags(bags: list[set[str]], labels: list[int], rounds: int = 3, seed: int
         # toxic documents count a second time with their insults disguised, so that the threshold leaves room for those
         cache: dict[str, float] = {}
         top = _tops(bags, model, kernel, cache)
-        again = [{_disguise(w, rng) if len(w) > 3 and cache[w] > 0 else w for w in b} for b, label in zip(bags, y, strict=True) if label]
+        again = [{_disguise(w, rng) if len(w) > 3 and cache[w] > 0 else w for w in sorted(b)} for b, label in zip(bags, y, strict=True) if label]
         model.scale, model.shift = _platt(np.append(top, _tops(again, model, kernel)), np.append(y, np.ones(len(again), int)), np.append(np.ones(len(y)), np.full(len(again), DISGUISED)))
     return model if model.scale > 0 else prior
 

@@ -2,8 +2,11 @@
 
 import hashlib
 import itertools
+import os
 import random
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -436,6 +439,27 @@ def test_toxicity_learns_from_whole_words_and_from_every_clean_word(monkeypatch)
     assert (score([" ".join(rng.sample(clean, 12)) for _ in range(40)]) < 0.5).all()
 
 
+FIT = """
+import hashlib, random
+from driftwell.llm import toxicity
+rng = random.Random(3)
+clean = ["".join(rng.choices("aeioulnrst", k=rng.randrange(2, 12))) for _ in range(900)]
+texts = [" ".join(rng.sample(clean, 12) + rng.choices(["gruzzlepit", "snorkwad"], k=i % 3 == 0)) for i in range(300)]
+m = toxicity.fit_texts(texts, [int(i % 3 == 0) for i in range(300)])
+print(hashlib.sha256(m.table.tobytes() + repr((m.bias, m.scale, m.shift)).encode()).hexdigest())
+"""
+
+
+def test_toxicity_fits_alike_and_decides_each_word_alone():
+    found = {subprocess.run([sys.executable, "-c", FIT], env={**os.environ, "PYTHONHASHSEED": seed, "PYTHONPATH": os.getcwd()}, capture_output=True, text=True, check=True).stdout for seed in ("1", "2", "3")}
+    assert len(found) == 1
+    rng, kernel = random.Random(5), toxicity.Kernel()
+    model = toxicity.Model(np.random.default_rng(2).normal(size=toxicity._TABLE + 1).astype(np.float32), 0.1, 1.0, 0.0)
+    model.table[-1] = 0
+    words = ["".join(rng.choices("abcdé6-", k=rng.randrange(1, 60))) for _ in range(400)]
+    assert model.decide(words, kernel).tolist() == [model.decide([w], kernel)[0] for w in words]
+
+
 def test_toxicity_sample_bounds(spark):
     docs = spark.createDataFrame([(i, ("gruzzlepit " if i % 2 else "") + f"tolan minem sar{i}" + " x1" * (i % 7)) for i in range(80)], "doc_id long, text string").unionByName(spark.createDataFrame([(81, " ".join(f"w{i}" for i in range(5000)))], "doc_id long, text string"))
     labels = spark.createDataFrame([(i, i % 2) for i in range(82)], "doc_id long, toxic int")
