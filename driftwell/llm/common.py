@@ -14,6 +14,8 @@ from pyspark.sql.types import StructType
 
 #: Broadcast joins take a side of at most this many narrow rows; beyond, the join shuffles.
 BROADCAST_ROWS = 1_000_000
+#: Rows and bytes that a step takes at a time; a longer row is a slice of its own. Spark's own batches may hold 10 000 texts.
+SLICE_ROWS, SLICE_BYTES = 1024, 4_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -52,6 +54,19 @@ def release() -> None:
         trim(0)
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, in order, in pieces of at most SLICE_ROWS rows and SLICE_BYTES bytes (or one row)."""
+    for batch in batches:
+        left = [batch]
+        while left:
+            now = left.pop()
+            if now.num_rows > 1 and (now.num_rows > SLICE_ROWS or now.nbytes > SLICE_BYTES):
+                half = now.num_rows // 2
+                left += [now.slice(half), now.slice(0, half)]
+            else:
+                yield now
+
+
 def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], dict]]) -> DataFrame:
     """mapInArrow with one step function per task; a step turns a dict of lists into a dict of lists or arrays."""
 
@@ -59,7 +74,7 @@ def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[dict],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step, batch, out = make(), None, None
-        for batch in batches:
+        for batch in slices(batches):
             out = step({name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)})
             yield pa.RecordBatch.from_pydict(out, typed)
         step = batch = out = None
@@ -73,7 +88,7 @@ def filter_batches(df: DataFrame, columns: list[str], make: Callable[[], Callabl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step, batch = make(), None
-        for batch in batches:
+        for batch in slices(batches):
             keep = step(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns))
             yield batch.filter(pa.array(keep, pa.bool_()))
         step = batch = None

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, drop_tables, map_batches, table
+from .common import checked_broadcast, drop_tables, map_batches, release, slices, table
 
 ROWS, BANDS = 4, 32
 BINS = ROWS * BANDS
@@ -250,7 +250,7 @@ def _groups(batches, n: int):
     """Lists of the rows (without their first column) that share the first column, which the batches are sorted by."""
     held: list[tuple] = []
     now = None
-    for batch in batches:
+    for batch in slices(batches):
         for row in zip(*(batch.column(i).to_pylist() for i in range(n)), strict=True):
             if row[0] != now and held:
                 yield now, held
@@ -259,6 +259,8 @@ def _groups(batches, n: int):
             held.append(row[1:])
     if held:
         yield now, held
+    held = []
+    release()
 
 
 def _scouts(rows: DataFrame, percent: int) -> DataFrame:

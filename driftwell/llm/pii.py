@@ -19,7 +19,7 @@ from bisect import bisect_left
 
 from pyspark.sql import DataFrame
 
-from .common import map_batches, span_digest
+from .common import map_batches, slices, span_digest
 
 KINDS = ("email", "ip", "card", "phone")
 _ORDER = {k: i for i, k in enumerate(KINDS)}
@@ -243,7 +243,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     names = docs.columns
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             at = batch.schema.get_field_index(text_col)
             texts = [mask(t) for t in batch.column(at).to_pylist()]
             cols = list(batch.columns)

@@ -9,12 +9,13 @@ import subprocess
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from driftwell.llm import chat, decontaminate, licenses, pii, secrets, toxicity, urls
+from driftwell.llm import chat, common, decontaminate, licenses, pii, secrets, toxicity, urls
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, start long, score double, labels string, id long"
 
@@ -26,6 +27,14 @@ def odd_docs(spark):
     return spark.createDataFrame([(*r, 7, 0.1, "x", 9) for r in rows], DOC)
 
 
+def test_slices_keep_rows_and_order():
+    sizes = [0, 3, 5_000_000, 1, 2_000_000, 2_500_000, *range(3000)]
+    whole = pa.RecordBatch.from_pydict({"n": list(range(len(sizes))), "t": ["x" * n for n in sizes]})
+    got = list(common.slices([whole, whole.slice(0, 0)]))
+    assert pa.Table.from_batches(got) == pa.Table.from_batches([whole])
+    assert all(b.num_rows <= 1 or (b.num_rows <= common.SLICE_ROWS and b.nbytes <= common.SLICE_BYTES) for b in got)
+
+
 def plain(text, kinds):
     found = []
     for order, (kind, regex, check) in enumerate(kinds):
