@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, neardup, packing, pii, secrets, topk, toxicity, urls
+from . import chat, decontaminate, fim, licenses, neardup, packing, periodic, pii, secrets, simhash, topk, toxicity, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -128,5 +128,51 @@ scores AS (SELECT query_id, vec_id, max(score) AS score FROM products GROUP BY A
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) WHERE rank <= 20
 """
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_url_list, op3_secrets, op4_packing, op5_neardup, op6_chat, op7_decontaminate, op8_toxicity, op9_licenses, op10_topk)}
-SQL = {"op2_url_list": OP2_SQL, "op10_topk": OP10_SQL}
+
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.examples(_read(spark, sf_dir, "documents"))
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(fim.restored(F.col("form"), F.col("output")), 256).alias("restored_sha256")
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+u AS (SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, CAST(len(units) AS BIGINT) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(units[1:a], '') AS head, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:n], '') AS tail FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(head) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || head || '<S>' || tail || '<M>' || middle ELSE '<S>' || tail || '<P>' || head || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256 FROM p
+"""
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.link(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def periodic_texts(docs: DataFrame) -> DataFrame:
+    """One document in ten, by a checksum of its id, has its words from some place on replaced by repeats of the first few of them."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    drawn = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words")).withColumn("n", F.size("words").cast("long"))
+    g = F.floor(F.col("h") / 10)
+    planted = drawn.withColumn("a", F.when(F.col("n") > 0, g % F.col("n"))).withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8)))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    text = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get("words", place(i).cast("int"))), " ")
+    return planted.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find(periodic_texts(_read(spark, sf_dir, "documents"))).withColumn("best", periodic.longest())
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    start, length, period = F.col("best.start"), -F.col("best.n"), F.col("best.period")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"), F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_url_list, op3_secrets, op4_packing, op5_neardup, op6_chat, op7_decontaminate, op8_toxicity, op9_licenses, op10_topk, op11_fim, op12_simhash, op13_runs)}
+SQL = {"op2_url_list": OP2_SQL, "op10_topk": OP10_SQL, "op11_fim": OP11_SQL}
