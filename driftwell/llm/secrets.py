@@ -4,10 +4,11 @@ A credential often comes in parts: an access identifier, the secret that belongs
 alone is a weak candidate. Parts become intervals of the text; an interval join inside each scope (a run of lines without a
 blank line, cut where two parts are more than WINDOW characters apart) links complementary parts, and a weak candidate is
 reported only when its complements co-occur: every identifier with a secret near it, every secret with an identifier near it, and every
-endpoint near one of either.
+endpoint near one of either. A part is taken whole, however long, with or without blanks around its "=" or ":"; a value assigned to a
+secret access key is a secret, not an identifier. Schemes of endpoints have at most 21 characters.
 
 Defined results: null and empty texts have no spans; texts are read whole in near-linear time; repeated rows give repeated
-results; other columns are ignored.
+results; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,10 +33,12 @@ _ASSIGN_HINT = re.compile(r"(?:password|passwd|secret|token|api_?key)", re.I | r
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 
-# Weak parts. Identifiers and endpoints are named or shaped; secrets are opaque strings of high entropy.
-_WEAK_ID = re.compile(r"(?:(?:user(?:name)?|login|client_?id|account|access_?key(?:_?id)?|key_?id)[\"']?[ ]{0,8}[:=][ ]{0,8}[\"']?([A-Za-z0-9@._+-]{3,128}))|\b((?:AKIA|ASIA|AGPA|AROA)[A-Z0-9]{8,})|\b([a-z]{2,6}_(?:live|test|pub)_[A-Za-z0-9]{8,64})", re.I | re.A)
-_WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_=-])")
-_ENDPOINT = re.compile(r"\b(?:[a-z][a-z0-9+.-]{1,20}://[^\s\"'<>]{3,512}|(?:host|endpoint|server|region|bucket)[\"']?[ ]{0,8}[:=][ ]{0,8}[\"']?[A-Za-z0-9.-]{3,253})", re.I | re.A)
+# Weak parts, of any length. Identifiers and endpoints are named or shaped; secrets are named or opaque strings of high entropy.
+_ASSIGNED = r"""["']?[ ]*+[:=][ ]*+["']?"""
+_WEAK_ID = re.compile(rf"(?:(?:user(?:name)?|login|client_?id|account|(?<!secret)(?<!secret_)access_?key(?:_?id)?|key_?id){_ASSIGNED}([A-Za-z0-9@._+-]{{3,}}+))|\b((?:AKIA|ASIA|AGPA|AROA)[A-Z0-9]{{8,}}+)|\b([a-z]{{2,6}}_(?:live|test|pub)_[A-Za-z0-9]{{8,}}+)", re.I | re.A)
+_NAMED_SECRET = re.compile(rf"""(?<![A-Za-z])(?:pass|pwd|passphrase|private_?key|auth_?key|secret_?(?:access_?)?key){_ASSIGNED}([^\s"'<>,;]{{6,}}+)""", re.I | re.A)
+_WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_=-])")
+_ENDPOINT = re.compile(rf"(?:\b[a-z][a-z0-9+.-]{{1,20}}://[^\s\"'<>]{{3,}}+|(?<![A-Za-z])(?:host|endpoint|server|region|bucket){_ASSIGNED}[A-Za-z0-9.-]{{3,}}+)", re.I | re.A)
 _BLANK = re.compile(r"\n[ \t\r]*\n")
 
 
@@ -64,6 +67,7 @@ def _parts(text: str, base: list[tuple[int, int, str]]) -> tuple[list, list, lis
     ids = [(m.start(i), m.end(i)) for m in _WEAK_ID.finditer(text) if (i := m.lastindex)]
     ends = [m.span() for m in _ENDPOINT.finditer(text)]
     secrets = [m.span() for m in _WEAK_SECRET.finditer(text) if _opaque(m[0])]
+    secrets += [m.span(1) for m in _NAMED_SECRET.finditer(text)]
     secrets += [(a, b) for a, b, kind in base if kind in ("assign", "hex")]
     own = set(ids)
     return sorted(ids), sorted(set(secrets) - own), sorted(ends)
