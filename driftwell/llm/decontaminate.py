@@ -5,23 +5,23 @@ looks at some positions and ignores the others, so a hit survives substitutions
 overlap of MIN_WORDS words or more with a share of AGREE agreeing, wherever its substitutions are, keeps a seed (the tests enumerate
 it). Hashes of all masks at all positions of the benchmark form a small lookup; every document's hashes are looked up in it, and each hit is verified: the two
 texts are aligned at the hit and the longest stretch of the whole alignment is taken that runs from an agreeing word to an agreeing
-word with a share of AGREE agreeing. A document is contaminated when such an overlap has MIN_WORDS words, or covers a benchmark item
+word with a share of AGREE agreeing. Alignments of one item are searched from the longest on, until none that is left can hold a longer stretch;
+in repetitive texts they are found by correlation instead of pair by pair. A document is contaminated when such an overlap has MIN_WORDS words, or covers a benchmark item
 that is shorter whole. Items of fewer than MIN_ITEM words are everyday phrases; texts that hold one are counted (n_short), not contaminated.
 
 A benchmark of at most MAX_BENCHMARK_CHARS characters (its size is measured) goes to every task once. A larger one is dealt into slices
-within that bound (an item that is longer alone is a slice of its own): one pass over the documents for each slice writes its hits, and
+within that bound (an item that is longer alone is a slice of its own): its index is built by array operations, once, on the driver, and one pass over the documents for each slice writes its hits, and
 the next slice is only sent when the last one is gone, so that no driver, executor or task holds two. Documents are
 never shuffled but for hits joined back after the last slice. A document reports each item once, however many hits it has.
 
 Defined results: null or empty texts are clean; items without words match nothing; items with equal words are one in memory and all are
-reported; texts are read whole; an alignment is searched once, however many hits it has; repeated rows are judged alike; other
+reported; an empty benchmark leaves all texts clean, an empty table gives an empty result; texts are read whole; an alignment is searched once, however many hits it has; repeated rows are judged alike; other
 columns are ignored or passed through (`drop`).
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from fractions import Fraction
 
 import numpy as np
@@ -40,7 +40,9 @@ MIN_ITEM = 5
 #: Shortest verified overlap in words, and the share of its words that have to agree.
 MIN_WORDS, AGREE = 13, 0.8
 _NUM, _DEN = Fraction(str(AGREE)).as_integer_ratio()
-MAX_BENCHMARK_CHARS = 64_000_000
+MAX_BENCHMARK_CHARS = 16_000_000
+#: Pairs of equal seeds in a text and an item are listed up to so many for each word; beyond, alignments are found by correlation.
+PAIRS_A_WORD = 32
 
 _WORD = re.compile(r"[^\W_]+")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -66,64 +68,119 @@ def seeds(words: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
     return where, h
 
 
+def windows(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all stretches of n words; one that holds an unknown word has another hash than any item, but for chance."""
+    h = np.full(max(len(words) - n + 1, 0), n, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(n):
+            h = _mix(h * _MULT + words[k : k + len(h)].astype(np.uint64) + np.uint64(1))
+    return h
+
+
+def _shifts(p: np.ndarray, q: np.ndarray, n: int, m: int) -> np.ndarray:
+    """The distinct differences of places p below n and q below m: pair by pair, or by a correlation where pairs are many."""
+    if len(p) * len(q) <= PAIRS_A_WORD * (n + m):
+        return np.unique(p[:, None] - q[None, :])
+    size = 1 << (n + m).bit_length()
+    a, b = np.zeros(size), np.zeros(size)
+    a[p], b[m - 1 - q] = 1, 1
+    return np.flatnonzero(np.fft.irfft(np.fft.rfft(a) * np.fft.rfft(b), size) > 0.5) - (m - 1)
+
+
 class Index:
-    """The benchmark's words, seeds and items; items with equal words are kept once."""
+    """The benchmark's words, seeds and items, in arrays; items with equal words are kept once. Built on the driver, once, and sent to the tasks."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.number: dict[str, int] = {}
-        own: dict[bytes, tuple[list, np.ndarray]] = {}
+        number, own = self.number, {}
         for key, text in items:
-            w = np.array([self.number.setdefault(x, len(self.number) + 1) for x in _WORD.findall((text or "").lower())], np.int64)
+            w = np.array([number.setdefault(x, len(number) + 1) for x in _WORD.findall((text or "").lower())], np.int32)
             if len(w):
                 own.setdefault(w.tobytes(), ([], w))[0].append(key)
-        self.keys, self.items = [k for k, _ in own.values()], [w for _, w in own.values()]
+        self.keys = [k for k, _ in own.values()]
+        self.length = np.array([len(w) for _, w in own.values()], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.words = np.concatenate([w for _, w in own.values()]) if own else np.zeros(0, np.int32)
+        item = np.repeat(np.arange(len(self.keys)), self.length)
         self.tables = []
         for mask in MASKS:
-            hs, at = [], []
-            for i, w in enumerate(self.items):
-                where, h = seeds(w if len(w) >= SPAN else w[:0], mask)
-                hs.append(h)
-                at.append(np.stack([np.full(len(where), i), where], 1))
-            h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
+            where, h = seeds(self.words, mask)
+            inside = (item[where] == item[where + len(mask) - 1]) & (self.length[item[where]] >= SPAN)
+            where, h = where[inside].astype(np.int32), h[inside]
             order = np.argsort(h, kind="stable")
-            self.tables.append((h[order], np.concatenate(at)[order] if at else np.zeros((0, 2), np.int64)))
-        self.short = defaultdict(list)  # items of fewer than SPAN words are looked for whole, by their first word
-        for i, w in enumerate(self.items):
-            if len(w) < SPAN:
-                self.short[int(w[0])].append(i)
+            self.tables.append((h[order], where[order]))
+        self.short = {}  # items of fewer than SPAN words are looked for whole, by their length and a hash of their words
+        for n in range(1, SPAN):
+            own_items = np.flatnonzero(self.length == n)
+            if len(own_items):
+                h = windows(self.words, n)[self.start[own_items]]
+                order = np.argsort(h, kind="stable")
+                self.short[n] = h[order], own_items[order]
+
+    def item(self, i: int) -> np.ndarray:
+        return self.words[self.start[i] : self.start[i] + self.length[i]]
+
+    def _alignments(self, words: np.ndarray) -> dict[int, np.ndarray]:
+        """For each item with a hit, the distinct shifts of the item against the text at which they share a seed."""
+        found: dict[int, list] = {}
+        for mask, (table, at) in zip(MASKS, self.tables, strict=True):
+            where, h = seeds(words, mask)
+            low = np.searchsorted(table, h)
+            ok = low < len(table)
+            ok[ok] = table[low[ok]] == h[ok]
+            where, low = where[ok], low[ok]
+            high = np.searchsorted(table, h[ok], "right")
+            if int((high - low).sum()) <= PAIRS_A_WORD * len(words):  # all pairs of places
+                n = high - low
+                q = at[np.repeat(low - np.cumsum(n) + n, n) + np.arange(int(n.sum()))].astype(np.int64)
+                i = np.searchsorted(self.start, q, "right") - 1
+                pairs = np.unique(np.stack([i, np.repeat(where, n) - (q - self.start[i])], 1), axis=0)
+                heads = np.flatnonzero(np.diff(pairs[:, 0], prepend=-1))
+                for k, own in zip(heads.tolist(), np.split(pairs[:, 1], heads[1:]), strict=False):
+                    found.setdefault(int(pairs[k, 0]), []).append(own)
+                continue
+            for a, b in sorted(set(zip(low.tolist(), high.tolist(), strict=True))):  # repetitive: each seed once, shifts by item
+                p, q = where[low == a], at[a:b].astype(np.int64)
+                i = np.searchsorted(self.start, q, "right") - 1
+                for k in np.unique(i).tolist():
+                    found.setdefault(k, []).append(_shifts(p, q[i == k] - self.start[k], len(words), int(self.length[k])))
+        return {i: np.unique(np.concatenate(x)) for i, x in found.items()}
 
     def overlaps(self, text: str | None, first_only: bool = False) -> list[tuple[list, int, int, int, int]]:
-        """Verified overlaps (keys of the item, first word in the document, first word in the item, words, words that agree), longest per item;
-        items of fewer than MIN_ITEM words among them. `first_only`: stop at the first that contaminates."""
-        if not text or not self.items:
+        """Verified overlaps (keys of the item, first word in the document, first word in the item, words, words that agree), a longest one per
+        item; items of fewer than MIN_ITEM words among them. `first_only`: stop at the first that contaminates."""
+        if not text or not self.keys:
             return []
         get = self.number.get
-        words = np.fromiter((get(x, 0) for x in _WORD.findall(text.lower())), np.int64)
+        words = np.fromiter((get(x, 0) for x in _WORD.findall(text.lower())), np.int32)
         found: dict[int, tuple] = {}
-        hits = [np.zeros((0, 2), np.int64)]  # alignments: (item, shift)
-        for mask, (table, at) in zip(MASKS, self.tables, strict=True):
-            where, h = seeds(words, mask)
-            lo = np.searchsorted(table, h, "left")
-            ok = lo < len(table)
-            ok[ok] = table[lo[ok]] == h[ok]
-            where, lo = where[ok], lo[ok]
-            for a in np.unique(lo).tolist():  # each seed once, with all its places in the text and in the items
-                own = at[a : int(np.searchsorted(table, table[a], "right"))]
-                p = where[lo == a]
-                hits.append(np.stack([np.tile(own[:, 0], len(p)), np.repeat(p, len(own)) - np.tile(own[:, 1], len(p))], 1))
-        for i, shift in np.unique(np.concatenate(hits), axis=0).tolist():
-            item = self.items[i]
-            a, n, same = self._longest(words, item, shift)
-            if n >= min(MIN_WORDS, len(item)) and (i not in found or n > found[i][3]):
-                found[i] = (self.keys[i], a, a - shift, n, same)
-                if first_only:
-                    return [found[i]]
-        if self.short:
-            for p in np.flatnonzero(np.isin(words, list(self.short))).tolist():
-                for i in self.short[int(words[p])]:
-                    w = self.items[i]
-                    if i not in found and not (first_only and len(w) < MIN_ITEM) and np.array_equal(words[p : p + len(w)], w):
-                        found[i] = (self.keys[i], p, 0, len(w), len(w))
+        for i, shifts in sorted(self._alignments(words).items()):
+            item = self.item(i)
+            room = np.minimum(len(words), shifts + len(item)) - np.maximum(0, shifts)
+            best = min(MIN_WORDS, len(item)) - 1
+            for k in np.argsort(-room, kind="stable").tolist():
+                if room[k] <= best:  # nor can any that follows be longer
+                    break
+                shift = int(shifts[k])
+                a, n, same = self._longest(words, item, shift)
+                if n > best:
+                    best, found[i] = n, (self.keys[i], a, a - shift, n, same)
+                    if first_only:
+                        return [found[i]]
+        for n, (table, items) in self.short.items():
+            if n > len(words) or first_only and n < MIN_ITEM:
+                continue
+            h = windows(words, n)
+            low = np.searchsorted(table, h)
+            ok = low < len(table)
+            ok[ok] = table[low[ok]] == h[ok]
+            for k in np.unique(low[ok]).tolist():
+                for i in items[k : np.searchsorted(table, table[k], "right")].tolist():
+                    p = next((p for p in np.flatnonzero(ok & (low == k)).tolist() if np.array_equal(words[p : p + n], self.item(i))), None)
+                    if p is not None:
+                        found[i] = (self.keys[i], p, 0, n, n)
+                        if first_only:
+                            return [found[i]]
         return [found[i] for i in sorted(found)]
 
     @staticmethod
@@ -188,10 +245,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 
 
 def _scan_slice(src: DataFrame, items: list, hits_only: bool = False) -> tuple[DataFrame, object]:
-    held = src.sparkSession.sparkContext.broadcast(items)
+    held = src.sparkSession.sparkContext.broadcast(Index(items))
 
     def make():
-        index = Index(held.value)
+        index = held.value
 
         def step(cols: dict) -> dict:
             found = [index.overlaps(t) for t in cols["text"]]
@@ -211,10 +268,10 @@ def drop(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
     """All columns of the documents without a verified overlap. Of a large benchmark each slice drops its own before the next one is read."""
     items, parts = _items(benchmark, item_col, item_text)
     for part in range(parts):
-        held = docs.sparkSession.sparkContext.broadcast(_slice(items, part))
+        held = docs.sparkSession.sparkContext.broadcast(Index(_slice(items, part)))
 
         def make(held=held):
-            index = Index(held.value)
+            index = held.value
             return lambda texts: [not any(o[3] >= MIN_ITEM for o in index.overlaps(t, first_only=True)) for t in texts]
 
         docs = filter_batches(docs, [text_col], make)

@@ -1,5 +1,6 @@
 """Operators on single texts, against plain readings of their contracts."""
 
+import datetime
 import hashlib
 import itertools
 import os
@@ -373,6 +374,53 @@ def test_equal_items_are_searched_once():
     assert [(len(o[0]), o[3]) for o in index.overlaps(words)] == [(3000, 900)] and time.time() - start < 1
 
 
+def test_repetitive_texts_and_many_short_items_take_little():
+    import time
+
+    start = time.time()
+    for n, m in ((20_000, 200), (100_000, 300), (100_000, 20_000)):
+        (o,) = decontaminate.Index([(1, "word " * m)]).overlaps("word " * n)
+        assert o[3] == m
+    assert time.time() - start < 3
+    rng = random.Random(5)
+    items = [(i, "what is " + " ".join(f"w{rng.randrange(5000)}" for _ in range(5))) for i in range(100_000)]
+    start = time.time()
+    index = decontaminate.Index(items)
+    assert time.time() - start < 10
+    text = " ".join(f"what is w{rng.randrange(5000)}" for _ in range(53)) + " " + items[5][1]
+    start = time.time()
+    assert [(o[0], o[3]) for o in index.overlaps(text)] == [([5], 7)] and time.time() - start < 0.3
+
+
+def test_overlaps_are_those_of_all_alignments(monkeypatch):
+    """Small alphabets, so that seeds hit everywhere: against every shift of every item, with pairs listed and by correlation."""
+    rng = random.Random(21)
+
+    def brute(words, item):
+        best = 0
+        for shift in range(1 - len(item), len(words)):
+            same = {j + shift for j in range(len(item)) if 0 <= j + shift < len(words) and words[j + shift] == item[j]}
+            at = sorted(same)
+            seeded = any(all(p + o in same or mask[o] == "0" and 0 <= p + o - shift < len(item) and p + o < len(words) for o in range(len(mask))) for mask in decontaminate.MASKS for p in at)
+            if seeded or len(item) < decontaminate.SPAN and len(same) == len(item):
+                best = max([best, *(b - a + 1 for x, a in enumerate(at) for y, b in enumerate(at[x:], x) if 5 * (y - x + 1) >= 4 * (b - a + 1))])
+        return best if best >= min(decontaminate.MIN_WORDS, len(item)) else 0
+
+    for trial in range(60):
+        monkeypatch.setattr(decontaminate, "PAIRS_A_WORD", rng.choice([0, 1, 32]))
+        draw = lambda n, k: [f"a{rng.randrange(k)}" for _ in range(n)]
+        k = rng.choice([1, 2, 3, 30])
+        items = [(i, draw(rng.randrange(1, 30), k)) for i in range(4)]
+        words = draw(rng.randrange(1, 40), k) + rng.choice(items)[1] + draw(5, k)
+        want = {}
+        for i, w in items:
+            n = brute(words, w) if len(w) >= decontaminate.SPAN else len(w) * any(words[p : p + len(w)] == w for p in range(len(words)))
+            if n:
+                want[i] = n
+        got = {key: o[3] for o in decontaminate.Index([(i, " ".join(w)) for i, w in items]).overlaps(" ".join(words)) for key in o[0]}
+        assert got == want, (items, words)
+
+
 def test_decontamination_finds_what_brute_force_finds(spark, sf_dir):
     docs, bench = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     grams = set()
@@ -625,3 +673,21 @@ def test_url_list_boundaries(spark):
     none = (False, 0, "", None)
     assert len(out) == 13 and got == {10: (True, 1, "d", "deep.com/a/b/c"), 11: none, 2: (True, 2, "ads,spam", "sub.bad.com/x"), 3: (True, 1, "ads", "bad.com"), 4: none, 5: none, 6: none, 7: none, 8: none, 9: none}
     assert urls.evaluate(c.limit(0), e).count() == 0 and urls.evaluate(c, e.limit(0)).where("listed").count() == 0
+
+
+def test_list_keys_are_normalised_as_captures_are(spark):
+    day = datetime.date(2024, 5, 1)
+    same = {
+        "ads.example.com": ["Ads.Example.com", "ads.example.com.", "ads.example.com/", "ads.example.com:443", "https://user@ADS.example.com:8080/?q=1#x", " *.ads.example.com ", ".ads.example.com"],
+        "ads.example.com/en/Shop": ["ads.example.com/en/Shop/", "ADS.example.com.//en//Shop", "http://ads.example.com:80/en/Shop?a=b", "ads.example.com/en/Shop#top"],
+    }
+    c = spark.createDataFrame([(1, "https://ads.example.com/en/Shop/cart", day), (2, "http://www.ADS.example.com.:81/en/shop", day), (3, "https://other.org/", day)], "page_id long, url string, fetched date")
+    for plain_key, forms in same.items():
+        for form in [plain_key, *forms]:
+            e = spark.createDataFrame([(form, "x", datetime.date(2024, 1, 1), "add")], "key string, category string, dated date, action string")
+            got = {r.page_id: r.key for r in urls.evaluate(c, e).collect()}
+            assert got == {1: plain_key, 2: plain_key if "/" not in plain_key else None, 3: None}, form
+    # a removal under another form of the key ends the interval of the first; keys without host are void
+    e = spark.createDataFrame([("Ads.Example.com", "x", datetime.date(2024, 1, 1), "add"), ("ads.example.com./", "x", datetime.date(2024, 2, 1), "remove"), ("https:///path", "y", datetime.date(2024, 1, 1), "add"), ("", "y", datetime.date(2024, 1, 1), "add")], "key string, category string, dated date, action string")
+    assert urls.evaluate(c, e).where("listed").count() == 0
+    assert [(r.key, r.valid_to) for r in urls.intervals(e).collect()] == [("ads.example.com", datetime.date(2024, 2, 1))]
