@@ -7,8 +7,11 @@ against the intervals that hold at its fetch time, for all keys that its URL fal
 The list's side is broadcast if it has at most BROADCAST_ROWS intervals; beyond, the join shuffles on the key, where adaptive
 execution splits hot hosts. Matches per capture are bounded by its keys and the categories.
 
+Keys of entries are normalised as hosts and paths of captures are (`listed_key`), so "Ads.Example.com.", "ads.example.com:443/" and
+"https://ads.example.com" are one key.
+
 Defined results: captures with a null or unparsable URL, or without fetch time, match nothing and stay in the result; entries with a
-null key, date or category are void; several entries of a key, category and date: a removal wins; captures of one id at several times or
+null key, date or category, or no host, are void; an empty list leaves all captures unlisted, an empty table of captures gives an empty result; several entries of a key, category and date: a removal wins; captures of one id at several times or
 of several URLs are evaluated each for itself, whole repeats (id, URL and time) are one; other columns are ignored. URLs are
 tested under as many leading path segments as the list's longest key has.
 """
@@ -41,9 +44,19 @@ def keys(url: Column, segments: int) -> Column:
     return F.when(host(url) != "", F.array_distinct(F.concat(domains, prefixes))).otherwise(F.array().cast("array<string>"))
 
 
+def listed_key(key: Column) -> Column:
+    """A list entry's key as captures have theirs: without scheme, user, port, query, leading "*." or dots, trailing dots and empty path
+    segments; the host in lower case, the path as it is. Null where no host is left."""
+    bare = F.regexp_replace(F.regexp_replace(F.trim(key), r"^[A-Za-z][A-Za-z0-9+.-]*://", ""), r"[?#].*$", "")
+    name = F.regexp_replace(F.regexp_replace(F.substring_index(bare, "/", 1), r"^.*@", ""), r":[0-9]*$", "")
+    name = F.lower(F.regexp_replace(F.regexp_replace(name, r"^(?:\*?\.)+", ""), r"\.+$", ""))
+    path = F.filter(F.slice(F.split(bare, "/"), 2, 1 << 20), lambda s: s != "")
+    return F.when(name != "", F.array_join(F.concat(F.array(name), path), "/"))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """key, category, valid_from, valid_to (null: open) from dated entries (key, category, dated, action 'add' or 'remove')."""
-    clean = entries.where("key IS NOT NULL AND category IS NOT NULL AND dated IS NOT NULL")
+    clean = entries.select(listed_key(F.col("key")).alias("key"), "category", "dated", "action").where("key IS NOT NULL AND category IS NOT NULL AND dated IS NOT NULL")
     daily = clean.groupBy("key", "category", "dated").agg(F.min(F.when(F.col("action") == "remove", 0).otherwise(1)).alias("on"))
     order = W.partitionBy("key", "category").orderBy("dated")
     steps = daily.withColumn("before", F.coalesce(F.lag("on").over(order), F.lit(0))).where(F.col("on") != F.col("before"))
@@ -52,7 +65,7 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 def evaluate(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url", time_col: str = "fetched") -> DataFrame:
     """One row per capture (id, URL, time): id, url, time, listed, n_active, categories (sorted, comma-joined), key (the longest active one), since."""
-    segments = entries.agg(F.max(F.size(F.split("key", "/")))).first()[0] or 1
+    segments = entries.agg(F.max(F.size(F.split(listed_key(F.col("key")), "/")))).first()[0] or 1
     seen = captures.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(time_col).alias("at"))
     spread = seen.select("id", "url", "at", F.explode_outer(keys(F.col("url"), segments - 1)).alias("key"))
     listed = checked_broadcast(intervals(entries))
