@@ -83,18 +83,25 @@ def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[dict],
     return df.mapInArrow(run, schema)
 
 
+def map_rows(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """mapInArrow over all columns, whatever their names (Spark's own takes dots and backticks in names for syntax): run must go by positions."""
+    plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
+
+
 def filter_batches(df: DataFrame, columns: list[str], make: Callable[[], Callable[..., list]]) -> DataFrame:
     """Keep the rows for which a step over the named columns' values says so; all columns pass through."""
+    at = [df.columns.index(c) for c in columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step, batch = make(), None
         for batch in slices(batches):
-            keep = step(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns))
+            keep = step(*(batch.column(i).to_pylist() for i in at))
             yield batch.filter(pa.array(keep, pa.bool_()))
         step = batch = None
         release()
 
-    return df.mapInArrow(run, df.schema)
+    return map_rows(df, run)
 
 
 def small_enough(ids: DataFrame, limit: int = BROADCAST_ROWS) -> bool:

@@ -17,7 +17,7 @@
 A pair at the threshold shares no band with probability (1 - t^ROWS)^BANDS: 5e-11 at 0.85, 7e-8 at 0.8 (ROWS 4, BANDS 32).
 
 Defined results: documents without words (or null) have an empty set and are linked with nothing; equal rows are linked
-like any others; rows without doc_id are linked with nothing; other columns are ignored. Where rows share a doc_id, `link` names the
+like any others; rows without doc_id are linked with nothing; an empty table gives an empty result; other columns are ignored. Where rows share a doc_id, `link` names the
 component by the smallest doc_id of its rows, and `keep_one` decides by row: of a component's rows the one with the smallest doc_id
 (then set) stays, whatever happens to the id's other rows; rows with empty sets or without doc_id stay.
 """
@@ -30,13 +30,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from .common import checked_broadcast, drop_tables, map_batches, release, slices, table
 
 ROWS, BANDS = 4, 32
 BINS = ROWS * BANDS
-#: Signatures of linked sets agree in more than this share less than the threshold, but for odds below 1e-8.
-SLACK = 0.2
+#: Signatures of linked sets agree in more than a share of the threshold less this, by size of the smaller set (from so many shingles on), but
+#: for odds below 1e-8: six standard deviations, as bins of small sets depend on each other. Sets of fewer shingles aren't screened by signatures.
+SLACK = {16: 0.35, BINS: 0.2}
 #: Members of a bucket, and of a cluster's block, that a task holds at a time.
 BUCKET, BLOCK = 2048, 1024
 #: Bytes of full sets in a block, on average.
@@ -187,15 +189,21 @@ def _full_sets(docs: DataFrame, shingle: int, ids: DataFrame) -> DataFrame:
     return map_batches(src.select("set_id", "text"), "set_id binary, members binary", make)
 
 
+def least_agreement(n: np.ndarray, percent: int) -> np.ndarray:
+    """Bins that must agree for sets of n shingles (of a pair, the smaller one) to be looked at."""
+    slack = np.select([n >= k for k in sorted(SLACK, reverse=True)], [SLACK[k] for k in sorted(SLACK, reverse=True)], 1.0)
+    return np.maximum(0.0, percent / 100 - slack) * BINS
+
+
 class _Group:
     """Members of one group: pairs that may be linked are tested in order, unless they are connected already."""
 
     def __init__(self, rows: list[tuple], percent: int, exact: bool):
         """rows: (side, set_id, n, sig, root, members)."""
         self.rows, self.percent, self.exact = rows, percent, exact
-        self.least = max(0.0, percent / 100 - SLACK) * BINS
         self.side = np.array([r[0] for r in rows])
         self.n = np.array([r[2] for r in rows])
+        self.least = least_agreement(self.n, percent)
         self.sig = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
         seen: dict = {}
         self.part = np.array([seen.setdefault(r[4], len(seen)) for r in rows])
@@ -224,8 +232,9 @@ class _Group:
             if not len(other):
                 continue
             agree = (self.sig[other] == self.sig[i]).sum(1)
-            near = other[agree >= self.least]
-            for j in near[np.argsort(-agree[agree >= self.least], kind="stable")].tolist():
+            enough = agree >= np.minimum(self.least[other], self.least[i])
+            near = other[enough]
+            for j in near[np.argsort(-agree[enough], kind="stable")].tolist():
                 if part[j] != part[i] and self.linked(i, j):
                     links.append((i, j))
                     part[part == part[j]] = part[i]
@@ -240,7 +249,7 @@ class _Group:
         for i in np.flatnonzero(self.side == 0).tolist():
             other = np.flatnonzero((self.part != self.part[i]) & (100 * np.minimum(self.n, self.n[i]) >= self.percent * np.maximum(self.n, self.n[i])))
             if len(other):
-                near = other[(self.sig[other] == self.sig[i]).sum(1) >= self.least]
+                near = other[(self.sig[other] == self.sig[i]).sum(1) >= np.minimum(self.least[other], self.least[i])]
                 out[near] = True
                 out[i] |= len(near) > 0
         return out
@@ -408,7 +417,7 @@ def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str =
     single = docs.join(again, ids == repeated["_again"], "left_anti")
     single = single.join(checked_broadcast(losers), ids == losers["_lost"], "left_anti")
     best = found.where("set_id IS NOT NULL").groupBy(F.coalesce("root", "set_id").alias("root")).agg(F.min(F.struct("doc_id", "set_id")).alias("w")).select(F.col("w.doc_id").alias("_id"), F.col("w.set_id").alias("_set"))
-    named = docs.join(again, ids == repeated["_again"], "left_semi").select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"))
+    named = docs.join(again, ids == repeated["_again"], "left_semi").select(F.struct("*").alias("_row"))
     marked = _with_set(named, shingle, id_col, text_col)
     empty = marked.where("_set IS NULL").select("_row")
     kept = marked.where("_set IS NOT NULL").join(best, ["_id", "_set"], "left_semi").groupBy("_id", "_set").agg(F.first("_row").alias("_row")).select("_row")
@@ -425,5 +434,5 @@ def _with_set(rows: DataFrame, shingle: int, id_col: str, text_col: str) -> Data
             marks = pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in found], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), marks], names=["_row", "_id", "_set"])
 
-    src = rows.select("_row", F.col("_row")[id_col].cast("long").alias("_id"), F.col("_row")[text_col].alias("_text"))
-    return src.mapInArrow(run, f"_row {rows.schema['_row'].dataType.simpleString()}, _id long, _set binary")
+    src = rows.select("_row", F.col("_row").getField(id_col).cast("long").alias("_id"), F.col("_row").getField(text_col).alias("_text"))
+    return src.mapInArrow(run, StructType([rows.schema["_row"], StructField("_id", LongType()), StructField("_set", BinaryType())]))

@@ -19,7 +19,7 @@ from bisect import bisect_left
 
 from pyspark.sql import DataFrame
 
-from .common import map_batches, slices, span_digest
+from .common import map_batches, map_rows, slices, span_digest
 
 KINDS = ("email", "ip", "card", "phone")
 _ORDER = {k: i for i, k in enumerate(KINDS)}
@@ -240,18 +240,17 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     """All rows and columns, with personal data in text_col masked and length_col (where present) set to the new length."""
     import pyarrow as pa
 
-    names = docs.columns
+    at = docs.columns.index(text_col)
+    n = docs.columns.index(length_col) if length_col in docs.columns else None
 
     def run(batches):
         for batch in slices(batches):
-            at = batch.schema.get_field_index(text_col)
             texts = [mask(t) for t in batch.column(at).to_pylist()]
             cols = list(batch.columns)
             cols[at] = pa.array(texts, batch.schema.field(at).type)
-            if length_col in names:
-                n = batch.schema.get_field_index(length_col)
+            if n is not None:
                 old = cols[n].to_pylist()
                 cols[n] = pa.array([o if t is None else len(t) for o, t in zip(old, texts, strict=True)], batch.schema.field(n).type)
             yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)

@@ -57,6 +57,23 @@ def test_no_link_is_lost_on_a_larger_table(spark):
     check(spark, rows, 3, 85)
 
 
+def test_signatures_keep_pairs_at_the_threshold():
+    """Pairs as far apart as links may be, of all sizes: none is screened out, and from 16 shingles on the margin is six standard deviations."""
+    rng = np.random.default_rng(11)
+    for percent in (80, 85):
+        for n in (1, 2, 4, 5, 6, 7, 10, 13, 15, 16, 20, 40, 100, 127, 128, 160, 400):
+            both = -(-percent * n // 100)
+            agree = []
+            for _ in range(4000 if n <= 20 else 500):
+                a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+                b = np.sort(rng.permutation(a)[:both])
+                agree.append(int((neardup._mix(neardup.signature(a)).astype(np.uint8) == neardup._mix(neardup.signature(b)).astype(np.uint8)).sum()))
+            least = neardup.least_agreement(np.array([both]), percent)[0]
+            assert min(agree) >= least
+            assert both < 16 or np.mean(agree) - least > 5.8 * np.std(agree)
+            assert both >= 16 or least == 0
+
+
 def near_copies(seed, groups, size, words, changes):
     rng, rows = random.Random(seed), []
     for g in range(groups):
@@ -288,6 +305,30 @@ def test_pipeline_stages_take_effect(spark, sf_dir):
     assert sum(r.length for r in expect[4].collect()) == sum(len(encode(r.text)) for r in expect[3].collect())
 
 
+def test_pipeline_over_odd_column_names(spark, tmp_path):
+    """Ids that repeat with differing rows, and names that need quoting, through all stages."""
+    import corpus_pipeline as pipeline
+
+    kind = "doc_id long, text string, `a.b` string, `a:b` string, `my col` struct<`x y`: int, `p.q`: string>, `Zoë` int, `tick``s` string, n_chars long"
+    rng = random.Random(6)
+    words = [" ".join("".join(rng.choices("aeioulnrst", k=6)) for _ in range(30)) for _ in range(60)]
+    texts = [(i, ("gruzzlepit " if i % 4 == 0 else "") + w) for i, w in enumerate(words)] + [(5, words[5]), (5, "another text under the same id " + words[1][:20]), (7, None), (70, words[9])]
+    spark.createDataFrame([(i, t, "x", "y", (1, "z"), 2, "t", len(t or "")) for i, t in texts], kind).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "quite other words stand here")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    names, before = docs.columns, docs
+    for i, (name, stage) in enumerate(pipeline.STAGES):
+        after = stage(spark, before, str(tmp_path))
+        after.write.parquet(f"{tmp_path}/stage-{i}")
+        before = spark.read.parquet(f"{tmp_path}/stage-{i}")
+        if i < 4:
+            assert before.columns == names
+            assert before.where("`my col`.`p.q` = 'z' AND `a.b` = 'x' AND `Zoë` = 2").count() == before.count()
+        if name == "near_duplicates":
+            assert sorted(r.doc_id for r in before.select("doc_id").collect()) == sorted([i for i in range(60) if i % 4] + [5, 7])
+
+
 def test_pipeline_over_odd_rows(spark, tmp_path):
     import corpus_pipeline as pipeline
     from driftwell.llm import toxicity
