@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .config import DetectorConfig, StateConfig
 from .functions.expr import hex_id, map_json, partition_key
-from .operators import client, detector, reconcile, replay, residency
+from .operators import client, detector, reconcile, replay, residency, scan
 from .operators.route import batch_outcomes, retryable_sqlstate, retryable_status, status_of
 from .operators.validate import batch_verdicts, enriched_failure, raw_failure
 from .plans import metrics
@@ -80,6 +80,41 @@ def ewma_scores(spark, sf_dir):
     return _verdict(_scored(spark, sf_dir, True, None, 100))
 
 
+#: Ranges that queries over one hot key or one order ask for; larger tables get as many as their size asks for by default.
+BLOCKS = 16
+
+
+@query(f"""WITH RECURSIVE {scores_sql(None, 100, True).replace("'svc-' || event_type AS service_name", "'svc-all' AS service_name")} SELECT {SCORE_COLUMNS} FROM s""")
+def ewma_scores_hot_key(spark, sf_dir):
+    """All events under one key, by a blocked scan."""
+    t = _events(spark, sf_dir, True).withColumn("service_name", F.lit("svc-all")).select("id", "event_id", "service_name", "route", "clock", "latency_us")
+    return _verdict(scan.score(t, tie=("id",), blocks=BLOCKS))
+
+
+_ARRIVAL_SQL = "a AS (SELECT id, event_us + (id * 7919 % 1201) * 1000000 AS arrival_us, event_us, partition FROM t)"
+
+
+def _arrivals(t: DataFrame) -> DataFrame:
+    """The events in another order than their times': each arrives up to 20 minutes late."""
+    return t.select("id", (F.col("event_us") + F.col("id") * 7919 % 1201 * 1_000_000).alias("arrival_us"), "event_us", "partition")
+
+
+@query(f"""WITH {T_SQL}, {_ARRIVAL_SQL}, l AS (SELECT *, max(event_us) OVER (ORDER BY arrival_us, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last FROM a)
+SELECT id, arrival_us, event_us, last, coalesce(event_us >= coalesce(last, event_us), false) AS accepted FROM l""")
+def backward_times(spark, sf_dir):
+    """Which events come with a time before one that was accepted already."""
+    return scan.backwards(_arrivals(_events(spark, sf_dir)), ["arrival_us", "id"], "event_us", blocks=BLOCKS).select("id", "arrival_us", "event_us", "last", "accepted")
+
+
+@query(f"""WITH {T_SQL}, {_ARRIVAL_SQL}, l AS (SELECT *, max(event_us) OVER (PARTITION BY partition ORDER BY arrival_us, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last FROM a)
+SELECT partition, count(*) FILTER (WHERE event_us >= coalesce(last, event_us)) AS accepted, count(*) FILTER (WHERE event_us < last) AS rejected, CAST(coalesce(max(last - event_us) FILTER (WHERE event_us < last), 0) AS BIGINT) AS most_behind_us FROM l GROUP BY partition""")
+def backward_times_by_partition(spark, sf_dir):
+    """How many events of each log partition are rejected for going back in time, and how far at most."""
+    out = scan.backwards(_arrivals(_events(spark, sf_dir)), ["arrival_us", "id"], "event_us", ["partition"], BLOCKS)
+    late = ~F.col("accepted")
+    return out.groupBy("partition").agg(F.count_if("accepted").alias("accepted"), F.count_if(late).alias("rejected"), F.coalesce(F.max(F.when(late, F.col("last") - F.col("event_us"))), F.lit(0)).alias("most_behind_us"))
+
+
 @query(f"WITH RECURSIVE {scores_sql(86_400_000, 20, False)} SELECT {SCORE_COLUMNS} FROM s")
 def ewma_scores_routes(spark, sf_dir):
     return _verdict(_scored(spark, sf_dir, False, 86_400_000, 20))
