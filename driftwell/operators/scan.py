@@ -42,34 +42,41 @@ def blocked(rows: DataFrame, order: list[str], blocks: int | None = None) -> Dat
 MONOIDS: dict[str, tuple[Callable, Callable]] = {"max": (F.max, F.greatest), "min": (F.min, F.least), "sum": (F.sum, lambda a, b: F.coalesce(a + b, a, b))}
 
 
-def running(rows: DataFrame, order: list[str], kind: str, value: str, name: str, by: list[str] | None = None, blocks: int | None = None, inclusive: bool = False) -> DataFrame:
-    """Adds `name`: the max, min or sum of value over the rows before (and at, if inclusive) each row in the order, within `by`; null if there are none.
+_PLAIN = {"max": max, "min": min, "sum": lambda p, q: p + q}
+
+
+def running_all(rows: DataFrame, order: list[str], values: dict[str, tuple[str, str]], by: list[str] | None = None, blocks: int | None = None, inclusive: bool = False) -> DataFrame:
+    """Adds, for each name: (kind, column), the max, min or sum of the column over the rows before (and at, if inclusive) each row in the
+    order, within `by`; null if there are none.
 
     The order has to be total for a definite result; rows with equal order may come either way.
     """
-    aggregate, combine = MONOIDS[kind]
     by = by or []
+    group = F.struct(*by) if by else F.lit(0)
     t = blocked(rows, [*by, *order], blocks)
-    own = t.groupBy("_block", *by).agg(aggregate(value).alias("_own"))  # a row a block, and one more for each change of `by` inside
     # only a block's last group goes on in a later block
-    edge = t.groupBy("_block").agg(F.max(F.struct(*by) if by else F.lit(0)).alias("_last"))
-    last = own.join(edge, "_block").where((F.struct(*by) if by else F.lit(0)).eqNullSafe(F.col("_last")))
-    found = sorted(last.select("_block", "_last", "_own").collect(), key=lambda r: r["_block"])
+    last = t.groupBy("_block").agg(F.max(group).alias("_last"))
+    own = t.join(F.broadcast(last), "_block").where(group.eqNullSafe(F.col("_last")))  # a row a block is broadcast
+    own = own.groupBy("_block", "_last").agg(*(MONOIDS[kind][0](value).alias(name) for name, (kind, value) in values.items()))
     carried, now = [], None
-    plain = {"max": max, "min": min, "sum": lambda p, q: p + q}[kind]
-    for r in found:  # what a block's first group starts from, if it is the group that the blocks before ended with
+    for r in sorted(own.collect(), key=lambda r: r["_block"]):  # what a block starts from, for the group that the blocks before ended with
         if now is not None:
-            carried.append((r["_block"], now[0], now[1]))
-        same = now is not None and now[0] == r["_last"]
-        values = [v for v in (now[1] if same else None, r["_own"]) if v is not None]
-        now = (r["_last"], reduce(plain, values) if values else None)
-    # a group that only starts a block takes over, too: the carry names its group
-    schema = StructType([last.schema["_block"], last.schema["_last"], last.schema["_own"]])
-    carry = t.sparkSession.createDataFrame(carried, schema).withColumnsRenamed({"_block": "_b", "_own": "_carry"})
+            carried.append((r["_block"], *now))
+        sums = []
+        for i, (name, (kind, _)) in enumerate(values.items()):
+            parts = [v for v in (now[i + 1] if now is not None and now[0] == r["_last"] else None, r[name]) if v is not None]
+            sums.append(reduce(_PLAIN[kind], parts) if parts else None)
+        now = (r["_last"], *sums)
+    carry = t.sparkSession.createDataFrame(carried, StructType([own.schema["_block"], own.schema["_last"], *(own.schema[n] for n in values)]))
+    carry = carry.withColumnsRenamed({"_block": "_b", **{n: f"_carry_{n}" for n in values}})
     inside = W.partitionBy("_block", *by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
-    here = (F.col("_block") == F.col("_b")) & (F.struct(*by) if by else F.lit(0)).eqNullSafe(F.col("_last"))
-    out = t.join(F.broadcast(carry), here, "left").withColumn(name, combine(aggregate(value).over(inside), F.col("_carry")))
-    return out.select(*rows.columns, name)
+    out = t.join(F.broadcast(carry), (F.col("_block") == F.col("_b")) & group.eqNullSafe(F.col("_last")), "left")
+    return out.select(*rows.columns, *(MONOIDS[kind][1](MONOIDS[kind][0](value).over(inside), F.col(f"_carry_{name}")).alias(name) for name, (kind, value) in values.items()))
+
+
+def running(rows: DataFrame, order: list[str], kind: str, value: str, name: str, by: list[str] | None = None, blocks: int | None = None, inclusive: bool = False) -> DataFrame:
+    """One running value."""
+    return running_all(rows, order, {name: (kind, value)}, by, blocks, inclusive)
 
 
 @dataclass

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -83,6 +85,73 @@ def extrapolated_rate(samples: DataFrame, window_s: int, by: list[str]) -> DataF
     return s.withColumn("rate", rate).drop("_g", "_total", "_n", "_t0", "_v0", "_up")
 
 
+def range_rate(samples: DataFrame, window_s: int, step_s: int, by: list[str], chunk_s: int | None = None) -> DataFrame:
+    """by, ts, rate: a counter's growth a second over (ts - window_s, ts] at every aligned step ts = k * step_s, as a dashboard's range query has it.
+
+    samples: by, ts (seconds), value. Steps with fewer than two samples in their window have no row. Resets count; growth is
+    extrapolated to both edges of the window: by half the mean distance of samples where the edge is further than 1.1 of that, and at the start
+    never beyond where the counter would have been 0.
+
+    Samples are first reduced to slots (the largest ones that steps and windows consist of), so what is shuffled is slots, not samples. A
+    slot's predecessor is looked up in chunks of time that overlap by one window, so no task sorts a whole series. Each slot then counts for the
+    steps whose windows hold it.
+    """
+    slot_s = math.gcd(window_s, step_s)
+    per, each = window_s // slot_s, step_s // slot_s
+    chunk = max(per, (chunk_s or 64 * window_s) // slot_s)  # slots
+    c = F.col
+    rows = samples.select(*by, "ts", "value", F.ceil(c("ts") / slot_s).cast("long").alias("_slot"))  # a slot holds (its start, its end]
+    slots = rows.groupBy(*by, "_slot").agg(F.array_sort(F.collect_list(F.struct("ts", "value"))).alias("_s"))
+    drops = F.aggregate("_s", F.struct(F.lit(0.0).alias("sum"), c("_s")[0]["value"].cast("double").alias("last")), lambda acc, x: F.struct((acc["sum"] + F.when(x["value"] < acc["last"], acc["last"]).otherwise(0.0)).alias("sum"), x["value"].cast("double").alias("last")))
+    slots = slots.select(*by, "_slot", F.size("_s").alias("_n"), c("_s")[0].alias("_first"), F.element_at("_s", -1).alias("_last"), drops["sum"].alias("_drops"))
+    here = F.floor(c("_slot") / chunk)
+    spread = slots.withColumn("_chunk", F.explode(F.when(F.floor((c("_slot") + per - 1) / chunk) > here, F.array(here, F.floor((c("_slot") + per - 1) / chunk))).otherwise(F.array(here))))
+    w = W.partitionBy(*by, "_chunk").orderBy("_slot")
+    seen = spread.withColumns({"_before": F.lag("_slot").over(w), "_fell": F.when(F.lag("_last").over(w)["value"] > c("_first")["value"], F.lag("_last").over(w)["value"].cast("double")).otherwise(0.0)})
+    seen = seen.where(c("_chunk") == here)
+    # the steps k with slot <= k * each < slot + per
+    least, most = F.ceil(c("_slot") / each), F.floor((c("_slot") + per - 1) / each)
+    at = seen.where(least <= most).withColumn("_k", F.explode(F.sequence(least, most)))
+    within = c("_before") > c("_k") * each - per
+    steps = at.groupBy(*by, "_k").agg(F.sum("_n").alias("_n"), F.min("_first").alias("_a"), F.max("_last").alias("_z"), F.sum(c("_drops") + F.when(within, c("_fell")).otherwise(0.0)).alias("_drops")).where("_n > 1")
+    ts, a, z = c("_k") * step_s, c("_a")["value"].cast("double"), c("_z")["value"].cast("double")
+    steps = steps.select(*by, ts.alias("ts"), (z - a + c("_drops")).alias("_up"), a.alias("_v0"), (c("_z")["ts"] - c("_a")["ts"]).cast("double").alias("_taken"), (c("_a")["ts"] - (ts - window_s)).cast("double").alias("_start"), (ts - c("_z")["ts"]).cast("double").alias("_end"), (c("_n") - 1).alias("_gaps")).where("_taken > 0")
+    mean = c("_taken") / c("_gaps")
+    start = F.when(c("_start") >= mean * 1.1, mean / 2).otherwise(c("_start"))
+    zero = F.try_divide(c("_taken") * c("_v0"), c("_up"))
+    start = F.when((c("_up") > 0) & (c("_v0") >= 0) & (zero < start), zero).otherwise(start)
+    end = F.when(c("_end") >= mean * 1.1, mean / 2).otherwise(c("_end"))
+    return steps.select(*by, "ts", (c("_up") * ((c("_taken") + start + end) / c("_taken")) / float(window_s)).alias("rate"))
+
+
+def range_quantile(q: float, samples: DataFrame, window_s: int, step_s: int, series: list[str], by: list[str] | None = None) -> DataFrame:
+    """by, ts, value: the quantile at every step of a histogram's growth, from scraped bucket counters (series with le among them, ts, value): the
+    rate of each bucket's series, their sum by le, then the quantile. Steps in which nothing grew have no row."""
+    by = by or []
+    rates = range_rate(samples, window_s, step_s, series).groupBy(*by, "le", "ts").agg(F.sum("rate").alias("rate"))
+    grown = rates.withColumn("_most", F.max("rate").over(W.partitionBy(*by, "ts"))).where("_most > 0").drop("_most")  # a row a bucket
+    return histogram_quantile(q, grown, [*by, "ts"], "rate")
+
+
+def scraped(increments: DataFrame, by: list[str], interval_s: int, restart_s: int | None = None, blocks: int | None = None) -> DataFrame:
+    """by, ts, value: counters as scrapes every interval_s see them, from their increments (by, at: seconds, n), between the first
+    and the last one of all series; a restart every restart_s sets them to 0.
+
+    The running totals are a blocked scan: no task holds a series.
+    """
+    from ..operators.scan import running
+
+    c = F.col
+    slots = increments.groupBy(*by, (F.ceil(c("at") / interval_s) * interval_s).cast("long").alias("ts")).agg(F.sum("n").alias("n"))
+    ends = slots.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).where("low IS NOT NULL")
+    every = increments.select(*by).distinct().join(F.broadcast(ends))  # a single row
+    every = every.select(*by, F.explode(F.sequence("low", "high", F.lit(interval_s).cast("long"))).alias("ts"))
+    rows = every.join(slots, [*by, "ts"], "left").select(*by, "ts", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    epoch = F.floor(c("ts") / restart_s) if restart_s else F.lit(0)
+    out = running(rows.withColumn("epoch", epoch), ["ts"], "sum", "n", "value", [*by, "epoch"], blocks, inclusive=True)
+    return out.select(*by, "ts", "value")
+
+
 def windowed_quantile(q: float, df: DataFrame, value: Column, bounds: tuple[float, ...], ts: Column, window_s: int, by: list[str]) -> DataFrame:
     """by, window_start, value: the quantile of the growth of a histogram's buckets in tumbling windows (the rate, then the quantile)."""
     rows = df.withColumn("window_start", F.floor(F.unix_micros(ts) / (window_s * 1_000_000)) * window_s)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .config import DetectorConfig, StateConfig
 from .functions.expr import hex_id, map_json, partition_key
-from .operators import client, detector, reconcile, replay, residency, scan
+from .operators import client, detector, intervals, reconcile, replay, residency, scan
 from .operators.route import batch_outcomes, retryable_sqlstate, retryable_status, status_of
 from .operators.validate import batch_verdicts, enriched_failure, raw_failure
 from .plans import metrics
@@ -341,6 +341,32 @@ def schema_conformance(spark, sf_dir):
     return events.withColumn("table_name", F.lit("events")).unionByName(receipts.withColumn("table_name", F.lit("receipts"))).select("table_name", "column_name", "data_type")
 
 
+# Labels of any length that overlap: every 29th event opens one at its time, every tenth event may be what it waits for.
+_INTERVAL_SQL = f"""{COARSE_SQL}, i AS (SELECT service_name, id AS priority, clock AS start, clock + (id % 7 + 1) * 21600000 AS finish, clock + 7200000 AS label_end FROM t WHERE id % 29 = 0), p AS (SELECT service_name, id AS seq, clock AS t FROM t WHERE id % 10 = 3),
+w AS (SELECT service_name, list(struct_pack(n := priority, s := start, e := finish) ORDER BY priority) AS own FROM i GROUP BY service_name), q AS (SELECT p.*, row_number() OVER (PARTITION BY p.service_name ORDER BY t, seq) AS k, own FROM p LEFT JOIN w USING (service_name)),
+r AS (SELECT service_name, k, seq, t, own, list_min(list_transform(list_filter(own, lambda x: x.s <= t AND x.e >= t), lambda x: x.n)) AS priority, CAST([] AS BIGINT[]) AS gone FROM q WHERE k = 1
+ UNION ALL SELECT z.service_name, z.k, z.seq, z.t, z.own, list_min(list_transform(list_filter(z.own, lambda x: x.s <= z.t AND x.e >= z.t AND NOT list_contains(z.gone, x.n)), lambda x: x.n)), z.gone
+ FROM (SELECT q.service_name, q.k, q.seq, q.t, q.own, CASE WHEN r.priority IS NULL THEN r.gone ELSE list_append(r.gone, r.priority) END AS gone FROM r JOIN q ON q.service_name = r.service_name AND q.k = r.k + 1) z)"""
+
+
+def _labels(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    t, n, c = _events(spark, sf_dir, True), F.col("id"), F.col("clock")
+    i = t.where(n % 29 == 0).select("service_name", n.alias("priority"), c.alias("start"), (c + (n % 7 + 1) * 21_600_000).alias("finish"), (c + 7_200_000).alias("label_end"))
+    return intervals.match(t.where(n % 10 == 3).select("service_name", n.alias("seq"), c.alias("t")), i, ["service_name"], BLOCKS)
+
+
+@query(f"WITH RECURSIVE {_INTERVAL_SQL} SELECT i.service_name, i.priority, i.start, i.finish, r.seq, r.t FROM i LEFT JOIN r ON r.service_name = i.service_name AND r.priority = i.priority")
+def interval_first_matches(spark, sf_dir):
+    """Each interval's first event that no interval before it took."""
+    return _labels(spark, sf_dir)[0]
+
+
+@query(f"WITH RECURSIVE {_INTERVAL_SQL} SELECT r.service_name, r.seq, r.t FROM r WHERE r.priority IS NULL AND NOT EXISTS (SELECT 1 FROM i WHERE i.service_name = r.service_name AND r.t BETWEEN i.start AND i.label_end)")
+def interval_false_points(spark, sf_dir):
+    """Events that no label covers and no interval took."""
+    return _labels(spark, sf_dir)[1].where("priority IS NULL AND NOT labelled").select("service_name", "seq", "t")
+
+
 # Replay over the arithmetic manifest, whose noise any engine repeats.
 MANIFEST_SQL = """e AS (SELECT i AS seq, i AS event_time_ms, 'replay-service-' || CAST((i % 10) // 2 + 1 AS VARCHAR) AS service_name, '/v1/resource-' || CAST((i % 10) % 5 + 1 AS VARCHAR) || '/{id}' AS route,
   10000 + (i * 7919) % 501 AS base, CASE WHEN i >= 10000 THEN (i - 10000) // 3000 END AS w FROM range(0, 100000) r(i)),
@@ -432,6 +458,59 @@ def latency_p99_histogram_quantile(spark, sf_dir):
     return metrics.histogram_quantile(0.99, metrics.histogram(_events(spark, sf_dir), F.col("latency_us"), _BOUNDS, ["service_name"]), ["service_name"])
 
 
+def _scraped_sql(increments: str, by: str, interval: int, restart: int) -> str:
+    """CTE samples (by, ts, value) from increments (by, sec, n)."""
+    return f"""inc AS ({increments}), slots AS (SELECT {by}, CAST(ceil(sec / {interval}) * {interval} AS BIGINT) AS ts, sum(n) AS n FROM inc GROUP BY ALL),
+grid AS (SELECT unnest(generate_series((SELECT min(ts) FROM slots), (SELECT max(ts) FROM slots), {interval})) AS ts), series AS (SELECT DISTINCT {by} FROM inc),
+every AS (SELECT {", ".join("series." + b for b in by.split(", "))}, grid.ts, coalesce(n, 0) AS n FROM series CROSS JOIN grid LEFT JOIN slots ON {" AND ".join(f"series.{b} = slots.{b}" for b in by.split(", "))} AND grid.ts = slots.ts),
+samples AS (SELECT {by}, ts, CAST(sum(n) OVER (PARTITION BY {by}, ts // {restart} ORDER BY ts) AS BIGINT) AS value FROM every)"""
+
+
+def _rate_sql(by: str, window: int, step: int) -> str:
+    """CTE rates (by, ts, rate) from samples."""
+    return f"""rx AS (SELECT *, lag(value) OVER w AS pv, lag(ts) OVER w AS pt FROM samples WINDOW w AS (PARTITION BY {by} ORDER BY ts)),
+ry AS (SELECT *, unnest(range(CAST(ceil(ts / {step}) AS BIGINT), (ts + {window} - 1) // {step} + 1)) AS k FROM rx),
+ra AS (SELECT {by}, k * {step} AS ts, count(*) AS n, CAST(min_by(value, ts) AS DOUBLE) AS a, CAST(max_by(value, ts) AS DOUBLE) AS z, CAST(min(ts) AS DOUBLE) AS t0, CAST(max(ts) AS DOUBLE) AS t1, CAST(sum(CASE WHEN pv > value AND pt > k * {step} - {window} THEN pv ELSE 0 END) AS DOUBLE) AS drops FROM ry GROUP BY {by}, k),
+rb AS (SELECT {by}, ts, a, z - a + drops AS up, t1 - t0 AS taken, t0 - (ts - {window}) AS begins, ts - t1 AS ends, (t1 - t0) / (n - 1) AS mean FROM ra WHERE n > 1),
+rc AS (SELECT *, CASE WHEN begins >= mean * 1.1::DOUBLE THEN mean / 2 ELSE begins END AS b0, CASE WHEN ends >= mean * 1.1::DOUBLE THEN mean / 2 ELSE ends END AS e0, CASE WHEN up > 0 THEN taken * a / up END AS zero FROM rb),
+rates AS (SELECT {by}, ts, up * ((taken + CASE WHEN zero >= 0 AND zero < b0 THEN zero ELSE b0 END + e0) / taken) / {window}::DOUBLE AS rate FROM rc)"""
+
+
+#: Counters restart every five days here, so that resets occur.
+_RESTART = 432_000
+
+
+@query(f"""WITH {_scraped_sql("SELECT 'gateway' AS job, epoch_us(ts) // 1000000 AS sec, count(*) AS n FROM events GROUP BY ALL", "job", 15, _RESTART)}, {_rate_sql("job", 60, 60)} SELECT job, ts, rate FROM rates""")
+def received_rate_steps(spark, sf_dir):
+    """rate(received[1m]) at 1-minute steps over a counter scraped every 15 seconds."""
+    at = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000)
+    inc = read_events(spark, sf_dir).select(F.lit("gateway").alias("job"), at.alias("at"), F.lit(1).alias("n"))
+    return metrics.range_rate(metrics.scraped(inc, ["job"], 15, _RESTART), 60, 60, ["job"]).select("job", F.col("ts").cast("long").alias("ts"), "rate")
+
+
+_BUCKETS_SQL = f"SELECT partition, le, event_us // 1000000 AS sec, count(*) FILTER (WHERE latency_us <= le) AS n FROM t, {_LES} GROUP BY ALL"
+
+
+@query(f"""WITH {T_SQL}, {_scraped_sql(_BUCKETS_SQL, "partition, le", 60, _RESTART)}, {_rate_sql("partition, le", 300, 60)},
+s AS (SELECT le, ts, sum(rate) AS c FROM rates GROUP BY ALL), m AS (SELECT *, max(c) OVER (PARTITION BY ts) AS most FROM s), b AS (SELECT *, coalesce(lag(c) OVER w, 0) AS below, coalesce(lag(le) OVER w, 0) AS low, 0.99::DOUBLE * most AS rank FROM m WHERE most > 0 WINDOW w AS (PARTITION BY ts ORDER BY le)),
+f AS (SELECT * FROM b WHERE c >= rank QUALIFY row_number() OVER (PARTITION BY ts ORDER BY le) = 1) SELECT ts, round(CASE WHEN isinf(le) THEN low ELSE low + (le - low) * (rank - below) / (c - below) END, 6) AS value FROM f""")
+def latency_p99_steps(spark, sf_dir):
+    """histogram_quantile(0.99, sum by (le) (rate(bucket[5m]))) at 1-minute steps over bucket counters of each log partition, scraped every minute."""
+    t, c = _events(spark, sf_dir), F.col
+    les = F.explode(F.array(*(F.lit(b) for b in (*_BOUNDS, float("inf"))))).alias("le")
+    inc = t.select("partition", F.floor(c("event_us") / 1_000_000).alias("at"), "latency_us", les).select("partition", "le", "at", (c("latency_us") <= c("le")).cast("long").alias("n"))
+    out = metrics.range_quantile(0.99, metrics.scraped(inc, ["partition", "le"], 60, _RESTART), 300, 60, ["partition", "le"])
+    return out.select(c("ts").cast("long").alias("ts"), F.round("value", 6).alias("value"))
+
+
+@query(f"""WITH RECURSIVE {scores_sql(86_400_000, 20, False)}, {_scraped_sql("SELECT service_name, clock // 1000 AS sec, count(*) FILTER (WHERE odd) AS n FROM s GROUP BY ALL", "service_name", 60, _RESTART)}, {_rate_sql("service_name", 300, 300)} SELECT service_name, ts, rate FROM rates WHERE rate > 0""")
+def anomaly_rate_steps(spark, sf_dir):
+    """rate(anomalies[5m]) at 5-minute steps for each service, over a counter scraped every minute; steps in which it grew."""
+    s = _scored(spark, sf_dir, False, 86_400_000, 20)
+    inc = s.select("service_name", F.floor(F.col("clock") / 1000).alias("at"), F.col("is_anomaly").cast("long").alias("n"))
+    return metrics.range_rate(metrics.scraped(inc, ["service_name"], 60, _RESTART), 300, 300, ["service_name"]).where("rate > 0").select("service_name", F.col("ts").cast("long").alias("ts"), "rate")
+
+
 @query(f"WITH {T_SQL}, r AS (SELECT service_name, route, event_id, event_us, row_number() OVER (PARTITION BY service_name, route ORDER BY event_us DESC, event_id) AS rank FROM t) SELECT service_name, route, event_id, event_us, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 3")
 def latest_per_route(spark, sf_dir):
     w = W.partitionBy("service_name", "route").orderBy(F.desc("event_us"), "event_id")
