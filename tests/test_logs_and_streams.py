@@ -80,10 +80,9 @@ def test_log_appends_read_nothing_of_what_it_holds(spark, tmp_path, monkeypatch)
     monkeypatch.setattr(FileLog, "read", None)
     for i in range(12):
         log.append(rows, RAW_TOPIC, f"b{11 - i}", ["id"])  # names that don't sort by time
-    number, after = log._head(RAW_TOPIC)
+    (number, head), *_ = log._heads(RAW_TOPIC)
+    after = {int(p): n for p, n in head["next"].items()}
     assert number == 11 and after == {0: 12 * 334, 1: 12 * 333, 2: 12 * 333}
-    log._set_head(RAW_TOPIC, 12, "never-published", {0: 10**9})  # a crash between head and rename
-    assert log._head(RAW_TOPIC) == (11, after)
     monkeypatch.undo()
     for p in range(3):
         own = log.read(RAW_TOPIC).where(F.col("partition") == p).select("offset", F.col("key").cast("string").cast("long").alias("id"))
@@ -92,6 +91,43 @@ def test_log_appends_read_nothing_of_what_it_holds(spark, tmp_path, monkeypatch)
         assert ids == list(range(p, 1000, 3))
 
 
+def test_several_writers_share_a_topic(spark, tmp_path):
+    """Four writers at once, three appends each: offsets of each partition are distinct and gapless."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    rows = spark.range(150).select(F.col("id").cast("string").cast("binary").alias("key"), F.lit(b"v").alias("value"), (F.col("id") % 2).cast("int").alias("partition"), "id")
+
+    def write(writer):
+        log = FileLog(spark, str(tmp_path))
+        for i in range(3):
+            log.append(rows, DLQ_TOPIC, f"writer{writer}-{i}", ["id"])
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, range(4)))
+    log = FileLog(spark, str(tmp_path))
+    for p in range(2):
+        own = log.read(DLQ_TOPIC).where(F.col("partition") == p).agg(F.count("*"), F.count_distinct("offset"), F.min("offset"), F.max("offset")).first()
+        assert tuple(own) == (900, 900, 0, 899)
+        assert log.read_range(DLQ_TOPIC, p, 0, 900).count() == 900
+
+
+def test_a_writer_that_fails_keeps_its_claim(spark, tmp_path, monkeypatch):
+    log = FileLog(spark, str(tmp_path), claim_wait_s=1.0)
+    rows = spark.range(10).select(F.col("id").cast("string").cast("binary").alias("key"), F.lit(b"v").alias("value"), F.lit(0).alias("partition"))
+    log.append(rows, RAW_TOPIC, "a", ["key"])
+    assert log._claim(RAW_TOPIC, "b", {0: 10}) == {0: 10}  # and then the writer of "b" is gone
+    with pytest.raises(TimeoutError, match="'b' has claimed"):
+        log.append(rows, RAW_TOPIC, "c", ["key"])
+    log.append(rows, RAW_TOPIC, "b", ["key"])  # it comes back
+    log.append(rows, RAW_TOPIC, "c", ["key"])
+    assert [(r.next_offset, r.records) for r in log.next_offsets(RAW_TOPIC).collect()] == [(30, 30)]
+    log._claim(RAW_TOPIC, "d", {0: 10})
+    log.release(RAW_TOPIC)  # it never does
+    log.append(rows, RAW_TOPIC, "e", ["key"])
+    log.release(RAW_TOPIC)  # what is published stays
+    assert [(r.next_offset, r.records) for r in log.next_offsets(RAW_TOPIC).collect()] == [(40, 40)]
+
+
 def stored(spark, rows):
     df = spark.createDataFrame(rows, "event_id string, service_name string, latency_us long, partition int, offset long")
     t = F.timestamp_seconds(F.lit(1_700_000_000))
@@ -171,8 +207,10 @@ def test_dead_letters_of_both_stages_and_their_lines(spark, tmp_path):
     bad = spark.createDataFrame([(bytearray(b"k"), bytearray(b"\xff\x00"), 0), (bytearray(b"k"), bytearray(b""), 1)], "key binary, value binary, partition int")
     log.append(bad, RAW_TOPIC, "0", ["value"])
     log.append(bad, ENRICHED_TOPIC, "0", ["value"])
-    dead_letter_query(log, f"{tmp_path}/check").awaitTermination()
-    persist_query(log, store, f"{tmp_path}/check").awaitTermination()
+    both = [dead_letter_query(log, f"{tmp_path}/check"), persist_query(log, store, f"{tmp_path}/check")]  # at once, to one topic
+    for q in both:
+        q.awaitTermination()
+    assert sorted(r.offset for r in log.read(DLQ_TOPIC).collect()) == [0, 1, 2, 3]
     letters = log.read(DLQ_TOPIC).select("partition", "offset", codec.decode_dead_letter(F.col("value"))["dead_letter"].alias("d")).select("partition", "offset", "d.*")
     assert sorted((r.stage, r.error_category) for r in letters.collect()) == [(1, "decode"), (1, "event_id"), (2, "decode"), (2, "validation")]
     lines = [json.loads(r.line) for r in letter_lines(letters).collect()]
