@@ -47,6 +47,12 @@ def uuid_from_index(n: Column | str) -> Column:
     return hex_id("00000000-0000-4000-8000-", n, 12)
 
 
+def index_of_uuid(event_id: Column | str) -> Column:
+    """The number that uuid_from_index made an identifier of, in any case; null for others."""
+    e = F.lower(_c(event_id))
+    return F.when(e.rlike("^00000000-0000-4000-8000-[0-9a-f]{12}$"), F.conv(F.right(e, F.lit(12)), 16, 10).cast("long"))
+
+
 def instant_from_micros(us: Column | str) -> Column:
     """Floor to whole seconds; nanos are never negative, before 1970 either."""
     us = _c(us)

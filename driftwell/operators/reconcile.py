@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.expr import uuid_from_index
+from ..tables import table
+from .scan import running
 
 #: Rows of a running count that are broadcast at most.
 SLICES = 1_000_000
@@ -137,6 +139,102 @@ def multiset_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return left.select(*cols, F.when(F.col("_d") > 0, "left").otherwise("right").alias("side"), F.abs("_d").alias("copies"))
 
 
+#: Children of a node of the hash tree, as bits of the hash; its depth; and rows a node from which on its children are looked at.
+FAN_BITS, DEPTH, NODE_ROWS = 8, 3, 100_000
+
+
+def _sums(rows: DataFrame, level: int, sign: int) -> DataFrame:
+    """Order-insensitive sums of the rows' hashes by node of a level, with a sign for the side: all zero iff the node's multisets are equal, but for
+    odds of 2^-64 and less. Sums of 32-bit halves, in decimals, can't overflow."""
+    node = F.shiftrightunsigned("_h", 64 - FAN_BITS * (level + 1))
+    half = lambda c, low: (c.bitwiseAND(F.lit(0xFFFFFFFF)) if low else F.shiftrightunsigned(c, 32)).cast("decimal(18,0)") * sign
+    return rows.select(node.alias("node"), F.lit(sign).alias("n"), *(half(F.col(c), low).alias(f"{c}{low:d}") for c in ("_h", "_g") for low in (True, False)))
+
+
+def hash_tree_difference(a: DataFrame, b: DataFrame) -> DataFrame:
+    """As multiset_difference, by a hash tree: sums of hashes are compared level by level, and only rows in leaves that differ are shuffled.
+
+    A level's sums are combined in the tasks, so what moves is a row for each task and node, whatever the number of rows; nodes that are
+    equal are never looked at again. Equal tables are told by one pass over each. The levels end at leaves of about NODE_ROWS rows or at
+    DEPTH. At most 2^(FAN_BITS * DEPTH) nodes can differ; below a level, those are broadcast while they are at most SLICES.
+    """
+    cols = a.columns
+    c = F.col
+
+    def hashed(df: DataFrame) -> DataFrame:  # nulls count: a hash skips them, so their places are part of it
+        nulls = F.concat(*(F.when(c(f"`{x}`").isNull(), "1").otherwise("0") for x in cols))
+        own = [c(f"`{x}`") for x in cols]
+        return df.select(*cols).withColumns({"_h": F.xxhash64(nulls, *own), "_g": F.xxhash64(F.lit(1), *own, nulls)})
+
+    sides = [hashed(a), hashed(b.select(*cols))]
+    for level in range(DEPTH):
+        both = _sums(sides[0], level, 1).unionAll(_sums(sides[1], level, -1))
+        nodes = both.groupBy("node").agg(F.sum("n").alias("n"), F.sum(F.abs("n")).alias("rows"), *(F.sum(x).alias(x) for x in ("_h1", "_h0", "_g1", "_g0")))
+        uneven = table(nodes.where("n <> 0 OR _h1 <> 0 OR _h0 <> 0 OR _g1 <> 0 OR _g0 <> 0").select("node", "rows"), "uneven")
+        n, rows = uneven.agg(F.count("*"), F.sum("rows")).first()
+        if not n:
+            return a.limit(0).select(*cols).withColumns({"side": F.lit(""), "copies": F.lit(0).cast("long")})
+        if n > SLICES:
+            break
+        # the nodes that differ; their rows are all that is read on
+        keep = F.broadcast(uneven.select("node"))
+        sides = [s.withColumn("node", F.shiftrightunsigned("_h", 64 - FAN_BITS * (level + 1))).join(keep, "node", "left_semi").drop("node") for s in sides]
+        if rows / n <= NODE_ROWS:
+            break
+    return multiset_difference(*(s.select(*cols) for s in sides))
+
+
+#: Identifiers of a bitmap.
+BITMAP = 32_768
+
+
+def bitmaps(ids: DataFrame, id_col: str = "id") -> DataFrame:
+    """range (number of BITMAP identifiers), bits, n: which identifiers (whole numbers from 0) there are, a row for each range that has some."""
+    i = F.col(id_col)
+    rows = ids.where(i >= 0).select(F.bitmap_bucket_number(i + 1).alias("range"), F.bitmap_bit_position(i + 1).alias("bit"))
+    return rows.groupBy("range").agg(F.bitmap_construct_agg("bit").alias("bits")).select((F.col("range") - 1).alias("range"), "bits", F.bitmap_count("bits").alias("n"))
+
+
+def missing_ranges(ids: DataFrame, n: Column, id_col: str = "id", bounds: DataFrame | None = None) -> DataFrame:
+    """first_id, last_id, ids: the gaps of identifiers among 0 .. n - 1, by bitmaps; n is an aggregate over ids (or over bounds).
+
+    Whole ranges without any identifier aren't spelled out, nor are full ones; no identifier passes the driver, and none is joined.
+    """
+    c = F.col
+    found = bitmaps(ids, id_col)
+    limit = (ids if bounds is None else bounds).agg(n.cast("long").alias("limit"))  # a single row
+    # gaps inside ranges that have some: maximal stretches of zero bits, out of their first and last places
+    bit = lambda i: F.getbit(F.conv(F.hex(F.substring("bits", (F.shiftright(i, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int"), i.bitwiseAND(F.lit(7)).cast("int"))
+    places = F.sequence(F.lit(0), F.lit(BITMAP - 1))
+    some = found.where(c("n") < BITMAP).select("range", F.filter(places, lambda i: bit(i) == 0).alias("zeros"))
+    edges = some.select("range", F.filter(F.transform("zeros", lambda z, k: F.when((k == 0) | (F.get("zeros", k - 1) != z - 1), z)), lambda z: z.isNotNull()).alias("firsts"), F.filter(F.transform("zeros", lambda z, k: F.when((k == F.size("zeros") - 1) | (F.get("zeros", k + 1) != z + 1), z)), lambda z: z.isNotNull()).alias("lasts"))
+    inside = edges.select("range", F.explode(F.arrays_zip("firsts", "lasts")).alias("g")).select((c("range") * BITMAP + c("g.firsts")).alias("first_id"), (c("range") * BITMAP + c("g.lasts")).alias("last_id"))
+    # ranges without any: between neighbouring ranges that have some, and at the end
+    ends = limit.select(F.ceil(c("limit") / BITMAP).alias("range"))
+    known = running(found.select("range").unionAll(ends), ["range"], "max", "range", "_before")
+    holes = known.withColumn("_before", F.coalesce("_before", F.lit(-1))).where("range > _before + 1").select(((c("_before") + 1) * BITMAP).alias("first_id"), (c("range") * BITMAP - 1).alias("last_id"))
+    gaps = inside.unionAll(holes).join(F.broadcast(limit)).where("first_id < limit").select("first_id", F.least("last_id", c("limit") - 1).alias("last_id"))  # a single row
+    # gaps that touch at the border of ranges are one
+    touching = running(gaps, ["first_id"], "max", "last_id", "_before")
+    touching = touching.withColumn("_begins", F.when(c("_before").isNull() | (c("_before") < c("first_id") - 1), c("first_id")))
+    runs = running(touching.drop("_before"), ["first_id"], "max", "_begins", "_run", inclusive=True)
+    return runs.groupBy(c("_run").alias("first_id")).agg(F.max("last_id").alias("last_id")).withColumn("ids", c("last_id") - c("first_id") + 1)
+
+
+def stored_counts_dense(receipts: DataFrame, events: DataFrame, n: Column, id_col: str = "id") -> DataFrame:
+    """As stored_counts for identifiers that are numbers among 0 .. n - 1 (n: an aggregate over the receipts), by bitmaps instead of anti-joins."""
+    c = F.col
+    limit = receipts.agg(n.cast("long").alias("limit"), F.count("*").alias("receipts"))
+    rows = events.agg(F.count("*").alias("events"))
+
+    def distinct(ids: DataFrame, name: str, within: bool) -> DataFrame:
+        kept = ids.join(F.broadcast(limit.select("limit"))).where(c(id_col) < c("limit")) if within else ids
+        return bitmaps(kept, id_col).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias(name))
+
+    out = limit.join(rows).join(distinct(events, "distinct_events", False)).join(distinct(receipts, "_r", True)).join(distinct(events, "_e", True))  # five single rows
+    return out.select("receipts", "events", "distinct_events", (c("limit") - c("_r")).alias("missing_receipts"), (c("limit") - c("_e")).alias("missing_events"))
+
+
 def conservation(raw: Column, enriched: Column, dlq: Column, valid: Column, malformed: Column, acknowledged: Column) -> dict[str, Column]:
     return {"raw_is_enriched_plus_dlq": raw == enriched + dlq, "enriched_is_valid": enriched == valid, "dlq_is_malformed": dlq == malformed, "raw_is_acknowledged": raw == acknowledged}
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .config import DetectorConfig, StateConfig
-from .functions.expr import hex_id, map_json, partition_key
+from .functions.expr import hex_id, index_of_uuid, map_json, partition_key
 from .operators import client, detector, intervals, reconcile, replay, residency, scan
 from .operators.route import batch_outcomes, retryable_sqlstate, retryable_status, status_of
 from .operators.validate import batch_verdicts, enriched_failure, raw_failure
@@ -275,6 +275,23 @@ def receipt_merge_conflicts(spark, sf_dir):
     return per.agg(F.sum("copies").alias("total"), F.count_if(F.col("known").isNull()).alias("inserted")).withColumn("conflicts", F.col("total") - F.col("inserted"))
 
 
+@query(f"""WITH {T_SQL}, {OFFSET_SQL}, {_COPIES_SQL}, b AS (SELECT DISTINCT lower(event_id) AS event_id, id // 2000 AS batch FROM c WHERE id % 3 = 0 AND id < 6000 UNION ALL SELECT DISTINCT lower(event_id), 1000 FROM c),
+f AS (SELECT event_id, min(batch) AS batch FROM b GROUP BY event_id), n AS (SELECT id // 2000 AS batch, count(*) AS total FROM c WHERE id % 3 = 0 AND id < 6000 GROUP BY 1 UNION ALL SELECT 1000, count(*) FROM c)
+SELECT n.batch, n.total, count(f.event_id) AS inserted, n.total - count(f.event_id) AS conflicts FROM n LEFT JOIN f ON n.batch = f.batch GROUP BY n.batch, n.total""")
+def receipt_batches(spark, sf_dir):
+    """Batches of identifiers merged into receipts one after another, the last one being everything: what is new of each."""
+    from .sources.receipts import Receipts
+
+    c = _with_copies(_events(spark, sf_dir).select("id", "event_id", "latency_us")).select("id", F.col("event_id").alias("id_text"))
+    store = Receipts(spark, shared_folder(spark, "receipts"), buckets=8)
+    out = None
+    for number, rows in [*((b, c.where((F.floor(F.col("id") / 2000) == b) & (F.col("id") % 3 == 0))) for b in range(3)), (1000, c)]:
+        new = store.merge(rows.select(F.col("id_text").alias("id")), str(number)).agg(F.count("*").alias("inserted"))
+        one = rows.agg(F.count("*").alias("total")).join(new).select(F.lit(number).cast("long").alias("batch"), "total", "inserted", (F.col("total") - F.col("inserted")).alias("conflicts"))  # two single rows
+        out = one if out is None else out.unionByName(one)
+    return out.where("total > 0")
+
+
 @query(f"WITH {T_SQL}, {OFFSET_SQL} SELECT 'telemetry.raw' AS topic, partition, max(\"offset\") + 1 AS next_offset, count(*) AS records FROM o GROUP BY partition")
 def next_offsets(spark, sf_dir):
     return reconcile.next_offsets(with_offsets(_events(spark, sf_dir)))
@@ -310,9 +327,16 @@ t AS (SELECT '00000000-0000-4000-8000-' || lpad(lower(to_hex(event_id)), 12, '0'
 SELECT (SELECT count(*) FROM t) AS receipts, (SELECT count(*) FROM t WHERE id % 97 <> 0) AS events, (SELECT count(DISTINCT event_id) FROM t WHERE id % 97 <> 0) AS distinct_events,
  (SELECT count(*) FROM x LEFT JOIN t USING (event_id) WHERE t.event_id IS NULL) AS missing_receipts, (SELECT count(*) FROM x LEFT JOIN (SELECT event_id FROM t WHERE id % 97 <> 0) s USING (event_id) WHERE s.event_id IS NULL) AS missing_events""")
 def missing_expected_ids(spark, sf_dir):
-    t = _events(spark, sf_dir).select("id", "event_id")
-    n = t.agg(F.max("id")).first()[0] + 5
-    return reconcile.stored_counts(reconcile.expected_ids(spark, n), t.select("event_id"), t.where("id % 97 <> 0").select("event_id"))
+    t = _events(spark, sf_dir).select(index_of_uuid(F.col("event_id")).alias("id"))
+    return reconcile.stored_counts_dense(t, t.where("id % 97 <> 0"), F.max("id") + 5)
+
+
+@query("""WITH n AS (SELECT max(event_id) + 70000 AS n FROM events), x AS (SELECT i FROM n, range(0, n) r(i) WHERE i NOT IN (SELECT event_id FROM events WHERE event_id % 97 <> 0 AND event_id % 1000 NOT BETWEEN 500 AND 509)),
+g AS (SELECT i, i - row_number() OVER (ORDER BY i) AS island FROM x) SELECT min(i) AS first_id, max(i) AS last_id, count(*) AS ids FROM g GROUP BY island""")
+def missing_id_ranges(spark, sf_dir):
+    """Which expected identifiers aren't stored, as ranges."""
+    t = _events(spark, sf_dir).select(index_of_uuid(F.col("event_id")).alias("id"))
+    return reconcile.missing_ranges(t.where("id % 97 <> 0 AND id % 1000 NOT BETWEEN 500 AND 509"), F.max("id") + 70_000, bounds=t)
 
 
 @query(f"""WITH {T_SQL}, a AS (SELECT trace_id, event_id FROM t), b AS (SELECT trace_id, event_id FROM t WHERE id % 211 <> 3 UNION ALL SELECT trace_id, event_id FROM t WHERE id % 503 = 1)
@@ -324,6 +348,15 @@ def reconcile_multiset(spark, sf_dir):
     return reconcile.multiset_difference(a, b)
 
 
+@query(SQL["reconcile_multiset"])
+def reconcile_hash_tree(spark, sf_dir):
+    """The same by a hash tree."""
+    t = _events(spark, sf_dir)
+    a = t.select("trace_id", "event_id")
+    b = t.where("id % 211 <> 3").select("trace_id", "event_id").unionByName(t.where("id % 503 = 1").select("trace_id", "event_id"))
+    return reconcile.hash_tree_difference(a, b)
+
+
 @query("SELECT count(*) AS raw, count(*) FILTER (WHERE event_id % 17 NOT IN (1, 2, 3, 4, 5, 6, 7, 10, 11, 12)) AS enriched, count(*) FILTER (WHERE event_id % 17 IN (1, 2, 3, 4, 5, 6, 7, 10, 11, 12)) AS dlq, true AS conserved FROM events")
 def conservation(spark, sf_dir):
     f = _faulty(_events(spark, sf_dir)).select(raw_failure(F.col("event"), F.col("key")).alias("failure"))
