@@ -68,12 +68,12 @@ def seeds(words: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
     return where, h
 
 
-def windows(words: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of all stretches of n words; one that holds an unknown word has another hash than any item, but for chance."""
-    h = np.full(max(len(words) - n + 1, 0), n, np.uint64)
+def stretches(words: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the n words from each place on."""
+    h = np.full(len(places), n, np.uint64)
     with np.errstate(over="ignore"):
         for k in range(n):
-            h = _mix(h * _MULT + words[k : k + len(h)].astype(np.uint64) + np.uint64(1))
+            h = _mix(h * _MULT + words[places + k].astype(np.uint64) + np.uint64(1))
     return h
 
 
@@ -109,13 +109,15 @@ class Index:
             where, h = where[inside].astype(np.int32), h[inside]
             order = np.argsort(h, kind="stable")
             self.tables.append((h[order], where[order]))
-        self.short = {}  # items of fewer than SPAN words are looked for whole, by their length and a hash of their words
+        self.short = {}  # items of fewer than SPAN words are looked for whole, by their length, first word and a hash of their words
         for n in range(1, SPAN):
             own_items = np.flatnonzero(self.length == n)
             if len(own_items):
-                h = windows(self.words, n)[self.start[own_items]]
+                h = stretches(self.words, self.start[own_items], n)
                 order = np.argsort(h, kind="stable")
-                self.short[n] = h[order], own_items[order]
+                first = np.zeros(len(number) + 1, bool)
+                first[self.words[self.start[own_items]]] = True
+                self.short[n] = first, h[order], own_items[order]
 
     def item(self, i: int) -> np.ndarray:
         return self.words[self.start[i] : self.start[i] + self.length[i]]
@@ -129,6 +131,8 @@ class Index:
             ok = low < len(table)
             ok[ok] = table[low[ok]] == h[ok]
             where, low = where[ok], low[ok]
+            if not len(where):
+                continue
             high = np.searchsorted(table, h[ok], "right")
             if int((high - low).sum()) <= PAIRS_A_WORD * len(words):  # all pairs of places
                 n = high - low
@@ -167,16 +171,17 @@ class Index:
                     best, found[i] = n, (self.keys[i], a, a - shift, n, same)
                     if first_only:
                         return [found[i]]
-        for n, (table, items) in self.short.items():
+        for n, (first, table, items) in self.short.items():
             if n > len(words) or first_only and n < MIN_ITEM:
                 continue
-            h = windows(words, n)
+            places = np.flatnonzero(first[words[: len(words) - n + 1]])
+            h = stretches(words, places, n)
             low = np.searchsorted(table, h)
             ok = low < len(table)
             ok[ok] = table[low[ok]] == h[ok]
             for k in np.unique(low[ok]).tolist():
                 for i in items[k : np.searchsorted(table, table[k], "right")].tolist():
-                    p = next((p for p in np.flatnonzero(ok & (low == k)).tolist() if np.array_equal(words[p : p + n], self.item(i))), None)
+                    p = next((p for p in places[ok & (low == k)].tolist() if np.array_equal(words[p : p + n], self.item(i))), None)
                     if p is not None:
                         found[i] = (self.keys[i], p, 0, n, n)
                         if first_only:
