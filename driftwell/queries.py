@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .config import DetectorConfig, StateConfig
 from .functions.expr import hex_id, index_of_uuid, map_json, partition_key
-from .operators import client, detector, intervals, reconcile, replay, residency, scan
+from .operators import client, conformance, detector, intervals, reconcile, replay, residency, scan
 from .operators.route import batch_outcomes, retryable_sqlstate, retryable_status, status_of
 from .operators.validate import batch_verdicts, enriched_failure, raw_failure
 from .plans import metrics
@@ -374,6 +374,41 @@ def schema_conformance(spark, sf_dir):
     return events.withColumn("table_name", F.lit("events")).unionByName(receipts.withColumn("table_name", F.lit("receipts"))).select("table_name", "column_name", "data_type")
 
 
+#: What the given tables are held against; some of it is not so.
+CONTRACTS = [
+    conformance.Contract("events", {"event_id": ("bigint", True), "ts": ("timestamp_ntz", True), "user_id": ("bigint", True), "value": ("double", True), "trace_id": ("string", True), "props": ("string", False)}, ("event_id",)),
+    conformance.Contract("orders", {"o_orderkey": ("bigint", True), "o_custkey": ("bigint", True), "o_totalprice": ("decimal(12,2)", True), "o_orderdate": ("timestamp_ntz", True)}, ("o_orderkey",)),
+    conformance.Contract("lineitem", {"l_orderkey": ("bigint", True), "l_linenumber": ("int", True), "l_quantity": ("double", True)}, ("l_orderkey",)),
+    conformance.Contract("customer", {"c_custkey": ("bigint", True), "c_nationkey": ("bigint", True), "c_name": ("string", True)}, ("c_custkey",)),
+    conformance.Contract("nation", {"n_nationkey": ("int", True)}, ("n_nationkey",), ("n_regionkey",)),
+    conformance.Contract("supplier", {"s_suppkey": ("bigint", True), "s_name": ("string", True)}, ("s_suppkey",)),
+    conformance.Contract("shipments", {"shipment_id": ("bigint", True)}),
+]
+_TYPES_SQL = "CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date' ELSE lower(data_type) END"
+_WANTED_SQL = ", ".join(f"('{c.table}', '{name}', '{kind}')" for c in CONTRACTS for name, (kind, _) in c.columns.items())
+_REPEATS_SQL = " UNION ALL ".join(f"SELECT '{c.table}' AS table_name, '{','.join(c.key)}' AS subject, 'values of the key repeat' AS problem, count(*) AS n FROM (SELECT 1 FROM {c.table} GROUP BY {','.join(c.key)} HAVING count(*) > 1) HAVING count(*) > 0" for c in CONTRACTS if c.key)
+_CONFORMANCE_SQL = f"""wanted AS (SELECT * FROM (VALUES {_WANTED_SQL}) v(table_name, column_name, wanted)), have AS (SELECT table_name, column_name, {_TYPES_SQL} AS data_type FROM information_schema.columns),
+problems AS (SELECT DISTINCT table_name, table_name AS subject, 'the table is missing' AS problem, CAST(NULL AS BIGINT) AS n FROM wanted w WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.table_name = w.table_name)
+ UNION ALL SELECT table_name, column_name, 'the column is missing', NULL FROM wanted w WHERE EXISTS (SELECT 1 FROM have h WHERE h.table_name = w.table_name) AND NOT EXISTS (SELECT 1 FROM have h WHERE h.table_name = w.table_name AND h.column_name = w.column_name)
+ UNION ALL SELECT table_name, column_name, 'the type is ' || data_type || ' instead of ' || wanted, NULL FROM wanted JOIN have USING (table_name, column_name) WHERE wanted <> data_type
+ UNION ALL SELECT 'nation', 'nation', 'partitioned by () instead of (n_regionkey)', NULL UNION ALL {_REPEATS_SQL})"""
+
+
+def _given(spark, sf_dir):
+    return lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query(f"WITH {_CONFORMANCE_SQL} SELECT * FROM problems")
+def table_contracts(spark, sf_dir):
+    """What the given tables' files lack against their contracts."""
+    return conformance.problems(spark, CONTRACTS, _given(spark, sf_dir))
+
+
+@query(f"WITH {_CONFORMANCE_SQL} SELECT DISTINCT table_name, table_name NOT IN (SELECT table_name FROM problems) AS ready FROM wanted")
+def tables_ready(spark, sf_dir):
+    return conformance.ready(spark, CONTRACTS, _given(spark, sf_dir))
+
+
 # Labels of any length that overlap: every 29th event opens one at its time, every tenth event may be what it waits for.
 _INTERVAL_SQL = f"""{COARSE_SQL}, i AS (SELECT service_name, id AS priority, clock AS start, clock + (id % 7 + 1) * 21600000 AS finish, clock + 7200000 AS label_end FROM t WHERE id % 29 = 0), p AS (SELECT service_name, id AS seq, clock AS t FROM t WHERE id % 10 = 3),
 w AS (SELECT service_name, list(struct_pack(n := priority, s := start, e := finish) ORDER BY priority) AS own FROM i GROUP BY service_name), q AS (SELECT p.*, row_number() OVER (PARTITION BY p.service_name ORDER BY t, seq) AS k, own FROM p LEFT JOIN w USING (service_name)),
