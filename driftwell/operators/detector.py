@@ -128,6 +128,37 @@ def final_baselines(events: DataFrame, value: str = "latency_us", keys: tuple[st
     return last.select(*keys, F.when(first, x).otherwise(m + F.lit(config.alpha) * d).alias("mean_us"), F.when(first, 0.0).otherwise((1.0 - config.alpha) * (spread + config.alpha * d * d)).alias("variance"), F.col("l.observations").alias("observations"))
 
 
+def baselines(events: DataFrame, value: str = "latency_us", keys: tuple[str, ...] = ("service_name", "route"), clock: str = "clock", tie: tuple[str, ...] = (), config: DetectorConfig = DetectorConfig(), ttl: int | None = None) -> DataFrame:
+    """keys, mean, variance, count, last: each key's state after its last row, to the bit, and that row's time; a stream can go on from there."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    k = len(keys)
+    rows = events.select(*keys, clock, value, *tie)
+    schema = StructType([*(rows.schema[x] for x in keys), *StructType.fromDDL("mean double, variance double, count long, last long")])
+    kinds = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, state, last, out = None, Baseline(), None, []
+        for batch in batches:
+            for *key, t, x in zip(*(batch.column(i).to_pylist() for i in range(k + 2)), strict=True):
+                if key != now:
+                    if now is not None:
+                        out.append((*now, state.mean, state.variance, state.count, last))
+                    now, state, last = key, Baseline(), None
+                if ttl is not None and last is not None and t - last >= ttl:
+                    state = Baseline()
+                state.step(math.nan if x is None else float(x), config)
+                last = t
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), kinds, strict=True)], schema=kinds)
+                out = []
+        if now is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip((*now, state.mean, state.variance, state.count, last), kinds, strict=True)], schema=kinds)
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, clock, *tie).mapInArrow(run, schema)
+
+
 def anomalies(scored: DataFrame) -> DataFrame:
     return scored.where("is_anomaly")
 

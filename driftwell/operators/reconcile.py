@@ -17,10 +17,11 @@ SLICES = 1_000_000
 def first_per_id(events: DataFrame, id_col: str, order: list[str]) -> DataFrame:
     """The first row of each identifier (values compare in any case) by the given order.
 
-    An aggregation, not a window: rows are combined before the shuffle, so an identifier with very many copies stays small.
+    Spark limits each task's groups to their first row before the shuffle (a window group limit), so an identifier with very many copies stays
+    small, and rows are sorted, not packed into an aggregate's buffer.
     """
-    one = events.groupBy(F.lower(id_col)).agg(F.min_by(F.struct(*events.columns), F.struct(*order)).alias("_first"))
-    return one.select("_first.*")
+    order_of = W.partitionBy(F.lower(id_col)).orderBy(*order)
+    return events.withColumn("_first", F.row_number().over(order_of)).where("_first = 1").drop("_first")
 
 
 def numbered(df: DataFrame, order: list[str], slice_of: Column, by: list[str] | None = None, name: str = "seq") -> DataFrame:

@@ -585,6 +585,17 @@ def latest_per_route(spark, sf_dir):
     return _events(spark, sf_dir).select("service_name", "route", "event_id", "event_us", F.row_number().over(w).alias("rank")).where("rank <= 3")
 
 
+@query(SQL["latest_per_route"])
+def latest_per_route_by_date(spark, sf_dir):
+    """The same out of a table in date partitions, of which only those are read that hold one of the rows."""
+    from .sources.dated import DatedTable
+
+    t = _events(spark, sf_dir).select("service_name", "route", "event_id", "event_us")
+    dated = DatedTable(spark, shared_folder(spark, "dated"), ["service_name", "route"])
+    dated.append(t, "timestamp_micros(event_us)")
+    return dated.latest(3, [F.desc("event_us"), F.col("event_id")]).select("service_name", "route", "event_id", "event_us", "rank")
+
+
 @query(f"WITH {T_SQL} SELECT service_name, max_by(latency_us, (event_us, id)) AS value FROM t GROUP BY service_name")
 def latest_gauge(spark, sf_dir):
     t = _events(spark, sf_dir).select("service_name", F.col("latency_us").alias("value"), F.struct("event_us", "id").alias("ts"))
@@ -716,6 +727,20 @@ def stream_score_ttl(spark, sf_dir):
     return _stored_scores(spark, sf_dir, StateConfig(), 2)
 
 
+@query(SQL["ewma_scores"])
+def stream_score_resumed(spark, sf_dir):
+    """The first half of the events scored as a batch, the second half by a stream that starts from the batch's states: the scores of the whole."""
+    from .streaming.keyed import run_to_end, score_by_key
+
+    t = _events(spark, sf_dir, True).select("id", "service_name", "route", "clock", "latency_us")
+    half = t.agg(F.floor(F.avg("clock")).cast("long")).first()[0] or 0
+    early, late, root = t.where(F.col("clock") < half), t.where(F.col("clock") >= half), shared_folder(spark, "resumed")
+    late.write.parquet(f"{root}/late")
+    stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 64).parquet(f"{root}/late")
+    run_to_end(score_by_key(stream, tie=("id",), initial=detector.baselines(early, tie=("id",))), f"{root}/scored", f"{root}/checkpoint")
+    return _verdict(detector.score(early, tie=("id",))).unionByName(_verdict(spark.read.parquet(f"{root}/scored")))
+
+
 @query(f"""WITH {T_SQL}, q AS (SELECT row_number() OVER (ORDER BY event_us, id) - 1 AS seq, service_name || route AS key, clock FROM t),
 p AS (SELECT *, lag(seq) OVER w AS previous, clock - lag(clock) OVER w AS gap FROM q WINDOW w AS (PARTITION BY key ORDER BY seq)),
 d AS (SELECT p.seq, count(DISTINCT o.key) AS others FROM p JOIN q o ON o.seq > p.previous AND o.seq < p.seq GROUP BY p.seq),
