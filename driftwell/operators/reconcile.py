@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -296,10 +298,56 @@ def run_summary(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("dropped", c("dropped_full") + c("dropped_closed")).withColumn("acknowledged_events_per_second", rate).withColumn("valid", valid)
 
 
-def file_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """path, bytes, sha256 of every file under path that holds a byte (Spark's reader passes over empty files)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+def file_manifest(spark: SparkSession, path: str, expected: list[str] | None = None) -> DataFrame:
+    """path (below the folder), type, bytes, sha256, of every file below path by name; with `expected`, of those paths only: a path without a file is of
+    type "missing", a folder "unsupported". Empty files count. Names are listed on the driver, as Spark's readers do; contents are hashed in tasks.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = fs.makeQualified(root).toUri().getPath().rstrip("/") + "/"
+    rows = []
+    if expected is None:
+        found = fs.listFiles(root, True)
+        while found.hasNext():
+            f = found.next()
+            rows.append((f.getPath().toUri().getPath().removeprefix(base), "file", f.getLen()))
+    else:
+        for name in sorted(set(expected)):
+            at = spark._jvm.org.apache.hadoop.fs.Path(base + name)
+            status = fs.getFileStatus(at) if fs.exists(at) else None
+            rows.append((name, "missing" if status is None else "file" if status.isFile() else "unsupported", status.getLen() if status is not None and status.isFile() else None))
+    listed = spark.createDataFrame(rows, "path string, type string, bytes long")
+    full = [f"{path.rstrip('/')}/{name}" for name, kind, n in rows if kind == "file" and n]
+    none = F.sha2(F.lit(""), 256)
+    if not full:
+        return listed.withColumn("sha256", F.when(F.col("type") == "file", none)).orderBy("path")
+    name = F.regexp_replace(F.regexp_replace("path", "^[a-z0-9]+:/*", "/"), f"^{re.escape(base)}", "")
+    sums = spark.read.format("binaryFile").load([re.sub(r"([\\*?\[\]{}])", r"\\\1", f) for f in full]).select(name.alias("path"), F.sha2("content", 256).alias("_sum"))
+    return listed.join(sums, "path", "left").select("path", "type", "bytes", F.when((F.col("type") == "file") & (F.col("bytes") == 0), none).otherwise(F.col("_sum")).alias("sha256")).orderBy("path")
+
+
+def manifest_holds(manifest: DataFrame) -> bool:
+    """Whether every path of a manifest is a file."""
+    return manifest.where("type <> 'file'").isEmpty()
+
+
+def write_report(report: DataFrame, path: str) -> str:
+    """Writes a one-row table as a JSON object to a file that appears whole, and returns its text. More rows, or none, are an error."""
+    rows = report.toJSON().take(2)
+    if len(rows) != 1:
+        raise ValueError(f"a report has one row, not {'several' if rows else 'none'}")
+    spark = report.sparkSession
+    at, held = spark._jvm.org.apache.hadoop.fs.Path(path), spark._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(held, True)
+    try:
+        out.write(bytearray((rows[0] + "\n").encode()))
+    finally:
+        out.close()
+    fs.delete(at, False)
+    if not fs.rename(held, at):
+        raise OSError(f"could not write {path}")
+    return rows[0]
 
 
 def redact(config: Column, pattern: str = "(?i)(password|secret|token|key)") -> Column:

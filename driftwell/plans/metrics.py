@@ -152,6 +152,13 @@ def scraped(increments: DataFrame, by: list[str], interval_s: int, restart_s: in
     return out.select(*by, "ts", "value")
 
 
+def active_requests(requests: DataFrame, by: list[str], interval_s: int, blocks: int | None = None) -> DataFrame:
+    """by, ts, value: how many requests (by, begin, finish: seconds; a null finish is open) are active at scrapes every interval_s: begun, not finished."""
+    c = F.col
+    steps = F.filter(F.array(F.struct(c("begin").alias("at"), F.lit(1).alias("n")), F.struct(F.when(c("finish").isNotNull(), F.greatest("finish", "begin")).alias("at"), F.lit(-1).alias("n"))), lambda s: s["at"].isNotNull())
+    return scraped(requests.where("begin IS NOT NULL").select(*by, F.explode(steps).alias("s")).select(*by, "s.at", "s.n"), by, interval_s, blocks=blocks)
+
+
 def windowed_quantile(q: float, df: DataFrame, value: Column, bounds: tuple[float, ...], ts: Column, window_s: int, by: list[str]) -> DataFrame:
     """by, window_start, value: the quantile of the growth of a histogram's buckets in tumbling windows (the rate, then the quantile)."""
     rows = df.withColumn("window_start", F.floor(F.unix_micros(ts) / (window_s * 1_000_000)) * window_s)

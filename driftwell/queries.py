@@ -579,6 +579,17 @@ def anomaly_rate_steps(spark, sf_dir):
     return metrics.range_rate(metrics.scraped(inc, ["service_name"], 60, _RESTART), 300, 300, ["service_name"]).where("rate > 0").select("service_name", F.col("ts").cast("long").alias("ts"), "rate")
 
 
+_ACTIVE_SQL = "SELECT event_type AS job, epoch_us(ts) // 1000000 AS sec, 1 AS n FROM events WHERE event_id % 20 = 0 UNION ALL SELECT event_type, epoch_us(ts) // 1000000 + (event_id % 97 + 1) * 60, -1 FROM events WHERE event_id % 20 = 0 AND event_id % 700 <> 0"
+
+
+@query(f"WITH {_scraped_sql(_ACTIVE_SQL, 'job', 300, 10**12)} SELECT job, ts, value FROM samples WHERE value > 0")
+def active_requests_steps(spark, sf_dir):
+    """Requests under way at scrapes every five minutes: every 20th event begins one, of up to 97 minutes; some never finish."""
+    at, n = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000), F.col("event_id")
+    r = read_events(spark, sf_dir).where(n % 20 == 0).select(F.col("event_type").alias("job"), at.alias("begin"), F.when(n % 700 != 0, at + (n % 97 + 1) * 60).alias("finish"))
+    return metrics.active_requests(r, ["job"], 300).where("value > 0").select("job", F.col("ts").cast("long").alias("ts"), "value")
+
+
 @query(f"WITH {T_SQL}, r AS (SELECT service_name, route, event_id, event_us, row_number() OVER (PARTITION BY service_name, route ORDER BY event_us DESC, event_id) AS rank FROM t) SELECT service_name, route, event_id, event_us, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 3")
 def latest_per_route(spark, sf_dir):
     w = W.partitionBy("service_name", "route").orderBy(F.desc("event_us"), "event_id")

@@ -21,7 +21,7 @@ from ..schemas import LOG, PARTITIONS
 
 
 #: Records of a log file at most, and files that a trigger reads by default: together they bound the records of a micro-batch.
-FILE_RECORDS, TRIGGER_FILES = 100_000, 256
+FILE_RECORDS, TRIGGER_FILES = 100_000, 32
 
 
 class FileLog:

@@ -217,6 +217,103 @@ def test_dead_letters_of_both_stages_and_their_lines(spark, tmp_path):
     assert {x["original_payload_hex"] for x in lines} == {"ff00", ""} and all(x["kind"] == "dlq" and x["topic"] == DLQ_TOPIC for x in lines)
 
 
+def test_reports_are_written_whole(spark, tmp_path):
+    from driftwell.operators import reconcile
+
+    one = spark.createDataFrame([(3, True, [1, 2])], "n long, passed boolean, ids array<long>")
+    for _ in range(2):  # again in place of itself
+        reconcile.write_report(one, f"{tmp_path}/report.json")
+    assert json.loads((tmp_path / "report.json").read_text()) == {"n": 3, "passed": True, "ids": [1, 2]}
+    for rows in (one.limit(0), one.unionAll(one)):
+        with pytest.raises(ValueError, match="one row"):
+            reconcile.write_report(rows, f"{tmp_path}/other.json")
+    assert not (tmp_path / "other.json").exists()
+
+
+def keyed(spark, rows):
+    return spark.createDataFrame(rows, "id long, service_name string, route string, clock long, latency_us long")
+
+
+def test_a_stream_goes_on_from_the_states_of_a_batch(spark, tmp_path):
+    from driftwell.operators import detector
+    from driftwell.streaming.keyed import run_to_end, score_by_key
+
+    rng = random.Random(17)
+    rows = [(i, rng.choice(["a", "b", None]), "/r", i * 10 + (i > 300) * 5000, rng.randrange(100_000)) for i in range(600)]
+    config = DetectorConfig(warmup=5)
+    for ttl in (None, 120):
+        want = {r.id: tuple(r)[5:11] for r in detector.score(keyed(spark, rows), tie=("id",), config=config, ttl=ttl).drop("segment").collect()}
+        at = tmp_path / str(ttl)
+        states = detector.baselines(keyed(spark, rows[:250]), tie=("id",), config=config, ttl=ttl)
+        for lo, hi in ((250, 400), (400, 600)):  # two runs of the job; later ones go on from its checkpoint
+            keyed(spark, rows[lo:hi]).coalesce(1).write.mode("append").parquet(f"{at}/in")
+            stream = spark.readStream.schema(keyed(spark, []).schema).parquet(f"{at}/in")
+            run_to_end(score_by_key(stream, tie=("id",), config=config, ttl=ttl, initial=states), f"{at}/out", f"{at}/check")
+        got = {r.id: tuple(r)[5:11] for r in spark.read.parquet(f"{at}/out").collect()}
+        assert got == {i: v for i, v in want.items() if i >= 250}
+
+
+def test_rows_that_cannot_be_scored_by_key_change_nothing(spark, tmp_path):
+    from driftwell.streaming.keyed import run_to_end, score_by_key
+
+    for n, rows in enumerate(([(0, "a", "/r", 50, 10)], [(1, "a", "/r", 40, 99), (2, "a", "/r", 60, None), (3, "a", "/r", 60, 20), (4, "b", "/r", 1, 5)])):
+        keyed(spark, rows).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(keyed(spark, []).schema).parquet(f"{tmp_path}/in")
+        run_to_end(score_by_key(stream, tie=("id",)), f"{tmp_path}/out", f"{tmp_path}/check")
+    got = {r.id: (r.error, r.ewma_mean_us, r.observations) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {0: (None, 0.0, 1), 1: ("observation time must not move backwards", None, None), 2: ("latency must be finite", None, None), 3: (None, 10.0, 2), 4: (None, 0.0, 1)}
+
+
+def test_latest_rows_read_the_dates_that_hold_them(spark, tmp_path):
+    from driftwell.sources.dated import DatedTable
+
+    # route "busy" every day, "rare" on the second day only, "twice" on the first and the last
+    rows = [("busy", d, i) for d in range(20) for i in range(5)] + [("rare", 1, i) for i in range(2)] + [("twice", 0, 7), ("twice", 19, 7)] + [(None, 18, i) for i in range(4)]
+    frame = spark.createDataFrame(rows, "route string, day int, i int").withColumn("t", F.col("day") * 86_400 + F.col("i"))
+    table = DatedTable(spark, str(tmp_path), ["route"])
+    for part in ("day < 10", "day >= 10"):
+        table.append(frame.where(part), "timestamp_seconds(t)")
+    out = table.latest(3, [F.desc("t")])
+    want = {}
+    for r in sorted(rows, key=lambda r: -(r[1] * 86_400 + r[2])):
+        own = want.setdefault(r[0], [])
+        if len(own) < 3:
+            own.append(r[1] * 86_400 + r[2])
+    got = {}
+    for r in sorted(out.collect(), key=lambda r: r["rank"]):
+        got.setdefault(r.route, []).append(r.t)
+    assert got == want
+    dates = {f.split("_date=")[1][:10] for f in out.inputFiles() if "/rows/" in f}
+    assert dates == {"1970-01-01", "1970-01-02", "1970-01-19", "1970-01-20"}
+    table.recount()
+    assert table.needed(3).count() == len({("busy", 19), ("rare", 1), ("twice", 0), ("twice", 19), (None, 18)})
+
+
+def test_contracts_find_what_tables_lack(spark, tmp_path):
+    from driftwell.operators.conformance import Contract, problems, ready
+
+    spark.createDataFrame([(1, "a", 1), (2, None, 1), (2, "b", 2)], "id long, name string, part int").write.partitionBy("part").parquet(f"{tmp_path}/good")
+    spark.createDataFrame([(1, "a")], "`odd id` long, v string").write.parquet(f"{tmp_path}/plain")
+    read = lambda name: spark.read.parquet(f"{tmp_path}/{name}")
+    contracts = [
+        Contract("good", {"id": ("bigint", True), "name": ("string", True), "part": ("string", True), "gone": ("int", False)}, ("id",), ("day",)),
+        Contract("plain", {"odd id": ("bigint", True), "v": ("string", False)}, ("odd id", "v")),
+        Contract("nowhere", {"x": ("int", False)}),
+    ]
+    got = {tuple(r) for r in problems(spark, contracts, read).collect()}
+    assert got == {
+        ("nowhere", "nowhere", "the table is missing", None), ("good", "gone", "the column is missing", None), ("good", "part", "the type is int instead of string", None),
+        ("good", "name", "required values are null", 1), ("good", "id", "values of the key repeat", 1), ("good", "good", "partitioned by (part) instead of (day)", None),
+    }
+    assert {(r.table_name, r.ready) for r in ready(spark, contracts, read).collect()} == {("good", False), ("plain", True), ("nowhere", False)}
+
+
+def test_active_requests_at_scrapes(spark):
+    r = spark.createDataFrame([("j", 5, 25), ("j", 10, None), ("j", 12, 11), ("j", None, 3), ("k", 30, 60)], "job string, begin long, finish long")
+    got = {(r.job, r.ts): r.value for r in metrics.active_requests(r, ["job"], 10).collect()}
+    assert got == {("j", 10): 2, ("j", 20): 2, ("j", 30): 1, ("j", 40): 1, ("j", 50): 1, ("j", 60): 1, ("k", 10): 0, ("k", 20): 0, ("k", 30): 1, ("k", 40): 1, ("k", 50): 1, ("k", 60): 0}
+
+
 def test_exposition_round_trip(spark):
     from driftwell.sources import exposition
 
@@ -235,8 +332,15 @@ def test_manifest_of_files_and_hidden_settings(spark, tmp_path):
     (tmp_path / "a").mkdir()
     (tmp_path / "a" / "x.txt").write_bytes(b"one")
     (tmp_path / "y.txt").write_bytes(b"two\n")
-    got = {r.path.rsplit("/", 1)[1]: (r.bytes, r.sha256) for r in reconcile.file_manifest(spark, str(tmp_path)).collect()}
-    assert got == {"x.txt": (3, hashlib.sha256(b"one").hexdigest()), "y.txt": (4, hashlib.sha256(b"two\n").hexdigest())}
+    (tmp_path / "a" / "empty.txt").write_bytes(b"")
+    (tmp_path / "a" / "odd [x] *{y}?.txt").write_bytes(b"odd")
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    whole = reconcile.file_manifest(spark, str(tmp_path))
+    want = [("a/empty.txt", "file", 0, sha(b"")), ("a/odd [x] *{y}?.txt", "file", 3, sha(b"odd")), ("a/x.txt", "file", 3, sha(b"one")), ("y.txt", "file", 4, sha(b"two\n"))]
+    assert [tuple(r) for r in whole.collect()] == want and reconcile.manifest_holds(whole)
+    some = reconcile.file_manifest(spark, str(tmp_path), ["y.txt", "gone/z.txt", "a", "a/empty.txt"])
+    assert [tuple(r) for r in some.collect()] == [("a", "unsupported", None, None), ("a/empty.txt", "file", 0, sha(b"")), ("gone/z.txt", "missing", None, None), ("y.txt", "file", 4, sha(b"two\n"))]
+    assert not reconcile.manifest_holds(some) and reconcile.file_manifest(spark, str(tmp_path), ["gone"]).first().type == "missing"
     df = spark.createDataFrame([({"db_password": "p", "API_KEY": "k", "host": "h"},)], "config map<string,string>")
     assert df.select(reconcile.redact(F.col("config")).alias("c")).first().c == {"db_password": "<redacted>", "API_KEY": "<redacted>", "host": "h"}
 
