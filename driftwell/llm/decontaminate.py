@@ -54,18 +54,30 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
-def seeds(words: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
+def mixed(words: np.ndarray) -> np.ndarray:
+    """A random-looking number for each word."""
+    with np.errstate(over="ignore"):
+        return _mix(_mix((words.astype(np.uint64) + np.uint64(1)) * _MULT) * _MULT)
+
+
+#: Odd factors, one for each place of a mask.
+_FACTORS = mixed(np.arange(100, 100 + max(map(len, MASKS)))) | np.uint64(1)
+
+
+def seeds(words: np.ndarray, mask: str, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(positions where all words that the mask looks at are known, the mask's hashes there); words are numbers, 0 stands for a word
-    that the benchmark doesn't have."""
+    that the benchmark doesn't have; numbers: the same words, mixed."""
     n = max(len(words) - len(mask) + 1, 0)
     looked = [k for k, bit in enumerate(mask) if bit == "1"]
     known = words > 0
-    where = np.flatnonzero(np.logical_and.reduce([known[k : k + n] for k in looked]))
-    h = np.full(len(where), len(mask), np.uint64)
     with np.errstate(over="ignore"):
+        h = np.zeros(n, np.uint64)
         for k in looked:
-            h = _mix(h * _MULT + words[where + k].astype(np.uint64) + np.uint64(1))
-    return where, h
+            h += numbers[k : k + n] * _FACTORS[k]
+    if known.all():
+        return np.arange(n), h
+    where = np.flatnonzero(np.logical_and.reduce([known[k : k + n] for k in looked]))
+    return where, h[where]
 
 
 def stretches(words: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
@@ -103,8 +115,9 @@ class Index:
         self.words = np.concatenate([w for _, w in own.values()]) if own else np.zeros(0, np.int32)
         item = np.repeat(np.arange(len(self.keys)), self.length)
         self.tables = []
+        numbers = mixed(self.words)
         for mask in MASKS:
-            where, h = seeds(self.words, mask)
+            where, h = seeds(self.words, mask, numbers)
             inside = (item[where] == item[where + len(mask) - 1]) & (self.length[item[where]] >= SPAN)
             where, h = where[inside].astype(np.int32), h[inside]
             order = np.argsort(h, kind="stable")
@@ -125,8 +138,9 @@ class Index:
     def _alignments(self, words: np.ndarray) -> dict[int, np.ndarray]:
         """For each item with a hit, the distinct shifts of the item against the text at which they share a seed."""
         found: dict[int, list] = {}
+        numbers = mixed(words)
         for mask, (table, at) in zip(MASKS, self.tables, strict=True):
-            where, h = seeds(words, mask)
+            where, h = seeds(words, mask, numbers)
             low = np.searchsorted(table, h)
             ok = low < len(table)
             ok[ok] = table[low[ok]] == h[ok]
