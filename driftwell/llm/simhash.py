@@ -2,16 +2,17 @@
 
 1. A text's shingles (repeats included) vote on the 64 bits of its fingerprint; equal fingerprints form a class.
 2. The bits are cut into `blocks` pieces; fingerprints that differ in at most RADIUS bits agree in `blocks` - RADIUS pieces at least. Each choice of
-   so many pieces is a table, their value a key: linked fingerprints share a key. The number of pieces is the least that leaves about LOAD
-   fingerprints a key at the table's size (4 pieces up to some 16 million fingerprints, then 5, then 6), so keys don't grow with the input.
-3. The fingerprints of a key form a shard, those of a larger key several shards of about SHARD, by hash. Each shard becomes a BK-tree:
-   children hang at their integer Hamming distance to the parent. Trees are built and searched by array operations, all small ones of a
-   batch as one forest. From a node at distance d of the query only the edges from d - RADIUS to d + RADIUS are followed.
-4. Each shard is searched with its own fingerprints; what is connected already is not searched again: a subtree whose nodes all are in the
-   query's component is left out. So a dense shard costs few comparisons and gives a forest of links, never its pairs.
-5. Where a key has several shards, what these left outside the key's largest component is sent in blocks to all the key's trees, which are
-   broadcast to the blocks (by a broadcast join where they are under TREE_BYTES together, else by a shuffled one), again with
-   components to leave out. Nothing is capped; every pair at most RADIUS apart ends in one component.
+   so many pieces is a table, the leading bits of their value a key: linked fingerprints share a key in some table. As many bits are taken as
+   leave about SHARD fingerprints a key at the table's size, and as few pieces as have so many bits (4 up to some 130 million fingerprints, then
+   5, then 6), so shards don't grow with the input.
+3. The fingerprints of a key form a shard, those of a key with more than twice SHARD several, by hash. Each shard becomes a BK-tree:
+   children hang at their integer Hamming distance to the parent; trees are built level by level by array operations.
+4. The shards' trees are broadcast to the blocks of queries, one block a shard, if they are under TREE_BYTES together (measured), else both meet in a
+   shuffled join: trees of all the corpus may not be broadcast. From a node at distance d of the query only the edges from d - RADIUS to
+   d + RADIUS are followed. What is connected already is not searched again: a subtree whose nodes all are in the query's component is left out.
+   So a dense shard costs few comparisons and gives a forest of links, never its pairs.
+5. Where a key has several shards, what these left outside the key's largest component is sent in blocks to all the key's trees in the same way, again
+   with components to leave out. Nothing is capped; every pair at most RADIUS apart ends in one component.
 6. Components come from the alternating star steps of the other near-duplicate operator.
 
 Defined results: a text without words (or null) has fingerprint zero, which links like any other; rows without doc_id get their fingerprint, no
@@ -21,6 +22,7 @@ an empty table gives an empty result; other columns are ignored, whatever their
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -34,10 +36,10 @@ from .common import checked_broadcast, drop_tables, map_batches, release, slices
 from .neardup import components
 
 BITS, RADIUS, SEED = 64, 3, 42
-#: Fingerprints a key, on average, for which pieces are chosen; fingerprints of a shard.
-LOAD, SHARD = 256, 2048
+#: Fingerprints of a shard, about.
+SHARD = 2048
 #: Trees that are broadcast in a join, in bytes together.
-TREE_BYTES = 64_000_000
+TREE_BYTES = 32_000_000
 #: Pairs of a query and a node that are compared at a time.
 FRONTIER = 1 << 20
 
@@ -183,58 +185,32 @@ def join(parts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             parts = shorter
 
 
-def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """All elements of a list column of longs, and the lists' lengths."""
-    return lists.flatten().to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())
-
-
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _inside(shards: DataFrame) -> DataFrame:
-    """Links (a, b) that connect what is linked inside each shard."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            values, sizes = _flat(batch.column(0))
-            values = values.view(_U)
-            tree, roots = Forest.build(values, sizes), len(sizes)
-            every = np.arange(len(values))
-            close = np.flatnonzero(tree.edge[roots:] <= RADIUS)
-            parts = join(every, tree.parents()[close], roots + close)
-            place = np.empty(len(values), np.int64)  # node of each value
-            place[tree.origin] = every
-            trees = np.repeat(np.arange(roots), sizes)
-            parts = tree.search(values, trees, sizes[trees], place, every, parts, roots)
-            other = np.flatnonzero(parts != every)
-            yield pa.RecordBatch.from_arrays([pa.array(tree.values[parts[other]].view(np.int64)), pa.array(tree.values[other].view(np.int64))], schema=_EDGES)
-        batch = values = tree = None
-        release()
-
-    return shards.select("fps").mapInArrow(run, "a bigint, b bigint")
-
-
 def _trees(shards: DataFrame) -> DataFrame:
-    """key, shard, tree (its arrays) and nodes (its fingerprints in the tree's order)."""
+    """key, shard, of, tree (its arrays) and nodes (its fingerprints in the tree's order)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             trees = [Forest.build(np.array(x, np.int64).view(_U), np.array([len(x)])) for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([t.to_bytes() for t in trees], pa.binary()), pa.array([t.values.view(np.int64).tolist() for t in trees], pa.list_(pa.int64()))], names=["key", "shard", "tree", "nodes"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array([t.to_bytes() for t in trees], pa.binary()), pa.array([t.values.view(np.int64).tolist() for t in trees], pa.list_(pa.int64()))], names=["key", "shard", "of", "tree", "nodes"])
 
-    return shards.select("key", "shard", "fps").mapInArrow(run, "key bigint, shard int, tree binary, nodes array<bigint>")
+    return shards.select("key", "shard", "fps", "of").mapInArrow(run, "key bigint, shard int, of int, tree binary, nodes array<bigint>")
 
 
-def _across(tests: DataFrame) -> DataFrame:
+def _searched(tests: DataFrame) -> DataFrame:
     """Links between the components (a, b) of queries and nodes, for rows of fps, own (the queries' components), tree and labels (the nodes')."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             for fps, own, data, labels in zip(*(batch.column(i) for i in range(4)), strict=True):
-                queries = np.array(fps.as_py(), np.int64).view(_U)
-                tree = Forest.from_bytes(data.as_py())
+                queries, tree = np.array(fps.as_py(), np.int64).view(_U), Forest.from_bytes(data.as_py())
                 names, at = np.unique(np.array(own.as_py() + labels.as_py(), np.int64), return_inverse=True)
-                parts = tree.search(queries, np.zeros(len(queries), np.int64), np.full(len(queries), len(tree.values)), at[: len(queries)], at[len(queries) :], np.arange(len(names)), 1)
+                mine, nodes = at[: len(queries)], at[len(queries) :]
+                close = np.flatnonzero(tree.edge[1:] <= RADIUS)  # nodes linked with their parents
+                parts = join(np.arange(len(names)), nodes[tree.parents()[close]], nodes[1 + close])
+                parts = tree.search(queries, np.zeros(len(queries), np.int64), np.full(len(queries), len(tree.values)), mine, nodes, parts, 1)
                 other = np.flatnonzero(parts != np.arange(len(names)))
                 if len(other):
                     yield pa.RecordBatch.from_arrays([pa.array(names[parts[other]]), pa.array(names[other])], schema=_EDGES)
@@ -243,50 +219,64 @@ def _across(tests: DataFrame) -> DataFrame:
     return tests.select("fps", "own", "tree", "labels").mapInArrow(run, "a bigint, b bigint")
 
 
-def choose_blocks(n: int) -> int:
-    """The least number of pieces that leaves about LOAD of n fingerprints a key, were they spread evenly."""
-    return next((k for k in (4, 5) if n <= LOAD << (BITS * (k - RADIUS) // k)), 6)
+def _widths(blocks: int) -> list[tuple[list[tuple[int, int]], int]]:
+    """For each choice of blocks - RADIUS pieces: their (first bit, bits), and all their bits."""
+    edges = [BITS * i // blocks for i in range(blocks + 1)]
+    pieces = [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+    return [(list(c), sum(w for _, w in c)) for c in combinations(pieces, blocks - RADIUS)]
+
 
+def choose_keys(n: int, blocks: int | None = None) -> tuple[int, int]:
+    """(pieces, bits of a key) that leave about SHARD of n fingerprints a key, were they spread evenly."""
+    bits = max(0, math.ceil(math.log2(max(1, n) / SHARD)))
+    room = {k: min(w for _, w in _widths(k)) for k in (4, 5, 6)}
+    blocks = blocks or next((k for k, w in room.items() if w >= bits), 6)
+    return blocks, min(bits, room[blocks])
 
-def keys_of(fp: str, blocks: int) -> Column:
-    """The keys of a fingerprint: which pieces were chosen, and their bits."""
-    edges = [BITS * i // blocks for i in range(blocks + 1)]
+
+def keys_of(fp: str, blocks: int, bits: int) -> Column:
+    """The keys of a fingerprint: which pieces were chosen, and their first bits. Without bits there is one key for all."""
     out = []
-    for t, chosen in enumerate(combinations(range(blocks), blocks - RADIUS)):
-        key = F.lit(t).cast("long")
-        for i in chosen:
-            width = edges[i + 1] - edges[i]
-            key = F.shiftleft(key, width).bitwiseOR(F.shiftrightunsigned(fp, edges[i]).bitwiseAND(F.lit((1 << width) - 1).cast("long")))
-        out.append(key)
-    return F.array(*out)
+    for t, (pieces, width) in enumerate(_widths(blocks)):
+        value = F.lit(0).cast("long")
+        for first, n in pieces:
+            value = F.shiftleft(value, n).bitwiseOR(F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << n) - 1).cast("long")))
+        out.append(F.shiftleft(F.lit(t).cast("long"), 40).bitwiseOR(F.shiftrightunsigned(value, width - bits)))
+    return F.array(*out) if bits else F.array(F.lit(0).cast("long"))
+
+
+def _sent(trees: DataFrame) -> DataFrame:
+    """The trees (with their nodes' labels), to be broadcast if they are under TREE_BYTES together."""
+    size = trees.agg(F.sum(F.octet_length("tree") + 8 * F.size("labels"))).first()[0] or 0
+    return F.broadcast(trees) if size <= TREE_BYTES else trees
 
 
-def _linked(classes: DataFrame, blocks: int) -> DataFrame:
+def _linked(classes: DataFrame, blocks: int, bits: int) -> DataFrame:
     """node, root (its component's smallest) for the fingerprints (fp, distinct) that link with others."""
-    keyed = classes.select(F.explode(keys_of("fp", blocks)).alias("key"), "fp")
-    hot = keyed.groupBy("key").count().where(F.col("count") > SHARD).select("key", F.ceil(F.col("count") / SHARD).cast("int").alias("of"))
+    keyed = classes.select(F.explode(keys_of("fp", blocks, bits)).alias("key"), "fp")
+    hot = keyed.groupBy("key").count().where(F.col("count") > 2 * SHARD).select("key", F.ceil(F.col("count") / SHARD).cast("int").alias("of"))
     hot = table(hot, "hot-keys")
     many = not hot.isEmpty()
     dealt = keyed.join(checked_broadcast(hot), "key", "left") if many else keyed.withColumn("of", F.lit(None).cast("int"))
     dealt = dealt.withColumn("shard", F.when(F.col("of").isNull(), 0).otherwise(F.pmod(F.xxhash64("fp"), "of")).cast("int"))
-    shards = table(dealt.groupBy("key", "shard").agg(F.collect_list("fp").alias("fps"), F.max("of").alias("of")).where("size(fps) > 1 OR of > 1"), "shards")
-    links = table(_inside(shards), "links")
+    shards = dealt.groupBy("key", "shard").agg(F.collect_list("fp").alias("fps"), F.max("of").alias("of")).where("size(fps) > 1 OR of > 1")
+    trees = table(_trees(shards), "trees")
+    whole = trees.select("key", "shard", F.col("nodes").alias("fps"), F.col("nodes").alias("own"))
+    links = table(_searched(whole.join(_sent(trees.select("key", "shard", "tree", F.col("nodes").alias("labels"))), ["key", "shard"])), "links")
     roots = table(components(links), "roots")
     if many:
-        trees = table(_trees(shards.where("of > 1")), "trees")
-        nodes = trees.select("key", "shard", F.posexplode("nodes").alias("pos", "fp")).join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("key", "shard", "pos", "fp", F.coalesce("root", "fp").alias("label"))
+        nodes = trees.where("of > 1").select("key", "shard", F.posexplode("nodes").alias("pos", "fp")).join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("key", "shard", "pos", "fp", F.coalesce("root", "fp").alias("label"))
         nodes = table(nodes, "nodes")
         main = nodes.groupBy("key", "label").count().groupBy("key").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1")
         labelled = trees.select("key", "shard", "tree").join(nodes.groupBy("key", "shard").agg(F.array_sort(F.collect_list(F.struct("pos", "label"))).alias("at")), ["key", "shard"]).select("key", "tree", F.col("at.label").alias("labels"))
         labelled = table(labelled, "labelled")
         queries = nodes.join(main, "key").where("label != main").groupBy("key", "shard").agg(F.collect_list(F.struct("fp", "label")).alias("q"))
         queries = table(queries.select("key", F.col("q.fp").alias("fps"), F.col("q.label").alias("own")), "queries")
-        size = labelled.agg(F.sum(F.octet_length("tree") + 8 * F.size("labels"))).first()[0] or 0
-        more = table(_across(queries.join(F.broadcast(labelled) if size <= TREE_BYTES else labelled, "key")), "more")
+        more = table(_searched(queries.join(_sent(labelled), "key")), "more")
         if not more.isEmpty():
             roots = table(components(links.unionAll(more)), "roots")
-        drop_tables(trees, nodes, labelled, queries, more)
-    drop_tables(shards, links, hot)
+        drop_tables(nodes, labelled, queries, more)
+    drop_tables(trees, links, hot)
     return roots
 
 
@@ -294,7 +284,7 @@ def link(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: st
     """One row per document: doc_id, fp (its fingerprint), component_id (the smallest doc_id of its component)."""
     rows = table(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     classes = table(rows.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")), "classes")
-    roots = _linked(classes.select("fp"), blocks or choose_blocks(classes.count()))
+    roots = _linked(classes.select("fp"), *choose_keys(classes.count(), blocks))
     named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").where("root IS NOT NULL OR copies > 1").withColumn("root", F.coalesce("root", "fp"))
     names = named.groupBy("root").agg(F.min("first_id").alias("named"))
     return rows.join(named.join(names, "root").select("fp", "named"), "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.coalesce("named", "doc_id")).alias("component_id"))

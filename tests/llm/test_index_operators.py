@@ -1,6 +1,7 @@
 """Fill-in-middle, SimHash and periodic runs against brute force, and on odd rows."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -129,7 +130,7 @@ def linked(spark, values, blocks):
     """Components of given fingerprints, as sets."""
     frame = spark.createDataFrame([(int(np.uint64(v).view(np.int64)),) for v in values], "fp long")
     out = {}
-    for r in simhash._linked(frame, blocks).collect():
+    for r in simhash._linked(frame, *simhash.choose_keys(len(values), blocks)).collect():
         out.setdefault(r.root, set()).add(int(np.int64(r.node).view(np.uint64)))
     return {frozenset(x) for x in out.values()}
 
@@ -160,7 +161,9 @@ def test_simhash_is_that_of_brute_force(spark, sf_dir):
 
 
 @pytest.mark.parametrize("blocks", [4, 5, 6])
-def test_no_link_is_lost_with_any_number_of_pieces(spark, blocks):
+@pytest.mark.parametrize("shard", [8, 100_000])
+def test_no_link_is_lost_with_any_number_of_pieces(spark, monkeypatch, blocks, shard):
+    monkeypatch.setattr(simhash, "SHARD", shard)
     values = balls(random.Random(blocks), 25, 400, 6) + [0, 7, 15, 2**64 - 1, 2**63]
     assert linked(spark, values, blocks) == wanted(values)
 
@@ -197,8 +200,11 @@ def test_forests_of_trees_search_whole(monkeypatch):
         assert (np.bitwise_count(tree.values[roots:] ^ tree.values[tree.parents()]) == tree.edge[roots:]).all()
 
 
-def test_the_number_of_pieces_keeps_keys_small():
-    assert [simhash.choose_blocks(n) for n in (0, 1000, 10**7, 10**8, 10**9, 10**12)] == [4, 4, 4, 5, 5, 6]
+def test_keys_follow_the_number_of_fingerprints():
+    assert [simhash.choose_keys(n) for n in (0, 2048, 2049, 10**6, 10**8, 10**9, 10**11, 10**13)] == [(4, 0), (4, 0), (4, 1), (4, 9), (4, 16), (5, 19), (6, 26), (6, 31)]
+    for blocks in (4, 5, 6):  # whatever RADIUS bits differ, some choice of pieces has none of them
+        for at in itertools.combinations(range(0, 64, 3), 3):
+            assert any(all(not first <= bit < first + n for first, n in pieces for bit in at) for pieces, _ in simhash._widths(blocks))
 
 
 def test_odd_rows_have_fingerprints(spark):
