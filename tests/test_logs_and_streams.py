@@ -450,7 +450,8 @@ def test_every_sql_twin_gives_the_same_rows(spark, sf_dir):
     from driftwell import queries
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW events AS SELECT * FROM '{sf_dir}/events.parquet'")
+    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     for name, sql in queries.SQL.items():
         df = queries.QUERIES[name](spark, sf_dir)
         r = con.execute(sql)
