@@ -9,7 +9,7 @@ never held whole.
 Defined results: null texts and roles are empty; turns with equal numbers are ordered by role, then text; repeated rows are turns
 of their own; records of an unknown layout, records that are no JSON or nested too deeply to read, and message lists with an element
 that is no object give one row with layout "unmapped", which formatting leaves out; ids and turn numbers that are no 64-bit integers
-are null; lone surrogates become U+FFFD; other columns are ignored; rows without conversation id form a conversation whose id is null.
+are null; an empty table gives no conversation; lone surrogates become U+FFFD; other columns are ignored; rows without conversation id form a conversation whose id is null.
 A conversation's digest reads its turns in order, so one conversation is one task's work, streamed after a sort that spills.
 """
 

@@ -6,8 +6,8 @@ keywords are read off the rules themselves: literal parts one of which every mat
 priority, its place in the order; an interval that lies inside one of a higher priority is suppressed, so of two rules that claim
 equal intervals the earlier one wins.
 
-Defined results: null and empty texts have no words; texts are read whole; repeated rows give repeated results; other columns
-are ignored.
+Defined results: null and empty texts have no words; texts are read whole; repeated rows give repeated results; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

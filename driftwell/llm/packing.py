@@ -11,7 +11,7 @@ Every partition packs its own rows, so there is no shuffle and a lost task repea
 partition's number. Memory is bounded by BLOCK ids per task: a block of documents is packed when it is full.
 
 Defined results: null and empty texts are documents of the closing id alone; a document longer than the largest window is
-cut into full windows and a remainder; repeated rows are packed repeatedly; other columns are ignored.
+cut into full windows and a remainder; repeated rows are packed repeatedly; an empty table gives no sequence; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ of the address is disguised too: the word " dot " in the domain, or a bracketed
 ("meet at example.com") it is left alone. The bounds of the disguise patterns stand beside them.
 
 Defined results: null and empty texts have no spans; texts of any length are read whole, in time linear in their length;
-repeated rows give repeated results; columns other than the named ones are ignored (or passed through by `redact`).
+repeated rows give repeated results; an empty table gives an empty result; columns other than the named ones are ignored (or passed through by `redact`).
 """
 
 from __future__ import annotations

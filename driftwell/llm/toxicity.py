@@ -19,7 +19,7 @@ labelled documents whose smallest word hashes agree with an earlier one's (near
 a copied document's words aren't further evidence. Everything else covers all rows.
 
 Defined results: null and empty texts get the score of a text without any word; without labelled rows of both classes
-every score is the share of label 1 (0 without any); texts are read whole, whatever their length; repeated rows are scored alike, to the
+every score is the share of label 1 (0 without any); an empty table gives an empty result; texts are read whole, whatever their length; repeated rows are scored alike, to the
 last bit: a word's decision depends on the model alone, and the model on no order of sets.
 """
 
