@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below spark.checkpoint.dir. Where that is unset a local session (tests) uses its warehouse; a cluster must set it."""
+    """A fresh folder below spark.checkpoint.dir. Where that is unset a session in one process (tests) uses its warehouse; a cluster, a local one too, must set it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and not spark.sparkContext.master.startswith("local"):
+    if not root and spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return f"{(root or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
