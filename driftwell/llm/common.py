@@ -19,9 +19,9 @@ SLICE_ROWS, SLICE_BYTES = 1024, 4_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir. Where that is unset a local session (tests) uses its warehouse; a cluster must set it."""
+    """The folder of spark.checkpoint.dir. Where that is unset a session in one process (tests) uses its warehouse; a cluster, a local one too, must set it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and not spark.sparkContext.master.startswith("local"):
+    if not folder and spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tables").rstrip("/")
 
