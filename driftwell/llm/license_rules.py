@@ -154,8 +154,13 @@ NOTICES = (
     ("gpl-2.0-or-later", r"gnu general public licen[sc]e (?:v|version )?2(?: 0)? or (?:at your option )?(?:any )?later"),
     ("lgpl-2.1-or-later", r"gnu lesser general public licen[sc]e (?:v|version )?2 1 or (?:at your option )?(?:any )?later"),
     ("agpl-3.0-or-later", r"gnu affero general public licen[sc]e (?:v|version )?3(?: 0)? or (?:at your option )?(?:any )?later"),
-    ("gpl-3.0-or-later", r"gpl ?v?3 or (?:any )?later"),
-    ("gpl-2.0-or-later", r"gpl ?v?2 or (?:any )?later"),
+    ("gpl-3.0-or-later", r"gpl ?v?3(?: 0)? or (?:any )?later"),
+    ("gpl-2.0-or-later", r"gpl ?v?2(?: 0)? or (?:any )?later"),
+    ("lgpl-3.0-or-later", r"lgpl ?v?3(?: 0)? or (?:any )?later"),
+    ("lgpl-2.1-or-later", r"lgpl ?v?2 1 or (?:any )?later"),
+    ("agpl-3.0-or-later", r"agpl ?v?3(?: 0)? or (?:any )?later"),
+    ("gpl-3.0-only", r"gpl ?v?3(?: 0)? only"),
+    ("gpl-2.0-only", r"gpl ?v?2(?: 0)? only"),
     ("mit-or-apache-2", r"(?:dual )?licen[sc]ed under (?:either (?:of )?)?(?:the )?(?:mit (?:and|or) apache|apache 2 0 (?:and|or) mit)(?: \w+){0,4}? licen[sc]es?"),
     ("artistic-or-gpl", r"under the same terms as perl itself"),
     ("apache-2", r"(?:licen[sc]ed|released|distributed|available|published|provided) under the apache licen[sc]e(?: version| v)? ?2(?: 0)?"),

@@ -324,6 +324,12 @@ def test_license_detections_are_those_of_brute_force(spark, sf_dir):
         assert sorted((a, b, c) for a, b, c, _ in s.scan(text)[3]) == brute_detections(text)
 
 
+def test_identifiers_in_running_text_keep_their_suffix(spark):
+    texts = {"gpl-2.0-or-later": "is GPL-2.0-or-later now", "gpl-3.0-or-later": "is GPLv3 or any later", "lgpl-2.1-or-later": "is LGPL-2.1-or-later", "agpl-3.0-or-later": "is AGPL-3.0-or-later", "lgpl-3.0-or-later": "LGPL-3.0-or-later", "gpl-2.0-only": "is GPL-2.0-only"}
+    got = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame(list(enumerate(texts.values())), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts)
+
+
 def test_license_over_odd_rows(spark):
     got = licenses.scan(odd_docs(spark)).collect()
     assert len(got) == 7 and max(r.n_base for r in got) == 1
