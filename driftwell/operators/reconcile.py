@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -227,14 +228,14 @@ def missing_ranges(ids: DataFrame, n: Column, id_col: str = "id", bounds: DataFr
 def stored_counts_dense(receipts: DataFrame, events: DataFrame, n: Column, id_col: str = "id") -> DataFrame:
     """As stored_counts for identifiers that are numbers among 0 .. n - 1 (n: an aggregate over the receipts), by bitmaps instead of anti-joins."""
     c = F.col
-    limit = receipts.agg(n.cast("long").alias("limit"), F.count("*").alias("receipts"))
-    rows = events.agg(F.count("*").alias("events"))
-
-    def distinct(ids: DataFrame, name: str, within: bool) -> DataFrame:
-        kept = ids.join(F.broadcast(limit.select("limit"))).where(c(id_col) < c("limit")) if within else ids
-        return bitmaps(kept, id_col).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias(name))
-
-    out = limit.join(rows).join(distinct(events, "distinct_events", False)).join(distinct(receipts, "_r", True)).join(distinct(events, "_e", True))  # five single rows
+    limit = receipts.agg(n.cast("long").alias("limit"))  # a single row
+    rows = receipts.select(c(id_col).alias("id"), F.lit(0).alias("kind")).unionByName(events.select(c(id_col).alias("id"), F.lit(1).alias("kind")))
+    rows = rows.join(F.broadcast(limit), how="left")
+    within = F.coalesce(c("id") < c("limit"), F.lit(False))
+    per = rows.groupBy("kind", within.alias("within"), F.bitmap_bucket_number(c("id") + 1).alias("range")).agg(F.count("*").alias("rows"), F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(c("id") + 1))).alias("n"))
+    total = lambda what, *when: F.coalesce(F.sum(F.when(reduce(lambda p, q: p & q, when), c(what))), F.lit(0)).cast("long")
+    sums = per.agg(total("rows", c("kind") == 0).alias("receipts"), total("rows", c("kind") == 1).alias("events"), total("n", c("kind") == 1).alias("distinct_events"), total("n", c("kind") == 0, c("within")).alias("_r"), total("n", c("kind") == 1, c("within")).alias("_e"))
+    out = limit.join(sums)  # two single rows
     return out.select("receipts", "events", "distinct_events", (c("limit") - c("_r")).alias("missing_receipts"), (c("limit") - c("_e")).alias("missing_events"))
 
 
