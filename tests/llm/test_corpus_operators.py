@@ -267,7 +267,7 @@ def test_sql_twins(spark, sf_dir):
     from driftwell.llm.queries import QUERIES
 
     con = duckdb.connect()
-    for t in ("pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     for name, sql in SQL.items():
         df = QUERIES[name](spark, sf_dir)
