@@ -705,7 +705,7 @@ def _log_records(t: DataFrame) -> DataFrame:
     from .functions.codec import encode_event
 
     event = F.struct("event_id", F.struct(F.floor(F.col("event_us") / 1_000_000).alias("seconds"), ((F.col("event_us") % 1_000_000) * 1000).cast("int").alias("nanos")).alias("event_time"), "service_name", "route", F.col("latency_us").cast("decimal(20,0)").alias("latency_us"), "status_code", "trace_id", "attributes")
-    return t.select("id", partition_key("service_name", "route").cast("binary").alias("key"), encode_event(event).alias("value"), "partition")
+    return t.select("id", F.floor(F.col("event_us") / 1000).alias("clock"), partition_key("service_name", "route").cast("binary").alias("key"), encode_event(event).alias("value"), "partition")
 
 
 def _stored_scores(spark, sf_dir, state, warmup: int):
@@ -716,7 +716,7 @@ def _stored_scores(spark, sf_dir, state, warmup: int):
 
     root = shared_folder(spark, "stream")
     log, store = FileLog(spark, f"{root}/log"), EventStore(spark, f"{root}/store")
-    log.append(_log_records(_events(spark, sf_dir, True)), "telemetry.raw", "0", ["id"])
+    log.append(_log_records(_events(spark, sf_dir, True)), "telemetry.raw", "0", ["clock", "id"])
     clock = F.col("event.event_time.seconds") * 1000 + F.floor(F.col("event.event_time.nanos") / 1_000_000)
     score_query(log, f"{root}/checkpoint", clock=clock, detector=DetectorConfig(warmup=warmup), state=state).awaitTermination()
     persist_query(log, store, f"{root}/checkpoint").awaitTermination()

@@ -4,6 +4,9 @@ Appending numbers the rows of each partition from the partition's next offset; e
 visible by a rename, so that readers never see half of it and a repeated append of the same batch changes nothing. The next offsets
 stand in a small head file that is created before the rename, by one writer at a time, so an append reads nothing
 of what the log holds and several jobs may append to one topic. Rows are sorted by ranges and numbered by a running count over the ranges: no task sorts a whole partition.
+
+A file holds a range of the append's order with the rows of all partitions in it, and files are stamped in that order: a stream takes them by time, so
+its micro-batches follow the order of the appends, wherever a trigger cuts.
 """
 
 from __future__ import annotations
@@ -18,10 +21,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..schemas import LOG, PARTITIONS
+from ..tables import stamp_in_order, write_ranges
 
 
 #: Records of a log file at most, and files that a trigger reads by default: together they bound the records of a micro-batch.
-FILE_RECORDS, TRIGGER_FILES = 100_000, 32
+FILE_RECORDS, TRIGGER_FILES = 100_000, 8
 
 
 class FileLog:
@@ -141,8 +145,10 @@ class FileLog:
             return
         order = order or ["key", "value"]
         part = F.col("partition") if "partition" in records.columns else F.pmod(F.xxhash64("key"), F.lit(PARTITIONS.get(topic, 1))).cast("int")
-        rows = records.select(part.cast("int").alias("partition"), *dict.fromkeys(["key", "value", *order]))
-        rows = rows.repartitionByRange("partition", *order).sortWithinPartitions("partition", *order).withColumn("_at", F.monotonically_increasing_id())
+        own = {c: c if c in ("partition", "key", "value") else f"_order{i}" for i, c in enumerate(order)}
+        rows = records.select(part.cast("int").alias("partition"), "key", "value", *(F.col(c).alias(n) for c, n in own.items() if n != c))
+        order, order_only = list(own.values()), [n for c, n in own.items() if n != c]
+        rows = rows.repartitionByRange(*order).sortWithinPartitions("partition", *order).withColumn("_at", F.monotonically_increasing_id())
         sorted_rows, held = f"{self.root}/_staging/{topic}-{batch}-sorted", f"{self.root}/_staging/{topic}-{batch}"
         rows.write.mode("overwrite").parquet(sorted_rows)
         rows = self.spark.read.schema(rows.schema).parquet(sorted_rows).withColumn("_task", F.shiftright("_at", 33))
@@ -153,8 +159,10 @@ class FileLog:
         base = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for p, n in first.items() for x in (p, n))), F.col("partition")), F.lit(0)) if first else F.lit(0)
         runs = runs.select("partition", "_task", "_low", "_n", (F.sum("_n").over(w) - F.col("_n") + base).cast("long").alias("_base"))
         out = rows.join(F.broadcast(runs.drop("_n")), ["partition", "_task"])  # a row per task of the sort and log partition
-        out = out.select("key", "value", F.lit(topic).alias("topic"), "partition", (F.col("_base") + F.col("_at") - F.col("_low")).alias("offset"), F.current_timestamp().alias("timestamp"))
-        out.write.mode("overwrite").option("maxRecordsPerFile", FILE_RECORDS).parquet(held)
+        out = out.select("key", "value", F.lit(topic).alias("topic"), "partition", (F.col("_base") + F.col("_at") - F.col("_low")).alias("offset"), F.current_timestamp().alias("timestamp"), *order_only)
+        began = time.time()
+        write_ranges(out, held, order, sum(counts.values()), FILE_RECORDS, drop=order_only)
+        stamp_in_order(self.spark, held, began)
         self._fs.mkdirs(self._path(self.path(topic)))
         if not self._fs.rename(self._path(held), final):
             raise OSError(f"could not publish {final}")

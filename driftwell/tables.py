@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import re
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,3 +23,23 @@ def table(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_ranges(df: DataFrame, path: str, order: list[str], rows: int, file_rows: int, drop: list[str] = []) -> None:
+    """Write df (of so many rows) as files that hold consecutive ranges of the order, at most file_rows rows each, in the order of their names."""
+    n = max(1, math.ceil(rows / (0.8 * file_rows)))  # ranges are sampled: most of them fit one file
+    df.repartitionByRange(n, *order).sortWithinPartitions(*order).drop(*drop).write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(path)
+
+
+def stamp_in_order(spark: SparkSession, path: str, began: float) -> None:
+    """Give a written table's files ascending modification times in the order of its tasks, all between `began` (seconds) and now: Spark's file stream takes files by these."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [(m, s.getPath()) for s in fs.listStatus(folder) if (m := re.match(r"part-(\d+)-.+-c(\d+)\.", s.getPath().getName()))]
+    files = [p for _, p in sorted(found, key=lambda f: (int(f[0][1]), int(f[0][2])))]
+    time.sleep(max(0.0, began + (len(files) + 1) / 1000 - time.time()))
+    first = int(time.time() * 1000) - len(files) + 1
+    for i, p in enumerate(files):
+        fs.setTimes(p, first + i, -1)
+    if any(fs.getFileStatus(p).getModificationTime() != first + i for i, p in enumerate(files)):
+        raise OSError(f"the file system of {path} keeps no modification times, so a stream can't read its files in order")

@@ -473,3 +473,44 @@ def test_entry(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() == 1000
+
+
+def shuffled_events(spark, path, n):
+    """An events table whose identifiers are in another order than its times, some of which are equal."""
+    i = F.col("id")
+    kinds = F.element_at(F.array(*map(F.lit, ("view", "click", "signup", "error", "purchase"))), (i % 5 + 1).cast("int"))
+    rows = spark.range(n).select(i.alias("event_id"), F.timestamp_seconds(1_700_000_000 + i * 37 % n * 300).cast("timestamp_ntz").alias("ts"), i.alias("user_id"), kinds.alias("event_type"), (i * 7919 % 1000 / 10).alias("value"), F.lit('{"k": 1}').alias("props"))
+    rows.coalesce(1).write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+@pytest.mark.parametrize("stream, batch", [("stream_score_parity", "ewma_scores"), ("stream_score_ttl", "ewma_scores_ttl")])
+def test_many_triggers_score_like_one(spark, tmp_path, monkeypatch, stream, batch):
+    """Several micro-batches over several log partitions, in order of time, score every row as the batch scan does."""
+    from driftwell.functions.expr import uuid_from_index
+    from driftwell.queries import QUERIES
+    from driftwell.sources import filelog
+
+    monkeypatch.setattr(filelog, "FILE_RECORDS", 60)
+    monkeypatch.setattr(filelog, "TRIGGER_FILES", 1)
+    events = shuffled_events(spark, tmp_path, 90)
+    want = QUERIES[batch](spark, events).select(uuid_from_index("id"), "ewma_mean_us", "ewma_stddev_us", "anomaly_score", "is_anomaly")
+    assert sorted(map(tuple, QUERIES[stream](spark, events).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_log_is_read_in_the_order_of_its_appends(spark, tmp_path, monkeypatch):
+    from driftwell.sources import filelog
+
+    monkeypatch.setattr(filelog, "FILE_RECORDS", 50)
+    monkeypatch.setattr(filelog, "TRIGGER_FILES", 2)
+    log, seen = FileLog(spark, f"{tmp_path}/log"), []
+    for a in (0, 300):
+        rows = spark.range(a, a + 300, numPartitions=7).select(F.col("id").cast("string").cast("binary").alias("key"), F.lit(b"v").alias("value"), (F.col("id") % 3).cast("int").alias("partition"), (299 - F.col("id") % 300).alias("at"))
+        log.append(rows, RAW_TOPIC, f"b{9 - a}", ["at"])
+    take = lambda batch, number: seen.append({(int(bytes(r.key)), r.partition, r.offset) for r in batch.collect()})
+    log.read_stream(RAW_TOPIC).writeStream.foreachBatch(take).option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start().awaitTermination()
+    at = [[(k // 300, 299 - k % 300) for k, _, _ in b] for b in seen]
+    assert len(seen) >= 6 and all(max(p) < min(q) for p, q in zip(at, at[1:])) and max(map(len, at)) <= 100
+    for p in range(3):
+        own = sorted((o, (k // 300, 299 - k % 300)) for b in seen for k, q, o in b if q == p)
+        assert [o for o, _ in own] == list(range(200)) and [x for _, x in own] == sorted(x for _, x in own)
