@@ -514,3 +514,24 @@ def test_a_log_is_read_in_the_order_of_its_appends(spark, tmp_path, monkeypatch)
     for p in range(3):
         own = sorted((o, (k // 300, 299 - k % 300)) for b in seen for k, q, o in b if q == p)
         assert [o for o, _ in own] == list(range(200)) and [x for _, x in own] == sorted(x for _, x in own)
+
+
+def test_large_requests_are_decoded_and_encoded_a_slice_at_a_time():
+    import pyarrow as pa
+
+    events = [dict(event_id=f"e{i}", event_time=dict(seconds=i, nanos=1), service_name="s", route="/r", latency_us=i, status_code=200, trace_id="t" * 40, attributes={"k": "v"}) for i in range(100)]
+    payload = codec.serialise({"batch_id": "b", "events": events}, codec._BATCH)
+    sizes = [1, 0, 400, *[1] * 300]  # in requests of 100 events
+    payloads = pa.array([payload * n if n else None for n in sizes], pa.binary())
+    encode = codec._encoder(codec._BATCH).func
+    parts = list(codec._decoder(codec._BATCH, codec.BATCH, "batch").func(iter([payloads])))
+    assert [len(e) for p in parts for e in p.field("batch").field("events").to_pylist()] == [100 * n for n in sizes]
+    at = 0
+    for p in parts:
+        own = payloads.slice(at, len(p))
+        assert len(p) == 1 or sum(len(x) for x in own.to_pylist() if x) <= codec.SLICE_BYTES
+        at += len(p)
+    assert at == len(sizes) and len(parts) > 3
+    batch = pa.concat_arrays([p.field("batch") for p in parts])
+    encoded = list(encode(iter([batch])))
+    assert len(encoded) > 3 and [len(x) for e in encoded for x in e.to_pylist()] == [len(codec.serialise({"batch_id": "b" if n else "", "events": events * n}, codec._BATCH)) for n in sizes]
