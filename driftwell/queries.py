@@ -741,13 +741,12 @@ def stream_score_ttl(spark, sf_dir):
 @query(SQL["ewma_scores"])
 def stream_score_resumed(spark, sf_dir):
     """The first half of the events scored as a batch, the second half by a stream that starts from the batch's states: the scores of the whole."""
-    from .streaming.keyed import run_to_end, score_by_key
+    from .streaming.keyed import read_in_order, run_to_end, score_by_key
 
     t = _events(spark, sf_dir, True).select("id", "service_name", "route", "clock", "latency_us")
     half = t.agg(F.floor(F.avg("clock")).cast("long")).first()[0] or 0
     early, late, root = t.where(F.col("clock") < half), t.where(F.col("clock") >= half), shared_folder(spark, "resumed")
-    late.write.parquet(f"{root}/late")
-    stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 64).parquet(f"{root}/late")
+    stream = read_in_order(late, f"{root}/late", ["clock", "id"])
     run_to_end(score_by_key(stream, tie=("id",), initial=detector.baselines(early, tie=("id",))), f"{root}/scored", f"{root}/checkpoint")
     return _verdict(detector.score(early, tie=("id",))).unionByName(_verdict(spark.read.parquet(f"{root}/scored")))
 

@@ -535,3 +535,17 @@ def test_large_requests_are_decoded_and_encoded_a_slice_at_a_time():
     batch = pa.concat_arrays([p.field("batch") for p in parts])
     encoded = list(encode(iter([batch])))
     assert len(encoded) > 3 and [len(x) for e in encoded for x in e.to_pylist()] == [len(codec.serialise({"batch_id": "b" if n else "", "events": events * n}, codec._BATCH)) for n in sizes]
+
+
+def test_a_resumed_stream_takes_its_rows_in_order_and_in_bounded_batches(spark, tmp_path, monkeypatch):
+    from driftwell.queries import QUERIES
+    from driftwell.sources import filelog
+    from driftwell.streaming import keyed as module
+
+    monkeypatch.setattr(filelog, "FILE_RECORDS", 30)
+    monkeypatch.setattr(filelog, "TRIGGER_FILES", 1)
+    events, checkpoints, run = shuffled_events(spark, tmp_path, 150), [], module.run_to_end
+    monkeypatch.setattr(module, "run_to_end", lambda scored, path, checkpoint: (checkpoints.append(checkpoint), run(scored, path, checkpoint)))
+    got = QUERIES["stream_score_resumed"](spark, events)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, QUERIES["ewma_scores"](spark, events).collect()))
+    assert spark.read.format("binaryFile").option("pathGlobFilter", "[0-9]*").load(f"{checkpoints[0]}/commits").count() >= 3  # micro-batches
