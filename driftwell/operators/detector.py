@@ -9,6 +9,7 @@ and time slice and between slices, so that no task sorts a whole key for that ei
 
 from __future__ import annotations
 
+import gc
 import math
 from collections import OrderedDict
 from collections.abc import Iterator
@@ -205,6 +206,8 @@ class KeyStore:
         return verdict, expired, full
 
 
+#: Verdicts that stand as Python objects at a time.
+OUT_ROWS = 10_000
 #: What the streaming scorer adds to a row: its verdict or the error, and the evictions that the row caused.
 STREAMED = SCORES + ", error string, evicted_ttl long, evicted_capacity long"
 
@@ -234,15 +237,19 @@ def stream_processor(config: DetectorConfig, ttl_ms: int | None, max_keys: int |
                     store.keys[k] = (Baseline(v[0], v[1], v[2]), v[3])
             elif meta is not None:
                 self.held.clear()
-            out, touched = [], {}
-            for *k, x, t in zip(*(frame[k].tolist() for k in keys), frame[value].tolist(), frame[clock].tolist(), strict=True):
-                used += 1
-                try:
-                    (mean, std, s, odd, n, warmed), expired, full = store.observe(tuple(k), float(x), t)
-                    out.append((mean or 0.0, std or 0.0, s, odd, n, warmed, None, expired, full))
-                    touched[tuple(k)] = used
-                except ScoreError as e:
-                    out.append((None, None, None, None, None, None, str(e), 0, 0))
+            touched = {}
+            for a in range(0, len(frame), OUT_ROWS):
+                part, out = frame.iloc[a : a + OUT_ROWS], []
+                for *k, x, t in zip(*(part[k].tolist() for k in keys), part[value].tolist(), part[clock].tolist(), strict=True):
+                    used += 1
+                    try:
+                        (mean, std, s, odd, n, warmed), expired, full = store.observe(tuple(k), float(x), t)
+                        out.append((mean or 0.0, std or 0.0, s, odd, n, warmed, None, expired, full))
+                        touched[tuple(k)] = used
+                    except ScoreError as e:
+                        out.append((None, None, None, None, None, None, str(e), 0, 0))
+                scores = pd.DataFrame(out, columns=[f.split()[0] for f in STREAMED.split(", ")])
+                yield pd.concat([part[fields].reset_index(drop=True), scores], axis=1)
             for k in stored.keys() - store.keys.keys():
                 self.held.removeKey(k)
             for k, at in touched.items():
@@ -251,10 +258,8 @@ def stream_processor(config: DetectorConfig, ttl_ms: int | None, max_keys: int |
                     self.held.updateValue(k, (base.mean, base.variance, base.count, last, at))
             if store.last is not None:
                 self.meta.update((epoch, store.last, used))
-            scores = pd.DataFrame(out, columns=[f.split()[0] for f in STREAMED.split(", ")])
-            yield pd.concat([frame[fields].reset_index(drop=True), scores], axis=1)
 
         def close(self) -> None:
-            pass
+            gc.collect()  # a worker lives on through later micro-batches
 
     return Scorer()
