@@ -15,7 +15,9 @@ from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -212,14 +214,49 @@ OUT_ROWS = 10_000
 STREAMED = SCORES + ", error string, evicted_ttl long, evicted_capacity long"
 
 
+def _piece(rows: pa.Table | pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema) as writer:
+        writer.write(rows)
+    return out.getvalue().to_pybytes()
+
+
+def packed(rows: DataFrame, shard: Column) -> DataFrame:
+    """shard, rows: each Arrow batch's rows of a shard as one binary value, as Spark hands rows to a stateful operator in Python one at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.asarray(batch.column("_shard"))
+            batch = batch.drop_columns(["_shard"])
+            for s in np.unique(at):
+                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([_piece(batch.take(pa.array(np.flatnonzero(at == s))))], pa.binary())], names=["shard", "rows"])
+
+    return rows.withColumn("_shard", shard).mapInArrow(run, "shard long, rows binary")
+
+
+def unpacked(pieces: DataFrame, schema: str) -> DataFrame:
+    """The rows of pieces (column rows)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in batch.column("rows"):
+                yield from pa.ipc.open_stream(piece.as_buffer()).read_all().to_batches()
+
+    return pieces.select("rows").mapInArrow(run, schema)
+
+
 def stream_processor(config: DetectorConfig, ttl_ms: int | None, max_keys: int | None, value: str, clock: str, keys: list[str], order: list[str], fields: list[str], epoch: int = 0):
-    """A StatefulProcessor for transformWithStateInPandas over shards of keys; each shard holds one KeyStore in its state.
+    """A StatefulProcessor for transformWithStateInPandas over shards of keys, for `packed` rows; each shard holds one KeyStore in its state.
 
     A micro-batch's rows of a shard are sorted by clock and order and scored. A row that can't be scored gets an error and no verdict; the
-    batch goes on. An epoch other than the state's clears it.
+    batch goes on. An epoch other than the state's clears it. The result is pieces of rows again.
     """
     import pandas as pd
+    from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.streaming import StatefulProcessor
+    from pyspark.sql.types import StructType
+
+    kinds = to_arrow_schema(StructType.fromDDL(STREAMED))
 
     class Scorer(StatefulProcessor):
         def init(self, handle) -> None:
@@ -227,7 +264,8 @@ def stream_processor(config: DetectorConfig, ttl_ms: int | None, max_keys: int |
             self.meta = handle.getValueState("meta", "epoch long, last long, used long")
 
         def handleInputRows(self, key, rows, timers) -> Iterator[pd.DataFrame]:
-            frame = pd.concat(list(rows), ignore_index=True).sort_values([clock, *order], kind="stable")
+            frame = pa.concat_tables([pa.ipc.open_stream(x).read_all() for part in rows for x in part["rows"]])
+            frame = frame.take(pc.sort_indices(frame, sort_keys=[(c, "ascending") for c in (clock, *order)]))
             store, used, stored = KeyStore(config, ttl_ms, max_keys), 0, {}
             meta = self.meta.get() if self.meta.exists() else None
             if meta is not None and meta[0] == epoch:
@@ -238,18 +276,21 @@ def stream_processor(config: DetectorConfig, ttl_ms: int | None, max_keys: int |
             elif meta is not None:
                 self.held.clear()
             touched = {}
-            for a in range(0, len(frame), OUT_ROWS):
-                part, out = frame.iloc[a : a + OUT_ROWS], []
-                for *k, x, t in zip(*(part[k].tolist() for k in keys), part[value].tolist(), part[clock].tolist(), strict=True):
+            for a in range(0, frame.num_rows, OUT_ROWS):
+                part, out = frame.slice(a, OUT_ROWS), []
+                for *k, x, t in zip(*(part[c].to_pylist() for c in (*keys, value, clock)), strict=True):
                     used += 1
+                    k = tuple(k)
                     try:
-                        (mean, std, s, odd, n, warmed), expired, full = store.observe(tuple(k), float(x), t)
+                        (mean, std, s, odd, n, warmed), expired, full = store.observe(k, math.nan if x is None else x, t)
                         out.append((mean or 0.0, std or 0.0, s, odd, n, warmed, None, expired, full))
-                        touched[tuple(k)] = used
+                        touched[k] = used
                     except ScoreError as e:
                         out.append((None, None, None, None, None, None, str(e), 0, 0))
-                scores = pd.DataFrame(out, columns=[f.split()[0] for f in STREAMED.split(", ")])
-                yield pd.concat([part[fields].reset_index(drop=True), scores], axis=1)
+                part = part.select(fields)
+                for kind, values in zip(kinds, zip(*out, strict=True), strict=True):
+                    part = part.append_column(kind, pa.array(values, kind.type))
+                yield pd.DataFrame({"rows": [_piece(part)]})
             for k in stored.keys() - store.keys.keys():
                 self.held.removeKey(k)
             for k, at in touched.items():

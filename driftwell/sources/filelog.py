@@ -16,12 +16,13 @@ import os
 import time
 
 from py4j.protocol import Py4JJavaError
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..schemas import LOG, PARTITIONS
-from ..tables import stamp_in_order, write_ranges
+from ..tables import in_ranges, stamp_in_order, write_in_order
 
 
 #: Records of a log file at most, and files that a trigger reads by default: together they bound the records of a micro-batch.
@@ -148,10 +149,19 @@ class FileLog:
         own = {c: c if c in ("partition", "key", "value") else f"_order{i}" for i, c in enumerate(order)}
         rows = records.select(part.cast("int").alias("partition"), "key", "value", *(F.col(c).alias(n) for c, n in own.items() if n != c))
         order, order_only = list(own.values()), [n for c, n in own.items() if n != c]
-        rows = rows.repartitionByRange(*order).sortWithinPartitions("partition", *order).withColumn("_at", F.monotonically_increasing_id())
-        sorted_rows, held = f"{self.root}/_staging/{topic}-{batch}-sorted", f"{self.root}/_staging/{topic}-{batch}"
-        rows.write.mode("overwrite").parquet(sorted_rows)
-        rows = self.spark.read.schema(rows.schema).parquet(sorted_rows).withColumn("_task", F.shiftright("_at", 33))
+        given = f"{self.root}/_staging/{topic}-{batch}-given"
+        rows.write.mode("overwrite").parquet(given)  # a sort by ranges takes its input twice, and records may be dear to make
+        rows = self.spark.read.schema(rows.schema).parquet(given)
+        held = f"{self.root}/_staging/{topic}-{batch}"
+        rows = in_ranges(rows, order, rows.count(), FILE_RECORDS).sortWithinPartitions("partition", *order).withColumn("_at", F.monotonically_increasing_id()).withColumn("_task", F.shiftright("_at", 33)).persist(StorageLevel.DISK_ONLY)
+        try:
+            self._publish(rows, topic, batch, order, order_only, held, final)
+        finally:
+            rows.unpersist()
+        self._fs.delete(self._path(given), True)
+
+    def _publish(self, rows: DataFrame, topic: str, batch: str, order: list[str], order_only: list[str], held: str, final) -> None:
+        """Numbers rows that lie in ranges of the order, and writes each range as it lies: one shuffle orders an append."""
         runs = rows.groupBy("partition", "_task").agg(F.min("_at").alias("_low"), F.count("*").alias("_n"))
         counts = {r.partition: r.n for r in runs.groupBy("partition").agg(F.sum("_n").alias("n")).collect()}  # a row per log partition
         first = self._claim(topic, batch, counts)
@@ -161,12 +171,11 @@ class FileLog:
         out = rows.join(F.broadcast(runs.drop("_n")), ["partition", "_task"])  # a row per task of the sort and log partition
         out = out.select("key", "value", F.lit(topic).alias("topic"), "partition", (F.col("_base") + F.col("_at") - F.col("_low")).alias("offset"), F.current_timestamp().alias("timestamp"), *order_only)
         began = time.time()
-        write_ranges(out, held, order, sum(counts.values()), FILE_RECORDS, drop=order_only)
+        write_in_order(out, held, order, FILE_RECORDS, drop=order_only)
         stamp_in_order(self.spark, held, began)
         self._fs.mkdirs(self._path(self.path(topic)))
         if not self._fs.rename(self._path(held), final):
             raise OSError(f"could not publish {final}")
-        self._fs.delete(self._path(sorted_rows), True)
 
     def next_offsets(self, topic: str) -> DataFrame:
         from ..operators.reconcile import next_offsets

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..config import DetectorConfig, RetryConfig, StateConfig
 from ..functions import codec
 from ..functions.expr import instant_from_micros, partition_key
-from ..operators.detector import STREAMED, stream_processor
+from ..operators.detector import STREAMED, packed, stream_processor, unpacked
 from ..operators.retry import with_retry
 from ..operators.route import dead_letters, judge_enriched, judge_raw, validated_rows
 from ..schemas import DEFERRED_TOPIC, DLQ_TOPIC, ENRICHED_TOPIC, RAW_TOPIC, STAGE_PROCESSOR, STAGE_SINK
@@ -38,8 +38,10 @@ def scored_stream(judged: DataFrame, clock: Column, detector: DetectorConfig, st
     valid = judged.where("failure IS NULL").select(F.col("event.service_name").alias("service_name"), F.col("event.route").alias("route"), clock.cast("long").alias("clock"), "partition", "offset", F.col("event.event_id").alias("event_id"), codec.encode_event(F.col("event")).alias("event"), F.col("event.latency_us").cast("double").alias("latency_us"))
     fields = [f.split()[0] for f in FIELDS.split(", ")]
     processor = stream_processor(detector, state.ttl_ms if state else None, state.max_keys if state else None, "latency_us", "clock", ["service_name", "route"], ["partition", "offset"], fields, epoch)
-    shard = F.pmod(F.xxhash64("service_name", "route"), F.lit(shards)).alias("shard")
-    return valid.withColumn("shard", shard).groupBy("shard").transformWithStateInPandas(processor, f"{FIELDS}, {STREAMED}", "append", "none")
+    pieces = packed(valid, F.pmod(F.xxhash64("service_name", "route"), F.lit(shards)))
+    scored = pieces.groupBy("shard").transformWithStateInPandas(processor, "rows binary", "append", "none")
+    spread = int(judged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return unpacked(scored.repartition(spread), f"{FIELDS}, {STREAMED}")  # a few hot shards are a few tasks, which only score
 
 
 def enriched_records(scored: DataFrame, processed_at: Column) -> DataFrame:

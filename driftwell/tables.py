@@ -27,8 +27,17 @@ def table(df: DataFrame, name: str) -> DataFrame:
 
 def write_ranges(df: DataFrame, path: str, order: list[str], rows: int, file_rows: int, drop: list[str] = []) -> None:
     """Write df (of so many rows) as files that hold consecutive ranges of the order, at most file_rows rows each, in the order of their names."""
-    n = max(1, math.ceil(rows / (0.8 * file_rows)))  # ranges are sampled: most of them fit one file
-    df.repartitionByRange(n, *order).sortWithinPartitions(*order).drop(*drop).write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(path)
+    write_in_order(in_ranges(df, order, rows, file_rows), path, order, file_rows, drop)
+
+
+def in_ranges(df: DataFrame, order: list[str], rows: int, file_rows: int) -> DataFrame:
+    """df (of so many rows) with partitions that are consecutive ranges of the order."""
+    return df.repartitionByRange(max(1, math.ceil(rows / (0.8 * file_rows))), *order)  # ranges are sampled: most of them fit one file
+
+
+def write_in_order(df: DataFrame, path: str, order: list[str], file_rows: int, drop: list[str] = []) -> None:
+    """Write df, whose partitions are ranges of the order already, as files of at most file_rows rows each."""
+    df.sortWithinPartitions(*order).drop(*drop).write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(path)
 
 
 def stamp_in_order(spark: SparkSession, path: str, began: float) -> None:

@@ -549,3 +549,42 @@ def test_a_resumed_stream_takes_its_rows_in_order_and_in_bounded_batches(spark,
     got = QUERIES["stream_score_resumed"](spark, events)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, QUERIES["ewma_scores"](spark, events).collect()))
     assert spark.read.format("binaryFile").option("pathGlobFilter", "[0-9]*").load(f"{checkpoints[0]}/commits").count() >= 3  # micro-batches
+
+
+def test_plain_messages_are_coded_by_columns_and_others_as_before(monkeypatch):
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    texts = ["", "a", "é" * 70, "x" * 127, "x" * 128, "日本"]
+    events = [dict(event_id=texts[i % 6], event_time=None if i % 5 == 0 else dict(seconds=i - 300, nanos=i % 3 - 1), service_name=texts[i % 4], route=None if i % 7 == 0 else "/r", latency_us=(0, 127, 128, 2**64 - 1)[i % 4], status_code=(0, 200, 2**32 - 1)[i % 3], trace_id="t" * (i % 3 * 100), attributes={"kéz"[j % 3] * (j + 1): texts[(i + j) % 6] for j in reversed(range(i % 4))}) for i in range(600)]
+    rows = [None if i % 11 == 0 else dict(event=None if i % 13 == 0 else e, ewma_mean_us=(0.0, -0.0, 1.5)[i % 3], ewma_stddev_us=None, anomaly_score=float(i), is_anomaly=i % 2 == 0, processed_at=dict(seconds=i, nanos=0)) for i, e in enumerate(events)]
+    array = pa.array(rows, to_arrow_type(codec.ENRICHED)).slice(7, 580)
+    want = [None if r is None else codec.serialise(r, codec._ENRICHED) for r in rows[7:587]]
+    parse, parsed = codec.parse, []
+    monkeypatch.setattr(codec, "serialise", None)
+    payloads = pa.concat_arrays(list(codec._encoder(codec._ENRICHED).func(iter([array]))))
+    assert payloads.to_pylist() == want
+    read = codec._decoder(codec._ENRICHED, codec.ENRICHED, "e").func
+    monkeypatch.setattr(codec, "parse", None)  # no row is walked alone
+    plain = pa.concat_arrays(list(read(iter([payloads]))))
+    monkeypatch.setattr(codec, "parse", lambda data, *more: parsed.append(data) or parse(data, *more))
+    assert plain.equals(pa.concat_arrays([codec._parsed(payloads, codec._ENRICHED, codec.ENRICHED, "e")]))
+    odd = [d + tail if d and i % 10 == 0 else d[: i % 50] if d and i % 10 == 5 else d for i, d in enumerate(want) for tail in [(b"\x0a\x02\x08", b"\xff", b"\x78\x05", b"\x28\x00", b"\x0a\x03\x0a\x01\xff", b"\x0a\x08\x42\x02\x0a\x00\x42\x02\x0a\x00")[i // 10 % 6]]]
+    odd = pa.array(odd, pa.binary())
+    mixed = pa.concat_arrays(list(read(iter([odd]))))
+    assert mixed.to_pylist() == codec._parsed(odd, codec._ENRICHED, codec.ENRICHED, "e").to_pylist()
+    assert not all(mixed.field("ok").to_pylist()) and any(mixed.field("ok").to_pylist())
+
+
+def test_an_append_makes_each_record_once_and_orders_it_by_one_shuffle(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("binary")
+    def value(i):
+        made.add(1)
+        return str(i).encode()
+
+    log = FileLog(spark, f"{tmp_path}/log")
+    log.append(spark.range(200, numPartitions=3).select(F.lit(b"k").alias("key"), value("id").alias("value"), (F.col("id") % 3).cast("int").alias("partition"), "id"), RAW_TOPIC, "0", ["id"])
+    assert made.value == 200
+    assert sorted((r.partition, r.offset, int(r.value)) for r in log.read(RAW_TOPIC).collect()) == sorted((i % 3, i // 3, i) for i in range(200))
