@@ -91,13 +91,14 @@ class EventStore:
         """Insert what is new of a batch of validated rows; returns {"total", "inserted", "conflicts"}. `failpoint` is called after the commit."""
         done = self.published()
         if number not in done:
-            first = first_per_id(batch.withColumn("event_id", F.lower("event_id")), "event_id", list(order))
-            new = self._without_known(first, number).select(*EVENTS_TABLE.fieldNames())
+            total, batch = batch.count(), batch.withColumn("event_id", F.lower("event_id"))
+            first = first_per_id(batch, "event_id", list(order))
+            new = self._without_known(first, batch.select("event_id"), total, number).select(*EVENTS_TABLE.fieldNames())
             events = f"{self.root}/events/batch={number}"
             new.withColumn("event_date", F.to_date("event_time")).repartition("event_date", F.pmod(F.xxhash64("event_id"), F.lit(4))).sortWithinPartitions("event_date", "service_name", "route", F.desc("event_time")).write.mode("overwrite").partitionBy("event_date").parquet(events)
             stored = self.spark.read.schema(EVENTS_TABLE).parquet(events)
             stored.select("event_id", F.current_timestamp().alias("first_seen_at")).write.mode("overwrite").parquet(f"{self.root}/receipts/batch={number}")
-            total, inserted = batch.count(), stored.count()
+            inserted = stored.count()
             result = {"total": total, "inserted": inserted, "conflicts": total - inserted}
             self._publish(str(number), result)
             self._fold({**done, number: result})
@@ -106,11 +107,11 @@ class EventStore:
             failpoint(number)
         return done[number]
 
-    def _without_known(self, first: DataFrame, number: int) -> DataFrame:
+    def _without_known(self, first: DataFrame, ids: DataFrame, total: int, number: int) -> DataFrame:
         known = self.receipts(below=number).select("event_id")
-        ids = first.select("event_id")
-        if ids.limit(BATCH_IDS + 1).count() <= BATCH_IDS:
-            known = known.join(F.broadcast(ids), "event_id", "left_semi")
+        if total <= BATCH_IDS or (ids := first.select("event_id")).limit(BATCH_IDS + 1).count() <= BATCH_IDS:
+            hashes = F.broadcast(ids.select(F.xxhash64("event_id").alias("_hash")).distinct())  # one long each; who shares a hash falls out below
+            known = known.withColumn("_hash", F.xxhash64("event_id")).join(hashes, "_hash", "left_semi").drop("_hash")
         return first.join(known, "event_id", "left_anti")
 
     def latest(self, k: int = 1) -> DataFrame:

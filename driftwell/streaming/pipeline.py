@@ -90,7 +90,8 @@ def persist_query(log: FileLog, store: EventStore, checkpoint: str, retry: Retry
         judged = judge_enriched(batch).persist()
         try:
             with_retry(lambda: store.persist(validated_rows(judged), number, failpoint=failpoint), retry)
-            log.append(_letters(dead_letters(judged, STAGE_SINK, wall_clock())), DLQ_TOPIC, f"sink-{number:010d}", ["value"])
+            if not judged.where("failure IS NOT NULL").isEmpty():
+                log.append(_letters(dead_letters(judged, STAGE_SINK, wall_clock())), DLQ_TOPIC, f"sink-{number:010d}", ["value"])
         finally:
             judged.unpersist()
 

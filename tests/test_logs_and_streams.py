@@ -588,3 +588,20 @@ def test_an_append_makes_each_record_once_and_orders_it_by_one_shuffle(spark, tm
     log.append(spark.range(200, numPartitions=3).select(F.lit(b"k").alias("key"), value("id").alias("value"), (F.col("id") % 3).cast("int").alias("partition"), "id"), RAW_TOPIC, "0", ["id"])
     assert made.value == 200
     assert sorted((r.partition, r.offset, int(r.value)) for r in log.read(RAW_TOPIC).collect()) == sorted((i % 3, i // 3, i) for i in range(200))
+
+
+def test_a_sink_batch_without_failures_appends_no_letters_and_knows_its_history(spark, sf_dir, tmp_path, monkeypatch):
+    from driftwell.sources import store as module
+
+    log, store = FileLog(spark, f"{tmp_path}/log"), EventStore(spark, f"{tmp_path}/store")
+    records = _log_records(telemetry(read_events(spark, sf_dir), True)).where("id < 60")
+    log.append(records, RAW_TOPIC, "0", ["clock", "id"])
+    score_query(log, f"{tmp_path}/check").awaitTermination()
+    calls, first = [], module.first_per_id
+    monkeypatch.setattr(module, "first_per_id", lambda *a: calls.append(a) or first(*a))
+    persist_query(log, store, f"{tmp_path}/check").awaitTermination()
+    assert log.batches(DLQ_TOPIC) == [] and store.events().count() == 60 and len(calls) == 1
+    log.append(records, RAW_TOPIC, "1", ["clock", "id"])
+    score_query(log, f"{tmp_path}/check").awaitTermination()
+    persist_query(log, store, f"{tmp_path}/check").awaitTermination()
+    assert store.events().count() == 60 and sum(m["conflicts"] for m in store.published().values()) == log.read(ENRICHED_TOPIC).count() - 60
